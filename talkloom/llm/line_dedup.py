@@ -115,7 +115,8 @@ def dedup_lines(docs: DataFrame, batches: int = BATCHES, fanout: int = FANOUT, i
     shared = cut(store.totals().where(F.col("n") >= LEAST_DOCS).select(*HASH, "last"), "shared")
     goes = held.join(shared, HASH).where(F.col("doc_id") != F.col("last"))
     goes = goes.groupBy("doc_id").agg(F.collect_set(F.struct(*HASH)).alias("__goes")).withColumnRenamed("doc_id", "__id")
-    goes = cut(goes, "goes")
+    # What goes grows with the corpus: the join is planned as a merge at every size, so that no plan depends on a broadcast.
+    goes = cut(goes, "goes").hint("merge")
     lines = lines_of(F.col(text_col))
     stays = F.filter(lines, lambda line: ~F.coalesce(F.array_contains(F.col("__goes"), hash_of(line)), F.lit(False)))
     joined = docs.join(goes, F.col(id_col) == F.col("__id"), "left")
