@@ -70,6 +70,11 @@ def squeeze(x: Column | str) -> Column:
     return F.trim(F.regexp_replace(col(x), SPACES, " "))
 
 
+def strip(x: Column | str) -> Column:
+    """Without white space of any kind at the ends."""
+    return F.regexp_replace(filled(x), r"(?U)^\s+|\s+$", "")
+
+
 def clean(x: Column | str, unicode: bool = True) -> Column:
     x = filled(x)
     return squeeze(strip_tags(normalized(x) if unicode else x))
@@ -201,7 +206,7 @@ def interleave(x: Column | str, pattern: str, replace: Callable[[Column], Column
 def json_text(x: Column | str) -> Column:
     """JSON in free text: a fenced block, else what the outermost braces hold, else the outermost brackets; null if none."""
     x = filled(x)
-    fenced = F.trim(F.regexp_extract(x, r"(?s)```(?:json)?\s*\n(.*?)```", 1))
+    fenced = strip(F.regexp_extract(x, r"(?s)```(?:json)?\s*\n(.*?)```", 1))
 
     def between(a: str, b: str) -> Column:
         start = F.instr(x, a)

@@ -105,7 +105,7 @@ def relevance_tier(score: Column) -> Column:
 
 def failure_share(results: DataFrame) -> DataFrame:
     """One row: n, failed, warn (whether more than half failed)."""
-    return results.agg(F.count("*").alias("n"), F.count_if("error is not null").alias("failed")).withColumn("warn", F.col("failed") * 2 > F.col("n"))
+    return results.agg(F.count("*").alias("n"), F.count_if(F.col("error").isNotNull()).alias("failed")).withColumn("warn", F.col("failed") * 2 > F.col("n"))
 
 
 def cluster_payloads(members: DataFrame, talks: DataFrame, fields: list[str]) -> DataFrame:

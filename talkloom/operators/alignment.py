@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from talkloom.functions.text import filled
+from talkloom.functions.text import filled, strip
 from talkloom.functions.time import minutes_m
 
 
@@ -41,13 +41,13 @@ def aligned_text(slides: DataFrame, segments: DataFrame) -> DataFrame:
     slides: video_id, pos, ts, text, description. segments: video_id, seq, start, text, speaker. Videos that lack either
     have no row. Blank segments say nothing.
     """
-    said = segments.where(F.trim(filled("text")) != "")
-    line = F.when(filled("speaker") != "", F.concat(F.lit("["), F.col("speaker"), F.lit("] "), F.trim("text"))).otherwise(F.trim("text"))
+    said = segments.where(strip("text") != "")
+    line = F.when(filled("speaker") != "", F.concat(F.lit("["), F.col("speaker"), F.lit("] "), strip("text"))).otherwise(strip("text"))
     said = said.select("video_id", "seq", "start", line.alias("line"))
     under = backward_as_of(said, slides.select("video_id", "ts", "pos"), "video_id", "start", "ts", ["ts", "pos"])
     spoken = under.groupBy("video_id", "pos").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("start", "seq", "line"))), lambda r: r["line"]), "\n").alias("spoken"))
     both = slides.join(segments.select("video_id").distinct(), "video_id", "left_semi").join(spoken, ["video_id", "pos"], "left")
-    part = lambda head, x: F.when(F.trim(filled(x)) != "", F.concat(F.lit(head), F.trim(x)))
+    part = lambda head, x: F.when(strip(x) != "", F.concat(F.lit(head), strip(x)))
     block = F.concat_ws("\n", slide_header(F.col("pos"), F.col("ts")), part("OCR: ", F.col("text")), part("VLM: ", F.col("description")), F.when(F.col("spoken").isNotNull(), F.concat(F.lit("[TRANSCRIPT]\n"), F.col("spoken"))))
     rows = F.array_sort(F.collect_list(F.struct("ts", "pos", block.alias("block"))))
     return both.groupBy("video_id").agg(F.array_join(F.transform(rows, lambda r: r["block"]), "\n\n").alias("slide_aligned"))

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from talkloom.functions.text import bullets, companies_text, filled, or_else, safe_id, speakers_text
+from talkloom.functions.text import bullets, companies_text, filled, or_else, safe_id, speakers_text, strip
 from talkloom.operators.ordering import keep_first
 from talkloom.schemas import schema
 
@@ -118,7 +118,7 @@ def slide_groups(slides: DataFrame, key: str, pos: str, ts: str, text: Column, n
 
 
 def slide_text() -> Column:
-    text, seen = F.trim(filled("text")), F.trim(filled("description"))
+    text, seen = strip("text"), strip("description")
     return F.concat_ws("\n", F.when(text != "", text), F.when(seen != "", F.concat(F.lit("[Visual: "), seen, F.lit("]"))))
 
 
@@ -137,7 +137,7 @@ def _id(kind: str, what: Column, n: Column | str = "0") -> Column:
 
 
 def abstract_chunks(sessions: DataFrame) -> DataFrame:
-    text = F.trim(filled("abstract"))
+    text = strip("abstract")
     rows = sessions.where(text != "")
     return as_chunks(rows, "talk_abstract", id=_id("talk_abstract", safe_id("title")), text=F.concat(filled("title"), F.lit("\n\n"), text), source_file=F.lit("schedule_clean.json"), _pos=F.col("_pos"), **base())
 

@@ -24,28 +24,69 @@ def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([ratio(x, y) for x, y in zip(a.fillna(""), b.fillna(""))], dtype="float64")
 
 
+def masks_of(a: str) -> dict[str, int]:
+    """For each character the set of its places, as bits."""
+    out: dict[str, int] = {}
+    for i, c in enumerate(a):
+        out[c] = out.get(c, 0) | 1 << i
+    return out
+
+
+def common_length(masks: dict[str, int], n: int, b: str) -> int:
+    """Length of the longest common subsequence of a string (its masks and length) with b, in one pass of bit operations."""
+    every = (1 << n) - 1
+    s = every
+    for c in b:
+        u = s & masks.get(c, 0)
+        s = (s + u | s - u) & every
+    return n - s.bit_count()
+
+
+def _ratio_above(threshold: float):
+    @F.pandas_udf(T.DoubleType())
+    def ratios(a: pd.Series, b: pd.Series) -> pd.Series:
+        seen: dict[str, dict[str, int]] = {}
+        out = []
+        for x, y in zip(a, b):
+            masks = seen.get(x)
+            if masks is None:
+                masks = seen[x] = masks_of(x)
+            # Matching blocks are a common subsequence, so its length bounds the ratio from above.
+            if 2 * common_length(masks, len(x), y) <= threshold * (len(x) + len(y)):
+                out.append(None)
+            else:
+                out.append(SequenceMatcher(None, x, y).ratio())
+        return pd.Series(out, dtype="float64")
+
+    return ratios
+
+
 def similar_pairs(left: DataFrame, right: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(left_id, right_id, score) of all pairs of titles above the threshold; columns id and title on both sides.
 
-    A pair above the threshold t shares at least t/2 * (la + lb) characters, so its lengths and its counts of each
-    character must allow it. Pairs meet by an equi-join on length classes, not by a product of the tables: lengths
-    of such a pair differ by at most the factor (2 - t) / t. Only the survivors reach Python.
+    A pair above the threshold t shares at least t/2 * (la + lb) characters, so its lengths, its counts of each character
+    and its longest common subsequence must allow it. Pairs meet by an equi-join on length classes, not by a product of
+    the tables: lengths of such a pair differ by at most the factor (2 - t) / t. Counts are taken once a title and
+    compared in generated code; only the survivors reach Python.
     """
-    bound = (2 - threshold) / threshold
-    step = F.log(F.lit(bound))
-    a = left.select(F.col("id").alias("left_id"), F.lower("title").alias("a")).where("a <> ''")
-    b = right.select(F.col("id").alias("right_id"), F.lower("title").alias("b")).where("b <> ''")
-    a = a.withColumn("class", F.floor(F.log(F.length("a")) / step))
-    near = F.floor(F.log(F.length("b")) / step)
-    b = b.withColumn("class", F.explode(F.array(near - 1, near, near + 1)))
-    pairs = a.join(b, "class").where(2 * F.least(F.length("a"), F.length("b")) > threshold * (F.length("a") + F.length("b")))
     letters = "abcdefghijklmnopqrstuvwxyz0123456789 "
-    count = lambda x, c: F.length(x) - F.length(F.replace(x, F.lit(c), F.lit("")))
-    shared = sum((F.least(count(F.col("a"), c), count(F.col("b"), c)) for c in letters), F.lit(0))
-    rest = lambda x: F.length(F.regexp_replace(x, "[a-z0-9 ]", ""))
-    shared = shared + F.least(rest(F.col("a")), rest(F.col("b")))
-    pairs = pairs.where(2 * shared > threshold * (F.length("a") + F.length("b")))
-    return pairs.withColumn("score", similarity("a", "b")).where(F.col("score") > threshold).select("left_id", "right_id", "score")
+    step = F.log(F.lit((2 - threshold) / threshold))
+
+    def side(df: DataFrame, name: str) -> DataFrame:
+        x = F.lower("title")
+        counts = [(F.length(x) - F.length(F.replace(x, F.lit(c), F.lit("")))).alias(f"{name}{i}") for i, c in enumerate(letters)]
+        rest = F.length(F.regexp_replace(x, "[a-z0-9 ]", "")).alias(f"{name}{len(letters)}")
+        return df.select(F.col("id").alias(f"{name}_id"), x.alias(name), *counts, rest).where(f"{name} <> ''")
+
+    a = side(left, "a").withColumn("class", F.floor(F.log(F.length("a")) / step))
+    near = F.floor(F.log(F.length("b")) / step)
+    b = side(right, "b").withColumn("class", F.explode(F.array(near - 1, near, near + 1)))
+    both = F.length("a") + F.length("b")
+    pairs = a.join(b, "class").where(2 * F.least(F.length("a"), F.length("b")) > threshold * both)
+    shared = sum((F.least(f"a{i}", f"b{i}") for i in range(len(letters) + 1)), F.lit(0))
+    pairs = pairs.where(2 * shared > threshold * both).select("a_id", "b_id", "a", "b")
+    pairs = pairs.withColumn("score", _ratio_above(threshold)("a", "b")).where(F.col("score") > threshold)
+    return pairs.select(F.col("a_id").alias("left_id"), F.col("b_id").alias("right_id"), "score")
 
 
 def assign(candidates: DataFrame, left_pos: str = "left_id", right_pos: str = "right_id") -> DataFrame:

@@ -60,7 +60,7 @@ def read_schedule(spark: SparkSession, path: str) -> DataFrame:
     if path.endswith(".toml"):
         import json
 
-        text = "\n".join(r["value"] for r in spark.read.option("wholetext", True).text(path).collect())  # one small hand-written file
+        text = "\n".join(r["value"] for r in spark.read.text(path, wholetext=True).collect())  # one small hand-written file
         rows = tomllib.loads(text).get("sessions", [])
         fields = schema("raw_session").fieldNames()
         flat = [tuple(json.dumps(r[f]) if f == "speakers" and f in r and not isinstance(r[f], str) else r.get(f) for f in fields) for r in rows]

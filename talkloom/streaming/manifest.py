@@ -33,7 +33,7 @@ class Manifest:
         fs, p = self._fs(self.path)
         if not fs.exists(p):
             return {}
-        text = self.spark.read.option("wholetext", True).text(self.path).first()
+        text = self.spark.read.text(self.path, wholetext=True).first()
         return json.loads(text["value"]) if text else {}
 
     def fresh(self, name: str, inputs: list[str]) -> bool:
