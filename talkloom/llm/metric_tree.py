@@ -213,7 +213,8 @@ def top_k(rows: DataFrame, is_query, k: int = K, scale: int = SCALE, pivots: int
     # d^2 = |q|^2 + M - 2 q.x at the k-th best score so far; without k results the bound is open.
     done = nearest.select(F.col("query_id").alias("done_id"), F.col("x.page").alias("done_page"))
     limits = queries.join(kth, F.col("query_id") == F.col("of"), "left").join(used.select(F.col("id").alias("nid"), F.col("raw").alias("nraw"), "norm"), (F.col("nid") == F.col("query_id")) & (F.col("nraw") == F.col("query")))
-    limit = F.coalesce(F.sqrt(F.greatest(F.lit(0.0), (F.col("norm") + norm - 2 * F.col("kth")).cast("double"))), F.lit(float("inf")))
+    reach = F.sqrt(F.greatest(F.lit(0.0), (F.col("norm") + norm - 2 * F.col("kth")).cast("double")))
+    limit = F.when(F.col("kth").isNull(), float("inf")).otherwise(reach)
     limits = cut(limits.select(F.col("query_id").alias("of_id"), limit.alias("limit")).groupBy("of_id").agg(F.max("limit").alias("limit")), "limits")
     rest = reached.join(limits, F.col("query_id") == F.col("of_id")).where(F.col("bound") <= F.col("limit") * (1 + EPS) + 1e-6)
     rest = rest.join(done, (F.col("query_id") == F.col("done_id")) & (F.col("page") == F.col("done_page")), "left_anti")
