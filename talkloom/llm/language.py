@@ -169,7 +169,7 @@ def predict(docs: DataFrame, model: Model, spans: bool = False, switch: float =
     return docs.select(F.col(text_col).alias("__text"), *kept).mapInArrow(each, schema)
 
 
-def reject(docs: DataFrame, model: Model, least: float = 0.3, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+def reject(docs: DataFrame, model: Model, least: float = 0.2, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """The rows of docs whose language is known with a score of at least ``least``, with that language in lang_col; other columns unchanged."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     columns = docs.columns
