@@ -80,17 +80,23 @@ class Job:
         agenda, ranking = self.load("agenda"), self.load("ranking")
         top = agenda.select(F.explode("top_keywords").alias("keyword"))
         own = agenda.select(F.explode("clusters").alias("c")).select(F.explode("c.keywords").alias("keyword"))
+        clusters, recordings, talks = self.load("clusters", "synthesis"), self.load("recordings", "synthesis"), artifacts.with_position(self.load("talks", "talk"))
+        members = steps.cluster_members(agenda, talks).join(talks.select("title", "evidence_quality"), "title").select("cluster", "evidence_quality")
+        evidence = aggregates.evidence_by_cluster(members, ranking)
         maps = lambda c: agenda.select(F.explode(c).alias("k", "n"))
         tables = {
             "topic_frequency": ("Top Conference Topics", aggregates.weighted_keywords(top, own).select("keyword", "weight")),
             "company_presence": ("Company Presence", aggregates.recount(maps("company_presence"), "k")),
             "track_distribution": ("Track Distribution", maps("track_distribution").orderBy(F.desc("n"), "k")),
             "cluster_relevance": ("Cluster Relevance", reports.cluster_relevance(ranking).select("name", "relevance_score")),
+            "maturity_strip": ("Technology Maturity", reports.maturity_strip(artifacts.with_position(clusters), recordings).select("technology", (reports.ring_place(F.col("ring")) + 1).alias("place"))),
+            "evidence_quality": ("Talks with Evidence by Cluster", evidence.select("cluster", sum((F.col(k) for k in aggregates.TALK_EVIDENCE), F.lit(0)).alias("n"))),
+            "stakeholders": ("Stakeholders", aggregates.stakeholders(recordings.select(F.explode("stakeholder_map").alias("s")).select("s.*")).select("role", "talk_count")),
             "word_cloud": ("Words", aggregates.weighted_keywords(top, own, 80)),
         }
         out = []
         for name, (title, df) in tables.items():
-            data = [(r[0], float(r[1])) for r in df.collect()]  # at most 80 rows, limited above
+            data = [(r[0], float(r[1])) for r in df.limit(80).collect()]
             if data:
                 out.append(f"{self.dir}/reports/images/{name}.svg")
                 render.bar_chart(title, data, out[-1])

@@ -531,3 +531,140 @@ def thin_briefs(spark, d):
 @query("SELECT p_partkey, (round_even(p_retailprice * 100 / 10000, 0))::BIGINT || '%' AS shown FROM part")
 def percent_format(spark, d):
     return t(spark, d, "part").select("p_partkey", time.percent(F.col("p_retailprice") / 10000).alias("shown"))
+
+
+# The rest of the scalar and small operators ----------------------------------------------------------------------
+
+
+@query(
+    """WITH l AS (SELECT *, row_number() OVER (PARTITION BY c_mktsegment ORDER BY c_custkey) AS n FROM customer)
+SELECT o_orderkey, coalesce(c_name, '') AS found FROM orders LEFT JOIN l ON n = 1 AND c_mktsegment = CASE o_orderkey % 3 WHEN 0 THEN 'BUILDING' WHEN 1 THEN 'MACHINERY' ELSE 'none' END"""
+)
+def find_by_name(spark, d):
+    first = ordering.keep_first(t(spark, d, "customer"), F.col("c_mktsegment"), F.col("c_custkey")).select("c_mktsegment", "c_name")
+    k = F.col("o_orderkey") % 3
+    asked = t(spark, d, "orders").select("o_orderkey", F.when(k == 0, "BUILDING").when(k == 1, "MACHINERY").otherwise("none").alias("c_mktsegment"))
+    return asked.join(first, "c_mktsegment", "left").select("o_orderkey", F.coalesce("c_name", F.lit("")).alias("found"))
+
+
+@query(r"SELECT page_id, 'e' || page_id AS event_id, 'talk ' || page_id AS title, 'Mon 9:00' AS time_text FROM pages")
+def listing_texts(spark, d):
+    p = F.col("page_id").cast("string")
+    return t(spark, d, "pages").select("page_id", text.event_id(F.concat(F.lit("https://x/event/e"), p, F.lit("/name?q"))).alias("event_id"), text.without_venue(F.concat(F.lit("talk "), p, F.lit("Room 1")), F.lit("Room 1")).alias("title"), text.time_text(F.lit(" Mon 9:00   Room 1")).alias("time_text"))
+
+
+@query(
+    r"""SELECT conv_id, turn, '[needs_quote=true] {place_holder}' AS artifacts, CASE WHEN turn % 2 = 0 THEN 'Anna Meier' ELSE 'Max Muster' END AS names FROM conversations"""
+)
+def prose_patterns(spark, d):
+    prose = F.concat("text", F.lit(" {place_holder} [needs_quote=true] as "), F.when(F.col("turn") % 2 == 0, "presented by Anna Meier").otherwise("shown by Max Muster, engineer"))
+    return t(spark, d, "conversations").select("conv_id", "turn", F.array_join(text.template_artifacts(prose), " ").alias("artifacts"), F.array_join(text.person_names(prose), ", ").alias("names"))
+
+
+@query(
+    """WITH m AS (SELECT DISTINCT source AS cluster, 'talk ' || doc_id AS title, lang, n_chars FROM documents)
+SELECT cluster, md5('[' || string_agg('{"lang":"' || lang || '","n_chars":' || n_chars || '}', ',' ORDER BY title) || ']') AS payload FROM m GROUP BY 1"""
+)
+def cluster_payloads(spark, d):
+    m = t(spark, d, "documents").select(F.col("source").alias("cluster"), F.concat(F.lit("talk "), F.col("doc_id").cast("string")).alias("title"), "lang", "n_chars")
+    got = aggregates.cluster_payloads(m.select("cluster", "title"), m.select("title", "lang", "n_chars"), ["lang", "n_chars"])
+    return got.select("cluster", F.md5("payload").alias("payload"))
+
+
+@query("SELECT conv_id, least(3, count(*) FILTER (role = 'user'))::INTEGER AS n_quotes, string_agg(turn::VARCHAR, ',' ORDER BY turn) FILTER (role = 'user' AND k <= 3) AS turns FROM (SELECT *, row_number() OVER (PARTITION BY conv_id, role ORDER BY turn) AS k FROM conversations) GROUP BY conv_id HAVING count(*) FILTER (role = 'user') > 0")
+def quotes_to_find(spark, d):
+    c = t(spark, d, "conversations").select("conv_id", "turn", F.struct(F.col("turn").cast("string").alias("talk_title"), F.lit("c").alias("claim"), (F.col("role") == "user").alias("needs_quote")).alias("c"))
+    s = c.groupBy("conv_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("turn", "c"))), lambda r: r["c"]).alias("citations")).withColumn("section_type", F.lit("cluster_deep_dive"))
+    deep, _ = reports.enrichment_split(s)
+    return deep.select("conv_id", F.size("to_quote").alias("n_quotes"), F.array_join(F.transform("to_quote", lambda q: q["talk_title"]), ",").alias("turns"))
+
+
+@query("SELECT r.role, r.place, n_nationkey FROM nation, (VALUES ('Platform Engineers', 3), ('SREs & Operations', 3)) AS r(role, place) WHERE n_nationkey < 5 UNION ALL SELECT 'Security Leads', 2, n_nationkey FROM nation WHERE n_nationkey >= 20")
+def reading_guide(spark, d):
+    key = F.when(F.col("n_nationkey") < 5, "all_actions").when(F.col("n_nationkey") >= 20, "tensions").otherwise("none")
+    s = t(spark, d, "nation").select(F.concat(key, F.lit("_"), F.col("n_nationkey").cast("string")).alias("section_id"), F.col("n_nationkey").cast("string").alias("title"))
+    return reports.reading_guide(spark, s).select("role", "place", F.col("title").cast("int").alias("n_nationkey"))
+
+
+@query(
+    """SELECT conv_id, string_agg(CASE WHEN role = 'user' THEN role || ' (' || 'c' || turn || ')' ELSE role END, ', ' ORDER BY turn) AS speakers,
+  coalesce(array_to_string(list_sort(list_distinct(list('c' || turn) FILTER (role = 'user'))), ', '), '') AS companies FROM conversations GROUP BY 1"""
+)
+def speaker_texts(spark, d):
+    who = F.struct(F.col("role").alias("name"), F.when(F.col("role") == "user", F.concat(F.lit("c"), F.col("turn").cast("string"))).otherwise("").alias("company"))
+    s = t(spark, d, "conversations").groupBy("conv_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("turn", who.alias("w")))), lambda r: r["w"]).alias("speakers"))
+    return s.select("conv_id", text.speakers_text("speakers").alias("speakers"), text.companies_text("speakers").alias("companies"))
+
+
+@query("SELECT count(*) AS n, count(*) FILTER (event_type = 'error') AS failed, 2 * count(*) FILTER (event_type = 'error') > count(*) AS warn FROM events")
+def failure_share(spark, d):
+    return aggregates.failure_share(t(spark, d, "events").select(F.when(F.col("event_type") == "error", F.col("event_type")).alias("error")))
+
+
+@query(
+    """WITH m AS (SELECT p_brand AS technology, CASE p_size % 4 WHEN 0 THEN 'case_study' WHEN 1 THEN 'benchmarked' WHEN 2 THEN 'anecdotal' ELSE 'odd' END AS evidence_quality, p_partkey, p_type AS ring FROM part)
+SELECT technology, ring, evidence_quality FROM (SELECT *, row_number() OVER (PARTITION BY technology ORDER BY CASE evidence_quality WHEN 'benchmarked' THEN 3 WHEN 'case_study' THEN 2 WHEN 'anecdotal' THEN 1 ELSE 0 END DESC, p_partkey) AS n FROM m) WHERE n = 1"""
+)
+def maturity_best(spark, d):
+    k = F.col("p_size") % 4
+    eq = F.when(k == 0, "case_study").when(k == 1, "benchmarked").when(k == 2, "anecdotal").otherwise("odd")
+    m = t(spark, d, "part").select(F.col("p_brand").alias("technology"), eq.alias("evidence_quality"), F.col("p_partkey").alias("pos"), F.col("p_type").alias("ring"))
+    return aggregates.best_evidence(m).select("technology", "ring", "evidence_quality")
+
+
+@query(r"SELECT doc_id, regexp_replace('x' || chr(10) || chr(10) || '**Head ' || doc_id || '**  ' || chr(10) || 'y', '\n\n\*\*([^*]+)\*\*\s*\n', chr(10) || chr(10) || '### \1' || chr(10) || chr(10), 'g') AS page FROM documents")
+def promote_bold(spark, d):
+    return t(spark, d, "documents").select("doc_id", text.promote_bold(F.concat(F.lit("x\n\n**Head "), F.col("doc_id").cast("string"), F.lit("**  \ny"))).alias("page"))
+
+
+@query("SELECT event_id, (floor(epoch(ts))::BIGINT % 86400) + 0.25 AS secs FROM events")
+def stamps(spark, d):
+    return t(spark, d, "events").select("event_id", time.stamp(F.concat(F.date_format("ts", "HH:mm:ss"), F.lit(",250"))).alias("secs"))
+
+
+@query("SELECT user_id, event_id AS last_event FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS n FROM events) WHERE n = 1")
+def last_wins(spark, d):
+    e = t(spark, d, "events").withColumn("k", F.col("user_id").cast("string"))
+    return ordering.keep_last(e, F.col("k"), F.col("ts"), F.col("event_id")).select("user_id", F.col("event_id").alias("last_event"))
+
+
+@query(r"SELECT c_custkey, regexp_full_match(left(md5(c_name), 10 + (c_custkey % 2)::INTEGER), '[a-zA-Z0-9_-]{11}') AS valid FROM customer")
+def valid_video_ids(spark, d):
+    v = F.substring(F.md5("c_name"), F.lit(1), (10 + F.col("c_custkey") % 2).cast("int"))
+    return t(spark, d, "customer").select("c_custkey", text.valid_video_id(v).alias("valid"))
+
+
+@query("SELECT o_orderkey, o_custkey FROM orders WHERE NOT (o_totalprice > 0 AND o_totalprice < 100000)")
+def short_recordings(spark, d):
+    o = t(spark, d, "orders")
+    talks = o.select("o_orderkey", "o_custkey", F.lit("A talk").alias("title"), F.lit("t" * 100).alias("transcript"), F.col("o_totalprice").alias("duration_sec"))
+    return sessions.sections_of_interest(talks, 100000.0).select("o_orderkey", "o_custkey")
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN 't' || o_custkey || chr(10) || chr(10) || '[SLIDE-ALIGNED CONTENT]' || chr(10) || 'a' ELSE 't' || o_custkey || chr(10) || chr(10) || '[SLIDE CONTENT]' || chr(10) || 's' || chr(10) || chr(10) || '[SLIDE REFERENCES]' || chr(10) || 'u' || chr(10) || 'v' END AS prompt FROM orders")
+def prompt_texts(spark, d):
+    o = t(spark, d, "orders").select("o_orderkey", F.concat(F.lit("t"), F.col("o_custkey").cast("string")).alias("transcript"), F.when(F.col("o_orderkey") % 2 == 0, "a").otherwise("").alias("slide_aligned"), F.lit("s").alias("slide_text"), F.array(F.lit("u"), F.lit("v")).alias("slide_references"))
+    return o.select("o_orderkey", sessions.prompt_text().alias("prompt"))
+
+
+@query()
+def scrub_speakers(spark, d):
+    prose = F.concat("text", F.lit(" A tool presented by Max Muster, engineer at X and by Anna Meier."))
+    return t(spark, d, "conversations").select("conv_id", "turn", grounding.scrub_speakers(prose, F.array(F.lit("anna meier"), F.lit("meier"))).alias("prose"))
+
+
+@query()
+def reconcile_titles(spark, d):
+    titles = t(spark, d, "benchmark").select(F.col("text").alias("title"))
+    s = t(spark, d, "documents").select("doc_id", F.concat(F.lit("See **"), F.regexp_replace(F.substring("text", 1, 80), r"[*\n]", " "), F.lit("** now")).alias("prose"))
+    asked = s.select(F.col("doc_id").alias("id"), F.explode(grounding.title_candidates("prose")).alias("text")).select(F.struct("id", "text").alias("candidate_id"), "text")
+    real = matching.best_titles(asked, titles, strict=True).select(F.col("candidate_id.id").alias("doc_id"), F.struct(F.col("candidate_id.text").alias("k"), "title").alias("x"))
+    swaps = real.groupBy("doc_id").agg(F.map_from_entries(F.collect_set("x")).alias("swaps"))
+    return s.join(swaps, "doc_id", "left").select("doc_id", grounding.put_titles("prose", F.col("swaps")).alias("prose"))
+
+
+@query()
+def embed_hashed(spark, d):
+    from talkloom.plans.providers import embed
+
+    return embed(t(spark, d, "documents").select("doc_id", "text")).select("doc_id", F.size("embedding").alias("dims"))

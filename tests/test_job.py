@@ -166,3 +166,55 @@ def test_cli_reports_errors(capsys):
 
     assert main(["check"]) == 0 and "ffmpeg" in capsys.readouterr().out
     assert main(["clean", "--config", "/nonexistent/x.toml"]) == 1
+
+
+def test_patience():
+    import urllib.error
+
+    from talkloom.sources.rest import patient
+
+    calls, waited = [], []
+
+    def fetch(url):
+        calls.append(url)
+        if len(calls) < 3:
+            raise urllib.error.HTTPError(url, 429, "", None, None)
+        return "page"
+
+    assert patient(fetch, "u", (1, 2, 4), waited.append) == "page" and waited == [1, 2]
+
+    def gone(url):
+        raise urllib.error.HTTPError(url, 404, "", None, None)
+
+    with pytest.raises(urllib.error.HTTPError):
+        patient(gone, "u", (1,), waited.append)
+
+
+def test_site_and_api(spark, tmp_path):
+    import threading
+    from http.server import BaseHTTPRequestHandler, HTTPServer
+
+    from talkloom.plans.config import Conference, Config
+    from talkloom.sources.schedule import fetch_schedule
+
+    class Site(BaseHTTPRequestHandler):
+        def do_GET(self):
+            body = json.dumps([{"name": "From API", "speakers": [{"name": "A", "company": "C"}]}]) if "/api/" in self.path else DETAIL if "/event/" in self.path else LISTING
+            self.send_response(200)
+            self.end_headers()
+            self.wfile.write(body.encode())
+
+        def log_message(self, *args):
+            pass
+
+    server = HTTPServer(("127.0.0.1", 0), Site)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    url = f"http://127.0.0.1:{server.server_port}"
+    try:
+        scraped = steps.clean_schedule(fetch_schedule(spark, Config(Conference(schedule_url=url)))).collect()
+        assert [(r["title"], r["track"], r["abstract"]) for r in scraped] == [("A talk", "Ops", "First. Second.")]
+        called = steps.clean_schedule(fetch_schedule(spark, Config(Conference(schedule_url=url, sched_api_key="k")))).first()
+        assert called["title"] == "From API" and called["speakers"][0]["company"] == "C"
+    finally:
+        server.shutdown()
+    assert fetch_schedule(spark, Config()).count() == 0
