@@ -4,11 +4,12 @@ Vectors become integers. One more component, sqrt(M - |x|^2) with M the largest
 sphere, where the highest inner product is the smallest Euclidean distance: d(q, x)^2 = |q|^2 + M - 2 q.x.
 
 The tree has two routing levels. The upper nodes are pivots, fitted on a bounded sample of ``PIVOTS`` vectors; every
-row is indexed under its nearest pivot. Below, rows under one pivot are cut by their stored distance to it (the parent
-distance) into pages of at most ``PAGE`` vectors; a page keeps the least and greatest parent distance and its own
-centre and covering radius. A query searches the page of least bound first; that gives its k-th distance so far, and
-only pages whose bound does not exceed it are searched then. In a page, vectors whose parent distance differs from the
-query's by more than the k-th distance are skipped by the triangle inequality without computing theirs.
+row is indexed under its nearest pivot. Below, rows under one pivot are cut by their stored distance to it into pages of
+at most ``PAGE`` vectors. A page keeps the range of these distances, a routing vector of its own, the covering radius
+around that, and each vector's distance to both (the parent distances). A query searches the page of least bound first;
+that gives its k-th distance so far, and only pages whose range of distances to the pivot allows it are searched then. A
+page whose routing vector is farther than the k-th distance and the radius is left at once; in others, vectors whose
+parent distance differs from the query's by more than the k-th distance are skipped without computing theirs.
 """
 
 from __future__ import annotations
@@ -61,10 +62,25 @@ def _cells(table: pa.Table, dims: int, column: str) -> np.ndarray:
     return np.frombuffer(b"".join(table.column(column).to_pylist()), "<i8").reshape(-1, dims)
 
 
-def search_page(queries: np.ndarray, own: list, bound: np.ndarray, ids: np.ndarray, vectors: np.ndarray, parent: np.ndarray, pivot: np.ndarray, norm: int, k: int) -> list[tuple[int, int, int]]:
+class Page:
+    """Vectors, their distances to the pivot and to the page's routing vector, and the radius around that."""
+
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, to_pivot: np.ndarray, to_centre: np.ndarray, centre: int, radius: float):
+        self.ids, self.vectors, self.to_pivot, self.to_centre, self.centre, self.radius = ids, vectors, to_pivot, to_centre, centre, radius
+
+
+def routing(lifted: np.ndarray) -> tuple[int, np.ndarray]:
+    """The place of the vector nearest to the mean, and every vector's distance to it."""
+    centre = int(distances(lifted, lifted.mean(axis=0)[None])[:, 0].argmin())
+    return centre, distances(lifted, lifted[[centre]])[:, 0]
+
+
+def search_page(queries: np.ndarray, own: list, bound: np.ndarray, page: Page, pivot: np.ndarray, norm: int, k: int) -> list[tuple[int, int, int]]:
     """(query's place, vec_id, score) of at most k rows of the page for each query, none that is surely worse than its bound."""
     lifted = np.column_stack([queries, np.zeros(len(queries))])
-    to_pivot = distances(lifted, pivot[None])[:, 0]
+    from_pivot = distances(lifted, pivot[None])[:, 0]
+    from_centre = distances(lifted, lift(page.vectors[[page.centre]], norm))[:, 0]
+    ids, vectors = page.ids, page.vectors
     # Doubles hold the products exactly as long as none can exceed 2**53; they are far quicker than integers.
     largest = int(np.abs(vectors).max()) * int(np.abs(queries).max()) * vectors.shape[1]
     if largest < 1 << 53:
@@ -72,12 +88,14 @@ def search_page(queries: np.ndarray, own: list, bound: np.ndarray, ids: np.ndarr
     out = []
     for j, q in enumerate(queries):
         reach = bound[j] * (1 + EPS) + 1e-6
-        near = np.flatnonzero(np.abs(parent - to_pivot[j]) <= reach) if np.isfinite(reach) else np.arange(len(ids))
+        if from_centre[j] - page.radius > reach:
+            continue
+        allowed = np.abs(page.to_pivot - from_pivot[j]) <= reach
+        allowed &= np.abs(page.to_centre - from_centre[j]) <= reach
+        near = np.flatnonzero(allowed & (ids != own[j]))
         if not len(near):
             continue
         scores = vectors[near] @ q
-        mask = ids[near] != own[j]
-        near, scores = near[mask], scores[mask]
         if len(near) > 4 * k:  # everything tied with the k-th stays, so that ties go to the smaller id
             least = np.partition(scores, len(scores) - k)[len(scores) - k]
             near, scores = near[scores >= least], scores[scores >= least]
@@ -130,11 +148,13 @@ def top_k(rows: DataFrame, is_query, k: int = K, scale: int = SCALE, pivots: int
         def close(t: pa.Table) -> pa.RecordBatch:
             vectors = _cells(t, dims, "raw")
             parent = t.column("parent").to_numpy()
-            cells = [t.column("id").combine_chunks(), vectors, parent]
-            ids = pa.array([cells[0].to_pylist()], pa.list_(t.schema.field("id").type))
+            centre, inner = routing(lift(vectors, norm))
+            ids = pa.array([t.column("id").to_pylist()], pa.list_(t.schema.field("id").type))
+            raw = [pa.array([x.tobytes()], pa.binary()) for x in (vectors, parent, inner)]
+            ends = [pa.array([x], pa.float64()) for x in (parent.min(), parent.max(), inner.max())]
             return pa.RecordBatch.from_arrays(
-                [t.column("pivot").combine_chunks()[:1], pa.array([parent.min()]), pa.array([parent.max()]), ids, pa.array([vectors.tobytes()], pa.binary()), pa.array([parent.tobytes()], pa.binary())],
-                names=["pivot", "from_d", "to_d", "ids", "vectors", "parents"],
+                [t.column("pivot").combine_chunks()[:1], *ends, pa.array([centre], pa.int32()), ids, *raw],
+                names=["pivot", "from_d", "to_d", "radius", "centre", "ids", "vectors", "parents", "inner"],
             )
 
         def ready(t: pa.Table, all_of_it: bool) -> Iterator[pa.Table]:
@@ -162,7 +182,7 @@ def top_k(rows: DataFrame, is_query, k: int = K, scale: int = SCALE, pivots: int
     parts = max(1, math.ceil(n / (2 * page)))
     placed = used.select("id", "raw").mapInArrow(assign, f"id {kind}, raw binary, pivot int, parent double")
     placed = placed.repartitionByRange(parts, "pivot", "parent", "id").sortWithinPartitions("pivot", "parent", "id")
-    pages = placed.mapInArrow(paged, f"pivot int, from_d double, to_d double, ids array<{kind}>, vectors binary, parents binary")
+    pages = placed.mapInArrow(paged, f"pivot int, from_d double, to_d double, radius double, centre int, ids array<{kind}>, vectors binary, parents binary, inner binary")
     pages = cut(pages.withColumn("page", F.monotonically_increasing_id()), "pages")
     catalog = cut(pages.select("page", "pivot", "from_d", "to_d"), "catalog")
 
@@ -192,10 +212,10 @@ def top_k(rows: DataFrame, is_query, k: int = K, scale: int = SCALE, pivots: int
             q = _cells(right, dims, "query")
             own, limit = right.column("query_id").to_pylist(), right.column("limit").to_numpy()
             for i in range(left.num_rows):
-                vectors = np.frombuffer(left.column("vectors")[i].as_py(), "<i8").reshape(-1, dims)
-                parent = np.frombuffer(left.column("parents")[i].as_py(), np.float64)
-                ids = np.array(left.column("ids")[i].as_py())
-                out += [(own[j], x, s) for j, x, s in search_page(q, own, limit, ids, vectors, parent, centres[left.column("pivot")[i].as_py()], norm, k)]
+                at = {c: left.column(c)[i].as_py() for c in ("pivot", "radius", "centre", "ids", "vectors", "parents", "inner")}
+                vectors = np.frombuffer(at["vectors"], "<i8").reshape(-1, dims)
+                page_of = Page(np.array(at["ids"]), vectors, np.frombuffer(at["parents"]), np.frombuffer(at["inner"]), at["centre"], at["radius"])
+                out += [(own[j], x, s) for j, x, s in search_page(q, own, limit, page_of, centres[at["pivot"]], norm, k)]
         t = right.schema.field("query_id").type
         return pa.table([pa.array([o[0] for o in out], t), pa.array([o[1] for o in out], t), pa.array([o[2] for o in out], pa.int64())], names=["query_id", "vec_id", "score"])
 
