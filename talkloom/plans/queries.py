@@ -617,7 +617,7 @@ def promote_bold(spark, d):
     return t(spark, d, "documents").select("doc_id", text.promote_bold(F.concat(F.lit("x\n\n**Head "), F.col("doc_id").cast("string"), F.lit("**  \ny"))).alias("page"))
 
 
-@query("SELECT event_id, (floor(epoch(ts))::BIGINT % 86400) + 0.25 AS secs FROM events")
+@query("SELECT event_id, (floor(epoch(ts))::BIGINT % 86400) + 0.25::DOUBLE AS secs FROM events")
 def stamps(spark, d):
     return t(spark, d, "events").select("event_id", time.stamp(F.concat(F.date_format("ts", "HH:mm:ss"), F.lit(",250"))).alias("secs"))
 
