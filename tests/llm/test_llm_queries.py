@@ -1,5 +1,6 @@
 """The queries of the training-data operators: against SQL, against brute force, or by held-out accuracy."""
 
+import os
 import re
 import zlib
 
@@ -93,13 +94,18 @@ def test_op6_takes_its_targets(spark, sf_dir):
     assert abs(got["taken"].sum() - 1.5 * got["size"].sum()) < 40
 
 
-def test_op8_held_out_accuracy(spark, sf_dir, duck):
-    labels = dict(read(duck, "SELECT doc_id, quality FROM labels"))
-    rows = QUERIES["op8_quality_classifier"](spark, sf_dir).collect()
+def test_op8_held_out_accuracy(spark, sf_dir):
+    import duckdb
+
+    # The smallest tables hold out some twenty labels, of which too few are 0 to tell an accuracy by.
+    larger = f"{os.path.dirname(sf_dir)}/sf0.01"
+    labels = dict(duckdb.sql(f"SELECT doc_id, quality FROM '{larger}/labels.parquet'").fetchall())
+    rows = QUERIES["op8_quality_classifier"](spark, larger).collect()
     assert all(r["held_out"] == (held(r["doc_id"], 5) == 0) for r in rows)
     assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.3) for r in rows)
     test = [(r["predicted"], labels[r["doc_id"]]) for r in rows if r["held_out"] and r["doc_id"] in labels]
-    assert np.mean([p == y for p, y in test]) >= 0.9
+    assert np.mean([p == y for p, y in test]) >= 0.95
+    assert np.mean([p for p, y in test if y == 0]) <= 0.2
 
 
 def test_op9_held_out_accuracy(spark, sf_dir, duck):
