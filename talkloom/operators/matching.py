@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from difflib import SequenceMatcher
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -42,50 +43,65 @@ def common_length(masks: dict[str, int], n: int, b: str) -> int:
     return n - s.bit_count()
 
 
+def common_bounds(a: list[str], b: list[str]) -> np.ndarray:
+    """For each pair no less than the length of its longest common subsequence: exact but for characters taken as one (they
+    agree in their low byte). All pairs advance together, a character at a time; strings of ``a`` over 63 characters go alone."""
+    out = np.array([min(len(x), len(y)) for x, y in zip(a, b)], np.int64)
+    short = np.flatnonzero(np.array([len(x) <= 63 for x in a], bool))
+    for i in np.setdiff1d(np.arange(len(a)), short):
+        out[i] = common_length(masks_of(a[i]), len(a[i]), b[i])
+    names = {x: i for i, x in enumerate(dict.fromkeys(a[i] for i in short))}
+    table = np.zeros((len(names), 256), np.uint64)
+    for x, i in names.items():
+        for j, c in enumerate(x):
+            table[i, ord(c) & 255] |= np.uint64(1 << j)
+    if len(short):
+        row = np.array([names[a[i]] for i in short])
+        texts = np.array([b[i] for i in short])
+        codes = (texts.view(np.uint32).reshape(len(short), -1) & np.uint32(255)).astype(np.intp)
+        n = np.array([len(a[i]) for i in short], np.uint64)
+        every = (np.uint64(1) << n) - np.uint64(1)
+        s = every.copy()
+        for j in range(codes.shape[1]):
+            u = s & table[row, codes[:, j]]
+            s = ((s + u) | (s - u)) & every
+        out[short] = np.minimum(out[short], n.astype(np.int64) - np.bitwise_count(s))
+    return out
+
+
 def _ratio_above(threshold: float):
     @F.pandas_udf(T.DoubleType())
     def ratios(a: pd.Series, b: pd.Series) -> pd.Series:
-        seen: dict[str, dict[str, int]] = {}
-        out = []
-        for x, y in zip(a, b):
-            masks = seen.get(x)
-            if masks is None:
-                masks = seen[x] = masks_of(x)
-            # Matching blocks are a common subsequence, so its length bounds the ratio from above.
-            if 2 * common_length(masks, len(x), y) <= threshold * (len(x) + len(y)):
-                out.append(None)
-            else:
-                out.append(SequenceMatcher(None, x, y).ratio())
-        return pd.Series(out, dtype="float64")
-
-    return ratios
+        a, b = a.tolist(), b.tolist()
+        out = np.full(len(a), np.nan)
+        # Matching blocks are a common subsequence, so its length bounds the ratio from above.
+        both = np.array([len(x) + len(y) for x, y in zip(a, b)])
+        for i in np.flatnonzero(2 * common_bounds(a, b) > threshold * both):
+            out[i] = SequenceMatcher(None, a[i], b[i]).ratio()
+        return pd.Series(out)
+
+    # Marked so that the filter on the score is not pushed below it, which would compute every ratio twice.
+    return ratios.asNondeterministic()
 
 
 def similar_pairs(left: DataFrame, right: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(left_id, right_id, score) of all pairs of titles above the threshold; columns id and title on both sides.
 
-    A pair above the threshold t shares at least t/2 * (la + lb) characters, so its lengths, its counts of each character
-    and its longest common subsequence must allow it. Pairs meet by an equi-join on length classes, not by a product of
-    the tables: lengths of such a pair differ by at most the factor (2 - t) / t. Counts are taken once a title and
-    compared in generated code; only the survivors reach Python.
+    A pair above the threshold t has a common subsequence of at least t/2 * (la + lb) characters, so its lengths and that
+    subsequence must allow it. Pairs meet by an equi-join on length classes, not by a product of the tables: lengths of
+    such a pair differ by at most the factor (2 - t) / t. Python bounds whole batches and takes the ratio of what is left.
     """
-    letters = "abcdefghijklmnopqrstuvwxyz0123456789 "
     step = F.log(F.lit((2 - threshold) / threshold))
-
-    def side(df: DataFrame, name: str) -> DataFrame:
-        x = F.lower("title")
-        counts = [(F.length(x) - F.length(F.replace(x, F.lit(c), F.lit("")))).alias(f"{name}{i}") for i, c in enumerate(letters)]
-        rest = F.length(F.regexp_replace(x, "[a-z0-9 ]", "")).alias(f"{name}{len(letters)}")
-        return df.select(F.col("id").alias(f"{name}_id"), x.alias(name), *counts, rest).where(f"{name} <> ''")
-
+    side = lambda df, name: df.select(F.col("id").alias(f"{name}_id"), F.lower("title").alias(name)).where(f"{name} <> ''")
     a = side(left, "a").withColumn("class", F.floor(F.log(F.length("a")) / step))
     near = F.floor(F.log(F.length("b")) / step)
     b = side(right, "b").withColumn("class", F.explode(F.array(near - 1, near, near + 1)))
     both = F.length("a") + F.length("b")
-    pairs = a.join(b, "class").where(2 * F.least(F.length("a"), F.length("b")) > threshold * both)
-    shared = sum((F.least(f"a{i}", f"b{i}") for i in range(len(letters) + 1)), F.lit(0))
-    pairs = pairs.where(2 * shared > threshold * both).select("a_id", "b_id", "a", "b")
-    pairs = pairs.withColumn("score", _ratio_above(threshold)("a", "b")).where(F.col("score") > threshold)
+    pairs = a.join(b, "class").where(2 * F.least(F.length("a"), F.length("b")) > threshold * both).select("a_id", "b_id", "a", "b")
+    # Most titles have about one length: without this the pairs, which cost by far the most, stay with a few classes.
+    tasks = max(int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")), left.sparkSession.sparkContext.defaultParallelism)
+    pairs = pairs.repartition(tasks).withColumn("score", _ratio_above(threshold)("a", "b"))
+    pairs = pairs.where((F.col("score") > threshold) & ~F.isnan("score"))
     return pairs.select(F.col("a_id").alias("left_id"), F.col("b_id").alias("right_id"), "score")
 
 
@@ -96,7 +112,9 @@ def assign(candidates: DataFrame, left_pos: str = "left_id", right_pos: str = "r
     cannot affect each other, so a task holds one cluster of alike titles and no more.
     """
     from talkloom.operators.components import components
+    from talkloom.sources.artifacts import checkpointed
 
+    candidates = checkpointed(candidates)  # used twice below, and costly
     tagged = candidates.withColumn("l", F.concat(F.lit("l"), F.col("left_id").cast("string"))).withColumn("r", F.concat(F.lit("r"), F.col("right_id").cast("string")))
     member = components(tagged, "l", "r")
     grouped = tagged.join(member, F.col("l") == F.col("node")).select("root", "left_id", "right_id", "score")
