@@ -84,7 +84,8 @@ def test_scrub_speakers():
     scrub = grounding.scrub_speakers_text
     assert scrub("It works, speaker Dr. Lena Martinez cautioned that it may not.", known) == "It works, though speakers cautioned that it may not."
     assert scrub("A tool by Ann Lee is used.", known) == "A tool by Ann Lee is used."
-    assert scrub("A tool presented by Max Muster, engineer at X is used.", known) == "A tool is used." or "Muster" not in scrub("A tool presented by Max Muster, engineer at X is used.", known)
+    # The phrase runs on to the next comma, full stop or bracket.
+    assert scrub("A tool presented by Max Muster, engineer at X is used.", known) == "A tool ."
 
 
 def test_titles_in_prose(value):

@@ -107,7 +107,7 @@ def test_video_ids(spark):
 def test_transcript_shaping(spark):
     raw = spark.createDataFrame([("v", "t", [(("00:00:01,500", "00:00:02.250"), " hi ")], ("en",))], "video_id string, title string, transcription array<struct<timestamps:struct<`from`:string,`to`:string>,text:string>>, result struct<language:string>")
     got = transcripts.from_cli(raw).first()
-    assert (got["duration_sec"], got["full_text"], got["segments"][0]["start"]) == (2.3, "hi", 1.5) or got["duration_sec"] == 2.2
+    assert (got["duration_sec"], got["full_text"], got["segments"][0]["start"]) == (2.2, "hi", 1.5)  # ties go to the even digit
     named = transcripts.label_speakers(spark.createDataFrame([("v", "t", [(0.0, 1.0, "a", "S9"), (1.0, 2.0, "b", "S2")])], "video_id string, title string, segments array<struct<start:double,end:double,text:string,speaker:string>>")).first()
     assert [s["speaker"] for s in named["segments"]] == ["Speaker 2", "Speaker 1"]
 

@@ -24,7 +24,7 @@ def make_sessions(spark):
 def test_clean_and_dedup(spark):
     got = sessions.dedup(sessions.normalize(make_sessions(spark)))
     assert rows(got.orderBy("_pos"), "title") == [("Kubernetes at scale",), ("Tracing with OpenTelemetry - Ann Lee",), ("Something else entirely",)]
-    assert rows(sessions.dedup(got), "title").sort() == rows(got, "title").sort()
+    assert sorted(rows(sessions.dedup(got), "title")) == sorted(rows(got, "title"))
 
 
 def test_coerce_accepts_all_encodings(spark):
@@ -77,7 +77,8 @@ def test_frames_keep_first(spark):
     a = 0
     b, c = a ^ 0b111111, a ^ 0b111111111111  # 6 from a; c is 6 from b and 12 from a
     df = spark.createDataFrame([("v", 0, a), ("v", 1, b), ("v", 2, c), ("v", 3, a ^ 0b1111111), ("w", 0, a)], "video_id string, index int, dhash long")
-    assert sorted(rows(hashes.dedup_frames(df), "video_id", "index")) == [("v", 0), ("v", 2), ("v", 3), ("w", 0)] or sorted(rows(hashes.dedup_frames(df), "video_id", "index")) == [("v", 0), ("v", 2), ("w", 0)]
+    # The last frame of v is 7 bits from the first but 5 from the third, which was kept.
+    assert sorted(rows(hashes.dedup_frames(df), "video_id", "index")) == [("v", 0), ("v", 2), ("w", 0)]
 
 
 def test_presence_counts_slots(spark):
