@@ -10,7 +10,8 @@ to x, so comparing those at home at an anchor with all that reached it loses no
 
 Anchors with more members than ``CELL`` are dealt into a grid of cells; each cell compares one slice of the
 fingerprints at home with one slice of all. Cells emit a spanning set of links for each group that they connect,
-never all pairs.
+never all pairs. Where a link counts only once it is verified, a spanning set could be spanned by links that fail; there
+cells emit their groups as blocks of nodes instead, and links span a block only over pairs that pass.
 """
 
 from __future__ import annotations
@@ -112,11 +113,11 @@ def _replicate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 MEMBER, BOTH, HOME = 0, 1, 2
 
 
-def link_group(fps: np.ndarray, nodes: np.ndarray, role: np.ndarray, threshold: int = THRESHOLD) -> list[tuple[int, int]]:
-    """Links (node, node) within the threshold that connect whatever links connect in the group, and no more of them."""
+def _span(fps: np.ndarray, nodes: np.ndarray, role: np.ndarray, threshold: int = THRESHOLD) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int]]]:
+    """The group's nodes, a label for each that is equal where links connect them, and the links that do so."""
     names, first, at = np.unique(nodes, return_index=True, return_inverse=True)
     if len(names) < 2:
-        return []
+        return names, np.arange(len(names)), []
     own = fps[first]
     homes, others = np.unique(at[role >= BOTH]), np.unique(at[role <= BOTH])
     there, label, out = own[others], np.arange(len(names)), []
@@ -129,11 +130,30 @@ def link_group(fps: np.ndarray, nodes: np.ndarray, role: np.ndarray, threshold:
             out += [(int(names[others[close[i]]]), int(names[h])) for i in which]
             met = np.append(met, label[h])
             label[np.isin(label, met)] = met.min()
-    return out
+    return names, label, out
+
+
+def link_group(fps: np.ndarray, nodes: np.ndarray, role: np.ndarray, threshold: int = THRESHOLD) -> list[tuple[int, int]]:
+    """Links (node, node) within the threshold that connect whatever links connect in the group, and no more of them."""
+    return _span(fps, nodes, role, threshold)[2]
+
+
+def block_group(fps: np.ndarray, nodes: np.ndarray, role: np.ndarray, threshold: int = THRESHOLD) -> list[tuple[int, int]]:
+    """(block, node) for each node that the group links to another; a block is named by its nodes, so equal ones of other groups are one."""
+    names, label, out = _span(fps, nodes, role, threshold)
+    if not out:
+        return []
+    order = np.argsort(label, kind="stable")
+    found = []
+    for mine in np.split(names[order], np.flatnonzero(np.diff(label[order])) + 1):
+        if len(mine) > 1:
+            block = int(np.uint64(xxhash.xxh64_intdigest(mine.tobytes(), SEED)).view(np.int64))
+            found += [(block, int(x)) for x in mine]
+    return found
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by (anchor, cell); groups may run over from one batch to the next."""
+    """Rows come sorted by (anchor, cell); groups may run over from one batch to the next. Table 0 gives links, others (block, node)."""
 
     def links(anchor: np.ndarray, cell: np.ndarray, fps: np.ndarray, nodes: np.ndarray, role: np.ndarray) -> pa.RecordBatch:
         first = np.flatnonzero(np.r_[True, (anchor[1:] != anchor[:-1]) | (cell[1:] != cell[:-1])]) if len(anchor) else np.zeros(0, int)
@@ -141,7 +161,8 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found, table = [], []
         for i, n in zip(first[size > 1], size[size > 1]):
             if (role[i : i + n] >= BOTH).any():
-                found += link_group(fps[i : i + n], nodes[i : i + n], role[i : i + n])
+                group = block_group if int(anchor[i]) >> 33 else link_group
+                found += group(fps[i : i + n], nodes[i : i + n], role[i : i + n])
                 table += [int(anchor[i]) >> 33] * (len(found) - len(table))
         pairs = np.array(found, dtype=np.int64).reshape(-1, 2)
         return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), pa.array(table, pa.int32())], names=["u", "v", "table"])
@@ -162,7 +183,10 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def link_nodes(sketches: DataFrame, cell: int = CELL) -> DataFrame:
-    """Links (u, v, table) of rows (node, fps): enough of them to connect all nodes that a table's fingerprints link."""
+    """Of rows (node, fps), with table 0: links (u, v), enough of them to connect all nodes that the first fingerprints link.
+
+    With another table: nodes v of blocks u. Two nodes that a fingerprint of such a table links have a block in common.
+    """
     spread = sketches.select("node", "fps").mapInArrow(_replicate, "anchor long, fp long, node long, role byte")
     hot = cut(spread.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > cell), "hot_anchors")
     k = F.ceil(F.col("n") * 2 / cell).cast("int")
@@ -250,6 +274,27 @@ def estimated(a: bytes, b: bytes) -> float:
     return float((x == y)[some].mean()) if some.any() else 1.0
 
 
+def verified_links(nodes: np.ndarray, fps: np.ndarray, slots: np.ndarray, least: float, threshold: int = THRESHOLD) -> list[tuple[int, int]]:
+    """Of a block: links that connect whatever is connected by pairs of which a word-set fingerprint is within the threshold
+    and the estimated similarity at least ``least``. fps: a row of fingerprints for each node; slots: its sketch."""
+    label, filled, out = np.arange(len(nodes)), slots != EMPTY, []
+    for h in range(len(nodes) - 1):
+        rest = h + 1 + np.flatnonzero(label[h + 1 :] != label[h])
+        rest = rest[(np.bitwise_count(fps[rest] ^ fps[h]) <= threshold).any(axis=1)]
+        for start in range(0, len(rest), 1024):
+            close = rest[start : start + 1024]
+            some = filled[close] | filled[h]
+            of = some.sum(axis=1)
+            same = ((slots[close] == slots[h]) & some).sum(axis=1)
+            close = close[np.where(of > 0, same / np.maximum(of, 1), 1.0) >= least]
+            if len(close):
+                met, which = np.unique(label[close], return_index=True)
+                out += [(int(nodes[close[i]]), int(nodes[h])) for i in which]
+                met = np.append(met, label[h])
+                label[np.isin(label, met)] = met.min()
+    return out
+
+
 def similar_groups(docs: DataFrame, tables: int = TABLES, least: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id and component_id for each row of docs, as near_duplicates gives them, with more links.
 
@@ -269,15 +314,37 @@ def similar_groups(docs: DataFrame, tables: int = TABLES, least: float = SIMILAR
     signed = cut(docs.select(id_col, text_col).mapInArrow(each, f"`{id_col}` {kind}, node long, fps array<long>, slots binary"), "sketches")
     # Sketches are a function of the node: any row's will do, and copies are combined before the shuffle.
     nodes = cut(signed.groupBy("node").agg(F.min(id_col).alias("least"), F.first("fps").alias("fps"), F.first("slots").alias("slots")), "nodes")
-    links = cut(link_nodes(nodes).groupBy("u", "v").agg(F.min("table").alias("table")), "links")
+    found = cut(link_nodes(nodes).withColumn("table", F.least("table", F.lit(1))).distinct(), "links")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows come sorted by block; blocks may run over from one batch to the next."""
+
+        def links(block: np.ndarray, node: np.ndarray, fps: np.ndarray, slots: np.ndarray) -> pa.RecordBatch:
+            first = np.flatnonzero(np.r_[True, block[1:] != block[:-1]]) if len(block) else np.zeros(0, int)
+            pairs = []
+            for i, j in zip(first, np.r_[first[1:], len(block)]):
+                pairs += verified_links(node[i:j], fps[i:j], slots[i:j], least)
+            pairs = np.array(pairs, dtype=np.int64).reshape(-1, 2)
+            return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["u", "v"])
+
+        held: tuple = ()
         for batch in batches:
-            ok = [estimated(a, b) >= least for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
-            yield batch.select(["u", "v"]).filter(pa.array(ok, pa.bool_()))
+            if not batch.num_rows:
+                continue
+            fps = batch.column(2).flatten().to_numpy(zero_copy_only=False).view(np.uint64).reshape(batch.num_rows, -1)
+            slots = np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint16).reshape(batch.num_rows, SLOTS)
+            rows = [batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_numpy(zero_copy_only=False), fps[:, 1:], slots]
+            if held:
+                rows = [np.concatenate(x) for x in zip(held, rows)]
+            rest = int(np.argmax(rows[0] == rows[0][-1]))
+            yield links(*(x[:rest] for x in rows))
+            held = tuple(x[rest:].copy() for x in rows)
+        if held:
+            yield links(*held)
 
-    open_ = links.where("table > 0").join(nodes.select(F.col("node").alias("u"), F.col("slots").alias("a")), "u").join(nodes.select(F.col("node").alias("v"), F.col("slots").alias("b")), "v")
-    sure = open_.select("u", "v", "a", "b").mapInArrow(verify, "u long, v long").unionByName(links.where("table = 0").select("u", "v"))
+    blocks = found.where("table = 1").select(F.col("u").alias("block"), F.col("v").alias("node")).join(nodes.select("node", "fps", "slots"), "node")
+    in_order = blocks.select("block", "node", "fps", "slots").repartition("block").sortWithinPartitions("block", "node")
+    sure = in_order.mapInArrow(verify, "u long, v long").unionByName(found.where("table = 0").select("u", "v"))
     member = connected_components(sure)
     linked = cut(nodes.select("node", "least").join(member, "node").select("node", "root", "least"), "linked")
     component = linked.join(linked.groupBy("root").agg(F.min("least").alias("component")), "root").select("node", "component")

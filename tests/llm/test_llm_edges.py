@@ -151,6 +151,31 @@ def test_sketch_estimates_similarity():
     assert simhash.sketch(None)[1] == [0] * 5 and simhash.estimated(simhash.sketch(None)[2], simhash.sketch(b"")[2]) == 1.0
 
 
+def test_copies_that_are_like_their_base_only_are_all_linked(spark):
+    """Same words in another order: the word-set fingerprints of all are equal, but two copies are less alike than either and the base."""
+    rng = np.random.default_rng(5)
+    base = [f"w{i}" for i in range(400)]
+    rows = [(0, " ".join(base), "en", "a")]
+    for n in range(1, 41):
+        words = base.copy()
+        for i in rng.choice(39, 3, replace=False) * 10 + 5:
+            words[i], words[(i + 200) % 400] = words[(i + 200) % 400], words[i]
+        rows.append((n, " ".join(words), "en", "a"))
+    sketches = [simhash.sketch(r[1].encode()) for r in rows]
+    bits = lambda x, y: [(p ^ q).bit_count() for p, q in zip(x[1], y[1])]
+    comp, apart = list(range(len(rows))), 0
+    for i, x in enumerate(sketches):
+        for j, y in enumerate(sketches[:i]):
+            near, alike = bits(x, y), simhash.estimated(x[2], y[2]) >= simhash.SIMILARITY
+            apart += not alike
+            if near[0] <= 3 or min(near[1:]) <= 3 and alike:
+                comp = [min(comp[i], comp[j]) if c in (comp[i], comp[j]) else c for c in comp]
+    assert apart > 400 and comp.count(0) > 30
+    got = {r["doc_id"]: r["component_id"] for r in simhash.similar_groups(docs(spark, rows)).collect()}
+    assert got == dict(enumerate(comp))
+    assert sorted(r["doc_id"] for r in simhash.keep_one(docs(spark, rows)).collect()) == sorted(set(comp))
+
+
 def test_url_parts(spark):
     urls = [None, "", "no scheme", "HTTP://A.Net", "x://a.net/p?q#f", "http://a.net?x=/y", "a://b://c/d", "http://éx.net/ü\n/z#", "http://notnet/", "https://example.net/en/x", "https://EXAMPLE.NET/de"]
     df = spark.createDataFrame([(i, u, "v", "r") for i, u in enumerate(urls)], "page_id long, url string, verdict string, rule string")
