@@ -76,6 +76,24 @@ def actions_by_urgency(actions: DataFrame) -> DataFrame:
     return rows.orderBy(place, "urgency")
 
 
+def actions_in_order(actions: DataFrame) -> DataFrame:
+    """(urgency, place, pos, action, category, source_cluster): the actions of actions_by_urgency as rows; place counts from 1 within an urgency.
+
+    Ordered parts are numbered apart and begin where those before them end, so no task holds an urgency.
+    """
+    from talkloom.sources.artifacts import checkpointed
+
+    order = ["pos", "action", "category", "source_cluster"]
+    rows = actions.select(F.coalesce(F.nullif("urgency", F.lit("")), F.lit("immediate")).alias("urgency"), *order)
+    rows = checkpointed(rows.repartitionByRange("urgency", *order).withColumn("__part", F.spark_partition_id()))
+    sizes = rows.groupBy("urgency", "__part").agg(F.count("*").alias("n"))
+    before = Window.partitionBy("urgency").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    begins = sizes.select("urgency", "__part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("begin"))
+    inside = Window.partitionBy("urgency", "__part").orderBy(*order)
+    placed = rows.withColumn("__nth", F.row_number().over(inside)).join(begins, ["urgency", "__part"])
+    return placed.select("urgency", (F.col("begin") + F.col("__nth")).alias("place"), *order)
+
+
 def distinct_percentages(*texts: DataFrame) -> DataFrame:
     """(percentage) over tables with a column text."""
     out = None

@@ -335,6 +335,15 @@ def group_actions(spark, d):
     return aggregates.actions_by_urgency(a).select("urgency", F.size("actions").alias("n"), F.md5(F.array_join(F.transform("actions", lambda x: x["action"]), ",")).alias("digest"))
 
 
+@query(
+    """SELECT CASE WHEN o_orderpriority = '5-LOW' THEN 'immediate' ELSE o_orderpriority END AS urgency, row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderkey) AS place,
+  o_orderkey::VARCHAR AS action FROM orders"""
+)
+def group_all_actions(spark, d):
+    a = t(spark, d, "orders").select(F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderpriority")).alias("urgency"), F.col("o_orderkey").alias("pos"), F.col("o_orderkey").cast("string").alias("action"), F.lit("watch").alias("category"), F.lit("").alias("source_cluster"))
+    return aggregates.actions_in_order(a).select("urgency", "place", "action")
+
+
 @query("SELECT 'role' || n_nationkey AS role, count(*) AS talk_count FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 15")
 def stakeholder_top(spark, d):
     c = t(spark, d, "customer").join(F.broadcast(t(spark, d, "nation")), F.col("c_nationkey") == F.col("n_nationkey"))
