@@ -441,6 +441,16 @@ def knn_join(spark, d):
     return retrieval.nearest_each(claims, e.select("vec_id", "embedding"), 8, id_col="vec_id").select("claim_id", "nth", "vec_id")
 
 
+@query(
+    """WITH c AS (SELECT vec_id AS claim_id, embedding::DOUBLE[] AS q FROM embeddings WHERE vec_id % 20 = 0)
+SELECT claim_id, nth, vec_id FROM (SELECT claim_id, vec_id, row_number() OVER (PARTITION BY claim_id ORDER BY 1 - list_cosine_similarity(embedding::DOUBLE[], q), vec_id)::INTEGER AS nth FROM embeddings, c) WHERE nth <= 8"""
+)
+def knn_join_twentieth(spark, d):
+    e = t(spark, d, "embeddings")
+    claims = e.where("vec_id % 20 = 0").select(F.col("vec_id").alias("claim_id"), F.col("embedding").alias("claim_embedding"))
+    return retrieval.nearest_each(claims, e.select("vec_id", "embedding"), 8, id_col="vec_id").select("claim_id", "nth", "vec_id")
+
+
 @query(
     f"""WITH h AS (SELECT vec_id, label, {_DIST} AS distance FROM embeddings ORDER BY 3, 1 LIMIT 15),
 n AS (SELECT *, row_number() OVER (ORDER BY distance, 'v:' || vec_id) AS n FROM h)

@@ -20,3 +20,9 @@ def test_actions_in_order_are_those_of_the_arrays(spark):
     key = lambda r: tuple(r[:2])
     assert sorted(map(tuple, aggregates.actions_in_order(df).collect()), key=key) == sorted(want, key=key)
     assert aggregates.actions_in_order(df.limit(0)).count() == 0
+
+
+def test_every_twentieth_vector_is_a_claim(spark, sf_dir):
+    ids = {r[0] for r in spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id").collect()}
+    got = QUERIES["knn_join_twentieth"](spark, sf_dir).collect()
+    assert {r["claim_id"] for r in got} == {i for i in ids if i % 20 == 0} and len(got) == 8 * len({r["claim_id"] for r in got})
