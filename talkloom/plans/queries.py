@@ -529,6 +529,27 @@ def appendix(spark, d):
     return reports.appendix(talks, ranking, ranking.limit(0)).select("title", "cluster")
 
 
+@query(
+    """WITH r AS (SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS j FROM orders),
+w AS (SELECT o_custkey AS i, j, CASE WHEN o_orderkey % 7 < 4 THEN 'seg ' ELSE 'lost ' END || (o_orderkey % 7) || ' of ' || o_custkey AS wanted FROM r WHERE j <= 3),
+k AS (SELECT *, row_number() OVER (PARTITION BY wanted ORDER BY i, j) AS n FROM w),
+titles AS (SELECT DISTINCT 'seg ' || (o_orderkey % 7) || ' of ' || o_custkey AS title FROM orders)
+SELECT wanted AS title, 'cluster ' || i AS cluster FROM k JOIN titles ON title = wanted WHERE n = 1"""
+)
+def appendix_of_all(spark, d):
+    from pyspark.sql import Window
+
+    o = t(spark, d, "orders")
+    rest = F.concat((F.col("o_orderkey") % 7).cast("string"), F.lit(" of "), F.col("o_custkey").cast("string"))
+    wanted = F.concat(F.when(F.col("o_orderkey") % 7 < 4, "seg ").otherwise("lost "), rest)
+    best = o.withColumn("j", F.row_number().over(Window.partitionBy("o_custkey").orderBy(F.desc("o_totalprice"), "o_orderkey"))).where("j <= 3")
+    ranking = best.groupBy("o_custkey").agg(F.transform(F.array_sort(F.collect_list(F.struct("j", wanted.alias("w")))), lambda x: x["w"]).alias("recommended_talks"))
+    ranking = ranking.select(F.col("o_custkey").alias("rank"), F.concat(F.lit("cluster "), F.col("o_custkey").cast("string")).alias("name"), "recommended_talks")
+    none = F.array().cast("array<string>")
+    talks = o.select(F.concat(F.lit("seg "), rest).alias("title"), F.col("o_orderkey").alias("_pos"), F.lit("s").alias("summary"), none.alias("key_takeaways"), F.lit("").alias("evidence_quality"), F.lit("").alias("speaker_perspective"), none.alias("tools_and_projects"))
+    return reports.appendix(talks, ranking, ranking.limit(0)).select("title", "cluster")
+
+
 @query("SELECT p_name AS name, p_retailprice / 10000 AS relevance_score, CASE WHEN p_retailprice / 10000 >= 0.7 THEN 'cluster_deep_dive' WHEN p_retailprice / 10000 >= 0.4 THEN 'cluster_brief' END AS tier FROM part")
 def cluster_relevance(spark, d):
     return reports.cluster_relevance(t(spark, d, "part").select(F.col("p_name").alias("name"), (F.col("p_retailprice") / 10000).alias("relevance_score")))

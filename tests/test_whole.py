@@ -26,3 +26,12 @@ def test_every_twentieth_vector_is_a_claim(spark, sf_dir):
     ids = {r[0] for r in spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id").collect()}
     got = QUERIES["knn_join_twentieth"](spark, sf_dir).collect()
     assert {r["claim_id"] for r in got} == {i for i in ids if i % 20 == 0} and len(got) == 8 * len({r["claim_id"] for r in got})
+
+
+def test_appendix_of_all_has_every_customer(spark, sf_dir):
+    by_customer = {}
+    for r in spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_custkey", "o_totalprice", "o_orderkey").collect():
+        by_customer.setdefault(r["o_custkey"], []).append((-r["o_totalprice"], r["o_orderkey"]))
+    want = {(f"seg {k % 7} of {c}", f"cluster {c}") for c, orders in by_customer.items() for _, k in sorted(orders)[:3] if k % 7 < 4}
+    got = sorted(map(tuple, QUERIES["appendix_of_all"](spark, sf_dir).collect()))
+    assert got == sorted(want) and any(int(c.split()[1]) % 2 == 0 for _, c in got)
