@@ -170,6 +170,15 @@ def non_analytical_titles(spark, d):
     return t(spark, d, "documents").select("doc_id", text.non_analytical(F.concat(head, F.substring("text", 1, 40))).alias("skip"))
 
 
+@query(
+    r"""SELECT doc_id, regexp_matches(title, '\bclosing\s+remarks?\b', 'i') OR regexp_matches(title, '\bsponsored?\s+keynote\b', 'i') AS skip
+FROM (SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN 'Closing  Remarks ' WHEN 1 THEN 'Sponsor Keynote: ' ELSE '' END || text AS title FROM documents)"""
+)
+def non_analytical_titles_whole(spark, d):
+    head = F.when(F.col("doc_id") % 4 == 0, "Closing  Remarks ").when(F.col("doc_id") % 4 == 1, "Sponsor Keynote: ").otherwise("")
+    return t(spark, d, "documents").select("doc_id", text.non_analytical(F.concat(head, "text")).alias("skip"))
+
+
 @query("SELECT event_id, (floor(epoch(ts))::BIGINT % 86400)::DOUBLE AS secs, (floor(epoch(ts))::BIGINT % 86400) // 60 || ':' || lpad(((floor(epoch(ts))::BIGINT % 86400) % 60)::VARCHAR, 2, '0') AS shown FROM events")
 def time_parse_format(spark, d):
     secs = time.clock(F.date_format("ts", "HH:mm:ss"))
@@ -188,8 +197,8 @@ def json_extract(spark, d):
 
 @query()
 def fuzzy_match(spark, d):
-    left = t(spark, d, "benchmark").select(F.col("item_id").alias("id"), F.substring("text", 1, 60).alias("title"))
-    right = t(spark, d, "documents").select(F.col("doc_id").alias("id"), F.substring("text", 1, 60).alias("title"))
+    left = t(spark, d, "benchmark").select(F.col("item_id").alias("id"), F.col("text").alias("title"))
+    right = t(spark, d, "documents").select(F.col("doc_id").alias("id"), F.col("text").alias("title"))
     return matching.assign(matching.similar_pairs(left, right)).withColumn("score", F.round("score", 6))
 
 
@@ -217,6 +226,26 @@ def token_best_match_strict(spark, d):
     return _best(spark, d, True)
 
 
+def _best_whole_sql(least: int, shared: int) -> str:
+    return _best_sql(least, shared).replace("left(text, 100)", "text")
+
+
+def _best_whole(spark, d, strict):
+    c = t(spark, d, "documents").select(F.col("doc_id").alias("candidate_id"), "text")
+    got = matching.best_titles(c, t(spark, d, "benchmark").select(F.col("text").alias("title")), strict)
+    return got.select(F.col("candidate_id").alias("doc_id"), "title", F.round("score", 6).alias("score"))
+
+
+@query(_best_whole_sql(2, 1))
+def token_best_match_whole(spark, d):
+    return _best_whole(spark, d, False)
+
+
+@query(_best_whole_sql(4, 3))
+def token_best_match_strict_whole(spark, d):
+    return _best_whole(spark, d, True)
+
+
 @query(
     """WITH titles AS (SELECT p_name || ' - ' || p_brand AS title, min(p_partkey) AS pos FROM part GROUP BY 1),
 w AS (SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN p_name || ' - ' || p_brand WHEN 1 THEN p_name WHEN 2 THEN left(p_name, 6) ELSE 'zz' || p_name END AS wanted FROM part),
@@ -296,6 +325,15 @@ def weighted_keywords(spark, d):
     return aggregates.weighted_keywords(words.where("lang = 'en'"), words.where("lang <> 'en'"))
 
 
+@query(
+    f"""SELECT keyword, sum(w)::BIGINT AS weight FROM (SELECT unnest({_TOKENS.format("text")}) AS keyword, CASE WHEN lang = 'en' THEN 3 ELSE 1 END AS w FROM documents)
+GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 15"""
+)
+def weighted_keywords_whole(spark, d):
+    words = t(spark, d, "documents").select("lang", F.explode(text.tokens("text")).alias("keyword"))
+    return aggregates.weighted_keywords(words.where("lang = 'en'"), words.where("lang <> 'en'"))
+
+
 @query("SELECT n_name AS company, sum(c)::BIGINT AS n FROM (SELECT s_nationkey, count(*) AS c FROM supplier GROUP BY 1) JOIN nation ON s_nationkey = n_nationkey GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 20")
 def recounted_companies(spark, d):
     c = t(spark, d, "supplier").groupBy("s_nationkey").agg(F.count("*").alias("n"))
@@ -477,6 +515,20 @@ def chunk_union(spark, d):
     return chunks.union_chunks(chunks.abstract_chunks(s), chunks.talk_chunks(a)).select("id", "text", "chunk_type")
 
 
+@query(
+    """WITH u AS (SELECT 'talk_abstract:talk-' || doc_id || '-' || left(md5('talk ' || doc_id), 8) || ':0' AS id, 'talk ' || doc_id || chr(10) || chr(10) || trim(text) AS text, 'talk_abstract' AS chunk_type, 1 AS k, doc_id AS pos FROM documents WHERE trim(text) <> ''
+  UNION ALL SELECT 'talk_summary:talk-' || doc_id || '-' || left(md5('talk ' || doc_id), 8) || ':0', 'talk ' || doc_id || chr(10) || chr(10) || text, 'talk_summary', 2, doc_id FROM documents WHERE lang = 'en')
+SELECT id, text, chunk_type FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY k, pos, text) AS n FROM u) WHERE n = 1"""
+)
+def chunk_union_whole(spark, d):
+    docs = t(spark, d, "documents")
+    none = F.array().cast("array<string>")
+    title = F.concat(F.lit("talk "), F.col("doc_id").cast("string")).alias("title")
+    s = docs.select(title, F.col("text").alias("abstract"), F.array().cast(sessions.SPEAKERS).alias("speakers"), F.col("source").alias("track"), F.col("doc_id").alias("_pos"))
+    a = docs.select(title, F.when(F.col("lang") == "en", F.col("text")).otherwise("").alias("summary"), *(none.alias(c) for c in ("key_takeaways", "qa_highlights", "problems_discussed", "tools_and_projects", "emerging_signals")), F.col("doc_id").alias("_pos"))
+    return chunks.union_chunks(chunks.abstract_chunks(s), chunks.talk_chunks(a)).select("id", "text", "chunk_type")
+
+
 @query("SELECT lang AS chunk_type, count(*) AS n FROM documents GROUP BY 1")
 def chunk_counts(spark, d):
     return chunks.chunk_counts(t(spark, d, "documents").select(F.col("lang").alias("chunk_type")))
@@ -696,7 +748,7 @@ def scrub_speakers(spark, d):
 @query()
 def reconcile_titles(spark, d):
     titles = t(spark, d, "benchmark").select(F.col("text").alias("title"))
-    s = t(spark, d, "documents").select("doc_id", F.concat(F.lit("See **"), F.regexp_replace(F.substring("text", 1, 80), r"[*\n]", " "), F.lit("** now")).alias("prose"))
+    s = t(spark, d, "documents").select("doc_id", F.concat(F.lit("See **"), F.regexp_replace("text", r"[*\n]", " "), F.lit("** now")).alias("prose"))
     asked = s.select(F.col("doc_id").alias("id"), F.explode(grounding.title_candidates("prose")).alias("text")).select(F.struct("id", "text").alias("candidate_id"), "text")
     real = matching.best_titles(asked, titles, strict=True).select(F.col("candidate_id.id").alias("doc_id"), F.struct(F.col("candidate_id.text").alias("k"), "title").alias("x"))
     swaps = real.groupBy("doc_id").agg(F.map_from_entries(F.collect_set("x")).alias("swaps"))

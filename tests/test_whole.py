@@ -1,5 +1,10 @@
 """Queries over whole tables, held against the tables themselves."""
 
+import re
+from collections import Counter
+
+import pytest
+
 from talkloom.operators import aggregates
 from talkloom.plans.queries import QUERIES
 
@@ -35,3 +40,51 @@ def test_appendix_of_all_has_every_customer(spark, sf_dir):
     want = {(f"seg {k % 7} of {c}", f"cluster {c}") for c, orders in by_customer.items() for _, k in sorted(orders)[:3] if k % 7 < 4}
     got = sorted(map(tuple, QUERIES["appendix_of_all"](spark, sf_dir).collect()))
     assert got == sorted(want) and any(int(c.split()[1]) % 2 == 0 for _, c in got)
+
+
+def words(text):
+    return {w for w in re.findall("[a-z0-9]+", (text or "").lower()) if len(w) > 2}
+
+
+@pytest.fixture
+def texts(spark, tmp_path):
+    """Documents whose words of interest stand far behind their first hundreds of characters."""
+    item = "whole texts decide which benchmark item a document matches best of all"
+    docs = [(1, "in " * 100 + item, "en"), (2, "to " * 200 + "farword", "de"), (3, item[:70], "en")]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(7, docs[0][1]), (8, "another thing")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    return str(tmp_path), docs
+
+
+def test_tokens_of_whole_texts_are_matched(spark, texts):
+    path, docs = texts
+    for name in ("token_best_match_whole", "token_best_match_strict_whole"):
+        assert {(r["doc_id"], r["title"]) for r in QUERIES[name](spark, path).collect()} == {(1, docs[0][1]), (3, docs[0][1])}
+
+
+def test_keywords_of_whole_texts_are_weighed(spark, texts):
+    path, docs = texts
+    want = Counter()
+    for _, text, lang in docs:
+        want.update({w: 3 if lang == "en" else 1 for w in words(text)})
+    got = QUERIES["weighted_keywords_whole"](spark, path).collect()
+    assert [tuple(r) for r in got] == sorted(want.items(), key=lambda x: (-x[1], x[0]))[:15] and ("farword", 1) in map(tuple, got)
+
+
+def test_titles_are_matched_whole(spark, texts):
+    path, _ = texts
+    assert [(r["left_id"], r["right_id"], r["score"]) for r in QUERIES["fuzzy_match"](spark, path).collect()] == [(7, 1, 1.0)]
+    assert all(d[1] in r["prose"] for d, r in zip(texts[1], sorted(QUERIES["reconcile_titles"](spark, path).collect())) if d[0] != 3)
+
+
+def test_bold_phrases_may_be_long(spark):
+    from pyspark.sql import functions as F
+
+    from talkloom.functions import grounding
+
+    lazy = re.compile(r"\*\*(?:[^*]|\*(?!\*)){30,}?\*\*")
+    x = "x" * 30
+    proses = [f"See **{'word ' * 20000}** now", f"**{x}***", f"**a*b{x}** **{x[1:]}** {x} **", f"***{x}*y**", f"**{x}\n{x}** ****{x}**", f"**{x}*"]
+    df = spark.createDataFrame(list(enumerate(proses)), "i int, prose string")
+    got = dict(tuple(r) for r in df.select("i", F.regexp_extract_all("prose", F.lit(grounding.BOLD), F.lit(0))).collect())
+    assert [got[i] for i in range(len(proses))] == [lazy.findall(p) for p in proses]
