@@ -1,10 +1,13 @@
 """Main text of web pages by tag-path ratios.
 
-A page becomes blocks of text, each with the tag path from the root to it. For each path the page's text length and
-punctuation are summed over its blocks and divided by the number of blocks; both ratios are smoothed over neighbouring
-paths, fused by their product, and paths above a threshold are content. What holds the content blocks (an article or
-main element, else their closest common ancestor) then gives all its blocks, so that headings and short paragraphs of
-the article are not lost. Elements that are never main text (menus, adverts, forms, ...) are left out before.
+A page becomes blocks of text, each under an element of the page's tree and with the tag path from the root to it. For
+each path the page's text length (link text counts a tenth) and punctuation are summed over its blocks and divided by the
+number of blocks. Both ratios are smoothed over the paths before and after, fused by the root of their product and
+weighed by a prior of the path's tags and marks; paths above a part of the page's best are content. Content blocks then
+bring in what stands among them: the other blocks of the elements that hold them (headings, short paragraphs, lists).
+
+An ``article`` or ``main`` is a prior and no more: pages without one are read by their ratios alone. Class, id and role
+tokens count only as whole tokens, and never on inline elements or headings. Time and memory are linear in the page.
 """
 
 from __future__ import annotations
@@ -20,199 +23,303 @@ from pyspark.sql import DataFrame
 from talkloom.llm.common import type_of
 
 #: Elements whose content is no text of the page.
-RAW = frozenset("script style noscript template textarea title iframe svg math object canvas audio video xmp noembed noframes".split())
-#: Elements that are not part of the article wherever they stand.
-APART = frozenset("nav header footer aside form menu button select option dialog fieldset label input".split()) | frozenset(["head"])
+RAW = frozenset("script style noscript template textarea title iframe svg object canvas audio video xmp noembed noframes annotation annotation-xml".split())
+#: Controls, whose text is left out without ending the block around them.
+MUTE = frozenset("button select option optgroup datalist input".split())
+#: Elements that are never main text. A header within an article or main is that part's own head and stays.
+NEVER = frozenset("head nav header footer aside form menu dialog fieldset".split())
 #: Elements without an end tag.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements that do not begin a block of their own.
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q ruby rb rt rp s samp small span strike strong sub sup time tt u var wbr br img".split())
-#: Words in class, id or role that mark parts other than the article.
-MARKED = frozenset("ad ads advert adverts advertisement banner sponsor sponsored promo promotion sidebar menu nav navbar navigation breadcrumb breadcrumbs footer header masthead comment comments respond disqus reply replies cookie cookies consent notice alert popup modal newsletter subscribe signup share sharing social related recommended pagination pager toolbar widget complementary contentinfo search hidden".split())
-#: Elements that end an open paragraph when they begin.
-ENDS_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section summary table ul".split())
-#: Elements that are ended by the beginning of the like: those that they end, up to the element that bounds the search.
-ENDS_LIKE = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
+INLINE = frozenset(
+    "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark math mfrac mi mn mo mover mrow ms msqrt mstyle msub msubsup"
+    " msup mtext munder munderover output q ruby rb rt rp s samp semantics small span strike strong sub sup time tt u var wbr br img".split()
+)
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 HOLDS = frozenset(["article", "main"])
+#: Class, id and role tokens of parts that are never main text, and of parts that seldom are.
+NEVER_MARKS = frozenset(
+    "ad ads advert adverts advertisement advertising ad-slot ad-banner sponsored sidebar side-bar nav navbar navigation breadcrumb breadcrumbs"
+    " footer site-footer page-footer site-header page-header menu comments comment-list comments-area comment disqus disqus_thread respond"
+    " cookie cookies cookie-banner cookie-notice cookie-consent newsletter complementary contentinfo".split()
+)
+SELDOM_MARKS = frozenset(
+    "banner sponsor promo promotion header masthead reply replies consent notice alert popup modal subscribe signup share sharing"
+    " social related recommended pagination pager toolbar widget search dialog".split()
+)
+#: Elements that end an open paragraph when they begin, and what bounds the search for it.
+ENDS_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section summary table ul".split())
+P_BOUNDS = ("td", "th", "button", "table", "article", "main", "section", "div")
+#: Elements that are ended by the beginning of the like: those that they end, and what bounds the search.
+ENDS_LIKE = {"li": (("li",), ("ul", "ol", "menu")), "dt": (("dt", "dd"), ("dl",)), "dd": (("dt", "dd"), ("dl",)), "tr": (("tr", "td", "th"), ("table",)), "td": (("td", "th"), ("tr", "table")), "th": (("td", "th"), ("tr", "table"))}
 
-#: Production parameters: a path is content if its fused ratio reaches this part of the page's highest.
+#: Production parameters: a path is content if its weighed ratio reaches this part of the page's highest; the priors of
+#: holders, headings and seldom marks; what a character of link text counts for.
 PART_OF_BEST = 0.1
+HOLDER, HEADING, SELDOM = 2.0, 2.0, 0.03
+LINK = 0.1
 
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*?)>|<[!?/][^>]*>", re.S)
-_ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)", re.I)
-_HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
-_WORD = re.compile(r"[a-z]+")
+# Possessive: no character is looked at twice by one match, whatever is left open.
+_TAG = re.compile(r"<(/?)([A-Za-z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>")
+_PLAIN_TAG = re.compile(r"<(/?)([A-Za-z][^\s/>]*+)([^>]*+)>")
+_ATTRIBUTE = re.compile(r"([^\s=/\"'>]++)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>]++)))?+")
+_NO_SHOW = re.compile(r"display\s*+:\s*+none", re.I)
 _PUNCTUATION = re.compile(r"[.,;:!?…、。，！？]")
 
 
+class Tree:
+    """The block-level elements of a page by number; 0 is the page itself. ``path`` is equal for equal tag paths."""
+
+    def __init__(self) -> None:
+        self.parent, self.name, self.prior, self.path, self.held = [0], [""], [1.0], [0], [False]
+        self.paths: dict[tuple[int, str, float], int] = {}
+
+    def add(self, parent: int, name: str, prior: float) -> int:
+        prior *= self.prior[parent]
+        label = (self.path[parent], name, prior)
+        self.path.append(self.paths.setdefault(label, len(self.paths) + 1))
+        self.parent.append(parent)
+        self.name.append(name)
+        self.prior.append(prior)
+        self.held.append(self.held[parent] or name in HOLDS)
+        return len(self.parent) - 1
+
+
 class Block:
-    __slots__ = ("links", "nodes", "path", "text")
+    __slots__ = ("links", "node", "text")
+
+    def __init__(self, node: int, text: str, links: int):
+        self.node, self.text, self.links = node, text, links
+
+
+def attributes_of(raw: str) -> dict[str, str]:
+    """The attributes of a start tag; names are lower-cased, the first of a name counts."""
+    out: dict[str, str] = {}
+    for m in _ATTRIBUTE.finditer(raw):
+        out.setdefault(m[1].lower(), next((x for x in m.groups()[1:] if x is not None), ""))
+    return out
 
-    def __init__(self, path: str, nodes: tuple[tuple[int, str], ...], text: str, links: int):
-        self.path, self.nodes, self.text, self.links = path, nodes, text, links
 
+def prior_of(name: str, attributes: dict[str, str], held: bool) -> float:
+    """What an element makes of the ratio of the paths through it; 0 for what is never main text."""
+    if name in NEVER and not (name == "header" and held):
+        return 0.0
+    prior = HOLDER if name in HOLDS and not held else HEADING if name in HEADINGS else 1.0
+    if attributes and name not in HEADINGS and name not in ("html", "body"):
+        marks = {t for a in ("class", "id", "role") for t in attributes.get(a, "").lower().split()}
+        if name not in HOLDS and not marks.isdisjoint(NEVER_MARKS):
+            return 0.0
+        if not marks.isdisjoint(SELDOM_MARKS):
+            prior *= SELDOM
+    return prior
 
-def _apart(name: str, attributes: str) -> bool:
-    if name in APART:
-        return True
-    if name in ("html", "body", "article", "main") or not attributes:
-        return False
-    if _HIDDEN.search(attributes):
-        return True
-    for _, value in _ATTRIBUTE.findall(attributes):
-        if not MARKED.isdisjoint(_WORD.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", value).lower())):
-            return True
-    return False
 
+def blocks_of(html: str) -> tuple[Tree, list[Block]]:
+    """The page's tree and its blocks of text in page order, all but those of parts that are never main text or not shown.
 
-def blocks_of(html: str) -> list[Block]:
-    """Blocks of text outside RAW and APART elements, in page order. Broken markup is repaired as browsers mostly do."""
-    stack: list[tuple[int, str, bool]] = []  # number, name, apart
-    out: list[Block] = []
+    Broken markup is repaired as browsers mostly do. A tag or comment that the page ends in is no text.
+    """
+    tree, out = Tree(), []
+    stack: list[tuple[str, int, bool, bool]] = []  # name, node around it, mute, block-level
+    where: dict[str, list[int]] = {}  # places in the stack of each open name
+    block_at: list[int] = []  # places in the stack of block-level elements
+    unended: set[str] = set()
     text: list[str] = []
-    links = number = at = 0
-    aside = 0  # open elements that stand apart
-    lower = None
+    node = links = mute = at = 0
+    tag, lower = _TAG, None
 
     def flush() -> None:
         nonlocal links
         if text:
             if joined := " ".join("".join(text).split()):
-                nodes = tuple((n, name) for n, name, _ in stack if name not in INLINE)
-                out.append(Block("/".join(name for _, name in nodes), nodes, joined, links))
+                out.append(Block(node, joined, min(links, len(joined))))
             text.clear()
-            links = 0
-
-    def close(depth: int) -> None:
-        nonlocal aside
-        while len(stack) > depth:
-            aside -= stack.pop()[2]
-
-    def end_like(names: set[str] | frozenset[str], bounds: set[str] | frozenset[str]) -> None:
-        for d in range(len(stack) - 1, -1, -1):
-            if stack[d][1] in names:
-                close(d)
-                return
-            if stack[d][1] in bounds:
-                return
+        links = 0
 
     def say(piece: str) -> None:
         nonlocal links
-        if not aside and piece:
+        if piece and not mute and tree.prior[node]:
             piece = unescape(piece) if "&" in piece else piece
             text.append(piece)
-            if any(s[1] == "a" for s in stack):
+            if where.get("a"):
                 links += len(piece)
 
-    while m := _TAG.search(html, at):
-        say(html[at : m.start()])
-        at = m.end()
-        name = m[2]
-        if not name:
+    def close(depth: int) -> None:
+        nonlocal node, mute
+        while len(stack) > depth:
+            name, around, was_mute, is_block = stack.pop()
+            where[name].pop()
+            mute -= was_mute
+            if is_block:
+                block_at.pop()
+                node = around
+
+    def last(names: tuple[str, ...]) -> int:
+        return max((where[n][-1] for n in names if where.get(n)), default=-1)
+
+    def end_like(names: tuple[str, ...], bounds: tuple[str, ...]) -> None:
+        if (depth := last(names)) > last(bounds):
+            close(depth)
+
+    size = len(html)
+    while at < size:
+        begin = html.find("<", at)
+        if begin < 0:
+            break
+        say(html[at:begin])
+        at = begin
+        follows = html[begin + 1 : begin + 2]
+        if follows in ("!", "?") and follows:
+            end = html.find("-->", begin + 4) if html.startswith("<!--", begin) else html.find(">", begin)
+            at = size if end < 0 else end + (3 if html.startswith("<!--", begin) else 1)
             continue
-        name = name.lower()
-        if m[1]:
-            if name == "br" or name in VOID:
-                say(" ")
+        m = tag.match(html, begin)
+        if not m and tag is _TAG and (follows.isalpha() or follows == "/"):
+            # A quote that is never closed: from here on quotes are characters like any other.
+            if m := _PLAIN_TAG.match(html, begin):
+                tag = _PLAIN_TAG
+        if not m:
+            if follows.isascii() and follows.isalpha() or follows == "/" and html[begin + 2 : begin + 3].isalpha():
+                at = size if html.find(">", begin) < 0 else begin + 1
+                if at == size:
+                    break
+            elif follows == "/":  # a comment of old
+                end = html.find(">", begin)
+                at = size if end < 0 else end + 1
                 continue
-            depth = next((d for d in range(len(stack) - 1, -1, -1) if stack[d][1] == name), None)
-            if depth is not None:
-                if name in INLINE:
-                    if all(s[1] in INLINE for s in stack[depth:]):
-                        close(depth)
-                else:
-                    flush()
-                    close(depth)
-            elif name not in INLINE:
-                flush()
+            say("<")
+            at = begin + 1
             continue
-        if name == "br":
-            say(" ")
-            continue
-        if name not in INLINE:
-            flush()
+        at = m.end()
+        name = m[2].lower()
         if name in VOID:
+            if name == "br":
+                say(" ")
+            elif name not in INLINE and name not in MUTE:
+                flush()
+            if name == "hr" and not m[1]:
+                end_like(("p",), P_BOUNDS)
+            continue
+        inline = name in INLINE or name in MUTE
+        if m[1]:
+            depth = last((name,))
+            if not inline:
+                flush()
+            if depth >= 0 and (not inline or depth > (block_at[-1] if block_at else -1)):
+                close(depth)
             continue
         if name in RAW:
-            lower = lower if lower is not None else html.lower()
+            if name in unended:
+                continue
+            lower = lower if lower is not None else html.lower() if len(html.lower()) == size else html
             end = lower.find(f"</{name}", at)
-            if name in ("svg", "math", "object", "template", "noscript", "canvas", "audio", "video") and end < 0:
+            if end < 0:
+                unended.add(name)
+                if name in ("script", "style", "textarea", "title", "xmp", "iframe"):
+                    break
                 continue
-            at = len(html) if end < 0 else (html.find(">", end) + 1 or len(html))
+            at = html.find(">", end) + 1 or size
             continue
-        if name in ENDS_P:
-            end_like({"p"}, {"td", "th", "button", "table", "article", "main", "section", "div"})
-        if name in ENDS_LIKE:
-            end_like(*ENDS_LIKE[name])
-        number += 1
-        apart = _apart(name, m[3])
-        stack.append((number, name, apart))
-        aside += apart
-    say(html[at:])
+        attributes = attributes_of(m[3]) if m[3] and not m[3].isspace() else {}
+        hidden = "hidden" in attributes or bool(attributes.get("style") and _NO_SHOW.search(attributes["style"]))
+        silent = hidden or name in MUTE
+        if not inline:
+            flush()
+            if name in ENDS_P:
+                end_like(("p",), P_BOUNDS)
+            if name in ENDS_LIKE:
+                end_like(*ENDS_LIKE[name])
+            block_at.append(len(stack))
+        where.setdefault(name, []).append(len(stack))
+        stack.append((name, node, silent, not inline))
+        mute += silent
+        if not inline:
+            node = tree.add(node, name, prior_of(name, attributes, tree.held[node]))
+    else:
+        at = size
+    if at < size and html.find("<", at) < 0:
+        say(html[at:])
     flush()
-    return out
+    return tree, out
 
 
-def path_scores(blocks: list[Block]) -> dict[str, float]:
-    """The fused ratio of each tag path: text and punctuation for each block, smoothed over neighbouring paths."""
-    chars: dict[str, float] = {}
-    marks: dict[str, float] = {}
-    count: dict[str, int] = {}
+def path_scores(tree: Tree, blocks: list[Block]) -> dict[int, float]:
+    """The weighed ratio of each tag path: text and punctuation for each block, smoothed over neighbouring
+    paths and fused; what is mostly links gains nothing from its neighbours."""
+    chars: dict[int, float] = {}
+    every: dict[int, int] = {}
+    marks: dict[int, float] = {}
+    count: dict[int, int] = {}
+    prior: dict[int, float] = {}
     for b in blocks:
-        chars[b.path] = chars.get(b.path, 0) + len(b.text) - b.links
-        marks[b.path] = marks.get(b.path, 0) + len(_PUNCTUATION.findall(b.text))
-        count[b.path] = count.get(b.path, 0) + 1
+        p = tree.path[b.node]
+        chars[p] = chars.get(p, 0) + len(b.text) - (1 - LINK) * b.links
+        every[p] = every.get(p, 0) + len(b.text)
+        marks[p] = marks.get(p, 0) + len(_PUNCTUATION.findall(b.text))
+        count[p] = count.get(p, 0) + 1
+        prior[p] = tree.prior[b.node]
     paths = list(count)  # in page order
     own = [(chars[p] / count[p], marks[p] / count[p]) for p in paths]
-    fused = []
-    for i in range(len(paths)):
+    scores = {}
+    for i, p in enumerate(paths):
         near = own[max(0, i - 1) : i + 2]
         text, punctuation = (0.75 * own[i][k] + 0.25 * sum(x[k] for x in near) / len(near) for k in (0, 1))
-        fused.append(sqrt(max(0.0, text) * (1 + punctuation)))
-    return dict(zip(paths, fused))
+        scores[p] = prior[p] * chars[p] / every[p] * sqrt(text * (1 + punctuation))
+    return scores
 
 
-def main_text(html: str | None, part_of_best: float = PART_OF_BEST) -> str:
-    """The article's blocks, joined by two line ends; empty for null, empty and pages without text."""
-    blocks = blocks_of(html) if html else []
+def content_of(tree: Tree, blocks: list[Block], part_of_best: float = PART_OF_BEST) -> list[Block]:
+    """Blocks of content paths, and those that stand among them.
+
+    Among them stand, if they bear no mark of their own: all blocks within an article or main that holds content, blocks
+    within the parent of a content block that are not mostly links, and, where that parent is the whole page, those of
+    them between its first and last content block and a heading before.
+    """
     if not blocks:
-        return ""
-    scores = path_scores(blocks)
+        return []
+    scores = path_scores(tree, blocks)
     least = part_of_best * max(scores.values())
-    weight = lambda b: len(b.text) - b.links
-    content = [b for b in blocks if scores[b.path] >= least and scores[b.path] > 0] or blocks
-    holders: dict[int, int] = {}
-    for b in content:
-        for n, name in b.nodes:
-            if name in HOLDS:
-                holders[n] = holders.get(n, 0) + weight(b)
-                break
-    total = sum(weight(b) for b in content)
-    if holders and 2 * sum(holders.values()) >= total:
-        most = max(holders.values())
-        chosen = {n for n, w in holders.items() if 4 * w >= most}
-        return "\n\n".join(b.text for b in blocks if any(n in chosen for n, _ in b.nodes))
-    # The deepest element that holds nearly all content text.
-    held: dict[int, int] = {}
-    depth: dict[int, int] = {}
-    for b in content:
-        for d, (n, _) in enumerate(b.nodes):
-            held[n], depth[n] = held.get(n, 0) + weight(b), d
-    around = [n for n, w in held.items() if 10 * w >= 9 * total]
-    if not around:
-        return "\n\n".join(b.text for b in content)
-    root = max(around, key=lambda n: (depth[n], -n))
-    chosen_paths = {b.path for b in content}
-    inside = [b for b in blocks if any(n == root for n, _ in b.nodes)]
-    return "\n\n".join(b.text for b in inside if b.path in chosen_paths or 2 * b.links <= len(b.text))
+    chosen = [scores[tree.path[b.node]] >= least for b in blocks]
+    holders, parents, top = set(), set(), [i for i, b in enumerate(blocks) if chosen[i] and tree.name[tree.parent[b.node]] in ("", "html", "body")]
+    holder_of: list[int] = [0]  # the outermost article or main around each element, 0 for none
+    for n in range(1, len(tree.parent)):
+        holder_of.append(holder_of[tree.parent[n]] or (n if tree.name[n] in HOLDS else 0))
+    for b, c in zip(blocks, chosen):
+        if c:
+            if holder_of[b.node]:
+                holders.add(holder_of[b.node])
+            if tree.name[tree.parent[b.node]] not in ("", "html", "body"):
+                parents.add(tree.parent[b.node])
+    # What an element is among: the prior of the nearest element around it that brings others in, and whether that holds.
+    among: list[tuple[float, bool] | None] = [None]
+    for n in range(1, len(tree.parent)):
+        around = among[tree.parent[n]]
+        among.append((tree.prior[n], True) if n in holders else around if around and around[1] else (tree.prior[n], False) if n in parents else around)
+    first, end = (top[0], top[-1]) if top else (0, -1)
+    out = []
+    for i, (b, c) in enumerate(zip(blocks, chosen)):
+        if not c and (around := among[b.node]):
+            own = tree.prior[b.node] / (HEADING if tree.name[b.node] in HEADINGS else 1)
+            c = own >= around[0] and (around[1] or 2 * b.links <= len(b.text))
+        if not c and first <= i <= end or i == first - 1 and tree.name[b.node] in HEADINGS:
+            c = c or tree.prior[b.node] >= 1 and 2 * b.links <= len(b.text)
+        if c:
+            out.append(b)
+    return out
+
+
+def main_text(html: str | None, part_of_best: float = PART_OF_BEST) -> str:
+    """The content blocks, joined by two line ends; empty for null, empty and pages without text."""
+    return "\n\n".join(b.text for b in content_of(*blocks_of(html), part_of_best)) if html else ""
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """id, url, text and n_chars for each row of pages.
 
     Null and empty html, and pages that have no text outside menus and the like, give the empty text. Pages of any
-    length are read whole. Null ids and urls pass through; repeated rows are returned as often as they come; an empty
-    table gives an empty result. Columns other than those named are ignored.
+    length and depth are read whole; where a page is cut off inside a tag or comment, that tag is no text. Ties in ratio
+    are all content. Null ids and urls pass through; repeated rows are returned as often as they come; an empty table
+    gives an empty result. Columns other than those named are ignored.
     """
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
