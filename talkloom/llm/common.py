@@ -26,25 +26,31 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; only where it is unset (tests, one machine) a folder of our own."""
+    """The folder of ``spark.checkpoint.dir``; only where it is unset on one machine (tests) a folder of our own.
+
+    Raises RuntimeError where it is unset on a cluster, whose executors would not see a folder of the driver's.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     app = spark.sparkContext.applicationId
     if app not in _own_dir:
         _own_dir[app] = tempfile.mkdtemp(prefix="talkloom-")
     return _own_dir[app]
 
 
-def cut(df: DataFrame, name: str) -> DataFrame:
-    """Write df as a table into the shared folder and read it back.
+def cut(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+    """Write df as a table (partitioned by the column ``by``, its last) into the shared folder and read it back.
 
     The table's known size also lets Spark decide whether a later join may broadcast it.
     """
     spark = df.sparkSession
     root = f"{shared_dir(spark)}/talkloom-{spark.sparkContext.applicationId}"
     path = f"{root}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    (df.write.partitionBy(by) if by else df.write).parquet(path)
     if root not in _written:
         _written.add(root)
         atexit.register(_remove, spark, root)
@@ -75,5 +81,13 @@ def utf8(column: pa.Array) -> list[bytes | None]:
     return column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()).to_pylist()
 
 
+def fresh_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it until df has no column of that name (in any case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def type_of(df: DataFrame, column: str) -> str:
     return df.schema[column].dataType.simpleString()

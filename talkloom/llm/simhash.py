@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from talkloom.llm.common import cut, type_of, utf8
+from talkloom.llm.common import cut, fresh_name, type_of, utf8
 from talkloom.llm.graph import connected_components
 
 SHINGLE = 3
@@ -212,24 +212,29 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     not arise; an empty table gives an empty result. Columns other than the two named are ignored.
     """
     signed = cut(fingerprints(docs, id_col, text_col), "fingerprints")
+    named = fingerprint_components(signed, id_col)
+    return signed.join(named, "fp").select(id_col, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def fingerprint_components(signed: DataFrame, id_col: str) -> DataFrame:
+    """fp and component_id for each fingerprint of a table (id, fp)."""
     classes = cut(signed.groupBy("fp").agg(F.min(id_col).alias("least")), "fingerprint_classes")
     member = connected_components(link_nodes(classes.select(F.col("fp").alias("node"), F.array("fp").alias("fps"))))
     linked = cut(classes.join(member, F.col("fp") == F.col("node")).select("fp", "root", "least"), "linked")
     least = linked.groupBy("root").agg(F.min("least").alias("component"))
     component = linked.join(least, "root").select("fp", "component")
-    named = classes.join(component, "fp", "left").select("fp", F.coalesce("component", "least").alias("component_id"))
-    return signed.join(named, "fp").select(id_col, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return classes.join(component, "fp", "left").select("fp", F.coalesce("component", "least").alias("component_id"))
 
 
 # For corpora whose near copies differ by more than three bits of the fingerprint above -----------------------------
 
-#: Production parameters: fingerprints of the set of words, each with hashes of its own, beside the one of shingles; words
+#: Production parameters: fingerprints of the words by count, each with hashes of its own, beside the one of shingles; words
 #: in a verified shingle, least estimated similarity, and slots of the sketch that estimates it.
-TABLES = 4
+TABLES = 3
 VERIFIED_SHINGLE = 5
 SIMILARITY = 0.8
 SLOTS = 256
-EMPTY = 0xFFFF
+EMPTY = 0xFF
 
 
 def _mixed(h: np.ndarray, n: int) -> np.ndarray:
@@ -245,37 +250,49 @@ def _hashes(pieces: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join([digest(x, SEED) for x in pieces]), ">u8").astype(np.uint64)
 
 
+def node_of(text: bytes | None) -> int:
+    """One number for texts of the same lower-cased words in the same order."""
+    return xxhash.xxh64_intdigest(b" ".join(text.lower().split()) if text else b"", SEED)
+
+
 def sketch(text: bytes | None, tables: int = TABLES) -> tuple[int, list[int], bytes]:
-    """Of a text: a hash of its words in order, its fingerprints (that of shingles first), and a one-permutation MinHash of
-    its five-word shingles in SLOTS slots of 16 bits."""
+    """Of a text: its node, its fingerprints (that of shingles first) and a one-permutation MinHash of its five-word shingles
+    in SLOTS slots of 8 bits.
+
+    The other fingerprints are of words, each weighing 1 + ln(its count), in whole sixteenths so that sums are exact.
+    """
     words = text.lower().split() if text else []
-    joined = b" ".join(words)
-    node = xxhash.xxh64_intdigest(joined, SEED)
-    slots = np.full(SLOTS, EMPTY, np.uint16)
+    slots = np.full(SLOTS, EMPTY, np.uint8)
     if not words:
-        return node, [0] * (1 + tables), slots.tobytes()
-    own = _hashes(list(set(words)))
+        return node_of(text), [0] * (1 + tables), slots.tobytes()
+    place: dict[bytes, int] = {}
+    at = np.array([place.setdefault(w, len(place)) for w in words])
+    own = _hashes(list(place))
+    weights = np.round(16 * (1 + np.log(np.bincount(at)))).astype(np.int64)
     fps = [fingerprint(text)]
     for n in range(1, tables + 1):
         bits = np.unpackbits(_mixed(own, n).astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
-        fps.append(int.from_bytes(np.packbits(2 * bits.sum(axis=0, dtype=np.int64) > len(own)).tobytes(), "big"))
-    ends = [x - 1 for x in accumulate(len(w) + 1 for w in words)]
-    starts = [0, *(x + 1 for x in ends[:-1])]
+        votes = (weights.astype(np.float64) @ bits).astype(np.int64)  # whole numbers far below 2**53
+        fps.append(int.from_bytes(np.packbits(2 * votes > weights.sum()).tobytes(), "big"))
     n = max(1, len(words) - VERIFIED_SHINGLE + 1)
-    h = np.unique(_hashes([joined[i:j] for i, j in zip(starts[:n], ends[-n:])]))[::-1]
-    slots[(h & np.uint64(SLOTS - 1)).astype(int)] = np.minimum(h >> np.uint64(48), np.uint64(EMPTY - 1)).astype(np.uint16)
-    return node, fps, slots.tobytes()
+    h = np.zeros(n, np.uint64)
+    with np.errstate(over="ignore"):
+        for k in range(min(VERIFIED_SHINGLE, len(words))):
+            h = _mixed(h + own[at[k : k + n]], k)
+    h = np.sort(h)[::-1]  # of each slot the least hash is written last
+    slots[(h & np.uint64(SLOTS - 1)).astype(int)] = np.minimum(h >> np.uint64(16) & np.uint64(0xFF), np.uint64(EMPTY - 1)).astype(np.uint8)
+    return node_of(text), fps, slots.tobytes()
 
 
 def estimated(a: bytes, b: bytes) -> float:
     """The similarity of two sketches: equal slots among those that either fills."""
-    x, y = np.frombuffer(a, np.uint16), np.frombuffer(b, np.uint16)
+    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
     some = (x != EMPTY) | (y != EMPTY)
     return float((x == y)[some].mean()) if some.any() else 1.0
 
 
 def verified_links(nodes: np.ndarray, fps: np.ndarray, slots: np.ndarray, least: float, threshold: int = THRESHOLD) -> list[tuple[int, int]]:
-    """Of a block: links that connect whatever is connected by pairs of which a word-set fingerprint is within the threshold
+    """Of a block: links that connect whatever is connected by pairs of which a word fingerprint is within the threshold
     and the estimated similarity at least ``least``. fps: a row of fingerprints for each node; slots: its sketch."""
     label, filled, out = np.arange(len(nodes)), slots != EMPTY, []
     for h in range(len(nodes) - 1):
@@ -295,25 +312,49 @@ def verified_links(nodes: np.ndarray, fps: np.ndarray, slots: np.ndarray, least:
     return out
 
 
-def similar_groups(docs: DataFrame, tables: int = TABLES, least: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id and component_id for each row of docs, as near_duplicates gives them, with more links.
+def _signed(docs: DataFrame, what, name: str, id_col: str, text_col: str) -> DataFrame:
+    """id, ``name`` (the unsigned 64-bit number that ``what`` makes of the text) and size (words) for each row of docs."""
 
-    Texts link if their shingle fingerprints differ in three or fewer bits, and also if one of ``tables`` fingerprints of
-    their word sets does and their five-word shingles are similar by at least ``least`` (estimated by SLOTS slots; the
-    standard error is 0.025 at 0.8). Texts of the same words in order are one node, however often they come.
-    """
-    kind = type_of(docs, id_col)
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = utf8(batch.column(1))
+            made = np.array([what(x) for x in texts], np.uint64).view(np.int64)
+            sizes = pa.array([len(x.split()) if x else 0 for x in texts], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made), sizes], names=["id", name, "size"])
+
+    return docs.select(id_col, text_col).mapInArrow(each, f"id {type_of(docs, id_col)}, {name} long, size long")
+
+
+def _sketched(texts: DataFrame, tables: int) -> DataFrame:
+    """node, fps and slots for each row of a table of texts."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [sketch(x, tables) for x in utf8(batch.column(1))]
+            found = [sketch(x, tables) for x in utf8(batch.column(0))]
             nodes = np.array([x[0] for x in found], np.uint64).view(np.int64)
             fps = np.array([x[1] for x in found], np.uint64).reshape(-1, 1 + tables).view(np.int64).tolist()
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(nodes), pa.array(fps, pa.list_(pa.int64())), pa.array([x[2] for x in found], pa.binary())], names=[id_col, "node", "fps", "slots"])
+            yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(fps, pa.list_(pa.int64())), pa.array([x[2] for x in found], pa.binary())], names=["node", "fps", "slots"])
+
+    return texts.mapInArrow(each, "node long, fps array<long>, slots binary")
 
-    signed = cut(docs.select(id_col, text_col).mapInArrow(each, f"`{id_col}` {kind}, node long, fps array<long>, slots binary"), "sketches")
-    # Sketches are a function of the node: any row's will do, and copies are combined before the shuffle.
-    nodes = cut(signed.groupBy("node").agg(F.min(id_col).alias("least"), F.first("fps").alias("fps"), F.first("slots").alias("slots")), "nodes")
+
+def similar_groups(docs: DataFrame, among: DataFrame | None = None, tables: int = TABLES, least: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """id, component_id and size (words) for each row of docs: groups as near_duplicates gives them, with more links.
+
+    Texts link if their shingle fingerprints differ in three or fewer bits, and also if one of ``tables`` fingerprints of
+    their words does and their five-word shingles are similar by at least ``least`` (estimated by SLOTS slots; the standard
+    error is 0.026 at 0.8). Texts of the same words in order are one node, however often they come. Where ``among`` (a
+    table of one column, id) is given, only rows with such an id take part and are returned.
+
+    Null and empty texts are one node and so one group. Rows with a null id take part and have the component of their
+    node, null if nobody in it has an id. Repeated rows are returned as often as they come; rows of one id and different
+    texts are different documents; an empty table gives an empty result. Columns other than the two named are ignored.
+    """
+    signed = _signed(docs, node_of, "node", id_col, text_col)
+    signed = cut(signed if among is None else signed.join(among.toDF("id"), "id", "left_semi"), "signed")
+    # A sketch is a function of the node: any row's will do, and copies are combined before the shuffle.
+    nodes = _sketched(docs.select(text_col), tables).groupBy("node").agg(F.first("fps").alias("fps"), F.first("slots").alias("slots"))
+    nodes = cut(nodes if among is None else nodes.join(signed.select("node").distinct(), "node", "left_semi"), "nodes")
     found = cut(link_nodes(nodes).withColumn("table", F.least("table", F.lit(1))).distinct(), "links")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -332,7 +373,7 @@ def similar_groups(docs: DataFrame, tables: int = TABLES, least: float = SIMILAR
             if not batch.num_rows:
                 continue
             fps = batch.column(2).flatten().to_numpy(zero_copy_only=False).view(np.uint64).reshape(batch.num_rows, -1)
-            slots = np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint16).reshape(batch.num_rows, SLOTS)
+            slots = np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint8).reshape(batch.num_rows, SLOTS)
             rows = [batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_numpy(zero_copy_only=False), fps[:, 1:], slots]
             if held:
                 rows = [np.concatenate(x) for x in zip(held, rows)]
@@ -342,24 +383,49 @@ def similar_groups(docs: DataFrame, tables: int = TABLES, least: float = SIMILAR
         if held:
             yield links(*held)
 
-    blocks = found.where("table = 1").select(F.col("u").alias("block"), F.col("v").alias("node")).join(nodes.select("node", "fps", "slots"), "node")
+    blocks = found.where("table = 1").select(F.col("u").alias("block"), F.col("v").alias("node")).join(nodes, "node")
     in_order = blocks.select("block", "node", "fps", "slots").repartition("block").sortWithinPartitions("block", "node")
     sure = in_order.mapInArrow(verify, "u long, v long").unionByName(found.where("table = 0").select("u", "v"))
     member = connected_components(sure)
-    linked = cut(nodes.select("node", "least").join(member, "node").select("node", "root", "least"), "linked")
-    component = linked.join(linked.groupBy("root").agg(F.min("least").alias("component")), "root").select("node", "component")
-    named = nodes.select("node", "least").join(component, "node", "left").select("node", F.coalesce("component", "least").alias("component_id"))
-    return signed.select(id_col, "node").join(named, "node").select(id_col, "component_id")
+    of_node = cut(signed.groupBy("node").agg(F.min("id").alias("least")).join(member, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root")), "linked")
+    of_root = of_node.groupBy("root").agg(F.min("least").alias("component_id"))
+    named = of_node.join(of_root, "root").select("node", "component_id")
+    return signed.join(named, "node").select(F.col("id").alias(id_col), "component_id", "size")
+
 
+def keep_one(docs: DataFrame, earlier: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of docs that stay when of each group of near-duplicates (see similar_groups) one document stays.
 
-def keep_one(docs: DataFrame, groups: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs that stay when each group (id, component_id; by default those of similar_groups) keeps the row of its smallest id.
+    A stage that takes shared lines out of texts leaves of copies little that is alike. ``earlier`` (id, text) holds the
+    texts as they were before: groups are those of the earlier texts, and of each group the document that has lost fewest
+    words stays (of these the one of smallest id), so that what the group shares stays too. What then stays is compared
+    by near_duplicates on its texts as they are. Ids that earlier lacks are grouped by their texts as they are. Without
+    ``earlier`` the smallest id of each group stays.
 
-    Rows without an id are kept: nothing tells which of them to keep. Of rows repeated under one id one stays.
+    Rows without an id are kept: nothing tells which of them to keep. Of rows repeated under one id one stays. Null and
+    empty texts are one group. Rows and columns that stay are unchanged, whatever the columns' names; an empty table gives
+    an empty result.
     """
-    groups = similar_groups(docs, id_col=id_col, text_col=text_col) if groups is None else groups
-    kept = groups.where(F.col(id_col) == F.col("component_id")).select(id_col).distinct()
-    columns = docs.columns
+    if earlier is None:
+        groups = similar_groups(docs, id_col=id_col, text_col=text_col)
+        kept = groups.where(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("__kept_id")).distinct()
+    else:
+        own = cut(_signed(docs, fingerprint, "fp", id_col, text_col).where("id is not null"), "own")
+        now = own.groupBy("id").agg(F.max("size").alias("now"))
+        ids, earlier = now.select("id"), earlier.select(id_col, text_col)
+        strangers = cut(ids.join(earlier.select(F.col(id_col).alias("id")), "id", "left_anti"), "strangers")
+        if not strangers.isEmpty():
+            alike = docs.join(strangers, F.col(id_col) == F.col("id"), "left_semi").select(id_col, text_col)
+            earlier = earlier.unionByName(alike)
+        was = similar_groups(earlier, ids, id_col=id_col, text_col=text_col)
+        was = was.groupBy(F.col(id_col).alias("id")).agg(F.max("size").alias("was"), F.min("component_id").alias("component_id"))
+        lost = F.greatest(F.lit(0).cast("long"), F.col("was") - F.col("now"))
+        best = was.join(now, "id").groupBy("component_id").agg(F.min(F.struct(lost.alias("lost"), F.col("id"))).alias("best"))
+        left = cut(own.join(best.select("best.id"), "id", "left_semi").select("id", "fp"), "left")
+        named = left.join(fingerprint_components(left, "id"), "fp")
+        kept = named.where("id = component_id").select(F.col("id").alias("__kept_id")).distinct()
+    nth, columns = fresh_name(docs, "__nth"), docs.columns
     first = F.row_number().over(Window.partitionBy(id_col).orderBy(id_col))
-    one = docs.join(kept, id_col, "left_semi").withColumn("__nth", first).where("__nth = 1").select(columns)
+    kept = kept.toDF(kept_id := fresh_name(docs, "__kept_id"))
+    one = docs.join(kept, F.col(id_col) == F.col(kept_id), "left_semi").withColumn(nth, first).where(F.col(nth) == 1).select(columns)
     return one.unionByName(docs.where(F.col(id_col).isNull()).select(columns))

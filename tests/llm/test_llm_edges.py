@@ -148,11 +148,11 @@ def test_sketch_estimates_similarity():
     true = len(sh(a) & sh(b)) / len(sh(a) | sh(b))
     x, y = (simhash.sketch(" ".join(w).encode()) for w in (a, b))
     assert abs(simhash.estimated(x[2], y[2]) - true) < 0.1 and simhash.estimated(x[2], x[2]) == 1.0
-    assert simhash.sketch(None)[1] == [0] * 5 and simhash.estimated(simhash.sketch(None)[2], simhash.sketch(b"")[2]) == 1.0
+    assert simhash.sketch(None)[1] == [0] * (1 + simhash.TABLES) and simhash.estimated(simhash.sketch(None)[2], simhash.sketch(b"")[2]) == 1.0
 
 
 def test_copies_that_are_like_their_base_only_are_all_linked(spark):
-    """Same words in another order: the word-set fingerprints of all are equal, but two copies are less alike than either and the base."""
+    """Same words in another order: the word fingerprints of all are equal, but two copies are less alike than either and the base."""
     rng = np.random.default_rng(5)
     base = [f"w{i}" for i in range(400)]
     rows = [(0, " ".join(base), "en", "a")]
@@ -276,13 +276,38 @@ def test_line_dedup_equals_brute_force(spark, batches, fanout):
     assert line_dedup.dedup_lines(df.limit(0)).count() == 0
 
 
-def test_runs_are_compacted(spark):
+def test_runs_are_compacted_and_decide(spark, tmp_path):
     store = line_dedup.RunStore(spark, 2)
-    for b in range(5):
-        store.add(spark.createDataFrame([(1, 1, b), (b, 2, b)], "h1 long, h2 long, doc_id long"))
-    assert {level: len(r) for level, r in store.levels.items() if r} == {2: 1, 0: 1}
-    got = {(r["h1"], r["h2"]): (r["n"], r["last"]) for r in store.totals().collect()}
-    assert got[1, 1] == (5, 4) and got[3, 2] == (1, 3) and store.known().count() == len(got)
+    batch = lambda ids: spark.createDataFrame([(1, 1, i) for i in ids] + [(i, 2, i) for i in ids], "h1 long, h2 long, doc_id long")
+    gone, rest = store.add(batch([1, 2, 8]))
+    assert gone is None and rest.count() == 6 and store.settled().count() == 0
+    gone, _ = store.add(batch([3, 5, 9]))  # two runs of three documents settle the line when they are compacted
+    assert gone.count() == 0 and {level: len(r) for level, r in store.levels.items() if r} == {1: 1}
+    assert [tuple(r) for r in store.settled().collect()] == [(1, 1, 9)]
+    gone, rest = store.add(batch([4, 6, 20]))
+    assert sorted(tuple(r) for r in gone.collect()) == [(1, 1, 4), (1, 1, 6)]
+    assert sorted(tuple(r) for r in rest.collect()) == [(1, 1, 20), (4, 2, 4), (6, 2, 6), (20, 2, 20)]
+    store.save(f"{tmp_path}/runs")
+    again = line_dedup.RunStore.load(spark, f"{tmp_path}/runs", 2)
+    gone, _ = again.add(batch([7, 30]))
+    assert [tuple(r) for r in gone.collect()] == [(1, 1, 7)]
+    totals = {(r["h1"], r["h2"]): (r["n"], r["last"]) for r in again.totals().collect()}
+    assert totals[1, 1][0] >= 5 and totals[1, 1][1] == 30 and totals[20, 2] == (1, 20)
+
+
+def test_batches_grow_with_the_rows():
+    assert [line_dedup.batches_of(n) for n in (0, 1, 1 << 19, 1 << 22, 1 << 30)] == [2, 2, 2, 4, 12]
+
+
+def test_documents_of_very_many_dropped_lines(spark):
+    import time
+
+    text = "\n".join(f"line number {i:06d} that is shared by all of the documents" for i in range(20_000))
+    df = docs(spark, [(i, text, "en", "a") for i in range(6)])
+    began = time.perf_counter()
+    got = {r["doc_id"]: r["__n_dropped"] for r in line_dedup.dedup_lines(df).collect()}
+    assert got == {**dict.fromkeys(range(5), 20_000), 5: 0}
+    assert time.perf_counter() - began < 60
 
 
 def test_language(spark, odd):
