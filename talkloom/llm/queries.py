@@ -87,6 +87,27 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 _WORD = r"[^\x20\x09-\x0D]+"
 _SPACE = "chr(32)||chr(9)||chr(10)||chr(11)||chr(12)||chr(13)"
 
+def _host_sql() -> str:
+    """The part of op2's SQL that is alike for each rule: failures by host, priors, shrunk rates, verdicts."""
+    rules = {"base": "base_failed"} | host_rules.RULES
+    usual, least, most = host_rules.STRENGTH
+    floor, times, ceiling = host_rules.REFUSED_FROM
+    failures = ", ".join(f"count(*) FILTER ({rule}) AS {name}" for name, rule in rules.items())
+    moments = ", ".join(f"avg({x} / n) AS m_{x}, var_samp({x} / n) AS v_{x}" for x in rules)
+    strength = ", ".join(f"m_{x}, least({most}, greatest({least}, CASE WHEN k > 1 AND v_{x} > 0 THEN m_{x} * (1 - m_{x}) / v_{x} - 1 ELSE {usual} END)) AS s_{x}" for x in rules)
+    shrunk = ", ".join(f"({x} + m_{x} * s_{x}) / (n + s_{x}) AS rate_{x}, m_{x}" for x in rules)
+    broken = " OR ".join(f"(({rule}) AND rate_{x} > {host_rules.STRICT_FROM} * m_{x})" for x, rule in host_rules.RULES.items())
+    return f"""h AS (SELECT source, count(*) AS n, {failures} FROM f WHERE source IS NOT NULL GROUP BY source),
+p AS (SELECT count(*) AS k, {moments} FROM h),
+s AS (SELECT {strength} FROM p),
+q AS (SELECT source, {shrunk} FROM h, s)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND coalesce(rate_base < greatest({floor}, least({ceiling}, {times} * m_base)), true) AND NOT coalesce({broken}, false) AS kept
+FROM f LEFT JOIN q USING (source)"""
+
+
+_HOST_SQL = _host_sql()
+
 ORACLE_SQL: dict[str, str] = {
     "op2_host_quality_rules": rf"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS text FROM documents),
@@ -100,12 +121,7 @@ b AS (SELECT d.r, doc_id, source, coalesce(n_words, 0)::BIGINT AS n_words, coale
   length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words
   FROM d LEFT JOIN m USING (r) LEFT JOIN l USING (r)),
 f AS (SELECT *, n_words < {host_rules.LEAST_WORDS} OR 100 * n_repeat_words > {host_rules.MOST_REPEATED} * n_words AS base_failed FROM b),
-h AS (SELECT source, count(*) AS n, count(*) FILTER (base_failed) AS bad FROM f WHERE source IS NOT NULL GROUP BY source),
-p AS (SELECT avg(bad / n) AS m, var_samp(bad / n) AS v, count(*) AS k FROM h),
-s AS (SELECT m, least({host_rules.STRENGTH[2]}, greatest({host_rules.STRENGTH[1]}, CASE WHEN k > 1 AND v > 0 THEN m * (1 - m) / v - 1 ELSE {host_rules.STRENGTH[0]} END)) AS strength FROM p),
-q AS (SELECT source, (bad + m * strength) / (n + strength) AS rate FROM h, s)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND coalesce(rate < {host_rules.REFUSED_FROM}, true) AS kept
-FROM f LEFT JOIN q USING (source)""",
+{_HOST_SQL}""",
     "op5_exact_top_k": f"""
 WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor({metric_tree.SCALE} * x::DOUBLE)) AS e FROM embeddings
   WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
