@@ -3,54 +3,71 @@
 Vectors become integers. One more component, sqrt(M - |x|^2) with M the largest squared norm, puts all rows on a
 sphere, where the highest inner product is the smallest Euclidean distance: d(q, x)^2 = |q|^2 + M - 2 q.x.
 
-The tree has two routing levels. The upper nodes are pivots, fitted on a bounded sample of ``PIVOTS`` vectors; every
-row is indexed under its nearest pivot. Below, rows under one pivot are cut by their stored distance to it into pages of
-at most ``PAGE`` vectors. A page keeps the range of these distances, a routing vector of its own, the covering radius
-around that, and each vector's distance to both (the parent distances). A query searches the page of least bound first;
-that gives its k-th distance so far, and only pages whose range of distances to the pivot allows it are searched then. A
-page whose routing vector is farther than the k-th distance and the radius is left at once; in others, vectors whose
-parent distance differs from the query's by more than the k-th distance are skipped without computing theirs.
+The tree is built by closeness, level by level. Its upper entries are routing vectors fitted on a sample of at most ``TOPS``
+vectors; each row goes to the nearest. What falls under one of them is split among routing vectors drawn from its own
+rows, as many as its capacity asks for, and what then still exceeds the capacity (equal vectors above all) is cut in
+order of distance. This gives the nodes. A node is one record: a routing vector, its covering radius and its distance to
+the entry above (the parent distance), and leaf pages of about ``PAGE`` vectors, each again with routing vector, covering
+radius and parent distance, and with each vector's distance to it.
+
+All queries are searched together in rounds. The first round sends a query to its nearest node, the second to the next
+``SECOND`` by bound, the last to all others whose bound the k-th distance by then allows; upper entries and nodes are
+dropped by radii and parent distances alone. A query meets a node as a row only if it must be searched there. In a node,
+leaves come in order of distance; leaves and vectors whose stored distances prove them worse than the k-th best so far,
+which falls from leaf to leaf, are skipped and their distances not computed.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from talkloom.llm.common import cut, type_of
 
-#: Production parameters. PIVOTS is also the bound of the sample that the index is fitted on.
+#: Production parameters. TOPS is also the bound of the sample that the upper entries are fitted on.
 K = 5
 SCALE = 256
 QUERY_EVERY = 50
-PIVOTS = 32
-PAGE = 2048
-#: Queries that meet a page in one task.
-QUERIES = 512
-#: Slack for rounding in distances, relative to their size.
-EPS = 1e-9
+TOPS = 256
+PAGE = 128
+#: Bytes of vectors in a node, nodes of the second round, queries that meet a node in one task.
+NODE_BYTES = 8 << 20
+SECOND = 3
+QUERIES = 1 << 15
+#: Slack for rounding in distances, relative to their size and absolute.
+EPS, TINY = 1e-9, 1e-6
 
 
-def whole(vectors: list, scale: int = SCALE) -> tuple[np.ndarray, np.ndarray]:
+def whole(vectors: list, scale: int = SCALE) -> tuple[np.ndarray, list[np.ndarray]]:
     """Row numbers of the usable vectors and their components as floor(scale * x)."""
     keep = [i for i, v in enumerate(vectors) if v is not None and len(v) and None not in v]
-    keep = [i for i in keep if np.isfinite(np.asarray(vectors[i], np.float64)).all()]
     if not keep:
-        return np.zeros(0, int), np.zeros((0, 0), np.int64)
-    return np.array(keep), np.floor(scale * np.array([vectors[i] for i in keep], np.float64)).astype(np.int64)
+        return np.zeros(0, int), []
+    if len({len(vectors[i]) for i in keep}) == 1:
+        all_of_it = np.array([vectors[i] for i in keep], np.float64)
+        good = np.isfinite(all_of_it).all(axis=1)
+        return np.array(keep)[good], list(np.floor(scale * all_of_it[good]).astype(np.int64))
+    arrays = [(i, np.asarray(vectors[i], np.float64)) for i in keep]
+    arrays = [(i, x) for i, x in arrays if np.isfinite(x).all()]
+    return np.array([i for i, _ in arrays], int), [np.floor(scale * x).astype(np.int64) for _, x in arrays]
 
 
 def lift(ints: np.ndarray, norm: int) -> np.ndarray:
     """The rows on the sphere of squared radius norm, as doubles."""
-    rest = np.maximum(0, norm - np.einsum("ij,ij->i", ints, ints)) if len(ints) else np.zeros(0)
-    return np.column_stack([ints, np.sqrt(rest.astype(np.float64))]) if len(ints) else np.zeros((0, 1))
+    rest = np.maximum(0, norm - np.einsum("ij,ij->i", ints, ints))
+    return np.column_stack([ints, np.sqrt(rest.astype(np.float64))])
+
+
+def flat(ints: np.ndarray) -> np.ndarray:
+    """Queries beside lifted rows."""
+    return np.column_stack([ints, np.zeros(len(ints))])
 
 
 def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -58,203 +75,298 @@ def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(d, 0))
 
 
-def _cells(table: pa.Table, dims: int, column: str) -> np.ndarray:
-    return np.frombuffer(b"".join(table.column(column).to_pylist()), "<i8").reshape(-1, dims)
-
-
-class Page:
-    """Vectors, their distances to the pivot and to the page's routing vector, and the radius around that."""
-
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, to_pivot: np.ndarray, to_centre: np.ndarray, centre: int, radius: float):
-        self.ids, self.vectors, self.to_pivot, self.to_centre, self.centre, self.radius = ids, vectors, to_pivot, to_centre, centre, radius
-
-
-def routing(lifted: np.ndarray) -> tuple[int, np.ndarray]:
-    """The place of the vector nearest to the mean, and every vector's distance to it."""
-    centre = int(distances(lifted, lifted.mean(axis=0)[None])[:, 0].argmin())
-    return centre, distances(lifted, lifted[[centre]])[:, 0]
-
-
-def search_page(queries: np.ndarray, own: list, bound: np.ndarray, page: Page, pivot: np.ndarray, norm: int, k: int) -> list[tuple[int, int, int]]:
-    """(query's place, vec_id, score) of at most k rows of the page for each query, none that is surely worse than its bound."""
-    lifted = np.column_stack([queries, np.zeros(len(queries))])
-    from_pivot = distances(lifted, pivot[None])[:, 0]
-    from_centre = distances(lifted, lift(page.vectors[[page.centre]], norm))[:, 0]
-    ids, vectors = page.ids, page.vectors
-    # Doubles hold the products exactly as long as none can exceed 2**53; they are far quicker than integers.
-    largest = int(np.abs(vectors).max()) * int(np.abs(queries).max()) * vectors.shape[1]
-    if largest < 1 << 53:
-        queries, vectors = queries.astype(np.float64), vectors.astype(np.float64)
-    out = []
-    for j, q in enumerate(queries):
-        reach = bound[j] * (1 + EPS) + 1e-6
-        if from_centre[j] - page.radius > reach:
-            continue
-        allowed = np.abs(page.to_pivot - from_pivot[j]) <= reach
-        allowed &= np.abs(page.to_centre - from_centre[j]) <= reach
-        near = np.flatnonzero(allowed & (ids != own[j]))
-        if not len(near):
-            continue
-        scores = vectors[near] @ q
-        if len(near) > 4 * k:  # everything tied with the k-th stays, so that ties go to the smaller id
-            least = np.partition(scores, len(scores) - k)[len(scores) - k]
-            near, scores = near[scores >= least], scores[scores >= least]
-        order = np.lexsort((ids[near], -scores))[:k]
-        out += [(j, int(ids[near[i]]), int(scores[i])) for i in order]
-    return out
-
-
-def top_k(rows: DataFrame, is_query, k: int = K, scale: int = SCALE, pivots: int = PIVOTS, page: int = PAGE, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+def nearest(rows: np.ndarray, centres: np.ndarray, step: int = 4096) -> tuple[np.ndarray, np.ndarray]:
+    """Of each row the nearest centre (the first, if several are) and its distance."""
+    at, far = np.zeros(len(rows), np.int32), np.zeros(len(rows))
+    for i in range(0, len(rows), step):
+        d = distances(rows[i : i + step], centres)
+        at[i : i + step] = d.argmin(axis=1)
+        far[i : i + step] = d[np.arange(len(d)), at[i : i + step]]
+    return at, far
+
+
+def ints_of(raw: list[bytes], dims: int) -> np.ndarray:
+    return np.frombuffer(b"".join(raw), "<i8").reshape(-1, dims)
+
+
+class Node:
+    """Leaf pages of one node. Vectors lie page by page; leaves are numbered from 0."""
+
+    def __init__(self, ids: list, vectors: np.ndarray, starts: np.ndarray, centres: np.ndarray, radii: np.ndarray, parents: np.ndarray, inner: np.ndarray, centre: int, radius: float):
+        self.ids, self.vectors, self.starts, self.centres, self.radii = ids, vectors, starts, centres, radii
+        self.parents, self.inner, self.centre, self.radius = parents, inner, centre, radius
+
+    @classmethod
+    def build(cls, ids: list, vectors: np.ndarray, norm: int, page: int = PAGE) -> Node:
+        lifted = lift(vectors, norm)
+        n = len(vectors)
+        drawn = np.unique(np.linspace(0, n - 1, max(1, math.ceil(n / page))).astype(int))
+        at, _ = nearest(lifted, lifted[drawn])
+        order = np.argsort(at, kind="stable")
+        bounds = np.flatnonzero(np.r_[True, np.diff(at[order]) > 0])
+        starts = np.array(sorted({s for a, b in zip(bounds, np.r_[bounds[1:], n]) for s in range(a, b, 2 * page)}), np.int32)
+        ids, vectors, lifted = [ids[i] for i in order], vectors[order], lifted[order]
+        middle = int(distances(lifted, lifted.mean(axis=0)[None])[:, 0].argmin())
+        ends = np.r_[starts[1:], n]
+        centres, radii, inner = np.zeros(len(starts), np.int32), np.zeros(len(starts)), np.zeros(n)
+        for i, (a, b) in enumerate(zip(starts, ends)):
+            centres[i] = a + distances(lifted[a:b], lifted[a:b].mean(axis=0)[None])[:, 0].argmin()
+            inner[a:b] = distances(lifted[a:b], lifted[[centres[i]]])[:, 0]
+            radii[i] = inner[a:b].max()
+        parents = distances(lifted[centres], lifted[[middle]])[:, 0]
+        return cls(ids, vectors, starts, centres, radii, parents, inner, middle, float(distances(lifted, lifted[[middle]]).max()))
+
+    def search(self, queries: np.ndarray, own: list, bound: np.ndarray, norm: int, k: int, computed: list[int] | None = None) -> list[tuple[int, int, int]]:
+        """(query's place, row's place, score) of at most k rows for each query: its best here, less those surely beyond bound.
+
+        ``bound`` is each query's k-th distance so far. Rows whose id is the query's own are left out. ``computed``
+        receives the number of pairs of query and vector whose product was computed.
+        """
+        lifted_centre = lift(self.vectors[[self.centre]], norm)
+        q = flat(queries)
+        to_node = distances(q, lifted_centre)[:, 0]
+        reach = bound * (1 + EPS) + TINY
+        alive = np.flatnonzero(to_node - self.radius <= reach)
+        if not len(alive):
+            return []
+        ids = np.array(self.ids)
+        largest = int(np.abs(self.vectors).max(initial=0)) * int(np.abs(queries).max(initial=0)) * self.vectors.shape[1]
+        # Doubles hold the products exactly as long as none can exceed 2**53; they are far quicker than integers.
+        exact = np.float64 if largest < 1 << 53 else np.int64 if largest < 1 << 62 else object
+        squares = np.einsum("ij,ij->i", q, q)
+        best: list[list[tuple[int, int, int]]] = [[] for _ in range(len(queries))]  # (-score, id, place), sorted
+        leaves = lift(self.vectors[self.centres], norm)
+        ends = np.r_[self.starts[1:], len(self.vectors)]
+        # Parent distances: what is proved too far by them needs no distance of its own.
+        allowed = np.abs(to_node[alive, None] - self.parents[None]) - self.radii[None] <= reach[alive, None]
+        from_leaf = np.full((len(alive), len(ends)), np.inf)
+        for j in np.flatnonzero(allowed.any(axis=0)):
+            rows = np.flatnonzero(allowed[:, j])
+            from_leaf[rows, j] = distances(q[alive[rows]], leaves[[j]])[:, 0]
+        for j in np.argsort(np.where(np.isinf(from_leaf), np.nan, from_leaf - self.radii[None]).min(axis=0, initial=np.inf, where=~np.isinf(from_leaf)), kind="stable"):
+            here = np.flatnonzero(from_leaf[:, j] - self.radii[j] <= reach[alive])
+            if not len(here):
+                continue
+            a, b = self.starts[j], ends[j]
+            may = np.abs(self.inner[None, a:b] - from_leaf[here, j][:, None]) <= reach[alive[here], None]
+            columns = np.flatnonzero(may.any(axis=0))
+            rows = here[may.any(axis=1)]
+            if not len(columns):
+                continue
+            scores = queries[alive[rows]].astype(exact) @ self.vectors[a + columns].T.astype(exact)
+            if computed is not None:
+                computed.append(scores.size)
+            for r, row in zip(rows, scores):
+                i = alive[r]
+                least = -best[i][-1][0] if len(best[i]) == k else None
+                near = np.flatnonzero(row >= least) if least is not None else np.arange(len(row))
+                if len(near) > 4 * k:  # everything tied with the k-th stays, so that ties go to the smaller id
+                    kth = np.sort(row[near])[-2 * k]
+                    near = near[row[near] >= kth]
+                found = [(-int(row[c]), ids[a + columns[c]].item(), int(a + columns[c])) for c in near if ids[a + columns[c]] != own[i]]
+                if len(found) < min(len(near), k) and len(near) < len(row):  # own rows were among the best
+                    found = [(-int(row[c]), ids[a + columns[c]].item(), int(a + columns[c])) for c in range(len(row)) if ids[a + columns[c]] != own[i]]
+                if found:
+                    best[i] = sorted(best[i] + found)[:k]
+                    if len(best[i]) == k:
+                        reach[i] = min(reach[i], math.sqrt(max(0.0, squares[i] + norm + 2 * best[i][-1][0])) * (1 + EPS) + TINY)
+        return [(i, place, -score) for i, found in enumerate(best) for score, _, place in found]
+
+
+def top_k(
+    rows: DataFrame,
+    is_query: Callable[[Column], Column],
+    k: int = K,
+    scale: int = SCALE,
+    tops: int = TOPS,
+    page: int = PAGE,
+    node_bytes: int = NODE_BYTES,
+    id_col: str = "vec_id",
+    vector_col: str = "embedding",
+) -> DataFrame:
     """query_id, rank, vec_id, score: for each row where is_query(id column) holds, its k best other rows (all, if fewer).
 
-    Vectors that are null, empty, or hold a null or non-finite component take no part, nor do rows with a null id or
-    vectors of another dimension than the most frequent one. Ties in score go to the smaller id. Rows repeated with one
-    id and vector count once; rows of one id are never candidates for each other, and where their vectors differ the
-    highest score counts. No query, or no other row, gives no
-    row. Columns other than the two named are ignored.
+    Vectors that are null, empty, or hold a null or non-finite component take no part, nor do rows with a null id.
+    Vectors meet those of their own dimension. Ties in score go to the smaller id. Repeated rows are candidates as often
+    as they come, but never of a query of their own id; a query that is repeated with its vector is asked once, and
+    queries of one id and different vectors each have ranks of their own. No query, or no other row, gives no row. Columns
+    other than the two named are ignored.
     """
-    spark = rows.sparkSession
-    kind = type_of(rows, id_col)
+    spark, kind = rows.sparkSession, type_of(rows, id_col)
 
     def ints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at, found = whole(batch.column(1).to_pylist(), scale) if _even(batch.column(1)) else _uneven(batch.column(1).to_pylist(), scale)
-            raw = [x.astype("<i8").tobytes() for x in found]
-            norms = [int(x @ x) for x in found]
-            dims = [len(x) for x in found]
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), pa.array(raw, pa.binary()), pa.array(norms, pa.int64()), pa.array(dims, pa.int32())], names=["id", "raw", "norm", "dims"])
+            at, found = whole(batch.column(1).to_pylist(), scale)
+            norms, dims = [int(x @ x) for x in found], [len(x) for x in found]
+            raw = pa.array([x.astype("<i8").tobytes() for x in found], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), raw, pa.array(norms, pa.int64()), pa.array(dims, pa.int32())], names=["id", "raw", "norm", "dims"])
 
     used = rows.where(F.col(id_col).isNotNull()).select(id_col, vector_col).mapInArrow(ints, f"id {kind}, raw binary, norm long, dims int")
-    used = cut(used.distinct(), "vectors")
-    usual = used.groupBy("dims").agg(F.count("*").alias("n"), F.max("norm").alias("norm")).orderBy(F.desc("n"), "dims").first()
-    schema = f"query_id {kind}, rank int, vec_id {kind}, score long"
-    if usual is None:
-        return spark.createDataFrame([], schema)
-    dims, n, norm = usual["dims"], usual["n"], usual["norm"]
-    used = used.where(F.col("dims") == dims)
-    sample = [bytes(r["raw"]) for r in used.select("raw").distinct().orderBy(F.xxhash64("raw"), "raw").limit(pivots).collect()]
-    centres = lift(np.frombuffer(b"".join(sample), "<i8").reshape(-1, dims), norm)
-
-    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    used = cut(used, "vectors")
+    kinds = used.groupBy("dims").agg(F.count("*").alias("n"), F.max("norm").alias("norm")).orderBy("dims").collect()  # a row for each dimension
+    found = [_top_k(used.where(F.col("dims") == r["dims"]), is_query, r["dims"], r["n"], r["norm"], k, tops, page, node_bytes, kind) for r in kinds]
+    if not found:
+        return spark.createDataFrame([], f"query_id {kind}, rank int, vec_id {kind}, score long")
+    return reduce(DataFrame.unionByName, found)
+
+
+def build(used: DataFrame, dims: int, n: int, norm: int, tops: int, page: int, node_bytes: int, kind: str) -> tuple[np.ndarray, DataFrame]:
+    """The routing vectors of the upper entries, lifted, and the nodes: a table of one record each."""
+    capacity = max(page, node_bytes // (8 * dims))
+    wanted = max(1, min(tops, math.ceil(2 * n / capacity)))
+    sample = used.select("raw").distinct().orderBy(F.xxhash64("raw"), "raw").limit(wanted).collect()
+    upper = lift(ints_of([bytes(r["raw"]) for r in sample], dims), norm)
+
+    def to_top(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                d = distances(lift(np.frombuffer(b"".join(batch.column(1).to_pylist()), "<i8").reshape(-1, dims), norm), centres)
-                at = d.argmin(axis=1)
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(at.astype(np.int32)), pa.array(d[np.arange(len(at)), at])], names=["id", "raw", "pivot", "parent"])
-
-    def paged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-
-        def close(t: pa.Table) -> pa.RecordBatch:
-            vectors = _cells(t, dims, "raw")
-            parent = t.column("parent").to_numpy()
-            centre, inner = routing(lift(vectors, norm))
-            ids = pa.array([t.column("id").to_pylist()], pa.list_(t.schema.field("id").type))
-            raw = [pa.array([x.tobytes()], pa.binary()) for x in (vectors, parent, inner)]
-            ends = [pa.array([x], pa.float64()) for x in (parent.min(), parent.max(), inner.max())]
-            return pa.RecordBatch.from_arrays(
-                [t.column("pivot").combine_chunks()[:1], *ends, pa.array([centre], pa.int32()), ids, *raw],
-                names=["pivot", "from_d", "to_d", "radius", "centre", "ids", "vectors", "parents", "inner"],
-            )
-
-        def ready(t: pa.Table, all_of_it: bool) -> Iterator[pa.Table]:
-            pivot = t.column("pivot").to_numpy()
-            starts = [0, *(np.flatnonzero(np.diff(pivot)) + 1).tolist(), len(pivot)]
-            for a, b in zip(starts, starts[1:]):
-                for i in range(a, b, page):
-                    if i + page <= b or b < len(pivot) or all_of_it:
-                        yield t.slice(i, min(page, b - i))
-                    else:
-                        held.append(t.slice(i, b - i).combine_chunks())
+                at, _ = nearest(lift(ints_of(batch.column(1).to_pylist(), dims), norm), upper)
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(at)], names=["id", "raw", "top"])
+
+    placed = cut(used.select("id", "raw").mapInArrow(to_top, f"id {kind}, raw binary, top int"), "placed")
+    # Routing vectors of the next level: of each upper entry's different rows, twice as many as its rows fill nodes.
+    sizes = placed.groupBy("top").agg(F.count("*").alias("n")).withColumn("m", F.ceil(2 * F.col("n") / capacity).cast("int"))
+    sizes = cut(sizes, "sizes")
+    drawn = placed.select("top", "raw").distinct().join(sizes.where(F.col("n") > capacity), "top").select("top", "m", "raw", F.xxhash64("raw").alias("h"))
+    first = Window.partitionBy("top").orderBy("h", "raw")
+    least = drawn.withColumn("nth", F.row_number().over(first)).where((F.col("nth") <= F.col("m")) & (F.col("nth") <= tops))
+    least = cut(least.select("top", "raw"), "routing")
+    slices = F.ceil(F.col("n") / capacity).cast("int")
+    split = placed.join(sizes.select("top", "n"), "top").withColumn("slice", F.pmod(F.xxhash64("id", "raw"), slices).cast("int"))
+    every = sizes.select("top", F.explode(F.sequence(F.lit(0), slices - 1)).alias("slice"))
+    routing = least.join(every, "top")
+
+    def to_node(left: pa.Table, right: pa.Table) -> pa.Table:
+        at, far = np.zeros(left.num_rows, np.int32), np.zeros(left.num_rows)
+        if left.num_rows and right.num_rows:
+            centres = lift(ints_of(sorted(right.column("raw").to_pylist()), dims), norm)
+            at, far = nearest(lift(ints_of(left.column("raw").to_pylist(), dims), norm), centres)
+        elif left.num_rows:
+            far = nearest(lift(ints_of(left.column("raw").to_pylist(), dims), norm), upper[left.column("top").to_numpy()[:1]])[1]
+        return pa.table([left.column("id"), left.column("raw"), left.column("top"), pa.array(at), pa.array(far)], names=["id", "raw", "top", "node", "far"])
+
+    assigned = split.select("id", "raw", "top", "slice").groupBy("top", "slice").cogroup(routing.groupBy("top", "slice"))
+    assigned = assigned.applyInArrow(to_node, f"id {kind}, raw binary, top int, node int, far double")
+    parts = max(1, math.ceil(2 * n / capacity))
+    in_order = assigned.repartitionByRange(parts, "top", "node", "far", "id").sortWithinPartitions("top", "node", "far", "id")
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows come in order of node and distance; nodes are cut at the capacity and where a partition ends."""
+        held: list[pa.Table] = []
+
+        def record(t: pa.Table) -> pa.RecordBatch:
+            t = t.combine_chunks()
+            made = Node.build(t.column("id").to_pylist(), ints_of(t.column("raw").to_pylist(), dims), norm, page)
+            top = t.column("top")[0].as_py()
+            parent = float(distances(lift(made.vectors[[made.centre]], norm), upper[[top]])[0, 0])
+            raws = [made.vectors.astype("<i8"), made.starts.astype("<i4"), made.centres.astype("<i4"), made.radii, made.parents, made.inner]
+            arrays = [pa.array([top], pa.int32()), pa.array([parent]), pa.array([made.radius]), pa.array([made.centre], pa.int32()), pa.array([made.ids], pa.list_(t.schema.field("id").type))]
+            return pa.RecordBatch.from_arrays([*arrays, *(pa.array([x.tobytes()], pa.binary()) for x in raws)], names=list(_NODE))
+
+        def key(t: pa.Table, i: int) -> tuple:
+            return t.column("top")[i].as_py(), t.column("node")[i].as_py()
 
         for batch in batches:
-            if batch.num_rows:
-                parts = [*held, pa.Table.from_batches([batch])]
-                held.clear()
-                for t in ready(pa.concat_tables(parts), False):
-                    yield close(t)
+            if not batch.num_rows:
+                continue
+            t = pa.concat_tables([*held, pa.Table.from_batches([batch])])
+            edges = np.flatnonzero((np.diff(t.column("top").to_numpy()) != 0) | (np.diff(t.column("node").to_numpy()) != 0)) + 1
+            starts = [0, *edges.tolist(), t.num_rows]
+            held = []
+            for a, b in zip(starts, starts[1:]):
+                while b - a > capacity or (b < t.num_rows and b > a):
+                    yield record(t.slice(a, min(capacity, b - a)))
+                    a += min(capacity, b - a)
+                if b == t.num_rows and b > a:
+                    held = [t.slice(a, b - a).combine_chunks()]
         if held:
-            last = pa.concat_tables(held)
-            held.clear()
-            for t in ready(last, True):
-                yield close(t)
-
-    parts = max(1, math.ceil(n / (2 * page)))
-    placed = used.select("id", "raw").mapInArrow(assign, f"id {kind}, raw binary, pivot int, parent double")
-    placed = placed.repartitionByRange(parts, "pivot", "parent", "id").sortWithinPartitions("pivot", "parent", "id")
-    pages = placed.mapInArrow(paged, f"pivot int, from_d double, to_d double, radius double, centre int, ids array<{kind}>, vectors binary, parents binary, inner binary")
-    pages = cut(pages.withColumn("page", F.monotonically_increasing_id()), "pages")
-    catalog = cut(pages.select("page", "pivot", "from_d", "to_d"), "catalog")
-
-    queries = used.where(is_query(F.col("id"))).select(F.col("id").alias("query_id"), F.col("raw").alias("query"))
-    queries = cut(queries, "queries")
+            yield record(held[0])
+
+    schema = f"top int, parent double, radius double, centre int, ids array<{kind}>, vectors binary, starts binary, centres binary, radii binary, parents binary, inner binary"
+    nodes = in_order.mapInArrow(packed, schema)
+    return upper, cut(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
+
+
+_NODE = ("top", "parent", "radius", "centre", "ids", "vectors", "starts", "centres", "radii", "parents", "inner")
+
+
+def _top_k(used: DataFrame, is_query: Callable[[Column], Column], dims: int, n: int, norm: int, k: int, tops: int, page: int, node_bytes: int, kind: str) -> DataFrame:
+    upper, nodes = build(used, dims, n, norm, tops, page, node_bytes, kind)
+    catalog = cut(nodes.select("node", "top", "parent", "radius"), "catalog")
+    radii = {r["top"]: r["r"] for r in catalog.groupBy("top").agg(F.max(F.col("parent") + F.col("radius")).alias("r")).collect()}  # at most ``tops``
+    radius = np.array([radii.get(i, -np.inf) for i in range(len(upper))])
+    queries = used.where(is_query(F.col("id"))).select(F.col("id").alias("query_id"), F.col("raw").alias("query"), "norm").distinct()
+    queries = cut(queries.withColumn("h", F.xxhash64("query")), "queries")
     chunks = max(1, math.ceil(queries.count() / QUERIES))
+    query = ["query_id", "h"]
+
+    def route(nearest_only: bool) -> Callable:
+        def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for start in range(0, batch.num_rows, 4096):
+                    part = batch.slice(start, 4096)
+                    d = distances(flat(ints_of(part.column(2).to_pylist(), dims)), upper)
+                    if nearest_only:
+                        rows, at = np.arange(len(d)), d.argmin(axis=1)
+                    else:
+                        limit = part.column(3).to_numpy()[:, None]
+                        rows, at = np.nonzero(d - radius[None] <= limit * (1 + EPS) + TINY)
+                    take = pa.array(rows)
+                    columns = [part.column(0).take(take), part.column(1).take(take), pa.array(at.astype(np.int32)), pa.array(d[rows, at]), part.column(3).take(take)]
+                    yield pa.RecordBatch.from_arrays(columns, names=[*query, "top", "d", "limit"])
 
-    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                q = np.frombuffer(b"".join(batch.column(1).to_pylist()), "<i8").reshape(-1, dims)
-                d = distances(np.column_stack([q, np.zeros(len(q))]), centres)
-                rows = np.repeat(np.arange(len(q)), len(centres))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array(rows)), batch.column(1).take(pa.array(rows)), pa.array(np.tile(np.arange(len(centres), dtype=np.int32), len(q))), pa.array(d.ravel())],
-                    names=["query_id", "query", "to_pivot_id", "d"],
-                )
-
-    routed = queries.mapInArrow(route, f"query_id {kind}, query binary, to_pivot_id int, d double")
-    bound = F.greatest(F.lit(0.0), F.col("d") - F.col("to_d"), F.col("from_d") - F.col("d"))
-    reached = routed.join(catalog, F.col("to_pivot_id") == F.col("pivot")).select("query_id", "query", "page", bound.alias("bound"), "d")
-    reached = cut(reached, "bounds")
+        return each
+
+    def routed(limited: DataFrame, nearest_only: bool) -> DataFrame:
+        """query_id, h, node, bound, limit: nodes that radii and parent distances do not rule out."""
+        pairs = limited.select(*query, "query", "limit").mapInArrow(route(nearest_only), f"query_id {kind}, h long, top int, d double, limit double")
+        bound = F.greatest(F.lit(0.0), F.abs(F.col("d") - F.col("parent")) - F.col("radius"), F.lit(0.0))
+        pairs = pairs.join(catalog, "top").select(*query, "node", bound.alias("bound"), "limit")
+        return pairs.where(F.col("bound") <= F.col("limit") * (1 + EPS) + TINY)
 
     def searched(left: pa.Table, right: pa.Table) -> pa.Table:
-        out: list[tuple] = []
-        if left.num_rows and right.num_rows:
-            q = _cells(right, dims, "query")
-            own, limit = right.column("query_id").to_pylist(), right.column("limit").to_numpy()
-            for i in range(left.num_rows):
-                at = {c: left.column(c)[i].as_py() for c in ("pivot", "radius", "centre", "ids", "vectors", "parents", "inner")}
-                vectors = np.frombuffer(at["vectors"], "<i8").reshape(-1, dims)
-                page_of = Page(np.array(at["ids"]), vectors, np.frombuffer(at["parents"]), np.frombuffer(at["inner"]), at["centre"], at["radius"])
-                out += [(own[j], x, s) for j, x, s in search_page(q, own, limit, page_of, centres[at["pivot"]], norm, k)]
+        out: list[pa.Table] = []
+        for i in range(left.num_rows if right.num_rows else 0):
+            at = {c: left.column(c)[i].as_py() for c in _NODE}
+            numbers = (np.frombuffer(at[c], t) for c, t in (("starts", "<i4"), ("centres", "<i4"), ("radii", "<f8"), ("parents", "<f8"), ("inner", "<f8")))
+            node = Node(at["ids"], ints_of([at["vectors"]], dims), *numbers, at["centre"], at["radius"])
+            found = node.search(ints_of(right.column("query").to_pylist(), dims), right.column("query_id").to_pylist(), right.column("limit").to_numpy(), norm, k)
+            of = pa.array([f[0] for f in found], pa.int64())
+            ids = pa.array([at["ids"][f[1]] for f in found], left.schema.field("ids").type.value_type)
+            out.append(pa.table([right.column("query_id").take(of), right.column("h").take(of), ids, pa.array([f[2] for f in found], pa.int64())], names=[*query, "vec_id", "score"]))
         t = right.schema.field("query_id").type
-        return pa.table([pa.array([o[0] for o in out], t), pa.array([o[1] for o in out], t), pa.array([o[2] for o in out], pa.int64())], names=["query_id", "vec_id", "score"])
+        return pa.concat_tables(out) if out else pa.table([pa.array([], t), pa.array([], pa.int64()), pa.array([], t), pa.array([], pa.int64())], names=[*query, "vec_id", "score"])
 
     def search(wanted: DataFrame) -> DataFrame:
-        wanted = wanted.withColumn("chunk", F.pmod(F.xxhash64("query_id"), F.lit(chunks)).cast("int"))
-        needed = wanted.select(F.col("page").alias("of_page"), F.col("chunk").alias("of_chunk")).distinct()
-        needed = needed.join(pages, F.col("of_page") == F.col("page")).drop("page")
-        cells = needed.groupBy("of_page", "of_chunk").cogroup(wanted.groupBy("page", "chunk"))
-        return cells.applyInArrow(searched, f"query_id {kind}, vec_id {kind}, score long")
-
-    nearest = reached.groupBy("query_id").agg(F.min_by(F.struct("page", "query"), F.struct("bound", "d", "page")).alias("x"))
-    first = cut(search(nearest.select("query_id", F.col("x.page").alias("page"), F.col("x.query").alias("query"), F.lit(float("inf")).alias("limit"))), "first")
-    by_score = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    kth = first.withColumn("nth", F.row_number().over(by_score)).where(F.col("nth") == k).select(F.col("query_id").alias("of"), F.col("score").alias("kth"))
-    # d^2 = |q|^2 + M - 2 q.x at the k-th best score so far; without k results the bound is open.
-    done = nearest.select(F.col("query_id").alias("done_id"), F.col("x.page").alias("done_page"))
-    limits = queries.join(kth, F.col("query_id") == F.col("of"), "left").join(used.select(F.col("id").alias("nid"), F.col("raw").alias("nraw"), "norm"), (F.col("nid") == F.col("query_id")) & (F.col("nraw") == F.col("query")))
-    reach = F.sqrt(F.greatest(F.lit(0.0), (F.col("norm") + norm - 2 * F.col("kth")).cast("double")))
-    limit = F.when(F.col("kth").isNull(), float("inf")).otherwise(reach)
-    limits = cut(limits.select(F.col("query_id").alias("of_id"), limit.alias("limit")).groupBy("of_id").agg(F.max("limit").alias("limit")), "limits")
-    rest = reached.join(limits, F.col("query_id") == F.col("of_id")).where(F.col("bound") <= F.col("limit") * (1 + EPS) + 1e-6)
-    rest = rest.join(done, (F.col("query_id") == F.col("done_id")) & (F.col("page") == F.col("done_page")), "left_anti")
-    found = first.unionByName(search(rest.select("query_id", "page", "query", "limit")))
-    found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-    ranked = found.withColumn("rank", F.row_number().over(by_score)).where(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
-
-
-def _even(column: pa.Array) -> bool:
-    """Whether all vectors of a batch have one length."""
-    sizes = {s for s in pc.list_value_length(column).to_pylist() if s}
-    return len(sizes) <= 1
-
-
-def _uneven(vectors: list, scale: int) -> tuple[np.ndarray, list[np.ndarray]]:
-    at, found = [], []
-    for i, v in enumerate(vectors):
-        rows, ints = whole([v], scale)
-        if len(rows):
-            at.append(i)
-            found.append(ints[0])
-    return np.array(at, int), found
+        """The best of each query in each of its nodes; a node is shipped once for up to QUERIES queries."""
+        wanted = wanted.join(queries.select(*query, "query"), query).withColumn("chunk", F.pmod(F.xxhash64(*query), F.lit(chunks)).cast("int"))
+        needed = wanted.select(F.col("node").alias("of_node"), F.col("chunk").alias("of_chunk")).distinct()
+        needed = needed.join(nodes, F.col("of_node") == F.col("node")).drop("node")
+        cells = needed.groupBy("of_node", "of_chunk").cogroup(wanted.select("node", "chunk", *query, "query", "limit").groupBy("node", "chunk"))
+        return cells.applyInArrow(searched, f"query_id {kind}, h long, vec_id {kind}, score long")
+
+    by_score = Window.partitionBy(*query).orderBy(F.desc("score"), "vec_id")
+
+    def limits(best: DataFrame) -> DataFrame:
+        """Queries with the distance of their k-th best so far; open while a query has fewer than k."""
+        kth = best.groupBy(*query).agg(F.count("*").alias("n"), F.min("score").alias("kth"))
+        far = F.sqrt(F.greatest(F.lit(0.0), (F.col("norm") + norm - 2 * F.col("kth")).cast("double")))
+        return queries.join(kth, query, "left").withColumn("limit", F.when(F.col("n") >= k, far).otherwise(float("inf")))
+
+    open_end = queries.withColumn("limit", F.lit(float("inf")))
+    home = routed(open_end, True).groupBy(*query).agg(F.min_by("node", F.struct("bound", "node")).alias("node"))
+    done = cut(home.withColumn("limit", F.lit(float("inf"))), "visited")
+    best = cut(_best(search(done), by_score, k), "best")
+    for share in (SECOND, None):
+        left = routed(limits(best), False).join(done.select(*query, "node"), [*query, "node"], "left_anti")
+        if share:
+            nth = F.row_number().over(Window.partitionBy(*query).orderBy("bound", "node"))
+            left = left.withColumn("nth", nth).where(F.col("nth") <= share)
+        left = cut(left.select(*query, "node", "limit"), "visited")
+        best = cut(_best(best.unionByName(search(left)), by_score, k), "best")
+        done = done.unionByName(left)
+    return best.withColumn("rank", F.row_number().over(by_score)).select("query_id", "rank", "vec_id", "score")
+
+
+def _best(found: DataFrame, by_score, k: int) -> DataFrame:
+    return found.withColumn("nth", F.row_number().over(by_score)).where(F.col("nth") <= k).drop("nth")
