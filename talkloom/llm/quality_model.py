@@ -1,13 +1,15 @@
 """Quality classifier: random-indexing word vectors, pooled per document, under a two-layer network.
 
-Terms are the most frequent words of the sample and, for every word, its shape (letter case and trailing characters),
-plus one term for words that repeat the word before. Each term has a sparse random index vector; its word vector adds
-the index vectors of the terms around it in the sample to its own. A document is the mean of its terms' vectors, weighed
-by rarity. A network with one hidden layer, trained in numpy, scores it; its temperature is fitted on rows held back.
+Terms are the words that most documents hold and, for every word, its shape (letter case and trailing characters), plus
+one term for words that repeat the word before. Each term has a sparse random index vector; its word vector adds the index
+vectors of the terms around it to its own. Document counts and contexts are those of the whole corpus, whole texts. A
+document is the mean of its terms' vectors, weighed by rarity. A network with one hidden layer, trained in numpy on a
+bounded sample of labelled documents, scores it; its temperature is fitted on rows held back.
 """
 
 from __future__ import annotations
 
+import math
 import operator
 from collections import Counter
 from collections.abc import Iterator
@@ -20,21 +22,24 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from talkloom.llm.common import WORD, cut, type_of, utf8
+from talkloom.llm.common import cut, type_of, utf8
 
-#: Production parameters. The model is fitted on at most SAMPLE labelled documents, those of smallest id hash, of which
-#: word vectors use the first CONTEXT_WORDS words; its vocabulary is at most TERMS words.
+#: Production parameters. The network is fitted on at most SAMPLE labelled documents, those of smallest id hash. TERMS is
+#: the size of the vocabulary: so many words and so many shapes, those in most documents; a word beyond it has its shape.
 SAMPLE = 8_000
-CONTEXT_WORDS = 20_000
 TERMS = 4_000
+LEAST_DOCS = 5
 DIMS = 96
 NONZERO = 6
 REACH = 2
 HIDDEN = 32
 EPOCHS = 40
 THRESHOLD = 0.3
-#: Words whose terms a worker keeps before it starts over.
+#: Words whose terms a worker keeps before it starts over; pairs of words that it adds up at once, by two; context
+#: sums of partitions that are added up in one task.
 CACHE = 200_000
+STEP = 1 << 17
+SUMMED = 16
 
 REPEAT = b"\x00repeat"
 _KEEP = bytes.maketrans(b"0123456789", b"9999999999")
@@ -143,48 +148,118 @@ def fit_temperature(out: np.ndarray, y: np.ndarray) -> float:
     return float(min(np.geomspace(0.25, 8, 61), key=loss)) if len(out) else 1.0
 
 
+def document_counts(docs: DataFrame, text_col: str) -> tuple[dict[bytes, int], int]:
+    """In how many documents the TERMS most widely held words and shapes are, and the number of documents."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, shapes, n, shape_of = Counter(), Counter(), 0, {}
+
+        def told() -> pa.RecordBatch:
+            terms = [*words, *shapes]
+            kinds = [False] * len(words) + [True] * len(shapes)
+            out = pa.RecordBatch.from_arrays([pa.array([*terms, None], pa.binary()), pa.array([*kinds, None], pa.bool_()), pa.array([*words.values(), *shapes.values(), n], pa.int64())], names=["term", "is_shape", "n"])
+            words.clear(), shapes.clear(), shape_of.clear()
+            return out
+
+        for batch in batches:
+            for text in utf8(batch.column(0)):
+                held = set(text.split()) if text else set()
+                words.update(held)
+                shapes.update({shape_of[w] if w in shape_of else shape_of.setdefault(w, shape(w)) for w in held})
+                n += 1
+                if len(words) > CACHE:
+                    yield told()
+                    n = 0
+        yield told()
+
+    counted = docs.select(text_col).mapInArrow(count, "term binary, is_shape boolean, n long").groupBy("term", "is_shape").agg(F.sum("n").alias("n"))
+    counted = cut(counted.where(F.col("term").isNull() | (F.col("n") >= LEAST_DOCS)), "document_counts")
+    n = counted.where("term is null").agg(F.sum("n")).first()[0] or 0
+    df = {}
+    for kind in (False, True):
+        df |= {bytes(r["term"]): r["n"] for r in counted.where(F.col("is_shape") == kind).orderBy(F.desc("n"), "term").limit(TERMS).collect()}
+    return df, n
+
+
+def add_contexts(ids: np.ndarray, spots: np.ndarray, signs: np.ndarray, around: np.ndarray) -> None:
+    """Add to each term's row of around the index vectors of the terms at up to REACH places from it. -1 parts texts."""
+    n = around.shape[0]
+    for d in range(1, REACH + 1):
+        left, right = ids[:-d], ids[d:]
+        ok = (left >= 0) & (right >= 0)
+        if d > 1:
+            ok &= np.logical_and.reduce([ids[k : len(ids) - d + k] >= 0 for k in range(1, d)])
+        left, right = left[ok], right[ok]
+        for start in range(0, len(left), 2 * STEP):
+            a, b = left[start : start + 2 * STEP], right[start : start + 2 * STEP]
+            for to, of in ((a, b), (b, a)):
+                flat = (to[:, None] * DIMS + spots[of]).ravel()
+                around += np.bincount(flat, signs[of].ravel(), n * DIMS).reshape(n, DIMS)
+
+
+def contexts(docs: DataFrame, text_col: str, place: dict[bytes, int], index: np.ndarray) -> np.ndarray:
+    """For each term the sum of the index vectors around it in all documents; sums of partitions are added up in rounds."""
+    spots = np.argsort(index == 0, axis=1, kind="stable")[:, :NONZERO]
+    signs = np.take_along_axis(index, spots, axis=1).astype(np.float64)
+    shared = docs.sparkSession.sparkContext.broadcast((Vectors(place, index), spots, signs))
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vectors, spots, signs = shared.value
+        around, held, n, known = np.zeros((len(spots), DIMS)), [], 0, {}
+        get = known.get
+
+        def first(word: bytes) -> int:
+            if len(known) >= CACHE:
+                known.clear()
+            known[word] = at = vectors.place.get(word, vectors.place.get(shape(word), -2))
+            return at
+
+        for batch in batches:
+            for text in utf8(batch.column(0)):
+                ids = np.array([x if (x := get(w)) is not None else first(w) for w in text.split()] if text else [], np.int32)
+                ids = ids[ids != -2]
+                held += [ids, np.array([-1], np.int32)]
+                n += len(ids)
+                if n >= STEP:
+                    add_contexts(np.concatenate(held), spots, signs, around)
+                    held, n = [], 0
+        if held:
+            add_contexts(np.concatenate(held), spots, signs, around)
+        yield pa.RecordBatch.from_arrays([pa.array([around.tobytes()], pa.binary())], names=["around"])
+
+    def summed(t: pa.Table) -> pa.Table:
+        total = sum(np.frombuffer(x.as_py()) for x in t.column("around"))
+        return pa.table([pa.array([total.tobytes()], pa.binary())], names=["around"])
+
+    parts = cut(docs.select(text_col).mapInArrow(gather, "around binary"), "contexts")
+    while (n := parts.count()) > SUMMED:
+        dealt = parts.withColumn("part", F.pmod(F.monotonically_increasing_id() + F.spark_partition_id(), F.lit(math.ceil(n / SUMMED))))
+        parts = cut(dealt.groupBy("part").applyInArrow(lambda t: summed(t.select(["around"])), "around binary"), "contexts")
+    out = np.zeros(index.shape)
+    for row in parts.collect():  # at most SUMMED rows of one matrix
+        out += np.frombuffer(row["around"]).reshape(index.shape)
+    return out
+
+
 def fit(docs: DataFrame, labels: DataFrame, learn, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> Model:
-    """Learn from labelled documents where ``learn`` (a condition on the id) holds. Repeated labels are averaged; null ones are left out."""
+    """Learn word vectors from all texts, and the network from labelled documents where ``learn`` (a condition on the id) holds.
+
+    Repeated labels are averaged; null ones and null ids are left out; rows repeated under one id are learned from as often
+    as they come. Null and empty texts have no terms. Without any label, or with one label only, there is no network.
+    """
     known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & learn).groupBy(id_col).agg(F.avg(label_col).alias("y"))
     chosen = cut(known.select(F.col(id_col).alias("__id"), (F.col("y") >= 0.5).alias("y"), F.xxhash64(id_col).alias("h")).orderBy("h", "__id").limit(sample), "labelled")
     # At most ``sample`` rows of three numbers: small enough to broadcast at any size of the corpus.
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), F.col("id") == F.col("__id"))
     rows = cut(rows.select("text", "y", "h").repartition(8, "h"), "learning_texts")
-    common = rows.select(F.explode(F.array_distinct(F.slice(F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(WORD), 0), 1, CONTEXT_WORDS))).alias("word"))
-    common = common.groupBy("word").agg(F.count("*").alias("n")).where("n >= 5").orderBy(F.desc("n"), "word").limit(TERMS).collect()
-
-    def shapes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter = Counter()
-        for batch in batches:
-            for text in utf8(batch.column(0)):
-                seen.update({shape(w) for w in set((text or b"").split())})
-        yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], names=["shape", "n"])
-
-    forms = rows.select("text").mapInArrow(shapes, "shape binary, n long").groupBy("shape").agg(F.sum("n").alias("n"))
-    forms = forms.where("n >= 5").orderBy(F.desc("n"), "shape").limit(TERMS).collect()
-    df = {r["word"].encode(): r["n"] for r in common} | {bytes(r["shape"]): r["n"] for r in forms}
+    df, n = document_counts(docs, text_col)
     df[REPEAT] = 1
-    place = {t: i for i, t in enumerate(sorted(df))}
-    index = np.stack([index_vector(t) for t in sorted(df)])
-    plain = Vectors(place, index)
-    shared = docs.sparkSession.sparkContext.broadcast(plain)
-
-    def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vectors = shared.value
-        around = np.zeros_like(vectors.matrix)
-        for batch in batches:
-            for text in utf8(batch.column(0)):
-                places = [vectors.place.get(w, vectors.place.get(shape(w), -1)) for w in (text or b"").split()[:CONTEXT_WORDS]]
-                ids = np.array([i for i in places if i >= 0], int)
-                for d in range(1, REACH + 1):
-                    np.add.at(around, ids[d:], vectors.matrix[ids[:-d]])
-                    np.add.at(around, ids[:-d], vectors.matrix[ids[d:]])
-        yield pa.RecordBatch.from_arrays([pa.array([around.astype(np.float32).tobytes()], pa.binary())], names=["around"])
-
-    around = sum((np.frombuffer(r["around"], np.float32).reshape(-1, DIMS) for r in rows.select("text").mapInArrow(contexts, "around binary").collect()), np.zeros_like(index))
+    terms = sorted(df)
+    place = {t: i for i, t in enumerate(terms)}
+    index = np.stack([index_vector(t) for t in terms])
+    around = contexts(docs, text_col, place, index)
     around /= np.maximum(1e-6, np.linalg.norm(around, axis=1, keepdims=True))
-    n = max(1, rows.count())
-    rarity = np.array([1 + np.log(n / min(n, max(1, df[t]))) for t in sorted(df)], np.float32)
+    rarity = np.array([1 + np.log(max(1, n) / min(max(1, n), max(1, df[t]))) for t in terms], np.float32)
     vectors = Vectors(place, ((index / np.sqrt(NONZERO) + 0.3 * around) * rarity[:, None]).astype(np.float32))
     final = docs.sparkSession.sparkContext.broadcast(vectors)
 
