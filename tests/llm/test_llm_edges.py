@@ -69,10 +69,44 @@ def test_host_rules(spark, odd):
     assert len(got) == 8 and host_rules.judge(odd).count() == 9
     assert got[1]["base_failed"] and got[1]["host_rate"] is None and not got[1]["kept"]
     assert host_rules.judge(odd.limit(0)).count() == 0
-    good = " ".join(f"w{i}" for i in range(60))
-    rows = [(i, "short", "en", "bad") for i in range(40)] + [(40, good, "en", "bad"), (41, good, "en", "good"), (42, good, "en", None)]
+    assert got[1]["host_broken"] == []
+
+
+GOOD = " ".join(f"wordy{i}" for i in range(60))
+
+
+def test_bad_hosts_are_refused(spark):
+    rows = [(i, "short", "en", "bad") for i in range(40)] + [(i + 40, GOOD, "en", "bad") for i in range(40)]
+    rows += [(i + 100, GOOD if i % 10 else "short", "en", f"fine{i // 10 % 5}") for i in range(400)] + [(900, GOOD, "en", None), (901, GOOD, "en", "small")]
     got = one(host_rules.judge(docs(spark, rows)))
-    assert not got[40]["kept"] and got[40]["host_refused"] and got[41]["kept"] and got[42]["kept"]
+    assert not any(got[i]["kept"] for i in range(80)) and got[40]["host_refused"]
+    assert all(got[i + 100]["kept"] == bool(i % 10) for i in range(400)) and got[900]["kept"]
+    # One document tells little of a host: its rate is nearly that of all.
+    assert got[901]["kept"] and got[901]["host_rate"] > 0.05
+
+
+def test_hosts_decide_on_what_breaks_a_rule_both_ways(spark):
+    marked = GOOD + " ###" * 6
+    share = {"clean": 2, "messy": 40}
+    rows = [(i + 1000 * n, marked if i < k else GOOD, "en", host) for n, (host, k) in enumerate(share.items()) for i in range(100)]
+    rows += [(5000, marked, "en", None)]
+    got = one(host_rules.judge(docs(spark, rows)))
+    assert all(got[i]["kept"] for i in range(100))  # marked or not, on a host that seldom is
+    assert [got[1000 + i]["kept"] for i in range(100)] == [i >= 40 for i in range(100)]
+    assert got[1000]["host_broken"] == ["symbols"] and got[5000]["kept"]
+
+
+def test_host_rates_equal_a_plain_computation(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, GOOD if rng.random() > p else "short", "en", h) for h, p in (("a", 0.1), ("b", 0.4), ("c", 0.7)) for i in range(50)]
+    measured = host_rules.metrics(docs(spark, rows))
+    got = {r["host"]: r for r in host_rules.host_rates(measured).collect()}
+    bad = {h: [sum(r[1] == "short" for r in rows if r[3] == h), 50] for h in "abc"}
+    rates = [f / n for f, n in bad.values()]
+    m, v = np.mean(rates), np.var(rates, ddof=1)
+    strength = min(1e6, max(1, m * (1 - m) / v - 1))
+    for h, (f, n) in bad.items():
+        assert got[h]["rate_base"] == pytest.approx((f + m * strength) / (n + strength)) and got[h]["mean_base"] == pytest.approx(m)
 
 
 def test_simhash(spark, odd):
@@ -200,26 +234,109 @@ def test_mined_rules_block_their_like(spark):
     assert all(got[i] == ("block" if i % 2 else "allow") for i in range(60))
 
 
+def brute_bound(k, n, z=1.64):
+    p = k / n
+    return (p + z * z / (2 * n) - z * (p * (1 - p) / n + z * z / (4 * n * n)) ** 0.5) / (1 + z * z / n)
+
+
+def brute_rules(rows, floor, confidence):
+    """Every token set of up to four tokens, counted on every row."""
+    from itertools import combinations
+
+    tokens = sorted({t for s, _ in rows for t in s})
+    found = {}
+    for size in range(1, 5):
+        for needed in combinations(tokens, size):
+            hit = [b for s, b in rows if set(needed) <= s]
+            if sum(hit) >= floor and (bound := brute_bound(sum(hit), len(hit))) >= confidence:
+                if not any(set(x) < set(needed) and y >= bound for x, y in found.items()):
+                    found[needed] = bound
+    return found
+
+
+def test_mined_rules_and_verdicts_equal_brute_force(spark):
+    rng = np.random.default_rng(8)
+    rows = []
+    for _ in range(300):
+        s = {t for t in "abcdefg" if rng.random() < 0.4} | {"z"}
+        rows.append((s, bool(rng.random() < (0.95 if {"a", "b"} <= s or {"c", "d", "e"} <= s else 0.15))))
+    labelled = spark.createDataFrame([(sorted(s), b) for s, b in rows] + [(None, True), (["a"], None)], "tokens array<string>, blocked boolean")
+    want = brute_rules(rows, 5, 0.7)
+    got = {tuple(r["tokens"]): r for r in url_rules.mine(labelled).collect()}
+    assert set(got) == set(want) and len(want) > 1
+    for t, r in got.items():
+        assert r["confidence"] == pytest.approx(want[t]) and r["support"] == pytest.approx(sum(b and set(t) <= s for s, b in rows) / 300)
+        assert r["rarest"] == min(t, key=lambda x: (sum(x in s for s, _ in rows), x))
+    urls = [(i, f"http://x/?{'&'.join(sorted(s))}") for i, (s, _) in enumerate(rows)]
+    of = lambda s: {f"q={x}" for x in s}
+    pages = spark.createDataFrame(urls, "page_id long, url string")
+    by_url = pages.select("page_id", url_rules.tokens_of(F.col("url")).alias("tokens")).join(spark.createDataFrame([(i, b) for i, (_, b) in enumerate(rows)], "page_id long, blocked boolean"), "page_id")
+    verdicts = {r["page_id"]: r["verdict"] for r in url_rules.judge(pages, by_url).collect()}
+    assert all((verdicts[i] == "block") == any(of(w) <= of(s) for w in want) for i, (s, _) in enumerate(rows))
+
+
+def test_few_labels_make_no_rules_and_many_parameters_no_explosion(spark):
+    import time
+
+    long = [f"q=k{i}" for i in range(40)]
+    few = spark.createDataFrame([(long, True)] * 3 + [(["h=a"], False)] * 80, "tokens array<string>, blocked boolean")
+    assert url_rules.mine(few).count() == 0
+    began = time.perf_counter()
+    many = spark.createDataFrame([(long, True)] * 30 + [(["h=a"], False)] * 80, "tokens array<string>, blocked boolean")
+    rules = url_rules.mine(many).collect()
+    assert time.perf_counter() - began < 60 and {r["size"] for r in rules} == {1} and 1 <= len(rules) <= 40
+    assert url_rules.mine(few.limit(0)).count() == 0
+
+
 def brute_top(rows, k):
-    ok = {i: np.floor(256 * np.asarray(v, float)).astype(int) for i, v in rows if i is not None and v is not None and len(v) == 2 and None not in v and np.isfinite(v).all()}
+    ok = [(i, tuple(np.floor(256 * np.asarray(v, float)).astype(int))) for i, v in rows if i is not None and v is not None and len(v) and None not in v and np.isfinite(v).all()]
     out = []
-    for q in ok:
-        if q % 5 == 0:
-            best = sorted(((-int(ok[q] @ x), i) for i, x in ok.items() if i != q))[:k]
-            out += [(q, n + 1, i, -s) for n, (s, i) in enumerate(best)]
+    for q, x in {(i, v) for i, v in ok if i % 5 == 0}:
+        best = sorted((-int(np.dot(x, v)), i) for i, v in ok if i != q and len(v) == len(x))[:k]
+        out += [(q, n + 1, i, -s) for n, (s, i) in enumerate(best)]
     return sorted(out)
 
 
-@pytest.mark.parametrize("n", [1, 4, 60])
+@pytest.mark.parametrize("n", [1, 4, 60, 400])
 def test_top_k_equals_brute_force(spark, n):
     rng = np.random.default_rng(n)
     rows = [(i, [float(x) for x in rng.normal(size=2)] if i % 9 else [0.5, 0.5]) for i in range(n)]
-    rows += [(100, None), (101, [None, 1.0]), (102, [float("nan"), 1.0]), (103, []), (None, [1.0, 1.0]), (104, [1.0, 2.0, 3.0]), *rows[:2]]
+    rows += [(100_000, None), (100_001, [None, 1.0]), (100_002, [float("nan"), 1.0]), (100_003, []), (None, [1.0, 1.0]), *rows[:2]]
+    rows += [(100_005, [1.0, 2.0, 3.0]), (100_006, [3.0, 2.0, 1.0])]  # another dimension
     df = spark.createDataFrame([(*r, 1, 1) for r in rows], "vec_id long, embedding array<double>, rank int, score int")
-    got = metric_tree.top_k(df, lambda c: c % 5 == 0, pivots=3, page=4)
+    got = metric_tree.top_k(df, lambda c: c % 5 == 0, tops=3, page=4, node_bytes=16 * 16)
     assert sorted(map(tuple, got.collect())) == brute_top(rows, 5)
 
 
+def test_top_k_of_one_vector_that_fills_a_third(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, [0.25, -0.5] if i % 3 == 0 else [float(x) for x in rng.normal(size=2)]) for i in range(300)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = metric_tree.top_k(df, lambda c: c % 5 == 0, tops=4, page=4, node_bytes=16 * 16)
+    assert sorted(map(tuple, got.collect())) == brute_top(rows, 5)
+
+
+def test_nodes_spare_computations_and_lose_nothing():
+    rng = np.random.default_rng(6)
+    centres = rng.normal(size=(40, 8)) * 400
+    vectors = np.floor(np.repeat(centres, 100, axis=0) + rng.normal(size=(4000, 8)) * 4).astype(np.int64)
+    vectors *= 1000 // max(1, int(np.sqrt((vectors**2).sum(axis=1)).mean()) // 100)
+    norm = int((vectors**2).sum(axis=1).max())
+    node = metric_tree.Node.build(list(range(4000)), vectors, norm, 64)
+    places = {i: p for p, i in enumerate(node.ids)}
+    for i, (a, b) in enumerate(zip(node.starts, [*node.starts[1:], 4000])):  # what is stored holds
+        lifted = metric_tree.lift(node.vectors, norm)
+        assert np.allclose(metric_tree.distances(lifted[a:b], lifted[[node.centres[i]]])[:, 0], node.inner[a:b]) and node.radii[i] == node.inner[a:b].max()
+    own = list(range(0, 4000, 50))
+    queries, computed = node.vectors[[places[i] for i in own]], []
+    got = node.search(queries, own, np.full(len(own), np.inf), norm, 5, computed)
+    for j, i in enumerate(own):
+        scores = node.vectors @ queries[j]
+        want = sorted((-int(s), node.ids[p]) for p, s in enumerate(scores) if node.ids[p] != i)[:5]
+        assert [(-s, node.ids[p]) for q, p, s in got if q == j] == want
+    assert sum(computed) < 0.5 * len(own) * 4000
+
+
 def test_top_k_of_nothing(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert metric_tree.top_k(df, lambda c: c % 5 == 0).count() == 0
@@ -345,6 +462,34 @@ def test_spans_of_mixed_text_and_scripts(spark):
     assert language.identify("русский cat", model)[0] == "ru"
 
 
+def test_scripts_are_code_point_ranges():
+    names = list(language.SCRIPTS)
+    of = lambda text: [names[i] for i in language.grams(text)[2]]
+    assert of("abc ạ где ไทย हिन्दी საქართველო 漢字 かな 한국 αβγ") == ["latin", "latin", "cyrillic", "thai", "devanagari", "georgian", "han", "kana", "hangul", "greek"]
+    code, begins, _, any_letter = language.grams("a — b ’ 12 «c» ¿d")
+    assert len(begins) == 4 and len(code) == 4 and any_letter  # dashes, quotes and digits are no letters
+    assert language.grams("12 — ’ !")[3] is False
+
+
+def test_long_texts_are_scored_in_pieces(spark, monkeypatch):
+    rows = [(i, "the cat sat on the mat with them", "en", "a") for i in range(5)] + [(i, "der hund und die katze sind nicht hier", "de", "a") for i in range(5, 10)]
+    model = language.fit(docs(spark, rows), F.lit(True))
+    text = "the cat sat on the mat " * 40 + "der hund und die katze sind nicht " * 30
+    whole = language.identify(text, model, 4.0)
+    cut_up = list(language.pieces_of(text, 64))
+    assert "".join(cut_up) == text and len(cut_up) > 20
+    monkeypatch.setattr(language, "STEP", 7)
+    monkeypatch.setattr(language, "pieces_of", lambda t: iter(cut_up))
+    in_pieces = language.identify(text, model, 4.0)
+    assert in_pieces[0] == whole[0] and in_pieces[2] == whole[2] and in_pieces[1] == pytest.approx(whole[1])
+
+
+def test_sample_is_bounded_where_ids_are_null(spark):
+    rows = [(None, f"word{i} of the", "en", "a") for i in range(50)] + [(None, "same of the", "en", "a")] * 50
+    model = language.fit(docs(spark, rows), F.lit(True), sample=10)
+    assert model.languages == ["en"] and language.fit(docs(spark, rows[:0]), F.lit(True)).languages == []
+
+
 def test_quality_model(spark, odd):
     labels = spark.createDataFrame([(4, 1), (5, 0), (5, 0), (6, None), (None, 1)], "doc_id long, quality int")
     model = quality_model.fit(odd, labels, F.lit(True))
@@ -355,6 +500,25 @@ def test_quality_model(spark, odd):
     assert quality_model.score(odd.limit(0), none).count() == 0
 
 
+def test_contexts_equal_brute_force(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    texts = [" ".join(rng.choice(["ab", "Cd", "ef.", "x1", "gone"], 40)) for _ in range(30)] + [None, ""]
+    df = docs(spark, [(i, t, "en", "a") for i, t in enumerate(texts)]).repartition(20)
+    df_of, n = quality_model.document_counts(df, "text")
+    assert n == 32 and df_of[b"ab"] == sum("ab" in (t or "").split() for t in texts)
+    terms = [b"Cd", b"ab", b"ef.", quality_model.shape(b"x1")]  # "gone" is no term, nor its shape
+    place, index = {t: i for i, t in enumerate(terms)}, np.stack([quality_model.index_vector(t) for t in terms])
+    want = np.zeros(index.shape)
+    for t in texts:
+        ids = [i for w in (t or "").split() if (i := place.get(w.encode(), place.get(quality_model.shape(w.encode())))) is not None]
+        for p, i in enumerate(ids):
+            for q in range(max(0, p - 2), min(len(ids), p + 3)):
+                if q != p:
+                    want[i] += index[ids[q]]
+    monkeypatch.setattr(quality_model, "SUMMED", 3)
+    assert np.allclose(quality_model.contexts(df, "text", place, index), want)
+
+
 def test_temperature_calibrates():
     rng = np.random.default_rng(0)
     z = rng.normal(size=4000) * 2
