@@ -10,86 +10,32 @@ from pyspark.sql import functions as F
 
 from talkloom.functions.text import interleave
 
-#: Each canonical name and the aliases that it replaces.
-ALIASES = {
-    "Kubernetes": ("k8s", "kube", "kubernetes",),
-    "OpenTelemetry": ("otel", "open telemetry", "opentelemetry",),
-    "Prometheus": ("prom", "prometheus",),
-    "Argo CD": ("argocd", "argo cd", "argo-cd",),
-    "Argo Workflows": ("argo workflows",),
-    "Istio": ("istio",),
-    "Envoy": ("envoy", "envoy proxy",),
-    "Cilium": ("cilium",),
-    "eBPF": ("ebpf", "e-bpf", "bpf",),
-    "containerd": ("containerd",),
-    "CRI-O": ("crio", "cri-o",),
-    "Helm": ("helm",),
-    "Kustomize": ("kustomize",),
-    "Flux": ("fluxcd", "flux cd", "flux",),
-    "Linkerd": ("linkerd",),
-    "Knative": ("knative", "k-native",),
-    "gRPC": ("grpc",),
-    "etcd": ("etcd",),
-    "CoreDNS": ("coredns", "core dns",),
-    "Falco": ("falco",),
-    "Open Policy Agent": ("opa", "open policy agent",),
-    "Kyverno": ("kyverno",),
-    "Backstage": ("backstage",),
-    "Crossplane": ("crossplane",),
-    "Dapr": ("dapr",),
-    "KEDA": ("keda",),
-    "Tekton": ("tekton",),
-    "Harbor": ("harbor",),
-    "Rook": ("rook",),
-    "Longhorn": ("longhorn",),
-    "Thanos": ("thanos",),
-    "Cortex": ("cortex",),
-    "Grafana": ("grafana",),
-    "Jaeger": ("jaeger",),
-    "Zipkin": ("zipkin",),
-    "cert-manager": ("cert-manager", "certmanager", "cert manager",),
-    "Vitess": ("vitess",),
-    "SPIFFE": ("spiffe",),
-    "SPIRE": ("spire",),
-    "Cloud Native Buildpacks": ("buildpacks", "cnb", "cloud native buildpacks",),
-    "KubeVirt": ("kubevirt", "kube virt",),
-    "Volcano": ("volcano",),
-    "Gateway API": ("gateway api",),
-    "WebAssembly": ("wasm", "webassembly", "web assembly",),
-    "Terraform": ("terraform", "tf",),
-    "OpenTofu": ("opentofu", "open tofu",),
-    "Pulumi": ("pulumi",),
-    "Docker": ("docker",),
-    "Podman": ("podman",),
-    "AWS": ("aws", "amazon web services",),
-    "GCP": ("gcp", "google cloud", "google cloud platform",),
-    "Azure": ("azure", "microsoft azure",),
-    "Kubeflow": ("kubeflow", "kube flow",),
-    "Velero": ("velero",),
-    "Trivy": ("trivy",),
-    "Cosign": ("cosign",),
-    "Sigstore": ("sigstore",),
-    "HAMi": ("hami", "hemi",),
-    "Perses": ("perses", "persis",),
-    "Kagent": ("kagent", "k-agent",),
-    "Solo.io": ("solo.io", "solodial",),
-    "Gloo": ("gloo",),
-    "Headlamp": ("headlamp",),
-    "KubeVela": ("kubevela", "kube vela",),
-    "Karmada": ("karmada",),
-    "OpenKruise": ("openkruise", "kruise",),
-    "Strimzi": ("strimzi",),
-    "Keptn": ("keptn",),
-    "Inspektor Gadget": ("inspektor gadget",),
-    "Kubescape": ("kubescape",),
-    "LitmusChaos": ("litmus", "litmuschaos", "litmus chaos",),
-    "vCluster": ("vcluster",),
-    "Kata Containers": ("kata containers", "kata",),
+#: Aliases and the names that replace them.
+CANONICAL = {
+    "k8s": "Kubernetes", "kube": "Kubernetes", "kubernetes": "Kubernetes", "otel": "OpenTelemetry", "open telemetry": "OpenTelemetry",
+    "opentelemetry": "OpenTelemetry", "prom": "Prometheus", "prometheus": "Prometheus", "argocd": "Argo CD", "argo cd": "Argo CD",
+    "argo-cd": "Argo CD", "argo workflows": "Argo Workflows", "istio": "Istio", "envoy": "Envoy", "envoy proxy": "Envoy", "cilium": "Cilium",
+    "ebpf": "eBPF", "e-bpf": "eBPF", "bpf": "eBPF", "containerd": "containerd", "crio": "CRI-O", "cri-o": "CRI-O", "helm": "Helm",
+    "kustomize": "Kustomize", "fluxcd": "Flux", "flux cd": "Flux", "flux": "Flux", "linkerd": "Linkerd", "knative": "Knative", "k-native": "Knative",
+    "grpc": "gRPC", "etcd": "etcd", "coredns": "CoreDNS", "core dns": "CoreDNS", "falco": "Falco", "opa": "Open Policy Agent",
+    "open policy agent": "Open Policy Agent", "kyverno": "Kyverno", "backstage": "Backstage", "crossplane": "Crossplane", "dapr": "Dapr",
+    "keda": "KEDA", "tekton": "Tekton", "harbor": "Harbor", "rook": "Rook", "longhorn": "Longhorn", "thanos": "Thanos", "cortex": "Cortex",
+    "grafana": "Grafana", "jaeger": "Jaeger", "zipkin": "Zipkin", "cert-manager": "cert-manager", "certmanager": "cert-manager",
+    "cert manager": "cert-manager", "vitess": "Vitess", "spiffe": "SPIFFE", "spire": "SPIRE", "buildpacks": "Cloud Native Buildpacks",
+    "cnb": "Cloud Native Buildpacks", "cloud native buildpacks": "Cloud Native Buildpacks", "kubevirt": "KubeVirt", "kube virt": "KubeVirt",
+    "volcano": "Volcano", "gateway api": "Gateway API", "wasm": "WebAssembly", "webassembly": "WebAssembly", "web assembly": "WebAssembly",
+    "terraform": "Terraform", "tf": "Terraform", "opentofu": "OpenTofu", "open tofu": "OpenTofu", "pulumi": "Pulumi", "docker": "Docker",
+    "podman": "Podman", "aws": "AWS", "amazon web services": "AWS", "gcp": "GCP", "google cloud": "GCP", "google cloud platform": "GCP",
+    "azure": "Azure", "microsoft azure": "Azure", "kubeflow": "Kubeflow", "kube flow": "Kubeflow", "velero": "Velero", "trivy": "Trivy",
+    "cosign": "Cosign", "sigstore": "Sigstore", "hami": "HAMi", "hemi": "HAMi", "perses": "Perses", "persis": "Perses", "kagent": "Kagent",
+    "k-agent": "Kagent", "solo.io": "Solo.io", "solodial": "Solo.io", "gloo": "Gloo", "headlamp": "Headlamp", "kubevela": "KubeVela",
+    "kube vela": "KubeVela", "karmada": "Karmada", "openkruise": "OpenKruise", "kruise": "OpenKruise", "strimzi": "Strimzi", "keptn": "Keptn",
+    "inspektor gadget": "Inspektor Gadget", "kubescape": "Kubescape", "litmus": "LitmusChaos", "litmuschaos": "LitmusChaos",
+    "litmus chaos": "LitmusChaos", "vcluster": "vCluster", "kata containers": "Kata Containers", "kata": "Kata Containers",
 }
-CANONICAL = {alias: name for name, aliases in ALIASES.items() for alias in aliases}
 
 #: Longest alias first, so that no alias hides a longer one that begins like it.
-PATTERN = r"(?i)\b(?:" + "|".join(re.escape(a).replace("\\ ", " ") for a in sorted(CANONICAL, key=len, reverse=True)) + r")\b"
+PATTERN = r"(?iU)\b(?:" + "|".join(re.escape(a).replace("\\ ", " ") for a in sorted(CANONICAL, key=len, reverse=True)) + r")\b"
 
 
 def canonical(x: Column | str) -> Column:

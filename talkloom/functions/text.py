@@ -16,22 +16,21 @@ from talkloom.functions.time import minutes
 TAG = r"<[^>]+>"
 SPACES = r"(?U)\s+"
 URL = r"https?://[^\s<>\])\"']+"
-PERCENT = r"\d+(?:\.\d+)?%"
-NEEDS_QUOTE = r"\[needs_quote\s*=\s*\w+\]"
+PERCENT = r"(?U)\d+(?:\.\d+)?%"
+NEEDS_QUOTE = r"(?U)\[needs_quote\s*=\s*\w+\]"
 PLACEHOLDER = r"\{[a-z_]+\}"
 VIDEO_ID = r"^[a-zA-Z0-9_-]{11}$"
 NON_ANALYTICAL = (
-    r"(?i)\bclosing\s+remarks?\b",
-    r"(?i)\bawards?\s+ceremon",
-    r"(?i)\bwelcome\b.*\bopening\s+remarks?\b",
-    r"(?i)\bopening\s+keynote\s+remarks?\b",
-    r"(?i)\bsponsored?\s+keynote\b",
+    r"(?iUd)\bclosing\s+remarks?\b",
+    r"(?iUd)\bawards?\s+ceremon",
+    r"(?iUd)\bwelcome\b.*\bopening\s+remarks?\b",
+    r"(?iUd)\bopening\s+keynote\s+remarks?\b",
+    r"(?iUd)\bsponsored?\s+keynote\b",
 )
-NAME = r"[A-Z][a-zà-ÿ]+(?:\s+[A-Z][a-zà-ÿ]+)+"
 NAME_CONTEXTS = (
-    r"(?:presented by|according to|by|said|argues?|notes?|demonstrates?|shows?)\s+(?:(?:Dr|Prof)\.?\s+)?(" + NAME + ")",
-    r"(?:(?:Dr|Prof)\.?\s+)?(" + NAME + r")(?:\s*,\s*(?:co-founder|engineer|architect|lead|director|CTO|CEO|VP))",
-    r"\((?:presented by|by)\s+(?:(?:Dr|Prof)\.?\s+)?(" + NAME + r")\)",
+    r"(?U)(?:presented by|according to|by|said|argues?|notes?|demonstrates?|shows?)\s+(?:(?:Dr|Prof)\.?\s+)?([A-Z][a-zà-ÿ]+(?:\s+[A-Z][a-zà-ÿ]+)+)",
+    r"(?U)(?:(?:Dr|Prof)\.?\s+)?([A-Z][a-zà-ÿ]+(?:\s+[A-Z][a-zà-ÿ]+)+)(?:\s*,\s*(?:co-founder|engineer|architect|lead|director|CTO|CEO|VP))",
+    r"(?U)\((?:presented by|by)\s+(?:(?:Dr|Prof)\.?\s+)?([A-Z][a-zà-ÿ]+(?:\s+[A-Z][a-zà-ÿ]+)+)\)",
 )
 
 
@@ -55,10 +54,26 @@ def nfkc(s: pd.Series) -> pd.Series:
     return s.map(lambda x: unicodedata.normalize("NFKC", x), na_action="ignore")
 
 
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def nfkc_each(s: pd.Series) -> pd.Series:
+    return s.map(lambda xs: [None if x is None else unicodedata.normalize("NFKC", x) for x in xs], na_action="ignore")
+
+
+def _plain(x: Column) -> Column:
+    return F.octet_length(x) == F.char_length(x)
+
+
 def normalized(x: Column | str) -> Column:
-    """NFKC, reached only by strings that are not plain ASCII."""
+    """NFKC. Strings that are plain ASCII reach Python as null."""
     x = col(x)
-    return F.when(F.octet_length(x) == F.char_length(x), x).otherwise(nfkc(x))
+    return F.when(_plain(x), x).otherwise(nfkc(F.when(~_plain(x), x)))
+
+
+def normalized_each(xs: Column | str) -> Column:
+    """NFKC of each string of an array."""
+    xs = col(xs)
+    plain = F.forall(xs, lambda x: F.coalesce(_plain(x), F.lit(True)))
+    return F.when(plain, xs).otherwise(nfkc_each(F.when(~plain, xs)))
 
 
 def strip_tags(x: Column | str) -> Column:
@@ -72,7 +87,7 @@ def squeeze(x: Column | str) -> Column:
 
 def strip(x: Column | str) -> Column:
     """Without white space of any kind at the ends."""
-    return F.regexp_replace(filled(x), r"(?U)^\s+|\s+$", "")
+    return F.regexp_replace(filled(x), r"(?U)^\s+|\s+\z", "")
 
 
 def clean(x: Column | str, unicode: bool = True) -> Column:
@@ -80,6 +95,12 @@ def clean(x: Column | str, unicode: bool = True) -> Column:
     return squeeze(strip_tags(normalized(x) if unicode else x))
 
 
+def clean_each(xs: Column | str) -> Column:
+    """Each string of an array as clean() gives it."""
+    whole = F.transform(F.coalesce(col(xs), F.array().cast("array<string>")), lambda x: F.coalesce(x, F.lit("")))
+    return F.transform(normalized_each(whole), lambda x: squeeze(strip_tags(x)))
+
+
 def fold(x: Column | str) -> Column:
     """Lower case and single spaces, for comparison."""
     return squeeze(F.lower(filled(x)))
@@ -101,7 +122,7 @@ def company_tail(x: Column | str) -> Column:
 
 
 def title_prefix(x: Column | str) -> Column:
-    return F.trim(F.substring_index(filled(x), " - ", 1))
+    return strip(F.substring_index(filled(x), " - ", 1))
 
 
 def safe_id(x: Column | str) -> Column:

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def _parts(x: Column) -> Column:
@@ -52,3 +54,18 @@ def epoch(ts: Column) -> Column:
     """Whole seconds since 1970 on the clock that the timestamp shows, whatever the session's time zone."""
     days = F.datediff(ts, F.lit("1970-01-01").cast("date")).cast("long")
     return days * 86400 + F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
+
+
+@F.pandas_udf(T.ArrayType(T.DoubleType()))
+def _rounded(xs: pd.Series, digits: pd.Series) -> pd.Series:
+    return pd.Series([None if x is None else [None if v is None or v != v else round(float(v), int(n)) for v in x] for x, n in zip(xs, digits)], dtype=object)
+
+
+def rounded_each(xs: Column, digits: int) -> Column:
+    """Each number of an array to so many digits, ties by the binary value and then to even. Spark rounds the decimal
+    notation instead, which puts 2.675 at 2.68."""
+    return _rounded(xs, F.lit(digits))
+
+
+def rounded(x: Column, digits: int) -> Column:
+    return F.get(rounded_each(F.array(x.cast("double")), digits), F.lit(0))

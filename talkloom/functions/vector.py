@@ -27,8 +27,8 @@ def hamming(a: Column, b: Column) -> Column:
     return F.bit_count(a.bitwiseXOR(b))
 
 
-def sign_hash(vector: Column, bits: int = 63) -> Column:
-    """Bit i is set where component i is positive."""
-    head = F.slice(vector, 1, bits)
-    weighed = F.transform(head, lambda x, i: F.when(x > 0, F.expr("1L") * F.pow(F.lit(2.0), i).cast("long")).otherwise(F.expr("0L")))
-    return F.aggregate(weighed, F.expr("0L"), lambda a, x: a.bitwiseOR(x))
+def sign_hash(vector: Column, bits: int = 64) -> Column:
+    """Bit i is set where component i is positive; of 64 bits the last is the sign."""
+    one = F.lit(1).cast("long")
+    weighed = F.transform(F.slice(vector, 1, bits), lambda x, i: F.when(x > 0, F.call_function("shiftleft", one, i)).otherwise(F.lit(0).cast("long")))
+    return F.aggregate(weighed, F.lit(0).cast("long"), lambda a, x: a.bitwiseOR(x))

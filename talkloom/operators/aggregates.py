@@ -14,7 +14,8 @@ RING_ORDER = ("hold", "assess", "trial", "adopt")
 URGENCIES = ("immediate", "next_quarter", "long_term")
 
 
-def rank_of(x: Column, ranks: dict[str, int], default: int = 0) -> Column:
+def rank_of(x: Column, ranks: dict[str, int | str], default: int | str = 0) -> Column:
+    """What a fixed table gives for a value, and the default for others."""
     table = F.create_map(*(F.lit(v) for pair in ranks.items() for v in pair))
     return F.coalesce(F.try_element_at(table, x), F.lit(default))
 

@@ -55,17 +55,22 @@ def common_bounds(a: list[str], b: list[str]) -> np.ndarray:
     for x, i in names.items():
         for j, c in enumerate(x):
             table[i, ord(c) & 255] |= np.uint64(1 << j)
-    if len(short):
-        row = np.array([names[a[i]] for i in short])
-        texts = np.array([b[i] for i in short])
-        codes = (texts.view(np.uint32).reshape(len(short), -1) & np.uint32(255)).astype(np.intp)
-        n = np.array([len(a[i]) for i in short], np.uint64)
+    # Strings of b of like length advance together, so that one very long title does not widen all others.
+    short = short[np.argsort([len(b[i]) for i in short], kind="stable")]
+    while len(short):
+        widest = max(64, 2 * len(b[short[0]]))
+        fits = int(np.searchsorted([len(b[i]) for i in short], widest, "right"))
+        mine, short = short[:fits], short[fits:]
+        row = np.array([names[a[i]] for i in mine])
+        texts = np.array([b[i] for i in mine])
+        codes = texts.view(np.uint32).reshape(len(mine), -1) & np.uint32(255) if texts.dtype.itemsize else np.zeros((len(mine), 0), np.uint32)
+        n = np.array([len(a[i]) for i in mine], np.uint64)
         every = (np.uint64(1) << n) - np.uint64(1)
         s = every.copy()
         for j in range(codes.shape[1]):
             u = s & table[row, codes[:, j]]
             s = ((s + u) | (s - u)) & every
-        out[short] = np.minimum(out[short], n.astype(np.int64) - np.bitwise_count(s))
+        out[mine] = np.minimum(out[mine], n.astype(np.int64) - np.bitwise_count(s))
     return out
 
 
@@ -155,21 +160,22 @@ def match_recordings(sessions: DataFrame, recordings: DataFrame, shortest: float
 def resolve_titles(wanted: DataFrame, titles: DataFrame, name: str = "wanted") -> DataFrame:
     """wanted (with a title column ``name``) and the column ``resolved``: the title of ``titles`` (title, pos) that it stands for.
 
-    Tiers: the same title; a title whose part before " - " is the wanted one; the first title that begins with it. The
-    third tier joins on the first characters both must share, so it is an equi-join too.
+    Tiers: the same title; the first title of the same part before " - "; the first title that begins with the wanted one.
+    The third tier joins what is still open on beginnings of just the lengths that are asked for, so all joins are on
+    equal strings and a beginning that many titles share is one row.
     """
-    first = titles.groupBy("title").agg(F.min("pos").alias("pos"))
+    first = titles.groupBy("title").agg(F.min("pos").alias("pos")).where("title is not null")
     ask = wanted.select(F.col(name).alias("w")).where("w is not null and w <> ''").distinct()
-    exact = ask.join(first, F.col("w") == F.col("title")).select("w", F.lit(1).alias("tier"), "pos", "title")
-    by_prefix = first.withColumn("p", title_prefix("title")).groupBy("p").agg(F.min_by("title", "pos").alias("title"), F.min("pos").alias("pos"))
-    prefix = ask.join(by_prefix, F.col("w") == F.col("p")).select("w", F.lit(2).alias("tier"), "pos", "title")
-    # Beginnings of 8 characters; shorter wanted titles join on their own length.
-    n = F.least(F.lit(8), F.length("w"))
-    short = ask.withColumn("n", n).withColumn("head", F.substring("w", F.lit(1), F.col("n")))
-    heads = first.select("title", "pos", F.explode(F.sequence(F.lit(1), F.least(F.lit(8), F.greatest(F.lit(1), F.length("title"))))).alias("n"))
-    heads = heads.withColumn("head", F.substring("title", F.lit(1), F.col("n")))
-    starts = short.join(heads, ["n", "head"]).where(F.startswith("title", "w")).select("w", F.lit(3).alias("tier"), "pos", "title")
-    best = exact.unionByName(prefix).unionByName(starts).groupBy("w").agg(F.min_by("title", F.struct("tier", "pos", "title")).alias("resolved"))
+    exact = ask.join(first, F.col("w") == F.col("title")).select("w", "title")
+    by_prefix = first.groupBy(title_prefix("title").alias("p")).agg(F.min_by("title", F.struct("pos", "title")).alias("title"))
+    open_ = ask.join(exact, "w", "left_anti")
+    prefix = open_.join(by_prefix, title_prefix("w") == F.col("p")).select("w", "title")
+    open_ = open_.join(prefix.select("w"), "w", "left_anti")
+    lengths = open_.agg(F.collect_set(F.length("w")).alias("ns"))  # one row: the different lengths of titles
+    heads = first.join(F.broadcast(lengths), F.lit(True)).select("title", "pos", F.explode("ns").alias("n")).where(F.length("title") >= F.col("n"))
+    heads = heads.groupBy(F.substring("title", F.lit(1), F.col("n")).alias("head")).agg(F.min_by("title", F.struct("pos", "title")).alias("title"))
+    starts = open_.join(heads, F.col("w") == F.col("head")).select("w", "title")
+    best = exact.unionByName(prefix).unionByName(starts).withColumnRenamed("title", "resolved")
     return wanted.join(best, F.col(name) == F.col("w"), "left").drop("w")
 
 
@@ -177,15 +183,25 @@ def best_titles(candidates: DataFrame, titles: DataFrame, strict: bool = False)
     """(candidate_id, title, score) of the title that shares most of a candidate's tokens.
 
     Columns: candidate_id and text, and title. At least half of the candidate's tokens must be shared and it must have two;
-    strict: four, of which three shared. The same title is its own match. Ties go to the title first in order. The join is
-    on tokens; tokens that most titles have only add to counts, so their rows are combined before the shuffle.
+    strict: four, of which three shared. The same title is its own match. Ties go to the title first in order.
+
+    A title that shares half of n tokens has one at least of any n - n/2 + 1 of them. So candidates meet titles on their
+    rarest tokens alone, and what meets is counted on all.
     """
     asked = candidates.select("candidate_id", filled("text").alias("text"), tokens("text").alias("mine"))
     least = 4 if strict else 2
     real = titles.select("title").where("title is not null").distinct()
     word = real.select("title", F.explode(tokens("title")).alias("token"))
-    fits = asked.where(F.size("mine") >= least).select("candidate_id", F.size("mine").alias("n"), F.explode("mine").alias("token"))
-    shared = fits.join(word, "token").groupBy("candidate_id", "n", "title").agg(F.count("*").alias("shared"))
+    known = word.groupBy("token").agg(F.count("*").alias("held_by"))
+    fits = asked.where(F.size("mine") >= least).select("candidate_id", "mine")
+    held = fits.select("candidate_id", F.size("mine").alias("n"), F.explode("mine").alias("token")).join(known, "token")
+    # Tokens that no title has come first: they are rarest, and stand for themselves only by their number.
+    by_rarity = held.groupBy("candidate_id", "n").agg(F.array_sort(F.collect_list(F.struct("held_by", "token"))).alias("held"))
+    lead = F.col("n") - F.ceil(F.col("n") / 2).cast("int") + 1 - (F.col("n") - F.size("held"))
+    asks = by_rarity.where(lead > 0).select("candidate_id", "n", "held", F.explode(F.slice("held", F.lit(1), lead)).alias("x"))
+    met = asks.select("candidate_id", "n", F.transform("held", lambda h: h["token"]).alias("mine"), F.col("x.token").alias("token")).join(word, "token")
+    met = met.groupBy("candidate_id", "n", "title").agg(F.first("mine").alias("mine"))
+    shared = met.withColumn("shared", F.size(F.array_intersect("mine", tokens("title"))))
     shared = shared.withColumn("score", F.col("shared") / F.col("n")).where("score >= 0.5" + (" and shared >= 3" if strict else ""))
     same = asked.join(real, F.col("text") == F.col("title")).select("candidate_id", "title", F.lit(2.0).alias("score"))
     every = shared.select("candidate_id", "title", "score").unionByName(same)

@@ -40,3 +40,10 @@ def top(df: DataFrame, n: int, *order: Column) -> DataFrame:
 def unprocessed(work: DataFrame, done: DataFrame, key: str) -> DataFrame:
     """Rows of work whose key is not done yet."""
     return work.join(done.select(key).where(F.col(key).isNotNull()).distinct(), key, "left_anti")
+
+
+def looked_up(left: DataFrame, right: DataFrame, key: str, order: Column, **defaults) -> DataFrame:
+    """Every row of left once, with the columns of the first row of right under its key; ``defaults`` fill what is missing."""
+    first = keep_first(right.withColumn("__k", F.col(key).cast("string")), F.col("__k"), order).drop("__k")
+    joined = left.join(first, key, "left")
+    return joined.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in defaults.items()})

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,26 +29,63 @@ def nearest(chunks: DataFrame, query: list[float], k: int = 15, vector: str = "e
     return rows.orderBy("distance", id_col).limit(k)
 
 
-def nearest_each(claims: DataFrame, chunks: DataFrame, k: int, claim_id: str = "claim_id", claim_vector: str = "claim_embedding", vector: str = "embedding", id_col: str = "id", most: int = 4096) -> DataFrame:
-    """claim_id, nth, distance and the chunk's columns: the k nearest chunks of every claim.
+#: Claims, and chunks, that one task compares at once; digits to which distances are told apart.
+CLAIMS, CHUNKS, DIGITS = 4096, 1 << 16, 12
 
-    Claims are few (citations that ask for a quote); up to ``most`` of them go to every task. More are taken in blocks of
-    that many, each of which passes over the chunks once.
+
+def _unit(vectors: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the vectors that are whole, and these at length one; a vector of length zero stays zero."""
+    found = [(i, v) for i, v in enumerate(vectors.to_pylist()) if v is not None and len(v) and None not in v]
+    if not found:
+        return np.zeros(0, int), np.zeros((0, 0))
+    rows = np.array([v for _, v in found], np.float64)
+    length = np.sqrt(np.einsum("ij,ij->i", rows, rows))
+    return np.array([i for i, _ in found]), rows / np.where(length > 0, length, 1)[:, None]
+
+
+def nearest_each(claims: DataFrame, chunks: DataFrame, k: int, claim_id: str = "claim_id", claim_vector: str = "claim_embedding", vector: str = "embedding", id_col: str = "id") -> DataFrame:
+    """The claim's and the chunk's columns, distance and nth: the k nearest chunks of every claim, ties by id.
+
+    Blocks of claims meet slices of chunks in a grid of cells. A cell is one matrix product and gives at most k chunks for
+    each of its claims; only ids and distances move on. Vectors that are null, empty or hold a null take no part.
     """
-    n = claims.count()
-    blocks = max(1, -(-n // most))
-    claims = claims.withColumn("__block", F.pmod(F.xxhash64(claim_id), F.lit(blocks)))
-    parts = []
-    for b in range(blocks):
-        mine = F.broadcast(claims.where(F.col("__block") == b).drop("__block"))
-        pairs = chunks.where(F.col(vector).isNotNull()).join(mine, F.lit(True))
-        pairs = pairs.withColumn("distance", cosine_distance(F.col(vector), F.col(claim_vector)))
-        nth = F.row_number().over(Window.partitionBy(claim_id).orderBy("distance", id_col))
-        parts.append(pairs.withColumn("nth", nth).where(F.col("nth") <= k))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    n_claims, n_chunks = claims.count(), chunks.count()
+    blocks, slices = max(1, -(-n_claims // CLAIMS)), max(1, -(-n_chunks // CHUNKS))
+    tasks = chunks.sparkSession.sparkContext.defaultParallelism
+    slices = max(slices, min(tasks, -(-n_chunks // 4096)))
+    kinds = dict(claims.dtypes)[claim_id], dict(chunks.dtypes)[id_col]
+    asked = claims.select(F.col(claim_id).alias("c"), F.col(claim_vector).alias("v"), F.pmod(F.xxhash64(claim_id), F.lit(blocks)).alias("block"))
+    asked = asked.withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
+    held = chunks.select(F.col(id_col).alias("i"), F.col(vector).alias("v"), F.pmod(F.xxhash64(id_col), F.lit(slices)).cast("int").alias("slice"))
+    held = held.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
+
+    def cell(left: pa.Table, right: pa.Table) -> pa.Table:
+        at, a = _unit(left.column("v"))
+        of, b = _unit(right.column("v"))
+        out: tuple[list, list, list] = [], [], []
+        if len(at) and len(of):
+            ids = right.column("i").take(pa.array(of))
+            place = np.argsort(np.array(ids.to_pylist()), kind="stable")  # ties go to the smaller id
+            order = np.empty(len(place), int)
+            order[place] = np.arange(len(place))
+            for start in range(0, len(at), 512):
+                far = np.round(1 - a[start : start + 512] @ b.T, DIGITS)
+                for row, claim in zip(far, at[start : start + 512]):
+                    best = np.flatnonzero(row <= np.partition(row, k - 1)[k - 1]) if len(row) > k else np.arange(len(row))
+                    best = best[np.lexsort((order[best], row[best]))][:k]
+                    out[0].extend([claim] * len(best))
+                    out[1].extend(best.tolist())
+                    out[2].extend(row[best].tolist())
+            found = [left.column("c").take(pa.array(out[0], pa.int64())), ids.take(pa.array(out[1], pa.int64()))]
+        else:
+            found = [left.column("c").slice(0, 0), right.column("i").slice(0, 0)]
+        return pa.table([*found, pa.array(out[2], pa.float64())], names=["c", "i", "distance"])
+
+    pairs = asked.groupBy("block", "slice").cogroup(held.groupBy("block", "slice")).applyInArrow(cell, f"c {kinds[0]}, i {kinds[1]}, distance double")
+    nth = F.row_number().over(Window.partitionBy("c").orderBy("distance", "i"))
+    best = pairs.withColumn("nth", nth).where(F.col("nth") <= k)
+    mine = best.withColumnRenamed("c", "__c").withColumnRenamed("i", "__i")
+    return claims.join(mine, F.col(claim_id) == F.col("__c")).join(chunks, F.col("__i") == F.col(id_col)).drop("__c", "__i")
 
 
 def title_contains(hits: DataFrame, cited: Column, title: Column) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from talkloom.functions.text import clean, filled, or_else
+from talkloom.functions.text import clean, clean_each, filled, or_else, strip
 from talkloom.operators.ordering import keep_first
 
 SPEAKERS = "array<struct<name:string,company:string>>"
@@ -49,10 +49,10 @@ def coerce(raw: DataFrame) -> DataFrame:
 
 def normalize(sessions: DataFrame) -> DataFrame:
     """Clean the text fields and the speakers; time and tags stay as they are."""
-    # The speakers' strings are cleaned as two plain arrays, since no Python function may stand in a transform.
-    tidy = lambda x: F.trim(F.regexp_replace(F.regexp_replace(filled(x), "<[^>]+>", ""), r"(?U)\s+", " "))
-    each = F.transform("speakers", lambda s: F.struct(tidy(s["name"]).alias("name"), tidy(s["company"]).alias("company")))
-    return sessions.withColumns({c: clean(c) for c in ("title", "abstract", "track", "format")} | {"speakers": each})
+    # No Python function may stand in a transform: the speakers' strings are cleaned as two plain arrays.
+    of = lambda field: clean_each(F.transform("speakers", lambda s: s[field]))
+    each = F.transform(F.arrays_zip(of("name").alias("name"), of("company").alias("company")), lambda s: F.struct(s["name"].alias("name"), s["company"].alias("company")))
+    return sessions.withColumns({c: clean(c) for c in ("title", "abstract", "track", "format")} | {"speakers": each.cast(SPEAKERS)})
 
 
 def dedup(sessions: DataFrame, position: str = "_pos") -> DataFrame:
@@ -91,4 +91,4 @@ def merge_results(core: DataFrame, signals: DataFrame, key: str = "title") -> Da
 
 
 def without_blank_relationships(df: DataFrame, column: str = "relationships") -> DataFrame:
-    return df.withColumn(column, F.filter(column, lambda r: F.trim(filled(r["entity_a"])) != ""))
+    return df.withColumn(column, F.filter(column, lambda r: strip(r["entity_a"]) != ""))

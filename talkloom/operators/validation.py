@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from talkloom.functions.text import filled, fold, percentages, person_names, template_artifacts, title_prefix
@@ -10,9 +10,35 @@ from talkloom.functions.text import filled, fold, percentages, person_names, tem
 KINDS = ("unknown_speakers", "ungrounded_metrics", "template_artifacts", "fabricated_citations")
 
 
-def _contains_either(names: DataFrame, known: DataFrame, how: str) -> DataFrame:
-    """names (n) that hold, or are held by, a known name (k). The schedule's names are the small side."""
-    return names.join(known, F.contains("n", "k") | F.contains("k", "n"), how)
+GRAM = 3
+
+
+def _grams(x: str, sizes: Column) -> Column:
+    """The different substrings of a column of the given sizes (an array)."""
+    starts = lambda n: F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(x) - n + 1))
+    each = F.flatten(F.transform(sizes, lambda n: F.transform(starts(n), lambda i: F.substring(F.col(x), i, n))))
+    return F.array_distinct(each)
+
+
+def containing(longer: DataFrame, shorter: DataFrame) -> DataFrame:
+    """(whole, part): strings of ``longer`` (column whole) that hold one of ``shorter`` (column part), both different and not empty.
+
+    A part meets wholes on the one of its three-character pieces that fewest wholes hold (a shorter part on itself), and
+    what meets is compared, so neither table goes to every task and no pair is formed without a piece in common.
+    """
+    pieces = longer.select("whole", F.explode(_grams("whole", F.array(F.lit(1), F.lit(2), F.lit(GRAM)))).alias("piece"))
+    held_by = pieces.groupBy("piece").agg(F.count("*").alias("n"))
+    own = F.when(F.length("part") < GRAM, F.array("part")).otherwise(_grams("part", F.array(F.lit(GRAM))))
+    rarest = shorter.select("part", F.explode(own).alias("piece")).join(held_by, "piece", "left")
+    rarest = rarest.groupBy("part").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "piece")).alias("x")).select("part", "x.piece")
+    return pieces.join(rarest, "piece").where(F.contains("whole", "part")).select("whole", "part")
+
+
+def _contains_either(names: DataFrame, known: DataFrame) -> DataFrame:
+    """names (n) that neither hold, nor are held by, a known name (k)."""
+    holds = containing(names.select(F.col("n").alias("whole")), known.select(F.col("k").alias("part"))).select(F.col("whole").alias("n"))
+    held = containing(known.select(F.col("k").alias("whole")), names.select(F.col("n").alias("part"))).select(F.col("part").alias("n"))
+    return names.join(holds.unionByName(held).distinct(), "n", "left_anti")
 
 
 def unknown_speakers(sections: DataFrame, people: DataFrame) -> DataFrame:
@@ -23,7 +49,7 @@ def unknown_speakers(sections: DataFrame, people: DataFrame) -> DataFrame:
     found = sections.select("section_id", F.explode(person_names("prose")).alias("name")).withColumn("n", fold("name"))
     names = found.where(F.length("n") >= 4).select("n").distinct()
     known = lambda kind: people.where(F.col("kind") == kind).select(fold("name").alias("k")).where("k <> ''").distinct()
-    unknown = _contains_either(_contains_either(names, known("company"), "left_anti"), known("speaker"), "left_anti")
+    unknown = _contains_either(names, known("company").unionByName(known("speaker")).distinct())
     return found.join(unknown, "n", "left_semi").select("section_id", "name")
 
 

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import tomllib
+import uuid
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from talkloom.schemas import schema
@@ -14,27 +15,47 @@ from talkloom.schemas import schema
 _dirs: dict[str, str] = {}
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder's path in the folder of spark.checkpoint.dir; where that is unset on one machine (tests), in one of our own.
+
+    Raises RuntimeError where it is unset on a cluster, whose executors would not see a folder of the driver's.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        sc = spark.sparkContext
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        if sc.applicationId not in _dirs:
+            _dirs[sc.applicationId] = tempfile.mkdtemp(prefix="talkloom-")
+        root = _dirs[sc.applicationId]
+    return f"{root.rstrip('/')}/talkloom-{uuid.uuid4().hex}"
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage in the shared folder of spark.checkpoint.dir; where it is unset, as in tests, in a folder of our own."""
-    sc = df.sparkSession.sparkContext
-    if not df.sparkSession.conf.get("spark.checkpoint.dir", None) and sc.applicationId not in _dirs:
-        _dirs[sc.applicationId] = tempfile.mkdtemp(prefix="talkloom-")
-        sc.setCheckpointDir(_dirs[sc.applicationId])
+    """Cut the lineage in the shared folder of spark.checkpoint.dir (see shared_folder)."""
+    spark = df.sparkSession
+    if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.applicationId not in _dirs:
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
     return df.checkpoint()
 
 
-def read_json(spark: SparkSession, path: str, name: str, strict: bool = True) -> DataFrame:
-    """A JSON artifact under its declared schema; malformed input fails and the message names the file."""
-    reader = spark.read.schema(schema(name)).option("multiLine", True).option("mode", "FAILFAST" if strict else "PERMISSIVE")
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether anything matches a path (or pattern), in whatever file system it names."""
+    fs_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = fs_path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(fs_path)
+    return found is not None and len(found) > 0
+
+
+def read_json(spark: SparkSession, path: str, name: str, strict: bool = True, lines: bool = False) -> DataFrame:
+    """A JSON artifact (one document or list, or a record a line) under its declared schema; malformed input fails and the
+    message names the file."""
+    reader = spark.read.schema(schema(name)).option("multiLine", not lines).option("mode", "FAILFAST" if strict else "PERMISSIVE")
     return reader.json(path)
 
 
 def read_optional(spark: SparkSession, path: str, name: str) -> DataFrame:
-    """As read_json, or an empty table where there is no such artifact. The check goes through Spark's file system."""
-    fs_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = fs_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    there = bool(fs.globStatus(fs_path))
-    return read_json(spark, path, name) if there else spark.createDataFrame([], schema(name))
+    """As read_json, or an empty table where there is no such artifact."""
+    return read_json(spark, path, name) if exists(spark, path) else spark.createDataFrame([], schema(name))
 
 
 def read_table(spark: SparkSession, path: str, kind: str = "parquet", **options: str) -> DataFrame:
@@ -43,8 +64,21 @@ def read_table(spark: SparkSession, path: str, kind: str = "parquet", **options:
 
 
 def with_position(df: DataFrame) -> DataFrame:
-    """Add _pos, the order of rows as read, which first-wins rules need."""
-    return df.withColumn("_pos", F.monotonically_increasing_id())
+    """Add _pos, the order of rows as read, which first-wins rules need; a position that was stored stays.
+
+    Files come in order of their names, their parts and rows in order within, however Spark deals files out to tasks.
+    """
+    if "_pos" in df.columns:
+        return df
+    if not df.inputFiles():
+        return df.withColumn("_pos", F.monotonically_increasing_id())
+    at = [F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__block")]
+    placed = df.select("*", *at, F.monotonically_increasing_id().alias("__row"))
+    parts = placed.groupBy("__file", "__block").agg(F.count("*").alias("n"), F.min("__row").alias("__first"))
+    before = Window.orderBy("__file", "__block").rowsBetween(Window.unboundedPreceding, -1)  # one row for each part of a file
+    parts = parts.select("__file", "__block", "__first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__begin"))
+    placed = placed.join(parts, ["__file", "__block"])
+    return placed.withColumn("_pos", F.col("__begin") + F.col("__row") - F.col("__first")).drop("__file", "__block", "__row", "__first", "__begin")
 
 
 def read_documents(spark: SparkSession, pattern: str, name: str, key: str = "video_id") -> DataFrame:
@@ -55,6 +89,11 @@ def read_documents(spark: SparkSession, pattern: str, name: str, key: str = "vid
     return keep_last(rows, F.col(key), F.col("_file")).drop("_file")
 
 
+def read_optional_documents(spark: SparkSession, pattern: str, name: str, key: str = "video_id") -> DataFrame:
+    """As read_documents, or an empty table where no file matches."""
+    return read_documents(spark, pattern, name, key) if exists(spark, pattern) else spark.createDataFrame([], schema(name))
+
+
 def read_schedule(spark: SparkSession, path: str) -> DataFrame:
     """Raw sessions of a local .toml (key sessions) or of a JSON file."""
     if path.endswith(".toml"):

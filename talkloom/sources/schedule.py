@@ -10,11 +10,14 @@ from pyspark.sql import functions as F
 from talkloom.plans.config import Config
 from talkloom.schemas import schema
 from talkloom.sources import listing, rest
-from talkloom.sources.artifacts import read_schedule, with_position
+from talkloom.sources.artifacts import append_results, checkpointed, exists, read_schedule, with_position
 
 
-def fetch_schedule(spark: SparkSession, config: Config, cache: DataFrame | None = None, fetcher: Callable[[], Callable[[str], str]] = lambda: rest.get) -> DataFrame:
-    """Raw sessions, from the first that is configured: the API (URL and key), the site (URL), a file, or none."""
+def fetch_schedule(spark: SparkSession, config: Config, cache: str | None = None, fetcher: Callable[[], Callable[[str], str]] = lambda: rest.get) -> DataFrame:
+    """Raw sessions, from the first that is configured: the API (URL and key), the site (URL), a file, or none.
+
+    ``cache`` is the path of a table of detail pages: those in it are not fetched again, new ones are added.
+    """
     c = config.conference
     if c.schedule_url and c.sched_api_key:
         spark.dataSource.register(rest.ScheduleApi)
@@ -26,17 +29,23 @@ def fetch_schedule(spark: SparkSession, config: Config, cache: DataFrame | None
     return with_position(spark.createDataFrame([], schema("raw_session")))
 
 
-def scrape(spark: SparkSession, url: str, cache: DataFrame | None = None, fetcher: Callable[[], Callable[[str], str]] = lambda: rest.get) -> DataFrame:
-    """Sessions of a site: the listing, and the detail page of each session that the cache (event_id and details) lacks."""
+DETAIL = "event_id string, abstract string, speakers array<struct<name:string,company:string>>, track string, time string, tags array<string>"
+
+
+def scrape(spark: SparkSession, url: str, cache: str | None = None, fetcher: Callable[[], Callable[[str], str]] = lambda: rest.get) -> DataFrame:
+    """Sessions of a site: the listing, and the detail page of each session that the cache lacks. Pages that fail are not cached."""
     page = rest.fetch_pages(spark.createDataFrame([(url,)], "url string"), fetcher, workers=1, spacing=0)
-    sessions = listing.listing_sessions(page)
-    new = sessions if cache is None else listing.fetch_plan(sessions, cache)
-    details = listing.detail_sessions(rest.fetch_pages(new, fetcher)).withColumnRenamed("url", "detail_url")
-    full = new.join(details, F.col("url") == F.col("detail_url"), "left").select("event_id", "abstract", "speakers", "track", "time", "tags")
-    if cache is not None:
-        full = full.unionByName(cache.select(full.columns))
-    got = sessions.join(full, "event_id", "left")
-    return got.select("title", "abstract", "speakers", F.coalesce(F.nullif("track", F.lit("")), "venue").alias("track"), F.lit("").alias("format"), "time", "tags", F.col("_i").cast("long").alias("_pos"))
+    sessions = checkpointed(listing.listing_sessions(page))
+    known = spark.read.schema(DETAIL).parquet(cache) if cache and exists(spark, cache) else spark.createDataFrame([], DETAIL)
+    new = listing.fetch_plan(sessions, known)
+    fetched = rest.fetch_pages(new, fetcher).where("error is null")
+    details = listing.detail_sessions(fetched).withColumnRenamed("url", "detail_url")
+    full = checkpointed(new.join(details, F.col("url") == F.col("detail_url")).select("event_id", "abstract", "speakers", "track", "time", "tags"))
+    if cache:
+        append_results(full, cache)
+    got = sessions.join(full.unionByName(known), "event_id", "left")
+    track = F.coalesce(F.nullif("track", F.lit("")), "venue")
+    return got.select("title", "abstract", "speakers", track.alias("track"), F.lit("").alias("format"), "time", "tags", F.col("_i").cast("long").alias("_pos"))
 
 
 def recordings(playlist: DataFrame, configured: list[str], media: DataFrame) -> DataFrame:

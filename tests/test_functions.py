@@ -73,6 +73,8 @@ def test_stamp_and_display(value):
         ("in 3 hours and 20 ms", "in hours and sub-second"),
         ("3-6 months", "several months"),
         ("kept 41% here", "kept 41% here"),
+        ("up 40%\u00a0of all", "up many all"),
+        ("1\u00a0minute", "minutes"),
     ],
 )
 def test_scrub_metrics(value, given, wanted):
@@ -88,6 +90,30 @@ def test_scrub_speakers():
     assert scrub("A tool presented by Max Muster, engineer at X is used.", known) == "A tool ."
 
 
+@pytest.mark.parametrize(
+    ("prose", "wanted"),
+    [
+        ("Fast, said by Max Muster, CTO of X, and by Ann Lee.", "Fast, said, and by Ann Lee."),
+        ("by Max Muster and by Eva Klein here", "and here"),
+        ("Dr. Max Muster's talk and Prof. Ann Lee's talk", "and Prof. Ann Lee's talk"),
+        ("speaker Max Muster noted it, speaker Ann Lee noted it", ", though speakers cautioned it, speaker Ann Lee noted it"),
+        ("no names  at all", "no names  at all"),
+    ],
+)
+def test_scrub_speakers_by_hand(prose, wanted):
+    assert grounding.scrub_speakers_text(prose, {"ann lee", "lee"}).strip() == wanted
+
+
+def test_unicode_spaces_and_case_count_in_patterns(value):
+    assert value(text.non_analytical(F.lit("Closing\u00a0Remarks"))) is True
+    assert value(text.title_prefix(F.lit("\u2003Title\u00a0 - Someone"))) == "Title"
+    assert value(text.clean_each(F.array(F.lit("\uff2a\uff4f\uff48\uff4e <b>x</b>"), F.lit(None), F.lit("\ufb01rm")))) == ["John x", "", "firm"]
+
+
+def test_rounding_is_that_of_the_binary_value(value):
+    assert [value(time.rounded(F.lit(x), 2)) for x in (2.675, 0.125, 1.005)] == [round(x, 2) for x in (2.675, 0.125, 1.005)]
+
+
 def test_titles_in_prose(value):
     title = "Scaling the control plane to ten thousand nodes"
     prose = f"See **{title[:38]} quickly** and *short*."

@@ -138,3 +138,99 @@ def test_keep_first_ignores_empty_keys(spark):
 def test_json_schema():
     s = to_json_schema(schema("ranking"), {"name": ("x",)})
     assert s["properties"]["rank"] == {"type": "integer"} and s["properties"]["name"]["enum"] == ["x"]
+
+
+def test_resolving_takes_the_part_before_the_speaker(spark):
+    titles = spark.createDataFrame([("Scaling Kube - Jane, Acme", 0), ("Scaling Kube - Other", 1)], "title string, pos int")
+    w = spark.createDataFrame([("Scaling Kube - Keynote",), ("Scaling",), ("Scaling Kubernetes",)], "wanted string")
+    assert dict(rows(matching.resolve_titles(w, titles), "wanted", "resolved")) == {"Scaling Kube - Keynote": "Scaling Kube - Jane, Acme", "Scaling": "Scaling Kube - Jane, Acme", "Scaling Kubernetes": None}
+
+
+def test_best_titles_equal_brute_force(spark):
+    import random
+
+    rng = random.Random(3)
+    vocabulary = [f"word{i}" for i in range(12)]
+    pick = lambda n: " ".join(rng.choice(vocabulary[: rng.randint(3, 12)]) for _ in range(n))
+    titles = [pick(rng.randint(1, 6)) for _ in range(60)]
+    asked = [(i, pick(rng.randint(1, 9))) for i in range(150)] + [(999, titles[0])]
+    words = lambda x: set(x.split())
+    for strict in (False, True):
+        want = {}
+        for i, x in asked:
+            mine, scored = words(x), [(-2.0, y) for y in set(titles) if y == x]
+            for y in set(titles):
+                n = len(mine & words(y))
+                if len(mine) >= (4 if strict else 2) and n / len(mine) >= 0.5 and n >= (3 if strict else 1):
+                    scored.append((-n / len(mine), y))
+            if scored:
+                score, title = min(scored)
+                want[i] = (title, min(1.0, -score))
+        got = matching.best_titles(spark.createDataFrame(asked, "candidate_id long, text string"), spark.createDataFrame([(x,) for x in titles], "title string"), strict)
+        assert {r["candidate_id"]: (r["title"], r["score"]) for r in got.collect()} == want and want
+
+
+def test_containing_equals_brute_force(spark):
+    longer = ["anna meier", "jo", "max muster", "joanna smith", "x"]
+    shorter = ["ann", "jo", "muster", "smith ", "er", "zz", "anna meier", "m"]
+    got = validation.containing(spark.createDataFrame([(x,) for x in longer], "whole string"), spark.createDataFrame([(x,) for x in shorter], "part string"))
+    assert sorted(map(tuple, got.collect())) == sorted((a, b) for a in longer for b in shorter if b in a)
+
+
+def test_nearest_of_each_equal_brute_force(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    vectors = [[float(x) for x in rng.normal(size=8)] for _ in range(300)]
+    vectors += vectors[:20]  # ties go to the smaller id
+    chunk = spark.createDataFrame([(i, v) for i, v in enumerate(vectors)] + [(1000, None), (1001, [])], "id long, embedding array<double>")
+    claims = spark.createDataFrame([(i, vectors[i]) for i in range(0, 300, 7)], "claim_id long, claim_embedding array<double>")
+    old, retrieval.CLAIMS = retrieval.CLAIMS, 10
+    try:
+        got = {(r["claim_id"], r["nth"]): r["id"] for r in retrieval.nearest_each(claims, chunk, 4).collect()}
+    finally:
+        retrieval.CLAIMS = old
+    unit = np.array(vectors) / np.linalg.norm(vectors, axis=1)[:, None]
+    for i in range(0, 300, 7):
+        order = sorted(range(len(vectors)), key=lambda j: (round(float(1 - unit[i] @ unit[j]), 12), j))[:4]
+        assert [got[i, n + 1] for n in range(4)] == order
+
+
+def test_one_very_long_title_among_many(spark):
+    import numpy as np
+
+    a, b = ["short title"] * 2000 + ["x" * 300], ["short titel"] * 2000 + ["x" * 200_000]
+    bounds = matching.common_bounds(a, b)
+    assert (bounds[:2000] >= 10).all() and bounds[2000] == 300 and isinstance(bounds, np.ndarray)
+
+
+def test_components_of_a_long_path(spark):
+    from talkloom.operators.components import components
+
+    n = 300
+    got = dict(rows(components(spark.createDataFrame([(i, i + 1) for i in range(n)] + [(1000, 1001)], "u long, v long"), "u", "v"), "node", "root"))
+    assert {got[i] for i in range(n + 1)} == {0} and got[1001] == 1000
+
+
+def test_positions_follow_the_files(spark, tmp_path):
+    from talkloom.sources import artifacts
+
+    for name, rng in (("b", range(100, 200)), ("a", range(100)), ("c", range(200, 210))):
+        (tmp_path / f"{name}.json").write_text("\n".join(f'{{"title": "{i}"}}' for i in rng))
+    df = artifacts.read_json(spark, str(tmp_path), "session", lines=True)
+    assert [r["title"] for r in artifacts.with_position(df).orderBy("_pos").collect()] == [str(i) for i in range(210)]
+    assert artifacts.with_position(df.limit(0)).count() == 0
+
+
+def test_hashed_terms_equal_a_plain_computation():
+    import numpy as np
+    import xxhash
+
+    from talkloom.plans import providers
+
+    got = providers.HashedTerms().embed(["One two two three; ONE x", ""])
+    want = np.zeros(providers.DIMS)
+    for word, n in {"one": 2, "two": 2, "three": 1, "x": 1}.items():
+        h = xxhash.xxh64_intdigest(word)
+        want[h % providers.DIMS] += n if h >> 32 & 1 else -n
+    assert np.allclose(got[0], want / np.linalg.norm(want)) and got[1] == [0.0] * providers.DIMS
