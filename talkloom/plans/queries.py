@@ -6,32 +6,13 @@ segments, benchmark for titles, pages for scraped pages, embeddings for the vect
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from talkloom.functions import entities, grounding, text, time, vector
 from talkloom.operators import aggregates, alignment, chunks, hashes, matching, ordering, reports, retrieval, sessions, validation
+from talkloom.plans.registry import ORACLE_SQL, QUERIES, query, t
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
-
-
-def query(sql: str | None = None):
-    """Register a query under its function's name, and its SQL."""
-
-    def add(f):
-        QUERIES[f.__name__] = f
-        if sql is not None:
-            ORACLE_SQL[f.__name__] = sql
-        return f
-
-    return add
-
-
-def t(spark: SparkSession, d: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{d}/{name}.parquet")
+__all__ = ["ORACLE_SQL", "QUERIES"]
 
 
 # Text ------------------------------------------------------------------------------------------------------------
@@ -45,26 +26,6 @@ def clean_html_text(spark, d):
     return t(spark, d, "pages").select("page_id", text.clean("html").alias("body"))
 
 
-@query(
-    r"""SELECT doc_id, trim(regexp_replace(coalesce(nullif(left(text, 60), ''), 'untitled'), '\s+', ' ', 'g')) AS title, trim(regexp_replace(text, '\s+', ' ', 'g')) AS abstract,
-  source AS track, lang AS format, 'a1 (' || lang || '), b' AS speakers FROM documents"""
-)
-def normalize_session(spark, d):
-    raw = t(spark, d, "documents").select(
-        F.substring("text", 1, 60).alias("title"),
-        F.lit("untitled").alias("name"),
-        F.lit("").alias("abstract"),
-        F.col("text").alias("description"),
-        F.to_json(F.array(F.struct(F.lit(" a1 ").alias("name"), F.col("lang").alias("company")), F.struct(F.lit("b").alias("name"), F.lit("").alias("company")))).alias("speakers"),
-        F.lit("").alias("track"),
-        F.col("source").alias("venue"),
-        F.col("lang").alias("format"),
-        F.col("doc_id").alias("_pos"),
-    )
-    s = sessions.normalize(sessions.coerce(raw))
-    return s.select(F.col("_pos").alias("doc_id"), "title", "abstract", "track", "format", text.speakers_text("speakers").alias("speakers"))
-
-
 @query("SELECT doc_id, text FROM (SELECT *, row_number() OVER (PARTITION BY lower(trim(text)) ORDER BY doc_id) AS n FROM documents WHERE trim(text) <> '') WHERE n = 1")
 def dedup_keep_first(spark, d):
     s = t(spark, d, "documents").select("doc_id", "text", F.col("text").alias("title"))
@@ -103,18 +64,6 @@ def safe_id_slug(spark, d):
     return c.select("c_custkey", text.safe_id("c_name").alias("safe_id"), text.slug(F.concat("c_name", F.lit(" ("), "c_mktsegment", F.lit(")"))).alias("slug"))
 
 
-@query("SELECT s_suppkey, n_name AS company, '(' || n_name || ')' AS tail FROM supplier JOIN nation ON s_nationkey = n_nationkey")
-def company_names(spark, d):
-    s = t(spark, d, "supplier").join(F.broadcast(t(spark, d, "nation")), F.col("s_nationkey") == F.col("n_nationkey"))
-    where = F.concat(F.lit("Engineer, ("), "n_name", F.lit(")"))
-    return s.select("s_suppkey", text.company_of_affiliation(F.concat(F.lit(" ("), "n_name", F.lit(")"))).alias("company"), text.company_tail(where).alias("tail"))
-
-
-@query("SELECT p_partkey, p_name AS prefix FROM part")
-def title_prefixes(spark, d):
-    return t(spark, d, "part").select("p_partkey", text.title_prefix(F.concat("p_name", F.lit(" - "), "p_brand", F.lit(" - x"))).alias("prefix"))
-
-
 _TOKENS = "list_distinct(list_filter(regexp_extract_all(lower({}), '[a-z0-9]+'), lambda x: length(x) > 2))"
 
 
@@ -123,11 +72,6 @@ def token_sets(spark, d):
     return t(spark, d, "documents").select("doc_id", F.size(text.tokens("text")).alias("n_tokens"), F.array_join(F.array_sort(text.tokens("text")), " ").alias("tokens"))
 
 
-@query(r"SELECT DISTINCT p AS percentage FROM (SELECT unnest(regexp_extract_all(text, '\d+(?:\.\d+)?%')) AS p FROM documents)")
-def percent_extract(spark, d):
-    return aggregates.distinct_percentages(t(spark, d, "documents").select("text"))
-
-
 @query(
     r"""WITH prose AS (SELECT doc_id, text || ' ' || (doc_id % 7) || '% of all' AS prose FROM documents), src AS (SELECT (doc_id % 3) || '%' AS p FROM documents)
 SELECT doc_id, p AS percentage FROM (SELECT doc_id, unnest(regexp_extract_all(prose, '\d+(?:\.\d+)?%')) AS p FROM prose) WHERE p NOT IN (SELECT p FROM src)"""
@@ -139,42 +83,11 @@ def grounding_check(spark, d):
     return validation.ungrounded_metrics(s, known).select(F.col("section_id").alias("doc_id"), "percentage")
 
 
-def _scrub_sql(x: str) -> str:
-    for pattern, instead in (*grounding.SHARES, *grounding.QUANTITIES):
-        x = "regexp_replace({}, '{}', '{}', 'g')".format(x, pattern.replace("\\u2013", "–"), instead.replace("$1", "\\1"))
-    return x
-
-
-@query("SELECT doc_id, {} AS prose FROM documents".format(_scrub_sql("(text || ' cut by ' || (doc_id % 90) || '% in only ' || (doc_id % 9) || '% of 12 ms and 3 hours, 7% faster')")))
-def scrub_metrics(spark, d):
-    n = lambda k: (F.col("doc_id") % k).cast("string")
-    prose = F.concat("text", F.lit(" cut by "), n(90), F.lit("% in only "), n(9), F.lit("% of 12 ms and 3 hours, 7% faster"))
-    return t(spark, d, "documents").select("doc_id", grounding.scrub_metrics(prose, F.array().cast("array<string>")).alias("prose"))
-
-
-@query(
-    r"""SELECT event_id, CASE event_type WHEN 'view' THEN 'Kubernetes' WHEN 'click' THEN 'OpenTelemetry' WHEN 'error' THEN 'Kata Containers' WHEN 'signup' THEN 'Kubernetes-proxy' ELSE 'Argo CD' END || ' on ' || 'Kubernetes' AS names FROM events"""
-)
-def canonicalize(spark, d):
-    kind = F.col("event_type")
-    raw = F.when(kind == "view", "k8s").when(kind == "click", "OTel").when(kind == "error", "kata containers").when(kind == "signup", "kube-proxy").otherwise("ARGO-CD")
-    return t(spark, d, "events").select("event_id", entities.canonical(F.concat(raw, F.lit(" on K8s"))).alias("names"))
-
-
-@query(
-    r"""SELECT doc_id, regexp_matches(title, '\bclosing\s+remarks?\b', 'i') OR regexp_matches(title, '\bsponsored?\s+keynote\b', 'i') AS skip
-FROM (SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN 'Closing  Remarks ' WHEN 1 THEN 'Sponsor Keynote: ' ELSE '' END || left(text, 40) AS title FROM documents)"""
-)
-def non_analytical_titles(spark, d):
-    head = F.when(F.col("doc_id") % 4 == 0, "Closing  Remarks ").when(F.col("doc_id") % 4 == 1, "Sponsor Keynote: ").otherwise("")
-    return t(spark, d, "documents").select("doc_id", text.non_analytical(F.concat(head, F.substring("text", 1, 40))).alias("skip"))
-
-
 @query(
     r"""SELECT doc_id, regexp_matches(title, '\bclosing\s+remarks?\b', 'i') OR regexp_matches(title, '\bsponsored?\s+keynote\b', 'i') AS skip
 FROM (SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN 'Closing  Remarks ' WHEN 1 THEN 'Sponsor Keynote: ' ELSE '' END || text AS title FROM documents)"""
 )
-def non_analytical_titles_whole(spark, d):
+def non_analytical_titles(spark, d):
     head = F.when(F.col("doc_id") % 4 == 0, "Closing  Remarks ").when(F.col("doc_id") % 4 == 1, "Sponsor Keynote: ").otherwise("")
     return t(spark, d, "documents").select("doc_id", text.non_analytical(F.concat(head, "text")).alias("skip"))
 
@@ -203,17 +116,18 @@ def fuzzy_match(spark, d):
 
 
 def _best_sql(least: int, shared: int) -> str:
-    return f"""WITH c AS (SELECT doc_id, left(text, 100) AS txt, {_TOKENS.format("left(text, 100)")} AS mine FROM documents),
-r AS (SELECT DISTINCT text AS title, {_TOKENS.format("text")} AS theirs FROM benchmark),
-p AS (SELECT doc_id, title, len(list_intersect(mine, theirs)) AS shared, len(list_intersect(mine, theirs)) / len(mine) AS score FROM c, r WHERE len(mine) >= {least}),
-q AS (SELECT doc_id, title, score FROM p WHERE score >= 0.5 AND shared >= {shared} UNION ALL SELECT doc_id, title, 2.0 FROM c JOIN r ON txt = title)
-SELECT doc_id, title, round(least(1.0, score), 6) AS score FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, title) AS n FROM q) WHERE n = 1"""
+    return f"""WITH c AS (SELECT item_id, text AS txt, {_TOKENS.format("text")} AS mine FROM benchmark),
+r AS (SELECT DISTINCT text AS title, {_TOKENS.format("text")} AS theirs FROM documents),
+p AS (SELECT item_id, title, len(list_intersect(mine, theirs)) AS shared, len(list_intersect(mine, theirs)) / len(mine) AS score FROM c, r WHERE len(mine) >= {least}),
+q AS (SELECT item_id, title, score FROM p WHERE score >= 0.5 AND shared >= {shared} UNION ALL SELECT item_id, title, 2.0 FROM c JOIN r ON txt = title)
+SELECT item_id, title, round(least(1.0, score), 6) AS score FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, title) AS n FROM q) WHERE n = 1"""
 
 
 def _best(spark, d, strict):
-    c = t(spark, d, "documents").select(F.col("doc_id").alias("candidate_id"), F.substring("text", 1, 100).alias("text"))
-    got = matching.best_titles(c, t(spark, d, "benchmark").select(F.col("text").alias("title")), strict)
-    return got.select(F.col("candidate_id").alias("doc_id"), "title", F.round("score", 6).alias("score"))
+    """Items as candidates and whole documents as titles: a document that holds an item shares all of its tokens."""
+    c = t(spark, d, "benchmark").select(F.col("item_id").alias("candidate_id"), "text")
+    got = matching.best_titles(c, t(spark, d, "documents").select(F.col("text").alias("title")), strict)
+    return got.select(F.col("candidate_id").alias("item_id"), "title", F.round("score", 6).alias("score"))
 
 
 @query(_best_sql(2, 1))
@@ -226,43 +140,6 @@ def token_best_match_strict(spark, d):
     return _best(spark, d, True)
 
 
-def _best_whole_sql(least: int, shared: int) -> str:
-    return _best_sql(least, shared).replace("left(text, 100)", "text")
-
-
-def _best_whole(spark, d, strict):
-    c = t(spark, d, "documents").select(F.col("doc_id").alias("candidate_id"), "text")
-    got = matching.best_titles(c, t(spark, d, "benchmark").select(F.col("text").alias("title")), strict)
-    return got.select(F.col("candidate_id").alias("doc_id"), "title", F.round("score", 6).alias("score"))
-
-
-@query(_best_whole_sql(2, 1))
-def token_best_match_whole(spark, d):
-    return _best_whole(spark, d, False)
-
-
-@query(_best_whole_sql(4, 3))
-def token_best_match_strict_whole(spark, d):
-    return _best_whole(spark, d, True)
-
-
-@query(
-    """WITH titles AS (SELECT p_name || ' - ' || p_brand AS title, min(p_partkey) AS pos FROM part GROUP BY 1),
-w AS (SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN p_name || ' - ' || p_brand WHEN 1 THEN p_name WHEN 2 THEN left(p_name, 6) ELSE 'zz' || p_name END AS wanted FROM part),
-c AS (SELECT wanted, 1 AS tier, pos, title FROM (SELECT DISTINCT wanted FROM w) JOIN titles ON title = wanted
-  UNION ALL SELECT wanted, 2, pos, title FROM (SELECT DISTINCT wanted FROM w) JOIN titles ON split_part(title, ' - ', 1) = wanted
-  UNION ALL SELECT wanted, 3, pos, title FROM (SELECT DISTINCT wanted FROM w) JOIN titles ON starts_with(title, wanted)),
-b AS (SELECT wanted, title FROM (SELECT *, row_number() OVER (PARTITION BY wanted ORDER BY tier, pos, title) AS n FROM c) WHERE n = 1)
-SELECT p_partkey, w.wanted, title AS resolved FROM w LEFT JOIN b USING (wanted)"""
-)
-def title_resolve_3tier(spark, d):
-    p = t(spark, d, "part")
-    full = F.concat("p_name", F.lit(" - "), "p_brand")
-    k = F.col("p_partkey") % 4
-    w = p.select("p_partkey", F.when(k == 0, full).when(k == 1, F.col("p_name")).when(k == 2, F.substring("p_name", 1, 6)).otherwise(F.concat(F.lit("zz"), "p_name")).alias("wanted"))
-    return matching.resolve_titles(w, p.select(full.alias("title"), F.col("p_partkey").alias("pos"))).select("p_partkey", "wanted", "resolved")
-
-
 @query(
     """WITH m AS (SELECT user_id, ts, event_id AS mark_id, lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS until FROM events WHERE event_type = 'error')
 SELECT e.event_id, m.mark_id FROM events e JOIN m ON e.user_id = m.user_id AND e.ts >= m.ts AND (m.until IS NULL OR e.ts < m.until) WHERE e.event_type <> 'error'"""
@@ -290,12 +167,6 @@ def align_text(spark, d):
     return alignment.aligned_text(slides, said).select(F.col("video_id").alias("user_id"), F.col("slide_aligned").alias("aligned"))
 
 
-@query("SELECT d.doc_id, coalesce(l.quality, -1) AS quality, coalesce(l.toxic, 0) AS toxic FROM documents d LEFT JOIN labels l USING (doc_id)")
-def enrich_left(spark, d):
-    joined = t(spark, d, "documents").select("doc_id").join(t(spark, d, "labels"), "doc_id", "left")
-    return joined.select("doc_id", F.coalesce("quality", F.lit(-1)).alias("quality"), F.coalesce("toxic", F.lit(0)).alias("toxic"))
-
-
 @query("SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE doc_id IS NOT NULL)")
 def resume_anti(spark, d):
     return ordering.unprocessed(t(spark, d, "documents").select("doc_id"), t(spark, d, "labels"), "doc_id")
@@ -316,20 +187,11 @@ def track_distribution(spark, d):
     return aggregates.track_distribution(t(spark, d, "documents").withColumn("track", F.col("source")), "doc_id")
 
 
-@query(
-    f"""SELECT keyword, sum(w)::BIGINT AS weight FROM (SELECT unnest({_TOKENS.format("left(text, 200)")}) AS keyword, CASE WHEN lang = 'en' THEN 3 ELSE 1 END AS w FROM documents)
-GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 15"""
-)
-def weighted_keywords(spark, d):
-    words = t(spark, d, "documents").select("lang", F.explode(text.tokens(F.substring("text", 1, 200))).alias("keyword"))
-    return aggregates.weighted_keywords(words.where("lang = 'en'"), words.where("lang <> 'en'"))
-
-
 @query(
     f"""SELECT keyword, sum(w)::BIGINT AS weight FROM (SELECT unnest({_TOKENS.format("text")}) AS keyword, CASE WHEN lang = 'en' THEN 3 ELSE 1 END AS w FROM documents)
 GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 15"""
 )
-def weighted_keywords_whole(spark, d):
+def weighted_keywords(spark, d):
     words = t(spark, d, "documents").select("lang", F.explode(text.tokens("text")).alias("keyword"))
     return aggregates.weighted_keywords(words.where("lang = 'en'"), words.where("lang <> 'en'"))
 
@@ -363,21 +225,11 @@ def best_evidence(spark, d):
     return aggregates.best_evidence(o, "technology", rank, F.col("o_orderkey")).select("o_custkey", "o_orderkey", "o_orderpriority")
 
 
-@query(
-    """SELECT CASE WHEN o_orderpriority = '5-LOW' THEN 'immediate' ELSE o_orderpriority END AS urgency, count(*)::INTEGER AS n,
-  md5(string_agg(o_orderkey::VARCHAR, ',' ORDER BY o_orderkey)) AS digest FROM orders WHERE o_custkey < 50 GROUP BY 1"""
-)
-def group_actions(spark, d):
-    o = t(spark, d, "orders").where("o_custkey < 50")
-    a = o.select(F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderpriority")).alias("urgency"), F.col("o_orderkey").alias("pos"), F.col("o_orderkey").cast("string").alias("action"), F.lit("watch").alias("category"), F.lit("").alias("source_cluster"))
-    return aggregates.actions_by_urgency(a).select("urgency", F.size("actions").alias("n"), F.md5(F.array_join(F.transform("actions", lambda x: x["action"]), ",")).alias("digest"))
-
-
 @query(
     """SELECT CASE WHEN o_orderpriority = '5-LOW' THEN 'immediate' ELSE o_orderpriority END AS urgency, row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderkey) AS place,
   o_orderkey::VARCHAR AS action FROM orders"""
 )
-def group_all_actions(spark, d):
+def group_actions(spark, d):
     a = t(spark, d, "orders").select(F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderpriority")).alias("urgency"), F.col("o_orderkey").alias("pos"), F.col("o_orderkey").cast("string").alias("action"), F.lit("watch").alias("category"), F.lit("").alias("source_cluster"))
     return aggregates.actions_in_order(a).select("urgency", "place", "action")
 
@@ -426,19 +278,6 @@ def speaker_renumber(spark, d):
     return ordering.dense_labels(t(spark, d, "conversations"), "conv_id", "role").select("conv_id", "turn", "speaker")
 
 
-@query()
-def hamming_dedup(spark, d):
-    v = t(spark, d, "embeddings").select(F.col("label").cast("string").alias("video_id"), F.col("vec_id").alias("index"), vector.sign_hash(F.col("embedding")).alias("dhash"))
-    return hashes.dedup_frames(v, 20)
-
-
-@query("WITH h AS (SELECT vec_id, list_sum(list_transform(embedding[1:63], lambda x, i: CASE WHEN x > 0 THEN (2::HUGEINT ** (i - 1))::HUGEINT ELSE 0 END))::BIGINT AS h FROM embeddings) SELECT a.vec_id, bit_count(xor(a.h, b.h))::INTEGER AS bits FROM h a, h b WHERE b.vec_id = 0")
-def hamming_distance(spark, d):
-    v = t(spark, d, "embeddings").select("vec_id", vector.sign_hash(F.col("embedding")).alias("h"))
-    first = v.where("vec_id = 0").select(F.col("h").alias("h0"))
-    return v.join(F.broadcast(first), F.lit(True)).select("vec_id", vector.hamming(F.col("h"), F.col("h0")).cast("int").alias("bits"))
-
-
 # Retrieval -------------------------------------------------------------------------------------------------------
 
 _DIST = "round(1 - list_cosine_similarity(embedding::DOUBLE[], (SELECT embedding::DOUBLE[] FROM embeddings WHERE vec_id = 0)), 6)"
@@ -464,26 +303,11 @@ def knn_filtered(spark, d):
     return _hits(spark, d, rows=rows).select("vec_id", "label", "distance")
 
 
-@query(f"SELECT vec_id, distance FROM (SELECT vec_id, label, {_DIST} AS distance FROM embeddings ORDER BY 3, 1 LIMIT 8) WHERE label = 1")
-def knn_postfilter(spark, d):
-    return _hits(spark, d, k=8).where("label = 1").select("vec_id", "distance")
-
-
-@query(
-    """WITH c AS (SELECT vec_id AS claim_id, embedding::DOUBLE[] AS q FROM embeddings WHERE vec_id % 100 = 7)
-SELECT claim_id, nth, vec_id FROM (SELECT claim_id, vec_id, row_number() OVER (PARTITION BY claim_id ORDER BY 1 - list_cosine_similarity(embedding::DOUBLE[], q), vec_id)::INTEGER AS nth FROM embeddings, c) WHERE nth <= 8"""
-)
-def knn_join(spark, d):
-    e = t(spark, d, "embeddings")
-    claims = e.where("vec_id % 100 = 7").select(F.col("vec_id").alias("claim_id"), F.col("embedding").alias("claim_embedding"))
-    return retrieval.nearest_each(claims, e.select("vec_id", "embedding"), 8, id_col="vec_id").select("claim_id", "nth", "vec_id")
-
-
 @query(
     """WITH c AS (SELECT vec_id AS claim_id, embedding::DOUBLE[] AS q FROM embeddings WHERE vec_id % 20 = 0)
 SELECT claim_id, nth, vec_id FROM (SELECT claim_id, vec_id, row_number() OVER (PARTITION BY claim_id ORDER BY 1 - list_cosine_similarity(embedding::DOUBLE[], q), vec_id)::INTEGER AS nth FROM embeddings, c) WHERE nth <= 8"""
 )
-def knn_join_twentieth(spark, d):
+def knn_join(spark, d):
     e = t(spark, d, "embeddings")
     claims = e.where("vec_id % 20 = 0").select(F.col("vec_id").alias("claim_id"), F.col("embedding").alias("claim_embedding"))
     return retrieval.nearest_each(claims, e.select("vec_id", "embedding"), 8, id_col="vec_id").select("claim_id", "nth", "vec_id")
@@ -501,26 +325,12 @@ def context_string(spark, d):
     return retrieval.context(h)
 
 
-@query(
-    """WITH u AS (SELECT 'talk_abstract:' || left(replace(lower(left(text, 40)), ' ', '-'), 80) || '-' || left(md5(left(text, 40)), 8) || ':0' AS id, left(text, 40) || chr(10) || chr(10) || trim(text) AS text, 'talk_abstract' AS chunk_type, 1 AS k, doc_id AS pos FROM documents WHERE trim(text) <> ''
-  UNION ALL SELECT 'talk_summary:' || left(replace(lower(left(text, 40)), ' ', '-'), 80) || '-' || left(md5(left(text, 40)), 8) || ':0', left(text, 40) || chr(10) || chr(10) || left(text, 300), 'talk_summary', 2, doc_id FROM documents WHERE lang = 'en')
-SELECT id, text, chunk_type FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY k, pos, text) AS n FROM u) WHERE n = 1"""
-)
-def chunk_union(spark, d):
-    docs = t(spark, d, "documents")
-    none = F.array().cast("array<string>")
-    head = F.substring("text", 1, 40)
-    s = docs.select(head.alias("title"), F.col("text").alias("abstract"), F.array().cast(sessions.SPEAKERS).alias("speakers"), F.col("source").alias("track"), F.col("doc_id").alias("_pos"))
-    a = docs.select(head.alias("title"), F.when(F.col("lang") == "en", F.substring("text", 1, 300)).otherwise("").alias("summary"), *(none.alias(c) for c in ("key_takeaways", "qa_highlights", "problems_discussed", "tools_and_projects", "emerging_signals")), F.col("doc_id").alias("_pos"))
-    return chunks.union_chunks(chunks.abstract_chunks(s), chunks.talk_chunks(a)).select("id", "text", "chunk_type")
-
-
 @query(
     """WITH u AS (SELECT 'talk_abstract:talk-' || doc_id || '-' || left(md5('talk ' || doc_id), 8) || ':0' AS id, 'talk ' || doc_id || chr(10) || chr(10) || trim(text) AS text, 'talk_abstract' AS chunk_type, 1 AS k, doc_id AS pos FROM documents WHERE trim(text) <> ''
   UNION ALL SELECT 'talk_summary:talk-' || doc_id || '-' || left(md5('talk ' || doc_id), 8) || ':0', 'talk ' || doc_id || chr(10) || chr(10) || text, 'talk_summary', 2, doc_id FROM documents WHERE lang = 'en')
 SELECT id, text, chunk_type FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY k, pos, text) AS n FROM u) WHERE n = 1"""
 )
-def chunk_union_whole(spark, d):
+def chunk_union(spark, d):
     docs = t(spark, d, "documents")
     none = F.array().cast("array<string>")
     title = F.concat(F.lit("talk "), F.col("doc_id").cast("string")).alias("title")
@@ -537,50 +347,6 @@ def chunk_counts(spark, d):
 # Reports ---------------------------------------------------------------------------------------------------------
 
 
-def _sections(spark, d):
-    c = t(spark, d, "conversations")
-    told = F.concat("text", F.lit(" As "), F.when(F.col("turn") % 2 == 0, F.lit("said Anna Meier")).otherwise(F.lit("presented by Customer Person")), F.lit(" {place_holder} [needs_quote=true] 41% up"))
-    cited = F.array(F.struct(F.when(F.col("turn") % 3 == 0, F.lit("nothing real")).otherwise(F.substring("text", 1, 30)).alias("talk_title"), F.lit("x").alias("claim"), F.lit(True).alias("needs_quote")))
-    return c.select(F.concat_ws(":", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("section_id"), told.alias("prose"), cited.alias("citations"))
-
-
-@query(
-    r"""WITH s AS (SELECT conv_id || ':' || turn AS section_id, turn, text FROM conversations),
-titles AS (SELECT DISTINCT trim(regexp_replace(lower(text), '\s+', ' ', 'g')) AS t FROM conversations),
-c AS (SELECT section_id, CASE WHEN turn % 3 = 0 THEN 'nothing real' ELSE left(text, 30) END AS cited FROM s),
-f AS (SELECT section_id FROM c WHERE cited <> '' AND NOT EXISTS (SELECT 1 FROM titles WHERE starts_with(t, trim(regexp_replace(lower(trim(split_part(cited, ' - ', 1))), '\s+', ' ', 'g'))) OR t = trim(regexp_replace(lower(cited), '\s+', ' ', 'g')))),
-m AS (SELECT section_id, unnest(regexp_extract_all(text || ' 41% up', '\d+(?:\.\d+)?%')) AS p FROM s)
-SELECT (SELECT count(*) FROM s) AS sections_checked, (SELECT count(*) FROM s WHERE turn % 2 = 0) AS unknown_speakers, (SELECT count(*) FROM m) AS ungrounded_metrics,
-  (SELECT 2 * count(*) FROM s) AS template_artifacts, (SELECT count(*) FROM f) AS fabricated_citations"""
-)
-def validate_report(spark, d):
-    s = _sections(spark, d)
-    people = t(spark, d, "customer").select(F.lit("speaker").alias("kind"), F.lit("Customer Person").alias("name")).distinct()
-    none = spark.createDataFrame([], "percentage string")
-    titles = t(spark, d, "conversations").select(F.col("text").alias("title"))
-    return validation.stats(s, validation.warnings(s, people, none, titles)).drop("total")
-
-
-@query(
-    """WITH r AS (SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS j FROM orders),
-w AS (SELECT o_custkey AS i, j, 'seg ' || (o_orderkey % 7) || ' of ' || o_custkey AS wanted FROM r WHERE j <= 3 AND o_custkey % 2 = 1),
-k AS (SELECT *, row_number() OVER (PARTITION BY wanted ORDER BY i, j) AS n FROM w),
-titles AS (SELECT DISTINCT 'seg ' || (o_orderkey % 7) || ' of ' || o_custkey AS title FROM orders WHERE o_orderkey % 7 < 4)
-SELECT wanted AS title, 'cluster ' || i AS cluster FROM k JOIN titles ON title = wanted WHERE n = 1"""
-)
-def appendix(spark, d):
-    from pyspark.sql import Window
-
-    o = t(spark, d, "orders")
-    name = F.concat(F.lit("seg "), (F.col("o_orderkey") % 7).cast("string"), F.lit(" of "), F.col("o_custkey").cast("string"))
-    best = o.withColumn("j", F.row_number().over(Window.partitionBy("o_custkey").orderBy(F.desc("o_totalprice"), "o_orderkey"))).where("j <= 3 and o_custkey % 2 = 1")
-    ranking = best.groupBy("o_custkey").agg(F.transform(F.array_sort(F.collect_list(F.struct("j", name.alias("w")))), lambda x: x["w"]).alias("recommended_talks"))
-    ranking = ranking.select(F.col("o_custkey").alias("rank"), F.concat(F.lit("cluster "), F.col("o_custkey").cast("string")).alias("name"), "recommended_talks")
-    none = F.array().cast("array<string>")
-    talks = o.where("o_orderkey % 7 < 4").select(name.alias("title"), F.col("o_orderkey").alias("_pos"), F.lit("s").alias("summary"), none.alias("key_takeaways"), F.lit("").alias("evidence_quality"), F.lit("").alias("speaker_perspective"), none.alias("tools_and_projects"))
-    return reports.appendix(talks, ranking, ranking.limit(0)).select("title", "cluster")
-
-
 @query(
     """WITH r AS (SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS j FROM orders),
 w AS (SELECT o_custkey AS i, j, CASE WHEN o_orderkey % 7 < 4 THEN 'seg ' ELSE 'lost ' END || (o_orderkey % 7) || ' of ' || o_custkey AS wanted FROM r WHERE j <= 3),
@@ -588,7 +354,7 @@ k AS (SELECT *, row_number() OVER (PARTITION BY wanted ORDER BY i, j) AS n FROM
 titles AS (SELECT DISTINCT 'seg ' || (o_orderkey % 7) || ' of ' || o_custkey AS title FROM orders)
 SELECT wanted AS title, 'cluster ' || i AS cluster FROM k JOIN titles ON title = wanted WHERE n = 1"""
 )
-def appendix_of_all(spark, d):
+def appendix(spark, d):
     from pyspark.sql import Window
 
     o = t(spark, d, "orders")
@@ -607,13 +373,6 @@ def cluster_relevance(spark, d):
     return reports.cluster_relevance(t(spark, d, "part").select(F.col("p_name").alias("name"), (F.col("p_retailprice") / 10000).alias("relevance_score")))
 
 
-@query("SELECT o_orderkey, coalesce(priority, 99) AS priority FROM orders LEFT JOIN (SELECT c_custkey, min(c_nationkey) AS priority FROM customer WHERE c_nationkey < 10 GROUP BY 1) ON o_custkey = c_custkey")
-def section_order(spark, d):
-    s = t(spark, d, "orders").select("o_orderkey", F.col("o_custkey").alias("section_id"), F.col("o_orderkey").alias("_pos"))
-    specs = t(spark, d, "customer").where("c_nationkey < 10").select(F.col("c_custkey").alias("section_id"), F.col("c_nationkey").alias("priority"), F.lit("cluster_brief").alias("section_type"), F.lit("").alias("cluster_name"))
-    return reports.in_order(s, specs).select("o_orderkey", "priority")
-
-
 @query("SELECT conv_id, turn, length(text) < 2500 AND role = 'user' AS thin FROM conversations")
 def thin_briefs(spark, d):
     s = t(spark, d, "conversations").select("conv_id", "turn", F.when(F.col("role") == "user", "cluster_brief").otherwise("landscape").alias("section_type"), F.col("text").alias("prose"))
@@ -639,20 +398,6 @@ def find_by_name(spark, d):
     return asked.join(first, "c_mktsegment", "left").select("o_orderkey", F.coalesce("c_name", F.lit("")).alias("found"))
 
 
-@query(r"SELECT page_id, 'e' || page_id AS event_id, 'talk ' || page_id AS title, 'Mon 9:00' AS time_text FROM pages")
-def listing_texts(spark, d):
-    p = F.col("page_id").cast("string")
-    return t(spark, d, "pages").select("page_id", text.event_id(F.concat(F.lit("https://x/event/e"), p, F.lit("/name?q"))).alias("event_id"), text.without_venue(F.concat(F.lit("talk "), p, F.lit("Room 1")), F.lit("Room 1")).alias("title"), text.time_text(F.lit(" Mon 9:00   Room 1")).alias("time_text"))
-
-
-@query(
-    r"""SELECT conv_id, turn, '[needs_quote=true] {place_holder}' AS artifacts, CASE WHEN turn % 2 = 0 THEN 'Anna Meier' ELSE 'Max Muster' END AS names FROM conversations"""
-)
-def prose_patterns(spark, d):
-    prose = F.concat("text", F.lit(" {place_holder} [needs_quote=true] as "), F.when(F.col("turn") % 2 == 0, "presented by Anna Meier").otherwise("shown by Max Muster, engineer"))
-    return t(spark, d, "conversations").select("conv_id", "turn", F.array_join(text.template_artifacts(prose), " ").alias("artifacts"), F.array_join(text.person_names(prose), ", ").alias("names"))
-
-
 @query(
     """WITH m AS (SELECT DISTINCT source AS cluster, 'talk ' || doc_id AS title, lang, n_chars FROM documents)
 SELECT cluster, md5('[' || string_agg('{"lang":"' || lang || '","n_chars":' || n_chars || '}', ',' ORDER BY title) || ']') AS payload FROM m GROUP BY 1"""
@@ -704,11 +449,6 @@ def maturity_best(spark, d):
     return aggregates.best_evidence(m).select("technology", "ring", "evidence_quality")
 
 
-@query(r"SELECT doc_id, regexp_replace('x' || chr(10) || chr(10) || '**Head ' || doc_id || '**  ' || chr(10) || 'y', '\n\n\*\*([^*]+)\*\*\s*\n', chr(10) || chr(10) || '### \1' || chr(10) || chr(10), 'g') AS page FROM documents")
-def promote_bold(spark, d):
-    return t(spark, d, "documents").select("doc_id", text.promote_bold(F.concat(F.lit("x\n\n**Head "), F.col("doc_id").cast("string"), F.lit("**  \ny"))).alias("page"))
-
-
 @query("SELECT event_id, (floor(epoch(ts))::BIGINT % 86400) + 0.25::DOUBLE AS secs FROM events")
 def stamps(spark, d):
     return t(spark, d, "events").select("event_id", time.stamp(F.concat(F.date_format("ts", "HH:mm:ss"), F.lit(",250"))).alias("secs"))
@@ -755,8 +495,3 @@ def reconcile_titles(spark, d):
     return s.join(swaps, "doc_id", "left").select("doc_id", grounding.put_titles("prose", F.col("swaps")).alias("prose"))
 
 
-@query()
-def embed_hashed(spark, d):
-    from talkloom.plans.providers import embed
-
-    return embed(t(spark, d, "documents").select("doc_id", "text")).select("doc_id", F.size("embedding").alias("dims"))

@@ -2,6 +2,7 @@
 
 import pytest
 
+from talkloom.plans import artifact_queries  # noqa: F401
 from talkloom.plans.queries import ORACLE_SQL, QUERIES
 
 

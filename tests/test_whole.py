@@ -6,6 +6,7 @@ from collections import Counter
 import pytest
 
 from talkloom.operators import aggregates
+from talkloom.plans import artifact_queries  # noqa: F401
 from talkloom.plans.queries import QUERIES
 
 
@@ -14,7 +15,7 @@ def test_every_order_is_an_action(spark, sf_dir):
     want = {}
     for key, priority in sorted(map(tuple, orders)):
         want.setdefault("immediate" if priority == "5-LOW" else priority, []).append(str(key))
-    got = QUERIES["group_all_actions"](spark, sf_dir).collect()
+    got = QUERIES["group_actions"](spark, sf_dir).collect()
     assert sorted(map(tuple, got)) == sorted((u, i + 1, x) for u, xs in want.items() for i, x in enumerate(xs))
 
 
@@ -29,16 +30,16 @@ def test_actions_in_order_are_those_of_the_arrays(spark):
 
 def test_every_twentieth_vector_is_a_claim(spark, sf_dir):
     ids = {r[0] for r in spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id").collect()}
-    got = QUERIES["knn_join_twentieth"](spark, sf_dir).collect()
+    got = QUERIES["knn_join"](spark, sf_dir).collect()
     assert {r["claim_id"] for r in got} == {i for i in ids if i % 20 == 0} and len(got) == 8 * len({r["claim_id"] for r in got})
 
 
-def test_appendix_of_all_has_every_customer(spark, sf_dir):
+def test_appendix_has_every_customer(spark, sf_dir):
     by_customer = {}
     for r in spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_custkey", "o_totalprice", "o_orderkey").collect():
         by_customer.setdefault(r["o_custkey"], []).append((-r["o_totalprice"], r["o_orderkey"]))
     want = {(f"seg {k % 7} of {c}", f"cluster {c}") for c, orders in by_customer.items() for _, k in sorted(orders)[:3] if k % 7 < 4}
-    got = sorted(map(tuple, QUERIES["appendix_of_all"](spark, sf_dir).collect()))
+    got = sorted(map(tuple, QUERIES["appendix"](spark, sf_dir).collect()))
     assert got == sorted(want) and any(int(c.split()[1]) % 2 == 0 for _, c in got)
 
 
@@ -58,8 +59,8 @@ def texts(spark, tmp_path):
 
 def test_tokens_of_whole_texts_are_matched(spark, texts):
     path, docs = texts
-    for name in ("token_best_match_whole", "token_best_match_strict_whole"):
-        assert {(r["doc_id"], r["title"]) for r in QUERIES[name](spark, path).collect()} == {(1, docs[0][1]), (3, docs[0][1])}
+    for name in ("token_best_match", "token_best_match_strict"):
+        assert {(r["item_id"], r["title"]) for r in QUERIES[name](spark, path).collect()} == {(7, docs[0][1])}
 
 
 def test_keywords_of_whole_texts_are_weighed(spark, texts):
@@ -67,7 +68,7 @@ def test_keywords_of_whole_texts_are_weighed(spark, texts):
     want = Counter()
     for _, text, lang in docs:
         want.update({w: 3 if lang == "en" else 1 for w in words(text)})
-    got = QUERIES["weighted_keywords_whole"](spark, path).collect()
+    got = QUERIES["weighted_keywords"](spark, path).collect()
     assert [tuple(r) for r in got] == sorted(want.items(), key=lambda x: (-x[1], x[0]))[:15] and ("farword", 1) in map(tuple, got)
 
 
