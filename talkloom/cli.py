@@ -20,12 +20,14 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--cpus", type=int, default=8)
     args = parser.parse_args(argv)
     try:
-        from talkloom.plans import config, providers
+        from talkloom.plans import config, preflight, providers
         from talkloom.plans.job import Job
         from talkloom.session import local_session, ship
 
         if args.command == "check":
             print("\n".join(f"{k}: {'yes' if v else 'no'}" for k, v in providers.capabilities().items()))
+            for step, needs in preflight.checks(config.Config()).items():
+                print(f"{step}: " + ", ".join(f"{name} {'yes' if there else 'no'}" for name, there in needs.items()))
             return 0
         settings = config.load(args.config)
         spark = local_session(args.cpus)
@@ -34,7 +36,9 @@ def main(argv: list[str] | None = None) -> int:
         if args.command == "ask":
             print(job.ask(args.question, args.top_k, [x for x in args.types.split(",") if x] or None, args.track))
         elif args.command == "extract":
-            print("Media readers are providers; see talkloom.plans.providers.read_media.")
+            stands = job.extract()
+            print("\n".join(stands) or "Nothing is missing.")
+            return 1 if stands else 0
         else:
             getattr(job, args.command)()
         return 0

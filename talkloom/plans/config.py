@@ -14,7 +14,7 @@ from pathlib import Path
 class Recordings:
     source_url: str = ""
     video_ids: list[str] = field(default_factory=list)
-    video_format: str = "mp4"
+    video_format: str = "mp4"  # in the file format; nothing reads it
 
 
 @dataclass
@@ -35,7 +35,7 @@ class Models:
 @dataclass
 class Extract:
     device: str = "auto"
-    compute_type: str = "auto"
+    compute_type: str = "auto"  # in the file format; for a speech provider
     scene_threshold: float = 27.0
     vlm_model: str = ""
     diarize: bool = True

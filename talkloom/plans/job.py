@@ -2,49 +2,87 @@
 
 from __future__ import annotations
 
-from pathlib import Path
+import math
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talkloom.functions.text import or_else
 from talkloom.operators import aggregates, reports
-from talkloom.plans import render, steps
+from talkloom.plans import charts, drafting, preflight, providers, render, steps, synthesis
 from talkloom.plans.config import Config
 from talkloom.schemas import schema
-from talkloom.sources import artifacts
+from talkloom.sources import artifacts, listing, schedule
 from talkloom.streaming.manifest import Manifest
 
+#: Talks that are analysed, and then stored, at once: what a crash loses.
+BATCH = 64
+#: Warnings shown, words of the word cloud.
+WARNINGS, WORDS = 15, 80
+
 
 class Job:
-    def __init__(self, spark: SparkSession, config: Config):
+    def __init__(self, spark: SparkSession, config: Config, make=providers.LocalCompleter, waits: tuple[float, ...] | None = None):
+        """``make`` gives the model; its failed calls are tried again after ``waits`` (by default, the local one's are not)."""
         self.spark, self.config, self.dir = spark, config, config.data_dir
+        self.make_model = make
+        self.waits = waits if waits is not None else () if make is providers.LocalCompleter else providers.RETRY_AFTER
         self.manifest = Manifest(spark, f"{self.dir}/manifest.json")
 
     def path(self, name: str) -> str:
         return f"{self.dir}/{name}.parquet"
 
+    def has(self, name: str) -> bool:
+        return artifacts.exists(self.spark, self.path(name))
+
     def load(self, name: str, kind: str | None = None) -> DataFrame:
         """An artifact, or an empty table of its schema."""
-        if Path(self.path(name)).exists():
+        if self.has(name):
             return self.spark.read.parquet(self.path(name))
         return self.spark.createDataFrame([], schema(kind or name))
 
     def make(self, name: str, inputs: list[str], build) -> DataFrame:
         """Build and write an artifact unless the manifest says that it was made of these very inputs."""
         sources = [self.path(i) if "/" not in i else i for i in inputs]
-        if not (Path(self.path(name)).exists() and self.manifest.fresh(name, sources)):
+        if not (self.has(name) and self.manifest.fresh(name, sources)):
             artifacts.write_artifact(build(), self.path(name))
             self.manifest.made(name, sources)
         return self.spark.read.parquet(self.path(name))
 
     def documents(self, folder: str, kind: str) -> DataFrame:
-        files = f"{self.dir}/{folder}/*.json"
-        return artifacts.read_documents(self.spark, files, kind) if list(Path(self.dir, folder).glob("*.json")) else self.spark.createDataFrame([], schema(kind))
+        return artifacts.read_optional_documents(self.spark, f"{self.dir}/{folder}/*.json", kind)
 
     def collect(self) -> DataFrame:
-        file = self.config.conference.schedule or f"{self.dir}/schedule.json"
-        return self.make("schedule", [file], lambda: artifacts.read_schedule(self.spark, file))
+        """The schedule, from wherever it is configured (a schedule.json in the folder if nowhere), and the recordings' index."""
+        c = self.config.conference
+        if c.schedule_url:  # a site may change at any time: it is always asked, its detail pages only once
+            got = artifacts.checkpointed(schedule.fetch_schedule(self.spark, self.config, self.path("detail_pages")))
+            artifacts.write_artifact(got, self.path("schedule"))
+        elif c.schedule or artifacts.exists(self.spark, f"{self.dir}/schedule.json"):
+            file = c.schedule or f"{self.dir}/schedule.json"
+            self.make("schedule", [file], lambda: artifacts.read_schedule(self.spark, file))
+        artifacts.write_artifact(self.recorded(), self.path("recording_index"))
+        return self.load("schedule", "raw_session")
+
+    def recorded(self) -> DataFrame:
+        """(video_id, path, meta_title, duration) of the videos that are configured, or listed in playlist.txt, and lie in the folder videos."""
+        rec, lines = self.config.conference.recordings, f"{self.dir}/playlist.txt"
+        if rec.source_url:
+            patterns = self.spark.createDataFrame([("youtube.com", "youtube", 0), ("youtu.be", "youtube", 1)], "domain string, provider string, place int")
+            if listing.providers(self.spark.createDataFrame([(rec.source_url,)], "url string"), patterns).where("provider is not null").isEmpty():
+                raise ValueError(f"no video provider is known for {rec.source_url}")
+        ids = self.spark.createDataFrame([], "video_id string, _pos long")
+        if artifacts.exists(self.spark, lines):
+            ids = artifacts.with_position(self.spark.read.text(lines)).select(F.trim("value").alias("video_id"), "_pos")
+        found = self.spark.createDataFrame([], "video_id string, path string")
+        if artifacts.exists(self.spark, f"{self.dir}/videos/*.mp4"):
+            media = artifacts.media(self.spark, f"{self.dir}/videos")
+            found = media.select(F.regexp_extract("path", r"([^/]+)\.mp4$", 1).alias("video_id"), "path")
+        meta = artifacts.read_optional_documents(self.spark, f"{self.dir}/videos/*.json", "video_meta")
+        return schedule.with_sidecar(schedule.recordings(ids, rec.video_ids, found), meta)
+
+    def extract(self) -> list[str]:
+        """What stands in the way of speech recognition and scene detection on this machine; empty if nothing does."""
+        return preflight.missing(self.config, artifacts.exists(self.spark, f"{self.dir}/videos/*.mp4"))
 
     def clean(self) -> DataFrame:
         self.collect()
@@ -54,22 +92,45 @@ class Job:
 
     def analyze(self) -> None:
         matched, clean = self.load("matched", "session"), self.load("schedule_clean", "session")
-        talks_path = self.path("talks")
-        done = self.load("talks", "talk") if Path(talks_path).exists() else None
-        talks, failed = steps.analyze_talks(matched, done)
-        artifacts.append_results(artifacts.checkpointed(talks), talks_path)
-        warn = aggregates.failure_share(failed.select("error").unionByName(self.load("talks", "talk").select(F.lit(None).cast("string").alias("error"))))
-        artifacts.write_artifact(warn, self.path("talk_failures"))
+        done = self.load("talks", "talk") if self.has("talks") else None
+        work = artifacts.checkpointed(steps.talks_to_analyze(matched, done))
+        batches = max(1, math.ceil(work.count() / BATCH))
+        failures = []
+        for b in range(batches):  # each batch is stored before the next is asked for
+            talks, failed = steps.analyze_work(work.where(F.pmod(F.xxhash64("title"), F.lit(batches)) == b), self.make_model, self.waits)
+            artifacts.append_results(talks, self.path("talks"))
+            failures.append(failed)
+        failed = failures[0]
+        for more in failures[1:]:
+            failed = failed.unionByName(more)
+        known = self.load("talks", "talk").select(F.lit(None).cast("string").alias("error"))
+        artifacts.write_artifact(aggregates.failure_share(failed.select("error").unionByName(known)), self.path("talk_failures"))
         agenda = self.make("agenda", ["talks"], lambda: steps.cluster_talks(self.load("talks", "talk"), clean))
         self.make("ranking", ["agenda"], lambda: steps.rank_clusters(agenda, self.config.analyze.eval_topics))
-        placed = artifacts.with_position(self.load("talks", "talk"))
-        clusters, everything = steps.synthesize(agenda, placed)
-        self.make("clusters", ["agenda", "talks"], lambda: clusters)
-        self.make("recordings", ["clusters"], lambda: everything)
+        placed = self.talks()
+
+        def synthesized() -> DataFrame:
+            new = synthesis.by_cluster(agenda, placed, done_clusters, self.make_model, self.waits)
+            return new if done_clusters is None else artifacts.checkpointed(new.unionByName(done_clusters.select(new.columns)))
+
+        done_clusters = None
+        if self.has("clusters"):  # those of this agenda are not asked for again
+            named = agenda.select(F.explode("clusters").alias("c")).select(F.col("c.name").alias("cluster_name")).distinct()
+            done_clusters = artifacts.checkpointed(self.load("clusters", "synthesis").join(named, "cluster_name", "left_semi"))
+        clusters = self.make("clusters", ["agenda", "talks"], synthesized)
+        self.make("recordings", ["clusters"], lambda: synthesis.over_all(clusters, self.make_model, self.waits))
+
+    def talks(self) -> DataFrame:
+        """The talks in order of the schedule, whatever order their analyses were stored in."""
+        talks = self.load("talks", "talk")
+        order = artifacts.with_position(self.load("matched", "session")).groupBy("title").agg(F.min("_pos").alias("_pos"))
+        last = 1 << 62
+        return talks.join(order, "title", "left").withColumn("_pos", F.coalesce("_pos", F.lit(last)))
 
     def index(self) -> DataFrame:
-        talks = artifacts.with_position(self.load("talks", "talk"))
-        chunk_table = steps.all_chunks(self.load("matched", "session"), self.documents("transcripts", "transcript"), self.documents("slides", "slides"), talks, self.load("ranking"), self.load("agenda"), self.load("recordings", "synthesis"))
+        recordings = self.load("recordings", "synthesis")
+        heard, seen = self.documents("transcripts", "transcript"), self.documents("slides", "slides")
+        chunk_table = steps.all_chunks(artifacts.with_position(self.load("matched", "session")), heard, seen, self.talks(), self.load("ranking"), self.load("agenda"), recordings)
         return steps.build_index(chunk_table, self.path("index"))
 
     def ask(self, question: str, k: int = 0, types: list[str] | None = None, track: str | None = None) -> str:
@@ -80,63 +141,80 @@ class Job:
         agenda, ranking = self.load("agenda"), self.load("ranking")
         top = agenda.select(F.explode("top_keywords").alias("keyword"))
         own = agenda.select(F.explode("clusters").alias("c")).select(F.explode("c.keywords").alias("keyword"))
-        clusters, recordings, talks = self.load("clusters", "synthesis"), self.load("recordings", "synthesis"), artifacts.with_position(self.load("talks", "talk"))
+        clusters, recordings, talks = self.load("clusters", "synthesis"), self.load("recordings", "synthesis"), self.talks()
         members = steps.cluster_members(agenda, talks).join(talks.select("title", "evidence_quality"), "title").select("cluster", "evidence_quality")
-        evidence = aggregates.evidence_by_cluster(members, ranking)
+        evidence, kinds = aggregates.evidence_by_cluster(members, ranking), aggregates.TALK_EVIDENCE
         maps = lambda c: agenda.select(F.explode(c).alias("k", "n"))
+        pairs = lambda df: [(str(r[0]), float(r[1])) for r in df.collect()]
+        stakeholders = aggregates.stakeholders(recordings.select(F.explode("stakeholder_map").alias("s")).select("s.*")).select("role", "talk_count")
+        strip = reports.maturity_strip(artifacts.with_position(clusters), recordings).select("technology", F.coalesce("ring", F.lit("assess")), F.coalesce("evidence_quality", F.lit("")))
         tables = {
-            "topic_frequency": ("Top Conference Topics", aggregates.weighted_keywords(top, own).select("keyword", "weight")),
-            "company_presence": ("Company Presence", aggregates.recount(maps("company_presence"), "k")),
-            "track_distribution": ("Track Distribution", maps("track_distribution").orderBy(F.desc("n"), "k")),
-            "cluster_relevance": ("Cluster Relevance", reports.cluster_relevance(ranking).select("name", "relevance_score")),
-            "maturity_strip": ("Technology Maturity", reports.maturity_strip(artifacts.with_position(clusters), recordings).select("technology", (reports.ring_place(F.col("ring")) + 1).alias("place"))),
-            "evidence_quality": ("Talks with Evidence by Cluster", evidence.select("cluster", sum((F.col(k) for k in aggregates.TALK_EVIDENCE), F.lit(0)).alias("n"))),
-            "stakeholders": ("Stakeholders", aggregates.stakeholders(recordings.select(F.explode("stakeholder_map").alias("s")).select("s.*")).select("role", "talk_count")),
-            "word_cloud": ("Words", aggregates.weighted_keywords(top, own, 80)),
+            "topic_frequency": (charts.bars, "Top Conference Topics", pairs(aggregates.weighted_keywords(top, own))),
+            "company_presence": (charts.bars, "Company Presence", pairs(aggregates.recount(maps("company_presence"), "k"))),
+            "track_distribution": (charts.pie, "Track Distribution", pairs(maps("track_distribution").orderBy(F.desc("n"), "k"))),
+            "cluster_relevance": (lambda *a: charts.bars(*a, charts.THRESHOLDS), "Cluster Relevance", pairs(reports.cluster_relevance(ranking))),
+            "maturity_strip": (charts.strip, "Technology Maturity", [tuple(r) for r in strip.collect()]),
+            "evidence_quality": (lambda title, data, path: charts.stacked(title, kinds, data, path), "Evidence Quality by Cluster", [(r["cluster"], tuple(r[k] for k in kinds)) for r in evidence.collect()]),
+            "stakeholders": (charts.bars, "Stakeholders", pairs(stakeholders)),
+            "keyword_cloud": (charts.cloud, "Words", pairs(aggregates.weighted_keywords(top, own, WORDS))),
         }
         out = []
-        for name, (title, df) in tables.items():
-            data = [(r[0], float(r[1])) for r in df.limit(80).collect()]
+        for name, (draw, title, data) in tables.items():
             if data:
                 out.append(f"{self.dir}/reports/images/{name}.svg")
-                render.bar_chart(title, data, out[-1])
+                draw(title, data, out[-1])
         return out
 
     def report(self) -> list[str]:
-        name, r = self.config.conference.name, self.config.report
-        agenda, ranking, clusters = self.load("agenda"), self.load("ranking"), self.load("clusters", "synthesis")
-        talks, clean = artifacts.with_position(self.load("talks", "talk")), self.load("schedule_clean", "session")
-        recordings = self.load("recordings", "synthesis")
-        out = steps.outline(ranking, r.word_budget, r.appendix_strategy)
+        """The briefing, the book and the two short reports; where there is no synthesis, the short reports alone."""
+        name, r, topics = self.config.conference.name, self.config.report, self.config.analyze.eval_topics
+        agenda, ranking, clusters = self.load("agenda"), self.load("ranking"), artifacts.with_position(self.load("clusters", "synthesis"))
+        talks, clean, recordings = self.talks(), self.load("schedule_clean", "session"), self.load("recordings", "synthesis")
+        folder, files = f"{self.dir}/reports", []
+        if one := render.rows(agenda.limit(1)):
+            files.append(f"{folder}/agenda_report.md")
+            artifacts.write_text(files[-1], render.agenda_report(name, one[0]))
+        if ranked := render.rows(ranking.orderBy("rank")):
+            files.append(f"{folder}/ranking_report.md")
+            artifacts.write_text(files[-1], render.ranking_report(name, ranked))
+        if clusters.isEmpty() or recordings.isEmpty():
+            return files
+        out = artifacts.checkpointed(steps.outline(ranking, r.word_budget, r.appendix_strategy))
         specs = out.select(F.posexplode("sections").alias("_pos", "s")).select("_pos", "s.*")
-        story = clusters.select(F.col("cluster_name"), "narrative").dropDuplicates(["cluster_name"])
-        whole = recordings.select(F.col("narrative").alias("whole")).limit(1)
-        drafts = specs.join(story, "cluster_name", "left").join(whole, F.lit(True), "left")
-        cites = F.array().cast("array<struct<talk_title:string,claim:string,needs_quote:boolean>>")
-        drafts = drafts.select("section_id", "title", or_else("narrative", "whole").alias("prose"), cites.alias("citations"), F.lit("").alias("key_takeaway"), "_pos")
-        people = aggregates.known_people(clean)
-        grounded = steps.ground(drafts, talks.select("title"), steps.source_percentages(talks, clusters, recordings), people)
+        facts = drafting.facts_of(agenda, ranking, talks, clusters, recordings)
+        drafts = drafting.drafts(specs, facts, topics, self.make_model, self.waits)
+        people, percentages = aggregates.known_people(clean), steps.source_percentages(talks, clusters, recordings)
+        grounded = artifacts.checkpointed(steps.ground(drafts, talks.select("title"), percentages, people))
         ordered = reports.in_order(grounded, specs)
-        ordered = ordered.withColumn("thin", reports.thin_briefs(ordered))
-        found, counts = steps.validate(grounded, clean, talks)
+        quotes = self.spark.createDataFrame([], "section_id string, talk_title string, speaker string, quote string, timestamp_sec double, video_id string")
+        if not r.skip_enrichment and self.has("index"):
+            quotes = artifacts.checkpointed(steps.quotes(ordered, steps.load_index(self.spark, self.path("index")), most=r.max_quotes_per_section))
+            ordered = drafting.woven(ordered, quotes, self.make_model, self.config.llm.model, self.waits)
+        ordered = artifacts.checkpointed(ordered.withColumn("thin", reports.thin_briefs(ordered))).orderBy("priority", "_pos")
+        found, counts = steps.validate(ordered.select(*grounded.columns), clean, talks)
         artifacts.write_artifact(found, self.path("report_warnings"))
         artifacts.write_artifact(counts, self.path("report_stats"))
         listed = reports.appendix(talks, ranking, agenda, out, r.appendix_strategy)
+        place = aggregates.rank_of(F.col("x.urgency"), {u: i for i, u in enumerate(aggregates.URGENCIES)}, 99)
+        actions = recordings.select(F.explode("recommended_actions").alias("x")).select("x.action", place.alias("place"))
+        thesis = render.rows(out.select("thesis"))[0]["thesis"] or f"{name} in {len(ranked)} clusters."
+        summary = render.rows(drafting.executive_summary(ordered, actions, name, thesis, topics, self.make_model, self.waits))[0]
         sections, extra = render.rows(ordered), render.rows(listed.drop("pos"))
-        quotes: dict[str, list[dict]] = {}
-        if not r.skip_enrichment and Path(self.path("index")).exists():
-            for q in render.rows(steps.quotes(ordered.drop("priority", "thin"), steps.load_index(self.spark, self.path("index")), most=r.max_quotes_per_section)):
-                quotes.setdefault(q["section_id"], []).append(q)
-        summary = {"summary": " ".join(s["prose"][:500] for s in sections[:1]), "key_findings": [s["key_takeaway"] for s in sections if s["key_takeaway"]], "top_actions": []}
-        folder = f"{self.dir}/reports"
-        files = [f"{folder}/briefing.md", f"{folder}/agenda_report.md", f"{folder}/ranking_report.md"]
-        artifacts.write_text(files[0], render.briefing(name, "", summary, sections, quotes, extra, self.config.llm.model))
-        if one := render.rows(agenda.limit(1)):
-            artifacts.write_text(files[1], render.agenda_report(name, one[0]))
-        artifacts.write_text(files[2], render.ranking_report(name, render.rows(ranking.orderBy("rank"))))
+        told: dict[str, list[dict]] = {}
+        for q in render.rows(quotes.orderBy("section_id", "talk_title", "timestamp_sec", "quote")):
+            told.setdefault(q["section_id"], []).append(q)
+        images: dict[str, list[tuple[str, str]]] = {}
+        for c in render.rows(reports.section_charts(self.spark).orderBy("section_type", "place")):
+            if artifacts.exists(self.spark, f"{folder}/{c['path']}"):
+                images.setdefault(c["section_type"], []).append((c["path"], c["caption"]))
+        warnings = [w["message"] for w in render.rows(found.orderBy("section_id", "kind", "message").limit(WARNINGS))]
+        totals = render.rows(reports.section_counts(ordered, listed, len(summary["summary"].split())))[0]
+        files.append(f"{folder}/briefing.md")
+        artifacts.write_text(files[-1], render.briefing(name, thesis, summary, sections, told, extra, self.config.llm.model, images=images, counts=totals, warnings=warnings))
         guide = render.rows(reports.reading_guide(self.spark, grounded).orderBy("role", "place"))
-        render.book(f"{folder}/book", name, "", summary, sections, extra, guide)
-        return [f for f in files if Path(f).exists()]
+        render.book(f"{folder}/book", name, thesis, summary, sections, extra, guide, images)
+        render.add_to_summary(f"{folder}/SUMMARY.md", {"Briefing": "briefing.md", "Agenda": "agenda_report.md", "Ranking": "ranking_report.md", "Book": "book/src/index.md"})
+        return files
 
     def run(self) -> None:
         self.collect()

@@ -120,11 +120,13 @@ def complete(df: DataFrame, system: str, make: Callable[[], Completer] = LocalCo
     return df.withColumn(out, answers(F.col(prompt_col)))
 
 
-def complete_json(df: DataFrame, system: str, kind: T.StructType, make: Callable[[], Completer] = LocalCompleter, prompt_col: str = "prompt", max_tokens: int = 4096, waits: tuple[float, ...] = ()) -> DataFrame:
-    """Add parsed (struct of the kind, null if the answer holds no such JSON) and error. A row that cannot be parsed is asked once more."""
+def complete_json(df: DataFrame, system: str, kind: T.StructType, make: Callable[[], Completer] = LocalCompleter, prompt_col: str = "prompt", max_tokens: int = 4096, waits: tuple[float, ...] = (), said: str | None = None) -> DataFrame:
+    """Add parsed (struct of the kind, null if the answer holds no such JSON), error, and under ``said`` the first answer as it
+    is. A row that cannot be parsed is asked once more. Answers are cut once they are there, so no plan asks twice."""
     from talkloom.functions.text import json_text
+    from talkloom.sources.artifacts import checkpointed
 
-    first = complete(df, system, make, prompt_col, max_tokens, "__a", waits).withColumn("__p", F.from_json(json_text("__a.value"), kind))
+    first = checkpointed(complete(df, system, make, prompt_col, max_tokens, "__a", waits)).withColumn("__p", F.from_json(json_text("__a.value"), kind))
     again = F.when(F.col("__p").isNull(), F.concat(F.col(prompt_col), F.lit("\nAnswer with JSON only."))).otherwise(F.lit(""))
     need = first.withColumn("__again", again)
 
@@ -143,6 +145,8 @@ def complete_json(df: DataFrame, system: str, kind: T.StructType, make: Callable
     final = need.withColumn("__q", F.from_json(json_text(second("__again")), kind))
     parsed = F.coalesce("__p", "__q")
     error = F.when(parsed.isNull(), F.coalesce("__a.error", F.lit("no JSON in the answer")))
+    if said:
+        final = final.withColumn(said, F.col("__a.value"))
     return final.withColumn("parsed", parsed).withColumn("error", error).drop("__a", "__p", "__again", "__q")
 
 

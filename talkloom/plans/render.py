@@ -42,14 +42,35 @@ def sources(quotes: list[dict]) -> str:
     return f"<details>\n<summary>Sources</summary>\n\n{told}\n\n</details>" if quotes else ""
 
 
-def briefing(name: str, thesis: str, summary: dict, sections: list[dict], quotes: dict[str, list[dict]], appendix: list[dict], model: str, now: datetime | None = None) -> str:
+def pictures(images: dict[str, list[tuple[str, str]]] | None, section_type: str | None, base: str) -> str:
+    """The charts of a type of section."""
+    return "\n\n".join(f"![{caption}]({base}{path})" for path, caption in (images or {}).get(section_type or "", []))
+
+
+def briefing(
+    name: str,
+    thesis: str,
+    summary: dict,
+    sections: list[dict],
+    quotes: dict[str, list[dict]],
+    appendix: list[dict],
+    model: str,
+    now: datetime | None = None,
+    images: dict[str, list[tuple[str, str]]] | None = None,
+    counts: dict | None = None,
+    warnings: list[str] | None = None,
+) -> str:
     """The whole report as Markdown."""
-    parts = [f"# Intelligence Briefing: {name}", f"> {thesis}", "---", "## Executive Summary", summary.get("summary", ""), "### Key Findings", bullets(summary.get("key_findings")), "### Recommended Actions", bullets(summary.get("top_actions")), "---"]
+    parts = [f"# Intelligence Briefing: {name}", f"> {thesis}", "---", "## Executive Summary", summary.get("summary", "")]
+    parts += ["### Key Findings", bullets(summary.get("key_findings")), "### Recommended Actions", bullets(summary.get("top_actions")), "---"]
     for i, s in enumerate(sections, 1):
-        parts += [f"## {i}. {s['title']}", s["prose"], sources(quotes.get(s["section_id"], [])), "---"]
+        parts += [f"## {i}. {s['title']}", s["prose"], pictures(images, s.get("section_type"), "./"), sources(quotes.get(s["section_id"], [])), "---"]
     if appendix:
         parts += ["## Appendix: Selected Talk Summaries", *(f"{appendix_entry(a)}\n\n---" for a in appendix)]
-    parts.append(f"*Generated {(now or datetime.now(UTC)):%Y-%m-%d %H:%M} UTC using {model}*")
+    if warnings:
+        parts += ["## Notes of the Validation", bullets(warnings)]
+    told = f" {counts['sections']} sections, {counts['words']} words, {counts['appendix_talks']} talks in the appendix." if counts else ""
+    parts.append(f"*Generated {(now or datetime.now(UTC)):%Y-%m-%d %H:%M} UTC using {model}.{told}*" if told else f"*Generated {(now or datetime.now(UTC)):%Y-%m-%d %H:%M} UTC using {model}*")
     return "\n\n".join(p for p in parts if p) + "\n"
 
 
@@ -67,7 +88,7 @@ def ranking_report(name: str, ranking: list[dict]) -> str:
 
 
 def agenda_report(name: str, agenda: dict) -> str:
-    parts = [f"# Agenda Analysis: {name}", agenda.get("narrative") or "No narrative generated.", "## Topic Landscape", "![Keyword Cloud](./images/keyword_cloud.png)", "![Topic Frequency](./images/topic_frequency.svg)", "### Top Keywords", bullets(agenda.get("top_keywords")), "## Topic Clusters"]
+    parts = [f"# Agenda Analysis: {name}", agenda.get("narrative") or "No narrative generated.", "## Topic Landscape", "![Keyword Cloud](./images/keyword_cloud.svg)", "![Topic Frequency](./images/topic_frequency.svg)", "### Top Keywords", bullets(agenda.get("top_keywords")), "## Topic Clusters"]
     for c in agenda.get("clusters") or []:
         talks = c.get("talks") or []
         parts += [f"### {c['name']}", c.get("description") or "", f"**Keywords:** {', '.join(c.get('keywords') or [])}", f"**Companies:** {', '.join(c.get('companies') or [])}", f"<details>\n<summary>Talks ({len(talks)})</summary>\n\n{bullets(talks)}\n</details>"]
@@ -92,7 +113,7 @@ def slug(text: str) -> str:
     return re.sub(r"[^a-z0-9]+", "-", text.lower()).strip("-")[:60]
 
 
-def book(folder: str, name: str, thesis: str, summary: dict, sections: list[dict], appendix: list[dict], guide: list[dict]) -> list[str]:
+def book(folder: str, name: str, thesis: str, summary: dict, sections: list[dict], appendix: list[dict], guide: list[dict], images: dict[str, list[tuple[str, str]]] | None = None) -> list[str]:
     """A book's sources: index, a chapter for each section, thin briefs merged in one, appendix and table of contents. Old pages go."""
     src = Path(folder) / "src"
     src.mkdir(parents=True, exist_ok=True)
@@ -108,7 +129,8 @@ def book(folder: str, name: str, thesis: str, summary: dict, sections: list[dict
     synthesis = {"landscape", "cross_cutting", "tensions", "maturity", "actions"}
     for s in chapters:
         page = cross_references(f"# {s['title']}\n\n{s['prose']}\n", anchors, links, s.get("section_type") in synthesis)
-        write_text(str(src / links[s["title"]]), page)
+        shown = pictures(images, s.get("section_type"), "../../")
+        write_text(str(src / links[s["title"]]), page + (f"\n{shown}\n" if shown else ""))
         toc.append(f"- [{s['title']}]({links[s['title']]})")
     if thin:
         write_text(str(src / "briefs.md"), "# Brief Notes\n\n" + "\n\n".join(cross_references(f"## {s['title']}\n\n{s['prose']}", anchors, links, False) for s in thin) + "\n")
@@ -127,15 +149,3 @@ def add_to_summary(path: str, links: dict[str, str]) -> None:
     new = [f"- [{title}]({target})" for title, target in links.items() if f"({target})" not in text]
     if new:
         file.write_text(text.rstrip("\n") + "\n" + "\n".join(new) + "\n", encoding="utf-8")
-
-
-def bar_chart(title: str, data: list[tuple[str, float]], path: str) -> None:
-    """A horizontal bar chart as SVG, drawn directly: charts need no plotting library."""
-    from html import escape
-
-    most = max((v for _, v in data), default=1) or 1
-    lines = [f'<svg xmlns="http://www.w3.org/2000/svg" width="760" height="{60 + 24 * len(data)}" font-family="sans-serif" font-size="12">', f'<text x="10" y="24" font-size="16">{escape(title)}</text>']
-    for i, (label, v) in enumerate(data):
-        y = 44 + 24 * i
-        lines += [f'<text x="230" y="{y + 13}" text-anchor="end">{escape(str(label)[:36])}</text>', f'<rect x="240" y="{y}" width="{460 * v / most:.1f}" height="18" fill="#4a7ab5"/>', f'<text x="{246 + 460 * v / most:.1f}" y="{y + 13}">{v:g}</text>']
-    write_text(path, "\n".join([*lines, "</svg>"]) + "\n")

@@ -4,13 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from talkloom.functions import entities, grounding
-from talkloom.functions.text import filled, json_text, tokens, urls
+from talkloom.functions.text import filled, tokens, urls
 from talkloom.functions.time import clock
 from talkloom.operators import aggregates, alignment, chunks, matching, ordering, reports, retrieval, sessions, validation
-from talkloom.plans import providers
+from talkloom.plans import providers, synthesis
+from talkloom.plans.synthesis import cluster_members
 from talkloom.schemas import schema
+from talkloom.sources.artifacts import checkpointed
+
+__all__ = ["cluster_members"]
 
 
 def clean_schedule(raw: DataFrame) -> DataFrame:
@@ -36,28 +41,57 @@ def match(schedule: DataFrame, transcripts: DataFrame, slides: DataFrame | None
     return out if slides is None else attach_slides(out, slides, transcripts)
 
 
-def analyze_talks(matched: DataFrame, done: DataFrame | None = None, make=providers.LocalCompleter) -> tuple[DataFrame, DataFrame]:
-    """New talk analyses and the talks that failed (title, error). Talks that are done by title are not asked for again."""
+#: The fields that each of a talk's two calls answers, and the answers' budgets in tokens.
+TALK_CALLS = (
+    ("Summarise the talk from its transcript.", "summary key_takeaways problems_discussed tools_and_projects qa_highlights evidence_quality speaker_perspective references", 4096),
+    ("Assess the technologies that the talk names, from its transcript.", "maturity_assessments caveats_and_concerns technology_stance relationships", 4096),
+)
+
+
+def talks_to_analyze(matched: DataFrame, done: DataFrame | None = None) -> DataFrame:
+    """title, speakers and prompt of the talks that are worth a model's time and not done by title."""
     from talkloom.functions.text import speakers_text
 
     work = sessions.sections_of_interest(matched)
     if done is not None:
         work = ordering.unprocessed(work, done, "title")
-    work = work.select("title", speakers_text("speakers", "Unknown").alias("speakers"), F.concat_ws("\n", F.concat(F.lit("Title: "), "title"), sessions.prompt_text()).alias("prompt"))
-    answered = providers.complete(work, "Summarise the talk from its transcript.", make, max_tokens=1024)
-    failed = answered.where("answer.error is not null").select("title", F.col("answer.error").alias("error"))
-    parsed = F.from_json(json_text("answer.value"), schema("talk"))
+    return work.select("title", speakers_text("speakers", "Unknown").alias("speakers"), F.concat_ws("\n", F.concat(F.lit("Title: "), "title"), sessions.prompt_text()).alias("prompt"))
+
+
+def analyze_talks(matched: DataFrame, done: DataFrame | None = None, make=providers.LocalCompleter, waits: tuple[float, ...] = ()) -> tuple[DataFrame, DataFrame]:
+    """New talk analyses and the talks that failed (title, error). Talks that are done by title are not asked for again."""
+    return analyze_work(talks_to_analyze(matched, done), make, waits)
+
+
+def analyze_work(work: DataFrame, make=providers.LocalCompleter, waits: tuple[float, ...] = ()) -> tuple[DataFrame, DataFrame]:
+    """Analyses and failures of rows (title, speakers, prompt): two calls for each, merged; each is made once."""
+    kinds = {f.name: f.dataType for f in schema("talk").fields}
+    parts = []
+    for i, (ask, fields, budget) in enumerate(TALK_CALLS):
+        kind = T.StructType([T.StructField(f, kinds[f]) for f in fields.split()])
+        asked = providers.complete_json(work, ask, kind, make, max_tokens=budget, waits=waits, said="said")
+        own = [F.col(f"parsed.{f}").alias(f) for f in fields.split()]
+        extra = [F.col("said"), F.when(F.col("said").isNull(), F.col("error")).alias("failure"), "speakers"] if i == 0 else []
+        parts.append(asked.select("title", *own, *extra))
+    answered = checkpointed(sessions.merge_results(*parts))
+    failed = answered.where("failure is not null").select("title", F.col("failure").alias("error"))
     # A local model answers in prose: its sentences are the summary and the takeaways, named technologies the tools.
-    sentences = F.filter(F.split("answer.value", r"(?<=[.!?])\s+"), lambda s: F.length(s) > 0)
-    found = F.array_distinct(F.transform(F.regexp_extract_all("answer.value", F.lit(entities.PATTERN), F.lit(0)), entities.canonical))
-    named = {f.name: F.col(f"p.{f.name}") for f in schema("talk").fields} | {
-        "title": F.col("title"),
-        "speakers": F.col("speakers"),
-        "summary": F.coalesce("p.summary", F.array_join(F.slice(sentences, 1, 3), " ")),
-        "key_takeaways": F.coalesce("p.key_takeaways", F.slice(sentences, 1, 5)),
-        "tools_and_projects": F.coalesce("p.tools_and_projects", found),
+    sentences = F.filter(F.split("said", r"(?<=[.!?])\s+"), lambda s: F.length(s) > 0)
+    found = F.array_distinct(F.transform(F.regexp_extract_all("said", F.lit(entities.PATTERN), F.lit(0)), entities.canonical))
+    in_use = F.lower("said").contains("in production")
+    rated = F.transform(found, lambda t: F.struct(t.alias("technology"), F.when(in_use, "adopt").otherwise("assess").alias("maturity"), F.lit("").alias("evidence")))
+    spare = {
+        "summary": F.array_join(F.slice(sentences, 1, 3), " "),
+        "key_takeaways": F.slice(sentences, 1, 5),
+        "tools_and_projects": found,
+        "evidence_quality": F.when(in_use, "production").otherwise("theoretical"),
+        "maturity_assessments": rated,
     }
-    talks = answered.where("answer.error is null").withColumn("p", parsed).select(*(named[f.name].cast(f.dataType).alias(f.name) for f in schema("talk").fields))
+    columns = []
+    for f in schema("talk").fields:
+        own = F.col(f.name) if f.name in answered.columns else F.lit(None)
+        columns.append((F.coalesce(own.cast(f.dataType), spare[f.name].cast(f.dataType)) if f.name in spare else own.cast(f.dataType)).alias(f.name))
+    talks = answered.where("failure is null").select(*columns)
     return sessions.without_blank_relationships(entities.canonical_talk(talks)), failed
 
 
@@ -70,7 +104,8 @@ def cluster_talks(talks: DataFrame, schedule: DataFrame, k: int = 15, seed: int
     rows = rows.withColumn("features", array_to_vector("embedding"))
     n = rows.count()
     model = KMeans(k=max(2, min(k, n // 2 or 1)), seed=seed, featuresCol="features", predictionCol="c").fit(rows)
-    placed = model.transform(rows).join(schedule.select("title", "speakers", "track").dropDuplicates(["title"]), "title", "left")
+    first = schedule.select("title", "speakers", "track", *(c for c in ("_pos",) if c in schedule.columns))
+    placed = ordering.looked_up(model.transform(rows), first, "title", F.col("_pos") if "_pos" in schedule.columns else F.to_json("speakers"))
     words = placed.select("c", F.explode(tokens("text")).alias("w")).groupBy("c", "w").agg(F.count("*").alias("n"))
     best = words.groupBy("c").agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("o"), "w"))), 1, 8).alias("k")).select("c", F.transform("k", lambda x: x["w"]).alias("keywords"))
     titles = placed.groupBy("c").agg(F.array_sort(F.collect_set("title")).alias("talks"), F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.transform("speakers", lambda s: s["company"]))))).alias("companies"))
@@ -100,43 +135,11 @@ def rank_clusters(agenda: DataFrame, topics: list[str]) -> DataFrame:
     return rows.select("name", nth.alias("rank"), F.round(score, 4).alias("relevance_score"), F.concat_ws(" ", F.lit("Talks:"), F.size("talks").cast("string")).alias("summary"), F.concat_ws(", ", "keywords").alias("relevance_argument"), F.slice("talks", 1, 5).alias("recommended_talks"), F.lit("").alias("skip_reason")).orderBy("rank")
 
 
-CONDENSED = ["summary", "key_takeaways", "problems_discussed", "tools_and_projects", "evidence_quality", "speaker_perspective", "caveats_and_concerns", "maturity_assessments", "technology_stance", "relationships", "qa_highlights"]
-
-
-def cluster_members(agenda: DataFrame, talks: DataFrame) -> DataFrame:
-    """(cluster, title) with titles resolved to talks; what does not resolve goes."""
-    listed = agenda.select(F.explode("clusters").alias("c")).select(F.col("c.name").alias("cluster"), F.explode("c.talks").alias("wanted"))
-    got = matching.resolve_titles(listed, talks.select("title", F.col("_pos").alias("pos")))
-    return got.where("resolved is not null").select("cluster", F.col("resolved").alias("title")).distinct()
-
-
-def synthesize(agenda: DataFrame, talks: DataFrame, done: DataFrame | None = None, make=providers.LocalCompleter) -> tuple[DataFrame, DataFrame]:
-    """Cluster syntheses (done ones are skipped by name) and the global one: a reduce over each cluster, then one over all.
-
-    The countable parts (maturity, technologies, relationships) are aggregates of the talks; a model writes the narrative.
-    """
-    members = cluster_members(agenda, talks)
-    if done is not None:
-        members = members.join(done.select(F.col("cluster_name").alias("cluster")).distinct(), "cluster", "left_anti")
-    payload = aggregates.cluster_payloads(members, talks, [c for c in CONDENSED if c in talks.columns]).withColumnRenamed("payload", "prompt")
-    story = providers.complete(payload, "Write the cluster's narrative.", make, max_tokens=2048).select("cluster", F.col("answer.value").alias("narrative"))
-    mine = members.join(talks, "title")
-    per_tech = mine.select("cluster", "title", F.explode("maturity_assessments").alias("m")).where(filled("m.technology") != "")
-    per_tech = per_tech.groupBy("cluster", F.col("m.technology").alias("technology")).agg(F.mode(F.col("m.maturity"), True).alias("ring"), F.array_sort(F.collect_set("title")).alias("supporting_talks"), F.max("m.evidence").alias("rationale"))
-    maturity = per_tech.groupBy("cluster").agg(F.array_sort(F.collect_list(F.struct("technology", "ring", F.lit("anecdotal").alias("evidence_quality"), "supporting_talks", "rationale"))).alias("maturity_landscape"))
-    tools = mine.select("cluster", "title", F.explode("tools_and_projects").alias("technology")).groupBy("cluster", "technology").agg(F.count_distinct("title").cast("int").alias("mentions"))
-    emerging = tools.groupBy("cluster").agg(F.array_sort(F.collect_list(F.struct("technology", "mentions", F.lit("").alias("context")))).alias("emerging_technologies"))
-    edges = mine.select("cluster", "title", F.explode("relationships").alias("r")).groupBy("cluster", "r.entity_a", "r.relation", "r.entity_b").agg(F.array_sort(F.collect_set("title")).alias("supporting_talks"))
-    related = edges.groupBy("cluster").agg(F.array_sort(F.collect_list(F.struct("entity_a", "relation", "entity_b", "supporting_talks"))).alias("technology_relationships"))
-    problems = mine.select("cluster", F.explode("problems_discussed").alias("p")).groupBy("cluster").agg(F.array_sort(F.collect_set("p")).alias("common_problems"))
-    rows = story.join(maturity, "cluster", "left").join(emerging, "cluster", "left").join(related, "cluster", "left").join(problems, "cluster", "left").withColumnRenamed("cluster", "cluster_name")
-    types = {f.name: f.dataType for f in schema("synthesis").fields}
-    clusters = rows.select(*((F.col(c) if c in rows.columns else F.lit(None)).cast(t).alias(c) for c, t in types.items()))
-    merge = lambda c: F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("cluster_name", F.coalesce(c, F.array().cast(types[c])).alias("v")))), lambda r: r["v"])).alias(c)
-    lists = [c for c in types if c not in ("cluster_name", "narrative")]
-    everything = clusters.agg(ordering.joined_text(F.col("narrative"), "\n\n", F.col("cluster_name")).alias("prompt"), *(merge(c) for c in lists))
-    everything = providers.complete(everything, "Write the conference's narrative.", make, max_tokens=2048)
-    return clusters, everything.select(F.lit(None).cast("string").alias("cluster_name"), F.col("answer.value").alias("narrative"), *lists)
+def synthesize(agenda: DataFrame, talks: DataFrame, done: DataFrame | None = None, make=providers.LocalCompleter, waits: tuple[float, ...] = ()) -> tuple[DataFrame, DataFrame]:
+    """New cluster syntheses (done ones are skipped by name), and the global one over new and done ones."""
+    new = checkpointed(synthesis.by_cluster(agenda, talks, done, make, waits))
+    every = new if done is None else new.unionByName(done.select(new.columns))
+    return new, synthesis.over_all(every, make, waits)
 
 
 def all_chunks(matched: DataFrame, transcripts: DataFrame, slides: DataFrame, talks: DataFrame, ranking: DataFrame, agenda: DataFrame, recordings: DataFrame) -> DataFrame:
@@ -220,7 +223,7 @@ def quotes(sections: DataFrame, index: DataFrame, embedder=providers.HashedTerms
     of the chunk found for it that shares most words with the claim."""
     deep, _ = reports.enrichment_split(sections, most)
     claims = deep.select("section_id", F.posexplode("to_quote").alias("i", "c"))
-    claims = claims.select(F.concat_ws(":", "section_id", F.col("i").cast("string")).alias("claim_id"), "section_id", F.col("c.talk_title").alias("talk_title_cited"), F.concat_ws(" ", "c.talk_title", "c.claim").alias("text"), F.col("c.claim").alias("claim"))
+    claims = claims.select(F.concat_ws(":", "section_id", F.col("i").cast("string")).alias("claim_id"), "section_id", F.col("c.talk_title").alias("talk_title_cited"), filled("c.claim").alias("text"), F.col("c.claim").alias("claim"))
     claims = providers.embed(claims, embedder, "text", "claim_embedding").drop("text")
     found = retrieval.quote_sources(claims, index)
     sentences = F.filter(F.split(F.substring("text", 1, 3000), r"(?<=[.!?])\s+"), lambda s: F.length(s) > 20)

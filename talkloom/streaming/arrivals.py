@@ -27,31 +27,40 @@ def counts_by_window(stream: DataFrame, time: str, key: str, width: str = "5 min
     return stream.withWatermark(time, late).groupBy(F.window(time, width), key).agg(F.count("*").alias("n"))
 
 
-def rolling_chunks(stream: DataFrame, key: str, order: str, text: str, start: str, window: int = WINDOW, overlap: int = OVERLAP) -> DataFrame:
+def rolling_chunks(stream: DataFrame, key: str, order: str, text: str, start: str, window: int = WINDOW, overlap: int = OVERLAP, idle_ms: int = 0) -> DataFrame:
     """(key, chunk_index, start_time, text): full chunks of transcripts as their segments come. The state is one buffer a key.
 
-    Segments of one key must come in order over batches; within a batch they are sorted. The last, unfilled buffer of a key
-    stays in the state.
+    Segments of one key must come in order over batches; within a batch they are sorted. A key that has had no segment for
+    ``idle_ms`` gives its last, unfilled buffer, if that holds more than an overlap, and its state goes; with 0 it waits on.
     """
     kind = stream.schema[key].dataType.simpleString()
 
     def step(keys: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        buffer, began, index = state.get if state.exists else ("", 0.0, 0)
-        rows = pd.concat(list(batches)).sort_values("o")
+        buffer, began, index, fresh = state.get if state.exists else ("", 0.0, 0, False)
         out = []
-        for s, x in zip(rows["s"], rows["t"]):
-            if not buffer:
-                began = float(s)
-            buffer = f"{buffer} {x}" if buffer else x
-            if len(buffer) >= window:
+        if state.hasTimedOut:
+            if fresh:
                 out.append((keys[0], index, began, buffer.strip()))
-                index += 1
-                buffer, began = (buffer[-overlap:], float(s)) if len(buffer) > overlap else ("", 0.0)
-        state.update((buffer, began, index))
+            state.remove()
+        else:
+            rows = pd.concat(list(batches)).sort_values("o")
+            for s, x in zip(rows["s"], rows["t"]):
+                if not buffer:
+                    began = float(s)
+                buffer, fresh = f"{buffer} {x}" if buffer else x, True
+                if len(buffer) >= window:
+                    out.append((keys[0], index, began, buffer.strip()))
+                    index, fresh = index + 1, False
+                    buffer, began = (buffer[-overlap:], float(s)) if len(buffer) > overlap else ("", 0.0)
+            state.update((buffer, began, index, fresh))
+            if idle_ms:
+                state.setTimeoutDuration(idle_ms)
         yield pd.DataFrame(out, columns=[key, "chunk_index", "start_time", "text"])
 
     laid = stream.select(key, F.col(order).alias("o"), F.col(start).cast("double").alias("s"), F.col(text).alias("t"))
-    return laid.groupBy(key).applyInPandasWithState(step, f"`{key}` {kind}, chunk_index int, start_time double, text string", "buffer string, began double, n int", "append", GroupStateTimeout.NoTimeout)
+    timeout = GroupStateTimeout.ProcessingTimeTimeout if idle_ms else GroupStateTimeout.NoTimeout
+    shape, held = f"`{key}` {kind}, chunk_index int, start_time double, text string", "buffer string, began double, n int, fresh boolean"
+    return laid.groupBy(key).applyInPandasWithState(step, shape, held, "append", timeout)
 
 
 def into_table(stream: DataFrame, path: str, checkpoint: str, once: bool = True):

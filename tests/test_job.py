@@ -61,7 +61,94 @@ def test_run(spark, event):
     text = Path(job.dir, "reports", "briefing.md").read_text()
     assert "# Intelligence Briefing: Test Event" in text and Path(job.dir, "reports", "book", "src", "SUMMARY.md").exists()
     assert Path(job.dir, "reports", "ranking_report.md").read_text().count("**Relevance Score:**") == len(agenda["clusters"])
-    assert all(Path(f).read_text().startswith("<svg") for f in job.visualize())
+    drawn = job.visualize()
+    assert all(Path(f).read_text().startswith("<svg") for f in drawn) and {"track_distribution.svg", "keyword_cloud.svg", "maturity_strip.svg"} <= {Path(f).name for f in drawn}
+    whole = job.load("recordings", "synthesis").first()
+    assert whole["narrative"] and whole["recommended_actions"] and whole["maturity_landscape"] and whole["emerging_technologies"]
+    assert {r["cluster_name"] for r in job.load("clusters", "synthesis").collect()} == {c["name"] for c in agenda["clusters"]}
+    assert {"maturity_assessment", "recommended_action", "conference_narrative"} <= kinds
+    assert "### Recommended Actions" in text and "- Adopt " in text and "## Appendix" in text
+    assert "![Track Distribution](./images/track_distribution.svg)" in text
+    assert "**Kubernetes at scale**" in text and "> — " in text  # a deep dive's talks, and a quote woven in
+    job.report()
+    assert (Path(job.dir) / "reports" / "SUMMARY.md").read_text().count("briefing.md") == 1
+
+
+@pytest.mark.filterwarnings("ignore:unknown setting")
+def test_short_reports_without_synthesis(spark, tmp_path):
+    job = Job(spark, config.Config(data_dir=str(tmp_path)))
+    assert job.report() == [] and job.extract() == [] and job.collect().count() == 0
+    assert job.load("recording_index").count() == 0
+
+
+class Scripted:
+    """Answers every call with JSON; counts its calls in a file."""
+
+    def complete(self, system, prompt, max_tokens):
+        with open(Scripted.log, "a") as f:
+            f.write(system + "\n")
+        if "narrative" in system or "connects" in system:
+            return json.dumps({"narrative": "told", "cross_cutting_themes": [], "common_problems": ["p"]})
+        if "technologies relate" in system:
+            return json.dumps({"emerging_technologies": [], "technology_relationships": [{"entity_a": " ", "relation": "extends", "entity_b": "x", "supporting_talks": []}]})
+        if "disagree" in system:
+            return json.dumps({"tensions": [{"topic": "T", "side_a": {"position": "a", "supporting_talks": []}, "side_b": {"position": "b", "supporting_talks": []}, "severity": "minor", "implication": ""}], "maturity_landscape": []})
+        return json.dumps({"recommended_actions": [{"action": "Do", "category": "adopt", "urgency": "immediate", "supporting_evidence": ""}]})
+
+
+def test_four_answers_are_asked_for_once(spark, tmp_path):
+    from talkloom.plans import synthesis
+    from talkloom.schemas import schema
+
+    Scripted.log = str(tmp_path / "calls")
+    agenda = spark.createDataFrame([([("one", "", ["A", "B"], [], []), ("two", "", ["B", "none"], [], []), ("empty", "", ["none"], [], [])], [], "", {}, {})], schema("agenda"))
+    talk = lambda t, stance: (t, "s", ["k"], ["p"], ["X"], [], "production", "practitioner", [], [("X", "adopt", "e")], ["c"], [("X", stance, "e")], [], [], "")
+    talks = spark.createDataFrame([talk("A", "enthusiastic"), talk("B", "critical")], schema("talk")).withColumn("_pos", F.monotonically_increasing_id())
+    log = Scripted.log
+    make = lambda: _scripted(log)
+    clusters = artifacts.checkpointed(synthesis.by_cluster(agenda, talks, None, make))
+    got = {r["cluster_name"]: r for r in clusters.collect()}
+    assert set(got) == {"one", "two"} and got["one"]["narrative"] == "told" and got["one"]["tensions"][0]["topic"] == "T"
+    assert got["one"]["technology_relationships"] == []  # the blank one goes
+    assert got["one"]["emerging_technologies"][0]["technology"] == "X" and got["one"]["recommended_actions"][0]["action"] == "Do"
+    assert Path(log).read_text().count("\n") == 8  # four calls for each of two clusters
+    synthesis.over_all(clusters, make).collect()
+    assert Path(log).read_text().count("\n") == 12
+    assert synthesis.by_cluster(agenda, talks, clusters, make).count() == 0
+    local = {r["cluster_name"]: r for r in synthesis.by_cluster(agenda, talks).collect()}
+    assert local["one"]["tensions"][0]["topic"] == "X" and local["one"]["tensions"][0]["severity"] == "significant" and local["two"]["tensions"] == []
+    assert [a["action"] for a in local["one"]["recommended_actions"]] == ["Adopt X", "Watch: c"]
+
+
+def _scripted(log):
+    Scripted.log = log
+    return Scripted()
+
+
+def test_charts(tmp_path):
+    from talkloom.plans import charts
+
+    charts.pie("P", [("a", 3), ("b", 1)], f"{tmp_path}/p.svg")
+    charts.pie("P", [("a", 3)], f"{tmp_path}/one.svg")
+    charts.bars("B", [("a", 0.9)], f"{tmp_path}/b.svg", charts.THRESHOLDS)
+    charts.stacked("S", ("x", "y"), [("a", (1, 2)), ("b", (0, 0))], f"{tmp_path}/s.svg")
+    charts.strip("M", [("K", "adopt", "benchmarked"), ("L", "odd", "")], f"{tmp_path}/m.svg")
+    charts.cloud("C", [("w" * 30, 1.0)] * 40, f"{tmp_path}/c.svg")
+    text = {f.stem: f.read_text() for f in tmp_path.glob("*.svg")}
+    assert text["p"].count("<path") == 2 and "75%" in text["p"] and "<circle" in text["one"]
+    assert text["b"].count("<line") == 2 and text["s"].count("<rect") == 4 and text["m"].count("<circle") == 2
+
+
+def test_preflight(monkeypatch):
+    from talkloom.plans import preflight
+
+    monkeypatch.setattr(preflight, "which", lambda name: None)
+    monkeypatch.setattr(preflight, "_package", lambda name: name != "cv2")
+    monkeypatch.delenv("HF_TOKEN", raising=False)
+    told = preflight.missing(config.Config())
+    assert "scenes needs cv2" in told and "speakers needs HF_TOKEN" in told and "speech needs ffmpeg" in told
+    assert preflight.missing(config.Config(), has_media=False) == []
+    assert preflight.device("cuda") == "cuda"
 
 
 def test_freshness_follows_inputs(spark, tmp_path):
@@ -107,7 +194,7 @@ def test_video_ids(spark):
 def test_transcript_shaping(spark):
     raw = spark.createDataFrame([("v", "t", [(("00:00:01,500", "00:00:02.250"), " hi ")], ("en",))], "video_id string, title string, transcription array<struct<timestamps:struct<`from`:string,`to`:string>,text:string>>, result struct<language:string>")
     got = transcripts.from_cli(raw).first()
-    assert (got["duration_sec"], got["full_text"], got["segments"][0]["start"]) == (2.2, "hi", 1.5)  # ties go to the even digit
+    assert (got["duration_sec"], got["full_text"], got["segments"][0]["start"]) == (2.2, "hi", 1.5)  # 2.25 is a tie: to the even digit
     named = transcripts.label_speakers(spark.createDataFrame([("v", "t", [(0.0, 1.0, "a", "S9"), (1.0, 2.0, "b", "S2")])], "video_id string, title string, segments array<struct<start:double,end:double,text:string,speaker:string>>")).first()
     assert [s["speaker"] for s in named["segments"]] == ["Speaker 2", "Speaker 1"]
 
