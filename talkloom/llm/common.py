@@ -18,7 +18,9 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 
 _own_dir: dict[str, str] = {}
-_written: set[str] = set()
+_roots: set[str] = set()
+#: Paths of the tables that cut() has written, in order.
+_tables: list[str] = []
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -51,24 +53,32 @@ def cut(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     root = f"{shared_dir(spark)}/talkloom-{spark.sparkContext.applicationId}"
     path = f"{root}/{name}-{uuid.uuid4().hex}"
     (df.write.partitionBy(by) if by else df.write).parquet(path)
-    if root not in _written:
-        _written.add(root)
+    _tables.append(path)
+    if root not in _roots:
+        _roots.add(root)
         atexit.register(_remove, spark, root)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def _remove(spark: SparkSession, root: str) -> None:
+def _remove(spark: SparkSession, path: str) -> None:
     try:
-        path = spark._jvm.org.apache.hadoop.fs.Path(root)
+        path = spark._jvm.org.apache.hadoop.fs.Path(path)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
     except Exception:  # the session has ended before us; the folder is the cluster's to clean
         pass
 
 
-def release(spark: SparkSession) -> None:
-    """Remove every table that cut() wrote in this application. Results not yet stored become unreadable."""
-    for root in [r for r in _written if r.endswith(spark.sparkContext.applicationId)]:
-        _remove(spark, root)
+def mark() -> int:
+    """A place in the order of tables, for release()."""
+    return len(_tables)
+
+
+def release(spark: SparkSession, since: int = 0, keep: DataFrame | None = None) -> None:
+    """Remove the tables that cut() wrote after a mark, all but those that ``keep`` reads. What else reads them is lost."""
+    kept = [f.rsplit("/", 1)[0] for f in keep.inputFiles()] if keep is not None else []
+    for path in _tables[since:]:
+        if not any(f.endswith(path) or path.rsplit("/", 1)[-1] == f.rsplit("/", 1)[-1] for f in kept):
+            _remove(spark, path)
 
 
 def word_count(text: Column) -> Column:

@@ -29,6 +29,18 @@ def one(df, key="doc_id"):
     return {tuple(r)[df.columns.index(key)]: r for r in df.collect()}
 
 
+def test_released_tables_are_gone_and_kept_ones_are_not(spark):
+    from talkloom.llm import common
+
+    first = common.cut(spark.range(3), "first")
+    since = common.mark()
+    second, third = common.cut(spark.range(4), "second"), common.cut(spark.range(5), "third")
+    common.release(spark, since, keep=third)
+    assert first.count() == 3 and third.count() == 5
+    with pytest.raises(Exception):  # noqa: B017
+        second.count()
+
+
 def test_packing(spark, odd):
     got = packing.pack(odd, lengths=(16, 64, 1024), group=3).toPandas()
     assert got.groupby(got["doc_id"].fillna(-1))["length"].sum().to_dict() == {-1: 3, 1: 0, 2: 0, 3: 0, 4: 30_000, 5: 6, 6: 3, 7: 1}
@@ -39,6 +51,44 @@ def test_packing(spark, odd):
         packing.pack(odd, lengths=(0,))
 
 
+def slow_pack(sizes, lengths):
+    """Best fit by looking at every open bin, for each length that bins may open at; the cheapest packing."""
+    longest, best = lengths[-1], None
+    for opens in lengths:
+        left, bins, where = sum(sizes), [], []  # bins: [capacity, fill]
+        for size in sizes:
+            fits = sorted((c - f, i) for i, (c, f) in enumerate(bins) if c - f >= size and c > f)
+            if fits:
+                i = fits[0][1]
+            else:
+                able = [c for c in lengths if c >= size]
+                want = max(opens, able[0])
+                if want > left:
+                    want = min(able, key=lambda c: packing.cost(c, longest) / max(1, min(c, left)))
+                bins.append([want, 0])
+                i = len(bins) - 1
+            where.append((i, bins[i][1]))
+            bins[i][1] += size
+            left -= size
+        final = [min(c for c in lengths if c >= f) for _, f in bins]
+        total = sum(packing.cost(c, longest) for c in final)
+        if best is None or total < best[0]:
+            best = (total, where, [f for _, f in bins], final)
+    return best
+
+
+def test_packing_equals_brute_force():
+    rng = np.random.default_rng(9)
+    for _ in range(60):
+        lengths = sorted({int(x) for x in rng.choice([4, 8, 16, 32, 64], rng.integers(1, 5))})
+        sizes = sorted((int(x) for x in rng.integers(1, lengths[-1] + 1, rng.integers(1, 40))), reverse=True)
+        bins, offsets, fill, final = packing.pack_sizes(sizes, lengths)
+        total, where, fills, ends = slow_pack(sizes, lengths)
+        assert (list(zip(bins, offsets)), fill, final) == (where, fills, ends)
+        # No cheaper than the cheapest sequence that could hold all words, and no dearer than a bin for each item.
+        assert total <= sum(packing.cost(min(c for c in lengths if c >= x), lengths[-1]) for x in sizes) + 1e-9
+
+
 def test_packing_opens_and_shrinks():
     bins, offsets, fill, final = packing.pack_sizes([9, 7, 5, 3, 2], [4, 8, 16])
     assert sum(fill) == 26 and all(f <= c for f, c in zip(fill, final))
@@ -360,6 +410,54 @@ def test_mixing_targets_are_reshared(spark):
     assert (whole["taken"] % 10 == 0).all() and abs(whole["taken"].sum() - 1500) <= 30
 
 
+def brute_mix(rows, labels, whole):
+    """Keys, epochs and parts of each document, source after source."""
+    import math
+
+    sizes = {}
+    for _, t, s in rows:
+        sizes[s] = sizes.get(s, 0) + len((t or "").split())
+    order = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: (5, 2, 1)[i % 3] for i, s in enumerate(order)}
+    target, open_, budget = {}, set(order), 1.5 * sum(sizes.values())
+    while True:  # the excess over the cap is shared anew until none is above
+        level = (budget - sum(2 * sizes[s] for s in order if s not in open_)) / max(1, sum(weight[s] for s in open_))
+        over = {s for s in open_ if level * weight[s] > 2 * sizes[s]}
+        if not over:
+            break
+        open_ -= over
+    for s in order:
+        target[s] = round(level * weight[s], 6) if s in open_ else 2.0 * sizes[s]
+    out = []
+    for s in order:
+        mine = []
+        for i, t, src in rows:
+            if src == s:
+                text_key = hashlib.md5((t or "").encode()).hexdigest()
+                u = (int(hashlib.md5(f"{'' if i is None else i}|{text_key}".encode()).hexdigest()[:12], 16) + 0.5) / 2**48
+                q = labels.get(i)
+                w = 1.0 if q is None else 0.5 + 1.5 * q
+                mine.append((round(-math.log(u) / w, 12), i, len((t or "").split())))
+        goal, before = math.floor(target[s]), 0
+        epochs = goal // sizes[s] if sizes[s] else 0
+        for _, i, size in sorted(mine):
+            left = goal - epochs * sizes[s] - before
+            part = (size if left >= size or 2 * left >= size and left > 0 else 0) if whole else max(0, min(size, left))
+            out.append((i, size, epochs * size + part))
+            before += size
+    return sorted(out)
+
+
+@pytest.mark.parametrize("whole", [False, True])
+def test_mixing_equals_brute_force(spark, whole):
+    rng = np.random.default_rng(5)
+    rows = [(i, "w " * int(rng.integers(0, 60)), s) for i, s in enumerate(rng.choice(["a", "b", "c", "d", ""], 400))]
+    labels = {i: i % 2 for i in range(0, 400, 3)}
+    quality = spark.createDataFrame(list(labels.items()), "doc_id long, quality int")
+    got = mixing.mix(docs(spark, [(i, t, "en", s) for i, t, s in rows]), quality, whole=whole, slice_rows=20)
+    assert sorted((r["doc_id"], r["size"], r["taken"]) for r in got.collect()) == brute_mix(rows, labels, whole)
+
+
 def test_quality_weights_draw_more(spark):
     rows = [(i, f"w{i} " * 10, "en", s) for i, s in enumerate("a" * 400 + "b" * 10)]
     labels = spark.createDataFrame([(i, i % 2) for i in range(400)] + [(0, 0), (None, 1)], "doc_id long, quality int")
