@@ -7,6 +7,7 @@ import math
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from talkloom.console import progress, step
 from talkloom.operators import aggregates, reports
 from talkloom.plans import charts, drafting, preflight, providers, render, steps, synthesis
 from talkloom.plans.config import Config
@@ -97,6 +98,7 @@ class Job:
         batches = max(1, math.ceil(work.count() / BATCH))
         failures = []
         for b in range(batches):  # each batch is stored before the next is asked for
+            progress("analyze", b, batches)
             talks, failed = steps.analyze_work(work.where(F.pmod(F.xxhash64("title"), F.lit(batches)) == b), self.make_model, self.waits)
             artifacts.append_results(talks, self.path("talks"))
             failures.append(failed)
@@ -217,9 +219,6 @@ class Job:
         return files
 
     def run(self) -> None:
-        self.collect()
-        self.clean()
-        self.analyze()
-        self.index()
-        self.visualize()
-        self.report()
+        for name in ("collect", "clean", "analyze", "index", "visualize", "report"):
+            with step(name):
+                getattr(self, name)()

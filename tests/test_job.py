@@ -305,3 +305,80 @@ def test_site_and_api(spark, tmp_path):
     finally:
         server.shutdown()
     assert fetch_schedule(spark, Config()).count() == 0
+
+
+class Frames:
+    def read(self, content, path):
+        if b"bad" in content:
+            raise RuntimeError("no")
+        from talkloom.plans import media
+
+        cut = [(1, 9.0, 0), (0, 3.0, (1 << 40) - 1), (2, 12.0, 1)]
+        return media.dumps([{"index": i, "timestamp_sec": s, "image_file": f"{i}.png", "dhash": h, "text": f"t{i}"} for i, s, h in cut])
+
+
+class Describer:
+    def read(self, content, path):
+        return json.dumps({"description": content.decode()})
+
+
+def test_frames_and_descriptions(spark):
+    from talkloom.plans import media
+
+    videos = spark.createDataFrame([("/v/one.mp4", b"x"), ("/v/two.mp4", b"bad"), ("/v/three.mp4", b"x")], "path string, content binary")
+    done = spark.createDataFrame([("three",)], "video_id string")
+    got, failed = media.frames(videos, done, Frames)
+    assert [(r["video_id"], r["error"]) for r in failed.collect()] == [("two", "RuntimeError: no")]
+    assert sorted((r["index"], r["text"]) for r in got.collect()) == [(0, "t0"), (1, "t1")]  # the third is near the second
+    images = spark.createDataFrame([("/i/0.png", b"a chart"), ("/i/1.png", b" ")], "path string, content binary")
+    slides = got.withColumn("description", F.lit("")).unionByName(spark.createDataFrame([("one", 7, 20.0, "7.png", 5, "t7", ""), ("one", 8, 21.0, "8.png", 6, "t8", "known")], "video_id string, index int, timestamp_sec double, image_file string, dhash long, text string, description string"))
+    told, missing = media.describe(slides, images, Describer)
+    assert {r["index"]: r["description"] for r in told.collect()} == {0: "a chart", 1: media.NO_CONTENT, 7: "", 8: "known"}
+    assert [(r["index"], r["error"]) for r in missing.collect()] == [(7, "no such picture")]
+    packed = media.as_slides(told).first()["slides"]
+    assert [s["index"] for s in packed] == [0, 1, 7, 8]
+    meta = spark.createDataFrame([("a", 100.0), ("b", 900.0), ("c", None)], "video_id string, duration double")
+    assert {r["video_id"]: r["threshold"] for r in media.thresholds(meta).collect()} == {"a": 27.0, "b": 20.0, "c": 27.0}
+
+
+class Recogniser:
+    def read(self, content, path):
+        return json.dumps({"transcription": [{"timestamps": {"from": "00:00:00,000", "to": "00:00:04,510"}, "text": content.decode()}], "result": {"language": "en"}})
+
+
+def test_transcribing(spark):
+    from talkloom.plans import media
+
+    videos = spark.createDataFrame([("/v/one.mp4", b" hello "), ("/v/two.mp4", b"there")], "path string, content binary")
+    got, failed = media.transcribe(videos, None, Recogniser, titles=spark.createDataFrame([("one", "A talk")], "video_id string, title string"))
+    assert {(r["video_id"], r["title"], r["full_text"], r["duration_sec"]) for r in got.collect()} == {("one", "A talk", "hello", 4.5), ("two", "two", "there", 4.5)}
+    assert failed.count() == 0
+
+
+def test_the_command_line_recogniser(tmp_path):
+    from types import SimpleNamespace
+
+    from talkloom.plans import media
+
+    called = []
+
+    def run(command, capture_output, timeout):
+        called.append((command[0], timeout))
+        if command[0] == "whisper-cli":
+            Path(command[command.index("-of") + 1] + ".json").write_text("{}")
+        return SimpleNamespace(returncode=0, stderr=b"")
+
+    assert media.CommandLine("m", run=run).read(b"x", "/v/a.mp4") == "{}" and called == [("ffmpeg", 600), ("whisper-cli", 3600)]
+    with pytest.raises(RuntimeError, match="ffmpeg failed: no codec"):
+        media.CommandLine(run=lambda *a, **k: SimpleNamespace(returncode=1, stderr=b"no codec")).read(b"x", "a")
+
+
+def test_steps_are_told_of(caplog):
+    from talkloom import console
+
+    with caplog.at_level("INFO", "talkloom"), console.step("clean"):
+        console.progress("clean", 1, 2)
+    with pytest.raises(ValueError), caplog.at_level("INFO", "talkloom"), console.step("bad"):
+        raise ValueError
+    text = " ".join(r.getMessage() for r in caplog.records)
+    assert "[clean] 1 of 2" in text and "[clean] done in" in text and "[bad] failed" in text
