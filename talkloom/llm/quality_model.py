@@ -39,7 +39,7 @@ THRESHOLD = 0.3
 #: sums of partitions that are added up in one task.
 CACHE = 200_000
 STEP = 1 << 17
-SUMMED = 16
+SUMMED = 4
 
 REPEAT = b"\x00repeat"
 _KEEP = bytes.maketrans(b"0123456789", b"9999999999")
@@ -67,14 +67,15 @@ class Vectors:
 
     place: dict[bytes, int]
     matrix: np.ndarray
-    cache: dict[bytes, tuple[int, ...]] = field(default_factory=dict)
+    cache: dict[bytes, int] = field(default_factory=dict)
 
     def __getstate__(self):
         return {"place": self.place, "matrix": self.matrix, "cache": {}}
 
-    def terms(self, word: bytes) -> tuple[int, ...]:
-        """The word's place, if it has one, and its shape's."""
-        found = tuple(i for t in (word, shape(word)) if (i := self.place.get(t)) is not None)
+    def code(self, word: bytes) -> int:
+        """The places of the word and of its shape in one number; a missing place is that after the last."""
+        none = len(self.matrix)
+        found = self.place.get(word, none) * (none + 1) + self.place.get(shape(word), none)
         if len(self.cache) >= CACHE:
             self.cache.clear()
         self.cache[word] = found
@@ -85,19 +86,14 @@ class Vectors:
         words = text.split() if text else []
         if not words:
             return np.zeros(DIMS, np.float32)
-        get = self.cache.get
-        ids, weights = [], []
-        for word, n in Counter(words).items():
-            for i in get(word) or self.terms(word):
-                ids.append(i)
-                weights.append(n)
-        again = sum(map(operator.eq, words, islice(words, 1, None)))
-        if again and REPEAT in self.place:
-            ids.append(self.place[REPEAT])
-            weights.append(again)
-        if not ids:
-            return np.zeros(DIMS, np.float32)
-        return np.asarray(weights, np.float32) @ self.matrix[ids] / len(words)
+        get, code = self.cache.get, self.code
+        codes = np.fromiter((x if (x := get(w)) is not None else code(w) for w in words), np.int64, len(words))
+        none = len(self.matrix)
+        counts = np.bincount(codes // (none + 1), minlength=none + 1) + np.bincount(codes % (none + 1), minlength=none + 1)
+        if REPEAT in self.place:
+            counts[self.place[REPEAT]] += sum(map(operator.eq, words, islice(words, 1, None)))
+        held = np.flatnonzero(counts[:none])
+        return counts[held].astype(np.float32) @ self.matrix[held] / len(words) if len(held) else np.zeros(DIMS, np.float32)
 
 
 @dataclass
@@ -149,23 +145,26 @@ def fit_temperature(out: np.ndarray, y: np.ndarray) -> float:
 
 
 def document_counts(docs: DataFrame, text_col: str) -> tuple[dict[bytes, int], int]:
-    """In how many documents the TERMS most widely held words and shapes are, and the number of documents."""
+    """How often documents hold the TERMS most widely held words and shapes, and the number of documents.
+
+    A word counts once for each document that holds it, a shape once for each of a document's different words of it.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, shapes, n, shape_of = Counter(), Counter(), 0, {}
+        words, n = Counter(), 0
 
         def told() -> pa.RecordBatch:
-            terms = [*words, *shapes]
+            shapes = Counter()
+            for word, held_by in words.items():
+                shapes[shape(word)] += held_by
             kinds = [False] * len(words) + [True] * len(shapes)
-            out = pa.RecordBatch.from_arrays([pa.array([*terms, None], pa.binary()), pa.array([*kinds, None], pa.bool_()), pa.array([*words.values(), *shapes.values(), n], pa.int64())], names=["term", "is_shape", "n"])
-            words.clear(), shapes.clear(), shape_of.clear()
-            return out
+            terms, counts = [*words, *shapes, None], [*words.values(), *shapes.values(), n]
+            words.clear()
+            return pa.RecordBatch.from_arrays([pa.array(terms, pa.binary()), pa.array([*kinds, None], pa.bool_()), pa.array(counts, pa.int64())], names=["term", "is_shape", "n"])
 
         for batch in batches:
             for text in utf8(batch.column(0)):
-                held = set(text.split()) if text else set()
-                words.update(held)
-                shapes.update({shape_of[w] if w in shape_of else shape_of.setdefault(w, shape(w)) for w in held})
+                words.update(set(text.split()) if text else ())
                 n += 1
                 if len(words) > CACHE:
                     yield told()
