@@ -111,11 +111,20 @@ def judge(
     rates = host_rates(measured, host_col)
     strict = [F.when(F.col(f"rate_{x}") > strict_from * F.col(f"mean_{x}"), F.lit(x)) for x in RULES]
     verdicts = rates.select(
-        "host", F.col("rate_base").alias("host_rate"), refused(F.col("rate_base"), F.col("mean_base"), refused_from).alias("host_refused"), F.array_compact(F.array(*strict)).alias("strict")
+        "host", F.col("rate_base").alias("host_rate"), refused(
+            F.col("rate_base"), F.col("mean_base"), refused_from
+        ).alias("host_refused"), F.array_compact(F.array(*strict)).alias("strict")
     )
     joined = measured.join(cut(verdicts, "host_verdicts"), F.col(host_col) == F.col("host"), "left")
     none = F.array().cast("array<string>")
     broken = F.array_compact(F.array(*(F.when(F.expr(rule), F.lit(name)) for name, rule in RULES.items())))
     broken = F.array_intersect(F.coalesce("strict", none), broken)
-    out = joined.select(id_col, *METRICS, "base_failed", "host_rate", F.coalesce("host_refused", F.lit(False)).alias("host_refused"), broken.alias("host_broken"))
+    out = joined.select(
+        id_col,
+        *METRICS,
+        "base_failed",
+        "host_rate",
+        F.coalesce("host_refused", F.lit(False)).alias("host_refused"),
+        broken.alias("host_broken"),
+    )
     return out.withColumn("kept", ~F.col("base_failed") & ~F.col("host_refused") & (F.size("host_broken") == 0))

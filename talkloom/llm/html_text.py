@@ -48,10 +48,19 @@ SELDOM_MARKS = frozenset(
     " social related recommended pagination pager toolbar widget search dialog".split()
 )
 #: Elements that end an open paragraph when they begin, and what bounds the search for it.
-ENDS_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section summary table ul".split())
+ENDS_P = frozenset(
+    "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section summary table ul".split()
+)
 P_BOUNDS = ("td", "th", "button", "table", "article", "main", "section", "div")
 #: Elements that are ended by the beginning of the like: those that they end, and what bounds the search.
-ENDS_LIKE = {"li": (("li",), ("ul", "ol", "menu")), "dt": (("dt", "dd"), ("dl",)), "dd": (("dt", "dd"), ("dl",)), "tr": (("tr", "td", "th"), ("table",)), "td": (("td", "th"), ("tr", "table")), "th": (("td", "th"), ("tr", "table"))}
+ENDS_LIKE = {
+    "li": (("li",), ("ul", "ol", "menu")),
+    "dt": (("dt", "dd"), ("dl",)),
+    "dd": (("dt", "dd"), ("dl",)),
+    "tr": (("tr", "td", "th"), ("table",)),
+    "td": (("td", "th"), ("tr", "table")),
+    "th": (("td", "th"), ("tr", "table")),
+}
 
 #: Production parameters: a path is content if its weighed ratio reaches this part of the page's highest; the priors of
 #: holders, headings and seldom marks; what a character of link text counts for.
@@ -326,7 +335,9 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
         for batch in batches:
             texts = [main_text(x) for x in batch.column(2).to_pylist()]
             sizes = pa.array([len(x) for x in texts], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), sizes], names=[id_col, url_col, "text", "n_chars"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(texts, pa.string()), sizes], names=[id_col, url_col, "text", "n_chars"]
+            )
 
     schema = f"`{id_col}` {type_of(pages, id_col)}, `{url_col}` {type_of(pages, url_col)}, text string, n_chars long"
     return pages.select(id_col, url_col, html_col).mapInArrow(each, schema)

@@ -34,7 +34,19 @@ STEP = 1 << 18
 #: Scripts by their Unicode ranges, first and last code point.
 SCRIPTS = {
     "other": (),
-    "latin": ((0x41, 0x5A), (0x61, 0x7A), (0xAA, 0xAA), (0xBA, 0xBA), (0xC0, 0x24F), (0x250, 0x2AF), (0x1E00, 0x1EFF), (0x2C60, 0x2C7F), (0xA720, 0xA7FF), (0xFB00, 0xFB06), (0xFF21, 0xFF5A)),
+    "latin": (
+        (0x41, 0x5A),
+        (0x61, 0x7A),
+        (0xAA, 0xAA),
+        (0xBA, 0xBA),
+        (0xC0, 0x24F),
+        (0x250, 0x2AF),
+        (0x1E00, 0x1EFF),
+        (0x2C60, 0x2C7F),
+        (0xA720, 0xA7FF),
+        (0xFB00, 0xFB06),
+        (0xFF21, 0xFF5A),
+    ),
     "greek": ((0x370, 0x3FF), (0x1F00, 0x1FFF)),
     "cyrillic": ((0x400, 0x52F), (0x1C80, 0x1C8F), (0x2DE0, 0x2DFF), (0xA640, 0xA69F)),
     "armenian": ((0x530, 0x58F), (0xFB13, 0xFB17)),
@@ -138,7 +150,10 @@ def fit(docs: DataFrame, learn, sample: int = SAMPLE, id_col: str = "doc_id", te
                         seen[BUCKETS:] += np.bincount(script, minlength=len(SCRIPTS))
         for lang, seen in found.items():
             at = np.flatnonzero(seen)
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at.astype(np.int32)), pa.array(seen[at])], names=["lang", "feature", "n"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lang] * len(at), pa.string()), pa.array(at.astype(np.int32)), pa.array(seen[at])],
+                names=["lang", "feature", "n"],
+            )
 
     counted = rows.select("text", "lang").mapInArrow(count, "lang string, feature int, n long")
     summed = counted.groupBy("lang", "feature").agg(F.sum("n").alias("n")).toArrow()  # at most a row for each language and bucket
@@ -214,7 +229,15 @@ def identify(text: str | None, model: Model, switch: float = SWITCH) -> tuple[st
     return model.languages[first], float(min(1.0, share[first] / letters.sum() * posterior)), spans
 
 
-def predict(docs: DataFrame, model: Model, spans: bool = False, switch: float = SWITCH, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+def predict(
+    docs: DataFrame,
+    model: Model,
+    spans: bool = False,
+    switch: float = SWITCH,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    keep: tuple[str, ...] = (),
+) -> DataFrame:
     """id, the columns ``keep``, lang_pred, score and, if asked for, spans for each row of docs.
 
     Null and empty texts and those without a letter are ``und`` with score 0 and no span, as is everything under a model
@@ -233,7 +256,10 @@ def predict(docs: DataFrame, model: Model, spans: bool = False, switch: float =
                 columns.append(pa.array([[dict(zip(("lang", "first_word", "n_words"), s)) for s in x[2]] for x in found], kind))
             yield pa.RecordBatch.from_arrays(columns, names=[*kept, "lang_pred", "score", *["spans"] * spans])
 
-    schema = ", ".join(f"`{c}` {type_of(docs, c)}" for c in kept) + ", lang_pred string, score double" + ", spans array<struct<lang:string,first_word:int,n_words:int>>" * spans
+    schema = ", ".join(
+        f"`{c}` {type_of(docs, c)}"
+        for c in kept
+    ) + ", lang_pred string, score double" + ", spans array<struct<lang:string,first_word:int,n_words:int>>" * spans
     return docs.select(F.col(text_col).alias(fresh_name(docs, "__text")), *kept).mapInArrow(each, schema)
 
 

@@ -92,7 +92,18 @@ def ints_of(raw: list[bytes], dims: int) -> np.ndarray:
 class Node:
     """Leaf pages of one node. Vectors lie page by page; leaves are numbered from 0."""
 
-    def __init__(self, ids: list, vectors: np.ndarray, starts: np.ndarray, centres: np.ndarray, radii: np.ndarray, parents: np.ndarray, inner: np.ndarray, centre: int, radius: float):
+    def __init__(
+        self,
+        ids: list,
+        vectors: np.ndarray,
+        starts: np.ndarray,
+        centres: np.ndarray,
+        radii: np.ndarray,
+        parents: np.ndarray,
+        inner: np.ndarray,
+        centre: int,
+        radius: float,
+    ):
         self.ids, self.vectors, self.starts, self.centres, self.radii = ids, vectors, starts, centres, radii
         self.parents, self.inner, self.centre, self.radius = parents, inner, centre, radius
 
@@ -143,7 +154,10 @@ class Node:
         for j in np.flatnonzero(allowed.any(axis=0)):
             rows = np.flatnonzero(allowed[:, j])
             from_leaf[rows, j] = distances(q[alive[rows]], leaves[[j]])[:, 0]
-        for j in np.argsort(np.where(np.isinf(from_leaf), np.nan, from_leaf - self.radii[None]).min(axis=0, initial=np.inf, where=~np.isinf(from_leaf)), kind="stable"):
+        for j in np.argsort(
+            np.where(np.isinf(from_leaf), np.nan, from_leaf - self.radii[None]).min(axis=0, initial=np.inf, where=~np.isinf(from_leaf)),
+            kind="stable",
+        ):
             here = np.flatnonzero(from_leaf[:, j] - self.radii[j] <= reach[alive])
             if not len(here):
                 continue
@@ -199,7 +213,10 @@ def top_k(
             at, found = whole(batch.column(1).to_pylist(), scale)
             norms, dims = [int(x @ x) for x in found], [len(x) for x in found]
             raw = pa.array([x.astype("<i8").tobytes() for x in found], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), raw, pa.array(norms, pa.int64()), pa.array(dims, pa.int32())], names=["id", "raw", "norm", "dims"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(pa.array(at, pa.int64())), raw, pa.array(norms, pa.int64()), pa.array(dims, pa.int32())],
+                names=["id", "raw", "norm", "dims"],
+            )
 
     used = rows.where(F.col(id_col).isNotNull()).select(id_col, vector_col).mapInArrow(ints, f"id {kind}, raw binary, norm long, dims int")
     used = cut(used, "vectors")
@@ -260,7 +277,13 @@ def build(used: DataFrame, dims: int, n: int, norm: int, tops: int, page: int, n
             top = t.column("top")[0].as_py()
             parent = float(distances(lift(made.vectors[[made.centre]], norm), upper[[top]])[0, 0])
             raws = [made.vectors.astype("<i8"), made.starts.astype("<i4"), made.centres.astype("<i4"), made.radii, made.parents, made.inner]
-            arrays = [pa.array([top], pa.int32()), pa.array([parent]), pa.array([made.radius]), pa.array([made.centre], pa.int32()), pa.array([made.ids], pa.list_(t.schema.field("id").type))]
+            arrays = [
+                pa.array([top], pa.int32()),
+                pa.array([parent]),
+                pa.array([made.radius]),
+                pa.array([made.centre], pa.int32()),
+                pa.array([made.ids], pa.list_(t.schema.field("id").type)),
+            ]
             return pa.RecordBatch.from_arrays([*arrays, *(pa.array([x.tobytes()], pa.binary()) for x in raws)], names=list(_NODE))
 
         def key(t: pa.Table, i: int) -> tuple:
@@ -290,7 +313,18 @@ def build(used: DataFrame, dims: int, n: int, norm: int, tops: int, page: int, n
 _NODE = ("top", "parent", "radius", "centre", "ids", "vectors", "starts", "centres", "radii", "parents", "inner")
 
 
-def _top_k(used: DataFrame, is_query: Callable[[Column], Column], dims: int, n: int, norm: int, k: int, tops: int, page: int, node_bytes: int, kind: str) -> DataFrame:
+def _top_k(
+    used: DataFrame,
+    is_query: Callable[[Column], Column],
+    dims: int,
+    n: int,
+    norm: int,
+    k: int,
+    tops: int,
+    page: int,
+    node_bytes: int,
+    kind: str,
+) -> DataFrame:
     upper, nodes = build(used, dims, n, norm, tops, page, node_bytes, kind)
     catalog = cut(nodes.select("node", "top", "parent", "radius"), "catalog")
     radii = {r["top"]: r["r"] for r in catalog.groupBy("top").agg(F.max(F.col("parent") + F.col("radius")).alias("r")).collect()}  # at most ``tops``
@@ -312,7 +346,13 @@ def _top_k(used: DataFrame, is_query: Callable[[Column], Column], dims: int, n:
                         limit = part.column(3).to_numpy()[:, None]
                         rows, at = np.nonzero(d - radius[None] <= limit * (1 + EPS) + TINY)
                     take = pa.array(rows)
-                    columns = [part.column(0).take(take), part.column(1).take(take), pa.array(at.astype(np.int32)), pa.array(d[rows, at]), part.column(3).take(take)]
+                    columns = [
+                        part.column(0).take(take),
+                        part.column(1).take(take),
+                        pa.array(at.astype(np.int32)),
+                        pa.array(d[rows, at]),
+                        part.column(3).take(take),
+                    ]
                     yield pa.RecordBatch.from_arrays(columns, names=[*query, "top", "d", "limit"])
 
         return each
@@ -330,12 +370,25 @@ def _top_k(used: DataFrame, is_query: Callable[[Column], Column], dims: int, n:
             at = {c: left.column(c)[i].as_py() for c in _NODE}
             numbers = (np.frombuffer(at[c], t) for c, t in (("starts", "<i4"), ("centres", "<i4"), ("radii", "<f8"), ("parents", "<f8"), ("inner", "<f8")))
             node = Node(at["ids"], ints_of([at["vectors"]], dims), *numbers, at["centre"], at["radius"])
-            found = node.search(ints_of(right.column("query").to_pylist(), dims), right.column("query_id").to_pylist(), right.column("limit").to_numpy(), norm, k)
+            found = node.search(
+                ints_of(right.column("query").to_pylist(), dims),
+                right.column("query_id").to_pylist(),
+                right.column("limit").to_numpy(),
+                norm,
+                k,
+            )
             of = pa.array([f[0] for f in found], pa.int64())
             ids = pa.array([at["ids"][f[1]] for f in found], left.schema.field("ids").type.value_type)
-            out.append(pa.table([right.column("query_id").take(of), right.column("h").take(of), ids, pa.array([f[2] for f in found], pa.int64())], names=[*query, "vec_id", "score"]))
+            out.append(
+                pa.table(
+                    [right.column("query_id").take(of), right.column("h").take(of), ids, pa.array([f[2] for f in found], pa.int64())],
+                    names=[*query, "vec_id", "score"],
+                )
+            )
         t = right.schema.field("query_id").type
-        return pa.concat_tables(out) if out else pa.table([pa.array([], t), pa.array([], pa.int64()), pa.array([], t), pa.array([], pa.int64())], names=[*query, "vec_id", "score"])
+        return pa.concat_tables(out) if out else pa.table(
+            [pa.array([], t), pa.array([], pa.int64()), pa.array([], t), pa.array([], pa.int64())], names=[*query, "vec_id", "score"]
+        )
 
     def search(wanted: DataFrame) -> DataFrame:
         """The best of each query in each of its nodes; a node is shipped once for up to QUERIES queries."""

@@ -114,7 +114,10 @@ def pack(docs: DataFrame, lengths: tuple[int, ...] = LENGTHS, group: int = GROUP
             "bin_offset": pa.array(np.array(offsets, np.int32)),
             "bin_fill": pa.array(np.array(fill, np.int32)[bins]),
         }
-        return pa.table([*(t.column(c) for c in (id_col, "copy", "piece", "start", "length")), *out.values()], names=[id_col, "copy", "piece", "start", "length", *out])
+        return pa.table(
+            [*(t.column(c) for c in (id_col, "copy", "piece", "start", "length")), *out.values()],
+            names=[id_col, "copy", "piece", "start", "length", *out],
+        )
 
     schema = f"`{id_col}` {kind}, copy long, piece long, start long, length long, bin_id long, bin_length int, bin_offset int, bin_fill int"
     return items.groupBy("pack_group").applyInArrow(packed, schema)

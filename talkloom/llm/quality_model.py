@@ -160,7 +160,10 @@ def document_counts(docs: DataFrame, text_col: str) -> tuple[dict[bytes, int], i
             kinds = [False] * len(words) + [True] * len(shapes)
             terms, counts = [*words, *shapes, None], [*words.values(), *shapes.values(), n]
             words.clear()
-            return pa.RecordBatch.from_arrays([pa.array(terms, pa.binary()), pa.array([*kinds, None], pa.bool_()), pa.array(counts, pa.int64())], names=["term", "is_shape", "n"])
+            return pa.RecordBatch.from_arrays(
+                [pa.array(terms, pa.binary()), pa.array([*kinds, None], pa.bool_()), pa.array(counts, pa.int64())],
+                names=["term", "is_shape", "n"],
+            )
 
         for batch in batches:
             for text in utf8(batch.column(0)):
@@ -247,7 +250,10 @@ def fit(docs: DataFrame, labels: DataFrame, learn, sample: int = SAMPLE, id_col:
     as they come. Null and empty texts have no terms. Without any label, or with one label only, there is no network.
     """
     known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & learn).groupBy(id_col).agg(F.avg(label_col).alias("y"))
-    chosen = cut(known.select(F.col(id_col).alias("__id"), (F.col("y") >= 0.5).alias("y"), F.xxhash64(id_col).alias("h")).orderBy("h", "__id").limit(sample), "labelled")
+    chosen = cut(
+        known.select(F.col(id_col).alias("__id"), (F.col("y") >= 0.5).alias("y"), F.xxhash64(id_col).alias("h")).orderBy("h", "__id").limit(sample),
+        "labelled",
+    )
     # At most ``sample`` rows of three numbers: small enough to broadcast at any size of the corpus.
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), F.col("id") == F.col("__id"))
     rows = cut(rows.select("text", "y", "h").repartition(8, "h"), "learning_texts")

@@ -94,7 +94,10 @@ def _host_sql() -> str:
     floor, times, ceiling = host_rules.REFUSED_FROM
     failures = ", ".join(f"count(*) FILTER ({rule}) AS {name}" for name, rule in rules.items())
     moments = ", ".join(f"avg({x} / n) AS m_{x}, var_samp({x} / n) AS v_{x}" for x in rules)
-    strength = ", ".join(f"m_{x}, least({most}, greatest({least}, CASE WHEN k > 1 AND v_{x} > 0 THEN m_{x} * (1 - m_{x}) / v_{x} - 1 ELSE {usual} END)) AS s_{x}" for x in rules)
+    strength = ", ".join(
+        f"m_{x}, least({most}, greatest({least}, CASE WHEN k > 1 AND v_{x} > 0 THEN m_{x} * (1 - m_{x}) / v_{x} - 1 ELSE {usual} END)) AS s_{x}"
+        for x in rules
+    )
     shrunk = ", ".join(f"({x} + m_{x} * s_{x}) / (n + s_{x}) AS rate_{x}, m_{x}" for x in rules)
     broken = " OR ".join(f"(({rule}) AND rate_{x} > {host_rules.STRICT_FROM} * m_{x})" for x, rule in host_rules.RULES.items())
     return f"""h AS (SELECT source, count(*) AS n, {failures} FROM f WHERE source IS NOT NULL GROUP BY source),
@@ -112,42 +115,51 @@ ORACLE_SQL: dict[str, str] = {
     "op2_host_quality_rules": rf"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS text FROM documents),
 w AS (SELECT r, unnest(regexp_extract_all(text, '{_WORD}')) AS word, generate_subscripts(regexp_extract_all(text, '{_WORD}'), 1) AS i FROM d),
-x AS (SELECT r, i, word || ' ' || lead(word, 1) OVER o || ' ' || lead(word, 2) OVER o AS win, length(word) AS chars FROM w WINDOW o AS (PARTITION BY r ORDER BY i)),
+x AS (SELECT r, i, word || ' ' || lead(word, 1) OVER o || ' ' || lead(word, 2) OVER o AS win, length(word) AS chars FROM w WINDOW o AS (PARTITION BY r
+  ORDER BY i)),
 y AS (SELECT r, i, chars, win IS NOT NULL AND count(*) OVER (PARTITION BY r, win) > 1 AS again FROM x),
-z AS (SELECT r, chars, again OR coalesce(lag(again, 1) OVER o, false) OR coalesce(lag(again, 2) OVER o, false) AS covered FROM y WINDOW o AS (PARTITION BY r ORDER BY i)),
+z AS (SELECT r, chars, again OR coalesce(lag(again, 1) OVER o, false) OR coalesce(lag(again, 2) OVER o, false) AS covered FROM y WINDOW o AS (PARTITION BY r
+  ORDER BY i)),
 m AS (SELECT r, count(*) AS n_words, sum(chars)::BIGINT AS word_chars, count(*) FILTER (covered) AS n_repeat_words FROM z GROUP BY r),
-l AS (SELECT r, count(*) - count(DISTINCT line) AS n_dup_lines FROM (SELECT r, unnest(string_split(text, chr(10))) AS line FROM d) WHERE regexp_matches(line, '{_WORD}') GROUP BY r),
+l AS (SELECT r, count(*) - count(DISTINCT line) AS n_dup_lines FROM (SELECT r, unnest(string_split(text, chr(10))) AS line FROM d) WHERE regexp_matches(line,
+  '{_WORD}') GROUP BY r),
 b AS (SELECT d.r, doc_id, source, coalesce(n_words, 0)::BIGINT AS n_words, coalesce(word_chars, 0)::BIGINT AS word_chars,
-  length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words
+  length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines, coalesce(n_repeat_words,
+    0)::BIGINT AS n_repeat_words
   FROM d LEFT JOIN m USING (r) LEFT JOIN l USING (r)),
 f AS (SELECT *, n_words < {host_rules.LEAST_WORDS} OR 100 * n_repeat_words > {host_rules.MOST_REPEATED} * n_words AS base_failed FROM b),
 {_HOST_SQL}""",
     "op5_exact_top_k": f"""
 WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor({metric_tree.SCALE} * x::DOUBLE)) AS e FROM embeddings
   WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
-s AS (SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.e, c.e)::BIGINT AS score FROM v q, v c WHERE q.vec_id % {metric_tree.QUERY_EVERY} = 0 AND q.vec_id <> c.vec_id),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.e, c.e)::BIGINT AS score FROM v q, v c WHERE q.vec_id % {metric_tree.QUERY_EVERY} = 0
+  AND q.vec_id <> c.vec_id),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= {metric_tree.K}""",
     "op6_source_mixing": rf"""
 WITH q AS (SELECT doc_id, avg(quality) AS q FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
 d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{_WORD}'))::BIGINT AS size, md5(coalesce(text, '')) AS text_key,
   coalesce({mixing.QUALITY[1]} + ({mixing.QUALITY[0]} - {mixing.QUALITY[1]}) * q, {mixing.QUALITY[2]}) AS w FROM documents LEFT JOIN q USING (doc_id)),
-k AS (SELECT *, round(-ln((('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || '|' || text_key), 1, 12))::BIGINT + 0.5::DOUBLE) / {1 << 48}::DOUBLE) / w, 12) AS key FROM d),
+k AS (SELECT *, round(-ln((('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || '|' || text_key), 1, 12))::BIGINT + 0.5::DOUBLE) / {1 << 48}::DOUBLE) / w,
+  12) AS key FROM d),
 g AS (SELECT source, sum(size)::BIGINT AS source_size FROM k GROUP BY source),
-o AS (SELECT *, [{", ".join(f"{x}::DOUBLE" for x in mixing.WEIGHTS)}][(row_number() OVER (ORDER BY encode(source) NULLS LAST) - 1) % {len(mixing.WEIGHTS)} + 1] AS w FROM g),
+o AS (SELECT *, [{", ".join(f"{x}::DOUBLE" for x in mixing.WEIGHTS)}][(row_number()
+  OVER (ORDER BY encode(source) NULLS LAST) - 1) % {len(mixing.WEIGHTS)} + 1] AS w FROM g),
 c AS (SELECT *, source_size * {float(mixing.MOST_EPOCHS)} AS cap, cap / w AS full_at FROM o),
 l AS (SELECT *, ({mixing.BUDGET} * sum(source_size) OVER () - coalesce(sum(cap) OVER b, 0)) / (sum(w) OVER () - coalesce(sum(w) OVER b, 0)) AS level FROM c
   WINDOW b AS (ORDER BY full_at, encode(source) NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 t AS (SELECT source, source_size, round(least(cap, coalesce(max(CASE WHEN level <= full_at THEN level END) OVER () * w, cap)), 6) AS target FROM l),
 e AS (SELECT k.*, source_size, target, floor(target)::BIGINT AS goal, CASE WHEN source_size > 0 THEN floor(target)::BIGINT // source_size ELSE 0 END AS epochs,
-  coalesce(sum(size) OVER (PARTITION BY k.source ORDER BY key, doc_id NULLS LAST, text_key ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before
+  coalesce(sum(size) OVER (PARTITION BY k.source ORDER BY key, doc_id NULLS LAST, text_key ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+    0)::BIGINT AS before
   FROM k JOIN t ON k.source IS NOT DISTINCT FROM t.source)
 SELECT doc_id, size, source_size, target, (epochs * size + greatest(0, least(size, goal - epochs * source_size - before)))::BIGINT AS taken FROM e""",
     "op7_line_dedup": rf"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
 u AS (SELECT r, doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS i FROM d),
 k AS (SELECT *, translate(trim(line, {_SPACE}), '{line_dedup.UPPER}', '{line_dedup.LOWER}') AS key FROM u),
-s AS (SELECT key, max(doc_id) AS last FROM k WHERE length(key) >= {line_dedup.LEAST_CHARS} AND doc_id IS NOT NULL GROUP BY key HAVING count(DISTINCT doc_id) >= {line_dedup.LEAST_DOCS}),
+s AS (SELECT key, max(doc_id) AS last FROM k WHERE length(key) >= {line_dedup.LEAST_CHARS} AND doc_id IS NOT NULL
+  GROUP BY key HAVING count(DISTINCT doc_id) >= {line_dedup.LEAST_DOCS}),
 m AS (SELECT k.*, coalesce(doc_id <> last, false) AS goes FROM k LEFT JOIN s USING (key))
 SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (goes) AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT goes), '')) AS kept_sha256 FROM m GROUP BY r""",

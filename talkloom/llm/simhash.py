@@ -106,7 +106,10 @@ def _replicate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for i in range(tables.shape[1]):
                 fps = np.ascontiguousarray(tables[:, i])
                 rows, keys, home = anchors(fps.view(np.uint64))
-                yield pa.RecordBatch.from_arrays([pa.array(keys | np.int64(i) << 33), pa.array(fps[rows]), pa.array(nodes[rows]), pa.array(home.astype(np.int8))], names=["anchor", "fp", "node", "role"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys | np.int64(i) << 33), pa.array(fps[rows]), pa.array(nodes[rows]), pa.array(home.astype(np.int8))],
+                    names=["anchor", "fp", "node", "role"],
+                )
 
 
 #: Roles within a cell: only compared with, at home and compared with, or (in grids) only at home.
@@ -333,12 +336,22 @@ def _sketched(texts: DataFrame, tables: int) -> DataFrame:
             found = [sketch(x, tables) for x in utf8(batch.column(0))]
             nodes = np.array([x[0] for x in found], np.uint64).view(np.int64)
             fps = np.array([x[1] for x in found], np.uint64).reshape(-1, 1 + tables).view(np.int64).tolist()
-            yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(fps, pa.list_(pa.int64())), pa.array([x[2] for x in found], pa.binary())], names=["node", "fps", "slots"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(nodes), pa.array(fps, pa.list_(pa.int64())), pa.array([x[2] for x in found], pa.binary())],
+                names=["node", "fps", "slots"],
+            )
 
     return texts.mapInArrow(each, "node long, fps array<long>, slots binary")
 
 
-def similar_groups(docs: DataFrame, among: DataFrame | None = None, tables: int = TABLES, least: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def similar_groups(
+    docs: DataFrame,
+    among: DataFrame | None = None,
+    tables: int = TABLES,
+    least: float = SIMILARITY,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
     """id, component_id and size (words) for each row of docs: groups as near_duplicates gives them, with more links.
 
     Texts link if their shingle fingerprints differ in three or fewer bits, and also if one of ``tables`` fingerprints of
@@ -387,7 +400,10 @@ def similar_groups(docs: DataFrame, among: DataFrame | None = None, tables: int
     in_order = blocks.select("block", "node", "fps", "slots").repartition("block").sortWithinPartitions("block", "node")
     sure = in_order.mapInArrow(verify, "u long, v long").unionByName(found.where("table = 0").select("u", "v"))
     member = connected_components(sure)
-    of_node = cut(signed.groupBy("node").agg(F.min("id").alias("least")).join(member, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root")), "linked")
+    of_node = cut(
+        signed.groupBy("node").agg(F.min("id").alias("least")).join(member, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root")),
+        "linked",
+    )
     of_root = of_node.groupBy("root").agg(F.min("least").alias("component_id"))
     named = of_node.join(of_root, "root").select("node", "component_id")
     return signed.join(named, "node").select(F.col("id").alias(id_col), "component_id", "size")

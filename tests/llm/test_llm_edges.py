@@ -21,7 +21,17 @@ LINE = "a line of more than forty characters that many documents share"
 
 @pytest.fixture(scope="module")
 def odd(spark):
-    rows = [(None, "x y z", "en", "a"), (1, None, None, None), (2, "", "en", "a"), (3, " \n\t ", "de", "b"), (4, "word " * 30_000, "en", "a"), (5, "same words here", "en", None), (5, "same words here", "en", None), (6, "SAME words here", None, "b"), (7, "…—", "fr", "b")]
+    rows = [
+        (None, "x y z", "en", "a"),
+        (1, None, None, None),
+        (2, "", "en", "a"),
+        (3, " \n\t ", "de", "b"),
+        (4, "word " * 30_000, "en", "a"),
+        (5, "same words here", "en", None),
+        (5, "same words here", "en", None),
+        (6, "SAME words here", None, "b"),
+        (7, "…—", "fr", "b"),
+    ]
     return docs(spark, rows).persist()
 
 
@@ -216,7 +226,14 @@ def test_keep_one(spark, odd):
     words = [f"w{i}" for i in range(400)]
     near = words.copy()
     near[200] = "other"
-    rows = [(1, " ".join(words), "en", "a"), (2, " ".join(near), "en", "a"), (3, " ".join(words), "en", "a"), (4, " ".join(f"v{i}" for i in range(400)), "en", "a"), (4, " ".join(f"v{i}" for i in range(400)), "en", "a"), (None, "q", "en", "a")]
+    rows = [
+        (1, " ".join(words), "en", "a"),
+        (2, " ".join(near), "en", "a"),
+        (3, " ".join(words), "en", "a"),
+        (4, " ".join(f"v{i}" for i in range(400)), "en", "a"),
+        (4, " ".join(f"v{i}" for i in range(400)), "en", "a"),
+        (None, "q", "en", "a"),
+    ]
     got = simhash.keep_one(docs(spark, rows))
     assert got.columns == docs(spark, rows).columns
     assert sorted((r["doc_id"] or 0) for r in got.collect()) == [0, 1, 4]
@@ -261,7 +278,19 @@ def test_copies_that_are_like_their_base_only_are_all_linked(spark):
 
 
 def test_url_parts(spark):
-    urls = [None, "", "no scheme", "HTTP://A.Net", "x://a.net/p?q#f", "http://a.net?x=/y", "a://b://c/d", "http://éx.net/ü\n/z#", "http://notnet/", "https://example.net/en/x", "https://EXAMPLE.NET/de"]
+    urls = [
+        None,
+        "",
+        "no scheme",
+        "HTTP://A.Net",
+        "x://a.net/p?q#f",
+        "http://a.net?x=/y",
+        "a://b://c/d",
+        "http://éx.net/ü\n/z#",
+        "http://notnet/",
+        "https://example.net/en/x",
+        "https://EXAMPLE.NET/de",
+    ]
     df = spark.createDataFrame([(i, u, "v", "r") for i, u in enumerate(urls)], "page_id long, url string, verdict string, rule string")
     none = spark.createDataFrame([], "tokens array<string>, blocked boolean")
     got = {r["page_id"]: tuple(r)[1:5] for r in url_rules.judge(df, none).collect()}
@@ -320,7 +349,9 @@ def test_mined_rules_and_verdicts_equal_brute_force(spark):
     urls = [(i, f"http://x/?{'&'.join(sorted(s))}") for i, (s, _) in enumerate(rows)]
     of = lambda s: {f"q={x}" for x in s}
     pages = spark.createDataFrame(urls, "page_id long, url string")
-    by_url = pages.select("page_id", url_rules.tokens_of(F.col("url")).alias("tokens")).join(spark.createDataFrame([(i, b) for i, (_, b) in enumerate(rows)], "page_id long, blocked boolean"), "page_id")
+    by_url = pages.select("page_id", url_rules.tokens_of(F.col("url")).alias("tokens")).join(
+        spark.createDataFrame([(i, b) for i, (_, b) in enumerate(rows)], "page_id long, blocked boolean"), "page_id"
+    )
     verdicts = {r["page_id"]: r["verdict"] for r in url_rules.judge(pages, by_url).collect()}
     assert all((verdicts[i] == "block") == any(of(w) <= of(s) for w in want) for i, (s, _) in enumerate(rows))
 
@@ -339,7 +370,10 @@ def test_few_labels_make_no_rules_and_many_parameters_no_explosion(spark):
 
 
 def brute_top(rows, k):
-    ok = [(i, tuple(np.floor(256 * np.asarray(v, float)).astype(int))) for i, v in rows if i is not None and v is not None and len(v) and None not in v and np.isfinite(v).all()]
+    ok = [
+        (i, tuple(np.floor(256 * np.asarray(v, float)).astype(int)))
+        for i, v in rows if i is not None and v is not None and len(v) and None not in v and np.isfinite(v).all()
+    ]
     out = []
     for q, x in {(i, v) for i, v in ok if i % 5 == 0}:
         best = sorted((-int(np.dot(x, v)), i) for i, v in ok if i != q and len(v) == len(x))[:k]
@@ -484,7 +518,9 @@ def brute_lines(rows):
 
 @pytest.mark.parametrize(("batches", "fanout"), [(1, 2), (3, 2), (7, 3)])
 def test_line_dedup_equals_brute_force(spark, batches, fanout):
-    rows = [(i, f"own {i}\n  {LINE.upper() if i % 2 else LINE}\t\n\nshort\n{LINE}") for i in range(8)] + [(i, "É" * 40 + "\n" + "é" * 40 + "\nx") for i in range(3, 9)] + [(20, None), (21, ""), (22, "\n"), (None, LINE), (3, LINE), (30, LINE[:39]), (31, "y" * 70_000)]
+    rows = [(i, f"own {i}\n  {LINE.upper() if i % 2 else LINE}\t\n\nshort\n{LINE}") for i in range(8)] + [(i, "É" * 40 + "\n" + "é" * 40 + "\nx") for i in range(3, 9)] + [
+        (20, None), (21, ""), (22, "\n"), (None, LINE), (3, LINE), (30, LINE[:39]), (31, "y" * 70_000)
+    ]
     df = docs(spark, [(i, t, "en", "a") for i, t in rows])
     got = line_dedup.dedup_lines(df, batches, fanout).select(F.coalesce("doc_id", F.lit(-1)), "__n_lines", "__n_dropped", F.sha2("text", 256))
     assert sorted(map(tuple, got.collect())) == brute_lines(rows)
@@ -539,7 +575,10 @@ def test_language(spark, odd):
 def brute_path(scores, switch):
     from itertools import product
 
-    best = max(product(range(scores.shape[1]), repeat=len(scores)), key=lambda p: sum(scores[i, x] for i, x in enumerate(p)) - switch * sum(a != b for a, b in zip(p, p[1:])))
+    best = max(
+        product(range(scores.shape[1]), repeat=len(scores)),
+        key=lambda p: sum(scores[i, x] for i, x in enumerate(p)) - switch * sum(a != b for a, b in zip(p, p[1:])),
+    )
     return list(best)
 
 
@@ -553,7 +592,10 @@ def test_viterbi_equals_brute_force():
 
 
 def test_spans_of_mixed_text_and_scripts(spark):
-    rows = [(i, "the cat sat on the mat with them", "en", "a") for i in range(5)] + [(i, "der hund und die katze sind nicht hier", "de", "a") for i in range(5, 10)] + [(i, "это просто русский текст", "ru", "a") for i in range(10, 15)]
+    rows = [(i, "the cat sat on the mat with them", "en", "a") for i in range(5)] + [
+        (i, "der hund und die katze sind nicht hier", "de", "a")
+        for i in range(5, 10)
+    ] + [(i, "это просто русский текст", "ru", "a") for i in range(10, 15)]
     model = language.fit(docs(spark, rows), F.lit(True))
     lang, score, spans = language.identify("the cat sat on the mat with them der hund und die katze sind nicht hier это русский", model, 4.0)
     assert [s[0] for s in spans] == ["en", "de", "ru"] and spans[0][2] == 8
@@ -563,14 +605,19 @@ def test_spans_of_mixed_text_and_scripts(spark):
 def test_scripts_are_code_point_ranges():
     names = list(language.SCRIPTS)
     of = lambda text: [names[i] for i in language.grams(text)[2]]
-    assert of("abc ạ где ไทย हिन्दी საქართველო 漢字 かな 한국 αβγ") == ["latin", "latin", "cyrillic", "thai", "devanagari", "georgian", "han", "kana", "hangul", "greek"]
+    assert of("abc ạ где ไทย हिन्दी საქართველო 漢字 かな 한국 αβγ") == [
+        "latin", "latin", "cyrillic", "thai", "devanagari", "georgian", "han", "kana", "hangul", "greek"
+    ]
     code, begins, _, any_letter = language.grams("a — b ’ 12 «c» ¿d")
     assert len(begins) == 4 and len(code) == 4 and any_letter  # dashes, quotes and digits are no letters
     assert language.grams("12 — ’ !")[3] is False
 
 
 def test_long_texts_are_scored_in_pieces(spark, monkeypatch):
-    rows = [(i, "the cat sat on the mat with them", "en", "a") for i in range(5)] + [(i, "der hund und die katze sind nicht hier", "de", "a") for i in range(5, 10)]
+    rows = [(i, "the cat sat on the mat with them", "en", "a") for i in range(5)] + [
+        (i, "der hund und die katze sind nicht hier", "de", "a")
+        for i in range(5, 10)
+    ]
     model = language.fit(docs(spark, rows), F.lit(True))
     text = "the cat sat on the mat " * 40 + "der hund und die katze sind nicht " * 30
     whole = language.identify(text, model, 4.0)
@@ -630,8 +677,14 @@ PAGES = [
     ("plain text, no markup", "plain text, no markup"),
     ("<p>One.<p>Two &amp; three&nbsp; x", "One.\n\nTwo & three x"),
     ("<script>var a='<p>no</p>'</script><style>p{}</style><p>Yes, it is.</p><!-- <p>no</p> -->", "Yes, it is."),
-    ("<nav><a href=x>Menu</a></nav><main><h2>Head</h2><p>Body text, with a comma.</p></main><aside>Side, bar.</aside><footer>Foot</footer>", "Head\n\nBody text, with a comma."),
-    ("<article><h1>T</h1><div class='ad-banner'>Buy, now. It is cheap, really.</div><p>Text of the article, long enough.</p><div id=comments><p>I like it, a lot. Really.</p></div></article>", "T\n\nText of the article, long enough."),
+    (
+        "<nav><a href=x>Menu</a></nav><main><h2>Head</h2><p>Body text, with a comma.</p></main><aside>Side, bar.</aside><footer>Foot</footer>",
+        "Head\n\nBody text, with a comma.",
+    ),
+    (
+        "<article><h1>T</h1><div class='ad-banner'>Buy, now. It is cheap, really.</div><p>Text of the article, long enough.</p><div id=comments><p>I like it, a lot. Really.</p></div></article>",
+        "T\n\nText of the article, long enough.",
+    ),
     ("<p>a<br>b</p><form><input value=x>Send</form><p hidden>no</p>", "a b"),
     ("<div>x <b>y</b>z</div><unclosed <p>w", "x yz\n\nw"),
 ]
@@ -643,7 +696,10 @@ def test_main_text(html, text):
 
 
 def test_extract(spark):
-    df = spark.createDataFrame([(1, None, None, "x"), (None, "u", "<p>" + "a, " * 50_000, "x"), (1, None, None, "x")], "page_id long, url string, html string, text string")
+    df = spark.createDataFrame(
+        [(1, None, None, "x"), (None, "u", "<p>" + "a, " * 50_000, "x"), (1, None, None, "x")],
+        "page_id long, url string, html string, text string",
+    )
     got = html_text.extract(df)
     assert sorted(r["n_chars"] for r in got.collect()) == [0, 0, 149_999]
     assert html_text.extract(df.limit(0)).count() == 0

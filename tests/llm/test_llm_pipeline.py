@@ -15,7 +15,14 @@ LINE = "this very line is shared by more than five of the documents"
 def corpus(spark, tmp_path_factory):
     words = lambda seed, n: " ".join(f"wordy{seed}x{i} of the" for i in range(n))
     rows = [(i, f"{words(i, 40 + i)}\n{LINE}", "en", f"s{i % 3}", 0) for i in range(12)]
-    rows += [(100, rows[3][1], "en", "s1", 0), (101, rows[4][1].replace("wordy4x7", "changed"), "en", "s0", 0), (102, "12345 !!", "en", "s0", 0), (103, None, "en", "s0", 0), (104, "", None, None, 0), (110, f"{words(50, 45)}\n{LINE}", "en", "s2", 0)]
+    rows += [
+        (100, rows[3][1], "en", "s1", 0),
+        (101, rows[4][1].replace("wordy4x7", "changed"), "en", "s0", 0),
+        (102, "12345 !!", "en", "s0", 0),
+        (103, None, "en", "s0", 0),
+        (104, "", None, None, 0),
+        (110, f"{words(50, 45)}\n{LINE}", "en", "s2", 0),
+    ]
     path = str(tmp_path_factory.mktemp("corpus"))
     spark.createDataFrame(rows, DDL).write.parquet(f"{path}/documents.parquet")
     spark.createDataFrame([(i, i % 2, 0) for i in range(6)], "doc_id long, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
@@ -132,7 +139,15 @@ def test_near_copies_are_caught_after_line_dedup(spark, tmp_path):
 
 def odd_rows():
     text = " ".join(f"word{i} of the" for i in range(40))
-    rows = [(1, text, "en", "a", 0), (1, text, "en", "a", 0), (2, None, None, None, None), (3, "", "en", "a", 0), (None, text, "en", None, 0), (4, "long words here " * 40_000, "en", "b", 0), (5, text.upper(), None, "b", 0)]
+    rows = [
+        (1, text, "en", "a", 0),
+        (1, text, "en", "a", 0),
+        (2, None, None, None, None),
+        (3, "", "en", "a", 0),
+        (None, text, "en", None, 0),
+        (4, "long words here " * 40_000, "en", "b", 0),
+        (5, text.upper(), None, "b", 0),
+    ]
     return [(*r, 1, 2, 3, 4, 5, 6, 7) for r in rows]
 
 
