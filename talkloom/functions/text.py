@@ -186,7 +186,10 @@ def time_text(x: Column | str) -> Column:
 
 def speakers_text(speakers: Column | str, nobody: str = "") -> Column:
     """"name (company)" or "name", joined by ", "."""
-    each = F.transform(col(speakers), lambda s: F.when(filled(s["company"]) != "", F.concat(filled(s["name"]), F.lit(" ("), s["company"], F.lit(")"))).otherwise(filled(s["name"])))
+    each = F.transform(
+        col(speakers),
+        lambda s: F.when(filled(s["company"]) != "", F.concat(filled(s["name"]), F.lit(" ("), s["company"], F.lit(")"))).otherwise(filled(s["name"])),
+    )
     return or_else(F.array_join(each, ", "), F.lit(nobody))
 
 

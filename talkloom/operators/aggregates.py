@@ -72,7 +72,9 @@ def best_evidence(landscape: DataFrame, key: str = "technology", rank: Column |
 def actions_by_urgency(actions: DataFrame) -> DataFrame:
     """(urgency, actions): arrays in order of position; a missing urgency is immediate."""
     urgency = F.coalesce(F.nullif("urgency", F.lit("")), F.lit("immediate"))
-    rows = actions.withColumn("urgency", urgency).groupBy("urgency").agg(F.array_sort(F.collect_list(F.struct("pos", "action", "category", "source_cluster"))).alias("actions"))
+    rows = actions.withColumn("urgency", urgency).groupBy("urgency").agg(
+        F.array_sort(F.collect_list(F.struct("pos", "action", "category", "source_cluster"))).alias("actions")
+    )
     place = rank_of(F.col("urgency"), {u: i + 1 for i, u in enumerate(URGENCIES)}, 99)
     return rows.orderBy(place, "urgency")
 
@@ -109,7 +111,10 @@ def known_people(sessions: DataFrame) -> DataFrame:
     s = sessions.select(F.explode("speakers").alias("s"))
     name = F.trim(filled("s.name"))
     words = F.split(name, r"\s+")
-    people = s.select(F.lit("speaker").alias("kind"), F.explode(F.when(F.size(words) > 1, F.array(name, F.element_at(words, -1))).otherwise(F.array(name))).alias("name"))
+    people = s.select(
+        F.lit("speaker").alias("kind"),
+        F.explode(F.when(F.size(words) > 1, F.array(name, F.element_at(words, -1))).otherwise(F.array(name))).alias("name"),
+    )
     companies = s.select(F.lit("company").alias("kind"), company_tail("s.company").alias("name"))
     return people.unionByName(companies).where("name <> ''").distinct()
 

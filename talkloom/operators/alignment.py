@@ -18,7 +18,13 @@ def backward_as_of(events: DataFrame, marks: DataFrame, key: str, ts: str, mark_
     carried = F.struct(*(F.col(c) for c in mark_cols))
     m = marks.select(F.col(key), F.col(mark_ts).alias("__ts"), carried.alias("__mark"), F.lit(0).alias("__kind"))
     kind = m.schema["__mark"].dataType
-    e = events.select(F.col(key), F.col(ts).alias("__ts"), F.lit(None).cast(kind).alias("__mark"), F.lit(1).alias("__kind"), F.struct(*(F.col(c) for c in events.columns)).alias("__event"))
+    e = events.select(
+        F.col(key),
+        F.col(ts).alias("__ts"),
+        F.lit(None).cast(kind).alias("__mark"),
+        F.lit(1).alias("__kind"),
+        F.struct(*(F.col(c) for c in events.columns)).alias("__event"),
+    )
     m = m.withColumn("__event", F.lit(None).cast(e.schema["__event"].dataType))
     w = Window.partitionBy(key).orderBy("__ts", "__kind", "__mark").rowsBetween(Window.unboundedPreceding, 0)
     both = m.unionByName(e).withColumn("__last", F.last("__mark", ignorenulls=True).over(w))
@@ -45,9 +51,17 @@ def aligned_text(slides: DataFrame, segments: DataFrame) -> DataFrame:
     line = F.when(filled("speaker") != "", F.concat(F.lit("["), F.col("speaker"), F.lit("] "), strip("text"))).otherwise(strip("text"))
     said = said.select("video_id", "seq", "start", line.alias("line"))
     under = backward_as_of(said, slides.select("video_id", "ts", "pos"), "video_id", "start", "ts", ["ts", "pos"])
-    spoken = under.groupBy("video_id", "pos").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("start", "seq", "line"))), lambda r: r["line"]), "\n").alias("spoken"))
+    spoken = under.groupBy("video_id", "pos").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("start", "seq", "line"))), lambda r: r["line"]), "\n").alias("spoken")
+    )
     both = slides.join(segments.select("video_id").distinct(), "video_id", "left_semi").join(spoken, ["video_id", "pos"], "left")
     part = lambda head, x: F.when(strip(x) != "", F.concat(F.lit(head), strip(x)))
-    block = F.concat_ws("\n", slide_header(F.col("pos"), F.col("ts")), part("OCR: ", F.col("text")), part("VLM: ", F.col("description")), F.when(F.col("spoken").isNotNull(), F.concat(F.lit("[TRANSCRIPT]\n"), F.col("spoken"))))
+    block = F.concat_ws(
+        "\n",
+        slide_header(F.col("pos"), F.col("ts")),
+        part("OCR: ", F.col("text")),
+        part("VLM: ", F.col("description")),
+        F.when(F.col("spoken").isNotNull(), F.concat(F.lit("[TRANSCRIPT]\n"), F.col("spoken"))),
+    )
     rows = F.array_sort(F.collect_list(F.struct("ts", "pos", block.alias("block"))))
     return both.groupBy("video_id").agg(F.array_join(F.transform(rows, lambda r: r["block"]), "\n\n").alias("slide_aligned"))

@@ -17,7 +17,21 @@ from talkloom.schemas import schema
 WINDOW, OVERLAP, SLIDES = 2000, 400, 3
 COLUMNS = ("id", "text", "chunk_type", "talk_title", "speakers", "companies", "track", "video_id", "source_file", "chunk_index", "start_time", "extra")
 #: Kinds in the order of their union.
-ORDER = ("transcript_segment", "talk_abstract", "talk_summary", "talk_takeaways", "talk_qa", "talk_signals", "cluster_summary", "conference_narrative", "slide_content", "maturity_assessment", "tension", "recommended_action", "technology_relationship")
+ORDER = (
+    "transcript_segment",
+    "talk_abstract",
+    "talk_summary",
+    "talk_takeaways",
+    "talk_qa",
+    "talk_signals",
+    "cluster_summary",
+    "conference_narrative",
+    "slide_content",
+    "maturity_assessment",
+    "tension",
+    "recommended_action",
+    "technology_relationship",
+)
 
 
 def as_chunks(df: DataFrame, kind: str, **given: Column) -> DataFrame:
@@ -92,7 +106,9 @@ def windows(segments: DataFrame, key: str, order: str, text: str, start: str, wi
     from pyspark.sql.pandas.types import to_arrow_type
 
     arrow = pa.schema([(key, to_arrow_type(segments.schema[key].dataType)), ("chunk_index", pa.int32()), ("start_time", pa.float64()), ("text", pa.string())])
-    laid = segments.where(F.col(key).isNotNull()).select(key, F.col(start).cast("double").alias("__start"), F.col(text).alias("__text"), F.col(order).alias("__order"))
+    laid = segments.where(F.col(key).isNotNull()).select(
+        key, F.col(start).cast("double").alias("__start"), F.col(text).alias("__text"), F.col(order).alias("__order")
+    )
     laid = laid.repartition(key).sortWithinPartitions(key, "__order").drop("__order")
     return laid.mapInArrow(fold, f"`{key}` {kind}, chunk_index int, start_time double, text string")
 
@@ -106,7 +122,18 @@ def transcript_chunks(sessions: DataFrame, transcripts: DataFrame) -> DataFrame:
     segments = transcripts.select("video_id", F.posexplode("segments").alias("i", "s")).select("video_id", "i", "s.start", "s.text")
     got = windows(segments, "video_id", "i", "text", "start").join(s, "video_id")
     v, i = F.col("video_id"), F.col("chunk_index")
-    return as_chunks(got, "transcript_segment", id=F.concat(F.lit("transcript_segment:"), v, F.lit(":"), i.cast("string")), text=F.col("text"), video_id=v, source_file=F.concat(F.lit("transcripts/"), v, F.lit(".json")), chunk_index=i, start_time=F.col("start_time"), _pos=F.col("_pos"), **base())
+    return as_chunks(
+        got,
+        "transcript_segment",
+        id=F.concat(F.lit("transcript_segment:"), v, F.lit(":"), i.cast("string")),
+        text=F.col("text"),
+        video_id=v,
+        source_file=F.concat(F.lit("transcripts/"), v, F.lit(".json")),
+        chunk_index=i,
+        start_time=F.col("start_time"),
+        _pos=F.col("_pos"),
+        **base(),
+    )
 
 
 def slide_groups(slides: DataFrame, key: str, pos: str, ts: str, text: Column, n: int = SLIDES) -> DataFrame:
@@ -126,10 +153,23 @@ def slide_chunks(sessions: DataFrame, slides: DataFrame) -> DataFrame:
     from talkloom.functions.time import clock
 
     s = sessions.where(filled("video_id") != "").select("video_id", "title", "speakers", "track", "_pos")
-    rows = slides.select("video_id", F.posexplode("slides").alias("i", "s")).select("video_id", "i", clock(F.col("s.timestamp_sec")).alias("ts"), "s.text", "s.description")
+    rows = slides.select("video_id", F.posexplode("slides").alias("i", "s")).select(
+        "video_id", "i", clock(F.col("s.timestamp_sec")).alias("ts"), "s.text", "s.description"
+    )
     got = slide_groups(rows, "video_id", "i", "ts", slide_text()).join(s, "video_id")
     v, i = F.col("video_id"), F.col("chunk_index")
-    return as_chunks(got, "slide_content", id=F.concat(F.lit("slide_content:"), v, F.lit(":"), i.cast("string")), text=F.col("text"), video_id=v, source_file=F.concat(F.lit("slides/"), v, F.lit(".json")), chunk_index=i, start_time=F.col("start_time"), _pos=F.col("_pos"), **base())
+    return as_chunks(
+        got,
+        "slide_content",
+        id=F.concat(F.lit("slide_content:"), v, F.lit(":"), i.cast("string")),
+        text=F.col("text"),
+        video_id=v,
+        source_file=F.concat(F.lit("slides/"), v, F.lit(".json")),
+        chunk_index=i,
+        start_time=F.col("start_time"),
+        _pos=F.col("_pos"),
+        **base(),
+    )
 
 
 def _id(kind: str, what: Column, n: Column | str = "0") -> Column:
@@ -139,7 +179,15 @@ def _id(kind: str, what: Column, n: Column | str = "0") -> Column:
 def abstract_chunks(sessions: DataFrame) -> DataFrame:
     text = strip("abstract")
     rows = sessions.where(text != "")
-    return as_chunks(rows, "talk_abstract", id=_id("talk_abstract", safe_id("title")), text=F.concat(filled("title"), F.lit("\n\n"), text), source_file=F.lit("schedule_clean.json"), _pos=F.col("_pos"), **base())
+    return as_chunks(
+        rows,
+        "talk_abstract",
+        id=_id("talk_abstract", safe_id("title")),
+        text=F.concat(filled("title"), F.lit("\n\n"), text),
+        source_file=F.lit("schedule_clean.json"),
+        _pos=F.col("_pos"),
+        **base(),
+    )
 
 
 def talk_chunks(talks: DataFrame) -> DataFrame:
@@ -149,7 +197,12 @@ def talk_chunks(talks: DataFrame) -> DataFrame:
     common = {"talk_title": title, "source_file": F.lit("analysis_talks.json"), "_pos": F.col("_pos")}
     make = lambda rows, kind, text: as_chunks(rows, kind, id=_id(kind, safe_id("title")), text=text, **common)
     headed = lambda head: F.concat(title, F.lit(f" — {head}"))
-    signals = lines(headed("Signals & Tools"), when_any("Problems: ", "problems_discussed", "; "), when_any("Tools & Projects: ", "tools_and_projects", "; "), when_any("Emerging Signals: ", "emerging_signals", "; "))
+    signals = lines(
+        headed("Signals & Tools"),
+        when_any("Problems: ", "problems_discussed", "; "),
+        when_any("Tools & Projects: ", "tools_and_projects", "; "),
+        when_any("Emerging Signals: ", "emerging_signals", "; "),
+    )
     parts = [
         make(talks.where(filled("summary") != ""), "talk_summary", lines(title, F.col("summary"))),
         make(talks.where(some("key_takeaways")), "talk_takeaways", lines(headed("Key Takeaways"), bullets("key_takeaways"))),
@@ -161,19 +214,54 @@ def talk_chunks(talks: DataFrame) -> DataFrame:
 
 def cluster_chunks(ranking: DataFrame) -> DataFrame:
     rows = ranking.where(filled("summary") != "")
-    text = lines(F.concat(F.lit("Cluster: "), filled("name")), F.col("summary"), when_filled("Relevance: ", "relevance_argument"), when_any("Recommended talks: ", "recommended_talks", ", "))
-    return as_chunks(rows, "cluster_summary", id=_id("cluster_summary", safe_id("name")), text=text, talk_title=filled("name"), source_file=F.lit("analysis_ranking.json"), extra=F.create_map(F.lit("relevance_score"), filled(F.col("relevance_score").cast("string"))), _pos=F.col("rank"))
+    text = lines(
+        F.concat(F.lit("Cluster: "), filled("name")),
+        F.col("summary"),
+        when_filled("Relevance: ", "relevance_argument"),
+        when_any("Recommended talks: ", "recommended_talks", ", "),
+    )
+    return as_chunks(
+        rows,
+        "cluster_summary",
+        id=_id("cluster_summary", safe_id("name")),
+        text=text,
+        talk_title=filled("name"),
+        source_file=F.lit("analysis_ranking.json"),
+        extra=F.create_map(F.lit("relevance_score"), filled(F.col("relevance_score").cast("string"))),
+        _pos=F.col("rank"),
+    )
 
 
 def narrative_chunks(agenda: DataFrame, recordings: DataFrame) -> DataFrame:
     def story(df: DataFrame, name: str, head: str, file: str, pos: int) -> DataFrame:
         text = F.concat(F.lit(f"Conference {head} Narrative\n\n"), F.col("narrative"))
-        return as_chunks(df.where(filled("narrative") != ""), "conference_narrative", id=F.lit(f"conference_narrative:{name}:0"), text=text, source_file=F.lit(file), _pos=F.lit(pos))
+        return as_chunks(
+            df.where(filled("narrative") != ""),
+            "conference_narrative",
+            id=F.lit(f"conference_narrative:{name}:0"),
+            text=text,
+            source_file=F.lit(file),
+            _pos=F.lit(pos),
+        )
 
     themes = recordings.select(F.posexplode("cross_cutting_themes").alias("i", "t")).where(filled("t.description") != "")
-    text = lines(F.concat(F.lit("Cross-cutting Theme: "), filled("t.theme")), F.col("t.description"), when_any("Supporting talks: ", F.col("t.supporting_talks"), ", "))
-    every = as_chunks(themes, "conference_narrative", id=F.concat(F.lit("conference_narrative:theme:"), F.col("i").cast("string")), text=text, talk_title=filled("t.theme"), source_file=F.lit("analysis_recordings.json"), _pos=F.col("i") + 2)
-    return story(agenda, "agenda", "Agenda", "analysis_agenda.json", 0).unionByName(story(recordings, "recordings", "Recordings", "analysis_recordings.json", 1)).unionByName(every)
+    text = lines(
+        F.concat(F.lit("Cross-cutting Theme: "), filled("t.theme")),
+        F.col("t.description"),
+        when_any("Supporting talks: ", F.col("t.supporting_talks"), ", "),
+    )
+    every = as_chunks(
+        themes,
+        "conference_narrative",
+        id=F.concat(F.lit("conference_narrative:theme:"), F.col("i").cast("string")),
+        text=text,
+        talk_title=filled("t.theme"),
+        source_file=F.lit("analysis_recordings.json"),
+        _pos=F.col("i") + 2,
+    )
+    return story(agenda, "agenda", "Agenda", "analysis_agenda.json", 0).unionByName(
+        story(recordings, "recordings", "Recordings", "analysis_recordings.json", 1)
+    ).unionByName(every)
 
 
 def signal_chunks(recordings: DataFrame) -> DataFrame:
@@ -190,21 +278,40 @@ def signal_chunks(recordings: DataFrame) -> DataFrame:
         each("maturity_landscape").where(x("technology") != ""),
         "maturity_assessment",
         id=_id("maturity_assessment", safe_id("x.technology"), i),
-        text=lines(say("Technology Maturity: ", x("technology")), say("Ring: ", ring), say("Evidence quality: ", or_("evidence_quality", "anecdotal")), when_filled("Rationale: ", "x.rationale"), when_any("Supporting talks: ", F.col("x.supporting_talks"), ", ")),
+        text=lines(
+            say("Technology Maturity: ", x("technology")),
+            say("Ring: ", ring),
+            say("Evidence quality: ", or_("evidence_quality", "anecdotal")),
+            when_filled("Rationale: ", "x.rationale"),
+            when_any("Supporting talks: ", F.col("x.supporting_talks"), ", "),
+        ),
         talk_title=x("technology"), source_file=file, extra=F.create_map(F.lit("ring"), ring), _pos=i,
     )
     tension = as_chunks(
         each("tensions").where(x("topic") != ""),
         "tension",
         id=_id("tension", safe_id("x.topic"), i),
-        text=lines(say("Tension: ", x("topic")), say("Side A: ", x("side_a.position")), say("Supporting talks (A): ", talks("x.side_a.supporting_talks")), say("Side B: ", x("side_b.position")), say("Supporting talks (B): ", talks("x.side_b.supporting_talks")), say("Severity: ", severity), when_filled("Implication: ", "x.implication")),
+        text=lines(
+            say("Tension: ", x("topic")),
+            say("Side A: ", x("side_a.position")),
+            say("Supporting talks (A): ", talks("x.side_a.supporting_talks")),
+            say("Side B: ", x("side_b.position")),
+            say("Supporting talks (B): ", talks("x.side_b.supporting_talks")),
+            say("Severity: ", severity),
+            when_filled("Implication: ", "x.implication"),
+        ),
         talk_title=x("topic"), source_file=file, extra=F.create_map(F.lit("severity"), severity), _pos=i,
     )
     action = as_chunks(
         each("recommended_actions").where(x("action") != ""),
         "recommended_action",
         id=_id("recommended_action", safe_id("x.action"), i),
-        text=lines(say("Recommended Action: ", x("action")), say("Category: ", category), say("Urgency: ", urgency), when_filled("Evidence: ", "x.supporting_evidence")),
+        text=lines(
+            say("Recommended Action: ", x("action")),
+            say("Category: ", category),
+            say("Urgency: ", urgency),
+            when_filled("Evidence: ", "x.supporting_evidence"),
+        ),
         talk_title=F.substring(x("action"), 1, 80), source_file=file, extra=F.create_map(F.lit("category"), category, F.lit("urgency"), urgency), _pos=i,
     )
     named = F.concat_ws(" ", x("entity_a"), x("relation"), x("entity_b"))

@@ -6,6 +6,7 @@ from difflib import SequenceMatcher
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -74,40 +75,75 @@ def common_bounds(a: list[str], b: list[str]) -> np.ndarray:
     return out
 
 
-def _ratio_above(threshold: float):
-    @F.pandas_udf(T.DoubleType())
-    def ratios(a: pd.Series, b: pd.Series) -> pd.Series:
-        a, b = a.tolist(), b.tolist()
-        out = np.full(len(a), np.nan)
-        # Matching blocks are a common subsequence, so its length bounds the ratio from above.
-        both = np.array([len(x) + len(y) for x, y in zip(a, b)])
-        for i in np.flatnonzero(2 * common_bounds(a, b) > threshold * both):
-            out[i] = SequenceMatcher(None, a[i], b[i]).ratio()
-        return pd.Series(out)
+#: Titles, characters and pairs that one cell of the grid of similar_pairs() holds at most, but for one title alone.
+TITLES, CHARS, PAIRS = 4096, 1 << 22, 50_000
 
-    # Marked so that the filter on the score is not pushed below it, which would compute every ratio twice.
-    return ratios.asNondeterministic()
+
+def _histograms(texts: list[str]) -> np.ndarray:
+    """Counts of each text's characters, taken as one where they agree in their low six bits."""
+    out = np.zeros((len(texts), 64), np.int32)
+    for i, x in enumerate(texts):
+        out[i] = np.bincount(np.frombuffer(x.encode("utf-32-le"), np.uint32) & 63, minlength=64)
+    return out
+
+
+def above(a: list[str], b: list[str], threshold: float) -> list[tuple[int, int, float]]:
+    """(place in a, place in b, ratio) of all pairs above the threshold.
+
+    Matching blocks are a common subsequence: no pair can have more of them than characters in common, nor than its longest
+    common subsequence. Both bounds are taken for whole batches; ratios of what is left only.
+    """
+    of_a, of_b, out = _histograms(a), _histograms(b), []
+    lengths = np.array([len(x) for x in b])
+    for i, x in enumerate(a):
+        both = lengths + len(x)
+        near = np.flatnonzero(2 * np.minimum(of_b, of_a[i]).sum(axis=1) > threshold * both)
+        if len(near):
+            near = near[2 * common_bounds([x] * len(near), [b[j] for j in near]) > threshold * both[near]]
+        for j in near:
+            if (score := SequenceMatcher(None, x, b[j]).ratio()) > threshold:
+                out.append((i, int(j), score))
+    return out
 
 
 def similar_pairs(left: DataFrame, right: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(left_id, right_id, score) of all pairs of titles above the threshold; columns id and title on both sides.
 
-    A pair above the threshold t has a common subsequence of at least t/2 * (la + lb) characters, so its lengths and that
-    subsequence must allow it. Pairs meet by an equi-join on length classes, not by a product of the tables: lengths of
-    such a pair differ by at most the factor (2 - t) / t. Python bounds whole batches and takes the ratio of what is left.
+    Equal titles are one until the end. Lengths of a pair above the threshold t differ by at most the factor (2 - t) / t, so
+    titles meet in classes of length, and within a class in a grid of cells: slices of one side with slices of the other.
+    Texts are dealt out once for each cell; pairs never move, only what is above the threshold does.
     """
     step = F.log(F.lit((2 - threshold) / threshold))
-    side = lambda df, name: df.select(F.col("id").alias(f"{name}_id"), F.lower("title").alias(name)).where(f"{name} <> ''")
-    a = side(left, "a").withColumn("class", F.floor(F.log(F.length("a")) / step))
-    near = F.floor(F.log(F.length("b")) / step)
-    b = side(right, "b").withColumn("class", F.explode(F.array(near - 1, near, near + 1)))
-    both = F.length("a") + F.length("b")
-    pairs = a.join(b, "class").where(2 * F.least(F.length("a"), F.length("b")) > threshold * both).select("a_id", "b_id", "a", "b")
-    # Most titles have about one length: without this the pairs, which cost by far the most, stay with a few classes.
-    tasks = max(int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")), left.sparkSession.sparkContext.defaultParallelism)
-    pairs = pairs.repartition(tasks).withColumn("score", _ratio_above(threshold)("a", "b"))
-    pairs = pairs.where((F.col("score") > threshold) & ~F.isnan("score"))
-    return pairs.select(F.col("a_id").alias("left_id"), F.col("b_id").alias("right_id"), "score")
+
+    def side(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+        rows = df.select("id", F.lower("title").alias("text")).where("text <> ''").withColumn("key", F.md5("text"))
+        return rows.select("id", "key"), rows.groupBy("key").agg(F.first("text").alias("text"))
+
+    left_ids, a = side(left)
+    right_ids, b = side(right)
+    a = a.withColumn("class", F.floor(F.log(F.length("text")) / step))
+    near = F.floor(F.log(F.length("text")) / step)
+    b = b.withColumn("class", F.explode(F.array(near - 1, near, near + 1)))
+    size = lambda df, x: df.groupBy("class").agg(F.count("*").alias(f"n_{x}"), F.sum(F.length("text")).alias(f"c_{x}"))
+    rows = lambda x: F.greatest(F.ceil(F.col(f"n_{x}") / TITLES), F.ceil(F.col(f"c_{x}") / CHARS))
+    # One row for each class: their number is the logarithm of the longest title.
+    grid = size(a, "a").join(size(b, "b"), "class").withColumn("k_a", rows("a").cast("int"))
+    grid = grid.withColumn("k_b", F.greatest(rows("b"), F.ceil(F.col("n_a") / F.col("k_a") * F.col("n_b") / PAIRS)).cast("int"))
+    grid = F.broadcast(grid.select("class", "k_a", "k_b"))
+    slice_of = lambda k: F.pmod(F.xxhash64("key"), F.col(k)).cast("int")
+    across = lambda k: F.explode(F.sequence(F.lit(0), F.col(k) - 1))
+    cells_a = a.join(grid, "class").withColumn("i", slice_of("k_a")).withColumn("j", across("k_b")).select("class", "i", "j", "key", "text")
+    cells_b = b.join(grid, "class").withColumn("j", slice_of("k_b")).withColumn("i", across("k_a")).select("class", "i", "j", "key", "text")
+
+    def cell(x: pa.Table, y: pa.Table) -> pa.Table:
+        found = above(x.column("text").to_pylist(), y.column("text").to_pylist(), threshold)
+        at = [pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)]
+        return pa.table([x.column("key").take(at[0]), y.column("key").take(at[1]), pa.array([f[2] for f in found], pa.float64())], names=["a", "b", "score"])
+
+    cells = cells_a.groupBy("class", "i", "j").cogroup(cells_b.groupBy("class", "i", "j"))
+    pairs = cells.applyInArrow(cell, "a string, b string, score double")
+    pairs = pairs.join(left_ids.select(F.col("id").alias("left_id"), F.col("key").alias("a")), "a")
+    return pairs.join(right_ids.select(F.col("id").alias("right_id"), F.col("key").alias("b")), "b").select("left_id", "right_id", "score")
 
 
 def assign(candidates: DataFrame, left_pos: str = "left_id", right_pos: str = "right_id") -> DataFrame:
@@ -120,7 +156,9 @@ def assign(candidates: DataFrame, left_pos: str = "left_id", right_pos: str = "r
     from talkloom.sources.artifacts import checkpointed
 
     candidates = checkpointed(candidates)  # used twice below, and costly
-    tagged = candidates.withColumn("l", F.concat(F.lit("l"), F.col("left_id").cast("string"))).withColumn("r", F.concat(F.lit("r"), F.col("right_id").cast("string")))
+    tagged = candidates.withColumn("l", F.concat(F.lit("l"), F.col("left_id").cast("string"))).withColumn(
+        "r", F.concat(F.lit("r"), F.col("right_id").cast("string"))
+    )
     member = components(tagged, "l", "r")
     grouped = tagged.join(member, F.col("l") == F.col("node")).select("root", "left_id", "right_id", "score")
 
@@ -149,11 +187,15 @@ def match_recordings(sessions: DataFrame, recordings: DataFrame, shortest: float
 
     d = F.coalesce(F.col("duration_sec"), F.lit(0.0))
     usable = recordings.where(~((d > 0) & (d < shortest)))
-    pairs = assign(similar_pairs(usable.select(F.col("video_id").alias("id"), filled("title").alias("title")), sessions.select(F.col("_pos").alias("id"), "title")))
+    pairs = assign(
+        similar_pairs(usable.select(F.col("video_id").alias("id"), filled("title").alias("title")), sessions.select(F.col("_pos").alias("id"), "title"))
+    )
     pairs = pairs.select(F.col("left_id").alias("video_id"), F.col("right_id").alias("_pos"))
     got = usable.select("video_id", F.col("full_text").alias("transcript"), "duration_sec")
     matched = sessions.join(pairs, "_pos", "left").join(got, "video_id", "left")
-    unmatched = usable.join(pairs, "video_id", "left_anti").select("video_id", filled("title").alias("title"), F.col("full_text").alias("transcript"), "duration_sec")
+    unmatched = usable.join(pairs, "video_id", "left_anti").select(
+        "video_id", filled("title").alias("title"), F.col("full_text").alias("transcript"), "duration_sec"
+    )
     return with_recordings(matched, unmatched)
 
 

@@ -36,7 +36,9 @@ def appendix(talks: DataFrame, ranking: DataFrame, agenda: DataFrame, outline: D
     talk of every cluster, with details only in deep-dive clusters. none: no row. talks have title and _pos.
     """
     if strategy == "by_cluster":
-        rows = agenda.select(F.posexplode("clusters").alias("i", "c")).select("i", F.col("c.name").alias("cluster"), F.posexplode("c.talks").alias("j", "wanted"))
+        rows = agenda.select(F.posexplode("clusters").alias("i", "c")).select(
+            "i", F.col("c.name").alias("cluster"), F.posexplode("c.talks").alias("j", "wanted")
+        )
     else:
         rows = ranking.select(F.col("rank").alias("i"), F.col("name").alias("cluster"), F.posexplode("recommended_talks").alias("j", "wanted"))
         rows = keep_first(rows, F.col("wanted"), F.col("i"), F.col("j")) if strategy == "top_talks_only" else rows.limit(0)
@@ -47,7 +49,9 @@ def appendix(talks: DataFrame, ranking: DataFrame, agenda: DataFrame, outline: D
     if strategy == "by_cluster":
         deep = F.array().cast("array<string>") if outline is None else None
         if outline is not None:
-            names = outline.select(F.explode("sections").alias("s")).where("s.section_type = 'cluster_deep_dive'").select(F.col("s.cluster_name").alias("cluster")).distinct()
+            names = outline.select(F.explode("sections").alias("s")).where("s.section_type = 'cluster_deep_dive'").select(
+                F.col("s.cluster_name").alias("cluster")
+            ).distinct()
             found = found.join(names.withColumn("deep", F.lit(True)), "cluster", "left")
         else:
             found = found.withColumn("deep", F.size(deep) > 0)
@@ -56,12 +60,18 @@ def appendix(talks: DataFrame, ranking: DataFrame, agenda: DataFrame, outline: D
         found, full = found.where("resolved is not null"), F.lit(True)
     empty = {"key_takeaways": F.array().cast("array<string>"), "tools_and_projects": F.array().cast("array<string>")}
     cols = [F.when(full, F.col(c)).otherwise(empty.get(c, F.lit(""))).alias(c) for c in DETAIL]
-    return found.select(F.struct("i", "j").alias("pos"), F.when(full, F.col("resolved")).otherwise(F.col("wanted")).alias("title"), "cluster", *cols).orderBy("pos")
+    return found.select(
+        F.struct("i", "j").alias("pos"), F.when(full, F.col("resolved")).otherwise(F.col("wanted")).alias("title"), "cluster", *cols
+    ).orderBy("pos")
 
 
 def in_order(sections: DataFrame, specs: DataFrame) -> DataFrame:
     """Sections by the outline's priority (99 where it has none), then position; specs: section_id, priority, section_type."""
-    s = specs.groupBy("section_id").agg(F.min("priority").alias("priority"), F.first("section_type", ignorenulls=True).alias("section_type"), F.first("cluster_name", ignorenulls=True).alias("cluster_name"))
+    s = specs.groupBy("section_id").agg(
+        F.min("priority").alias("priority"),
+        F.first("section_type", ignorenulls=True).alias("section_type"),
+        F.first("cluster_name", ignorenulls=True).alias("cluster_name"),
+    )
     return sections.join(s, "section_id", "left").withColumn("priority", F.coalesce("priority", F.lit(99))).orderBy("priority", "_pos")
 
 
@@ -72,7 +82,14 @@ def thin_briefs(sections: DataFrame) -> Column:
 
 def enrichment_split(sections: DataFrame, most_quotes: int = 3) -> tuple[DataFrame, DataFrame]:
     """Deep dives with the citations to quote (at most most_quotes), and the sections that pass through."""
-    asks = F.slice(F.filter(F.coalesce("citations", F.array().cast("array<struct<talk_title:string,claim:string,needs_quote:boolean>>")), lambda c: F.coalesce(c["needs_quote"], F.lit(False))), 1, most_quotes)
+    asks = F.slice(
+        F.filter(
+            F.coalesce("citations", F.array().cast("array<struct<talk_title:string,claim:string,needs_quote:boolean>>")),
+            lambda c: F.coalesce(c["needs_quote"], F.lit(False)),
+        ),
+        1,
+        most_quotes,
+    )
     marked = sections.withColumn("to_quote", asks).withColumn("__deep", (F.col("section_type") == "cluster_deep_dive") & (F.size("to_quote") > 0))
     marked = marked.withColumn("__deep", F.coalesce("__deep", F.lit(False)))
     return marked.where("__deep").drop("__deep"), marked.where("not __deep").drop("__deep", "to_quote")
@@ -97,7 +114,9 @@ def cluster_relevance(ranking: DataFrame) -> DataFrame:
 
 def maturity_strip(clusters: DataFrame, recordings: DataFrame) -> DataFrame:
     """(technology, ring, evidence_quality): the best evidence over clusters, or the global list (its last word) if they have none."""
-    each = clusters.select("_pos", "cluster_name", F.posexplode("maturity_landscape").alias("i", "m")).select(F.struct("_pos", "i").alias("pos"), F.col("cluster_name").alias("source_cluster"), "m.*")
+    each = clusters.select("_pos", "cluster_name", F.posexplode("maturity_landscape").alias("i", "m")).select(
+        F.struct("_pos", "i").alias("pos"), F.col("cluster_name").alias("source_cluster"), "m.*"
+    )
     best = best_evidence(each).select("technology", "ring", "evidence_quality", "source_cluster")
     last = recordings.select(F.posexplode("maturity_landscape").alias("i", "m")).select("i", "m.*").where(filled("technology") != "")
     last = last.groupBy("technology").agg(F.max_by("ring", "i").alias("ring"), F.max_by("evidence_quality", "i").alias("evidence_quality"))

@@ -11,7 +11,9 @@ from talkloom.functions.text import context_block
 from talkloom.functions.vector import cosine_distance
 
 
-def where_metadata(chunks: DataFrame, types: list[str] | None = None, track: str | None = None, type_col: str = "chunk_type", track_col: str = "track") -> DataFrame:
+def where_metadata(
+    chunks: DataFrame, types: list[str] | None = None, track: str | None = None, type_col: str = "chunk_type", track_col: str = "track"
+) -> DataFrame:
     """Both conditions reach the scan. A chunk without a track matches no track."""
     if types:
         chunks = chunks.where(F.col(type_col).isin(types))
@@ -43,7 +45,15 @@ def _unit(vectors: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     return np.array([i for i, _ in found]), rows / np.where(length > 0, length, 1)[:, None]
 
 
-def nearest_each(claims: DataFrame, chunks: DataFrame, k: int, claim_id: str = "claim_id", claim_vector: str = "claim_embedding", vector: str = "embedding", id_col: str = "id") -> DataFrame:
+def nearest_each(
+    claims: DataFrame,
+    chunks: DataFrame,
+    k: int,
+    claim_id: str = "claim_id",
+    claim_vector: str = "claim_embedding",
+    vector: str = "embedding",
+    id_col: str = "id",
+) -> DataFrame:
     """The claim's and the chunk's columns, distance and nth: the k nearest chunks of every claim, ties by id.
 
     Blocks of claims meet slices of chunks in a grid of cells. A cell is one matrix product and gives at most k chunks for

@@ -51,7 +51,10 @@ def normalize(sessions: DataFrame) -> DataFrame:
     """Clean the text fields and the speakers; time and tags stay as they are."""
     # No Python function may stand in a transform: the speakers' strings are cleaned as two plain arrays.
     of = lambda field: clean_each(F.transform("speakers", lambda s: s[field]))
-    each = F.transform(F.arrays_zip(of("name").alias("name"), of("company").alias("company")), lambda s: F.struct(s["name"].alias("name"), s["company"].alias("company")))
+    each = F.transform(
+        F.arrays_zip(of("name").alias("name"), of("company").alias("company")),
+        lambda s: F.struct(s["name"].alias("name"), s["company"].alias("company")),
+    )
     return sessions.withColumns({c: clean(c) for c in ("title", "abstract", "track", "format")} | {"speakers": each.cast(SPEAKERS)})
 
 

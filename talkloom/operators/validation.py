@@ -70,7 +70,9 @@ def fabricated_citations(sections: DataFrame, titles: DataFrame) -> DataFrame:
     real = titles.select(fold("title").alias("t")).where("t <> ''").distinct()
     open_ = ask.join(real, F.col("w") == F.col("t"), "left_anti")
     n = F.least(F.lit(6), F.length("p"))
-    heads = real.select("t", F.explode(F.sequence(F.lit(0), F.least(F.lit(6), F.length("t")))).alias("hn")).withColumn("head", F.substring("t", F.lit(1), F.col("hn")))
+    heads = real.select(
+        "t", F.explode(F.sequence(F.lit(0), F.least(F.lit(6), F.length("t")))).alias("hn")
+    ).withColumn("head", F.substring("t", F.lit(1), F.col("hn")))
     open_ = open_.withColumn("n", n).withColumn("own", F.substring("p", F.lit(1), F.col("n")))
     fake = open_.join(heads, (F.col("n") == F.col("hn")) & (F.col("own") == F.col("head")) & F.startswith("t", "p"), "left_anti")
     return cited.join(fake.select("cited"), "cited", "left_semi").select("section_id", "cited")
@@ -81,7 +83,11 @@ def warnings(sections: DataFrame, people: DataFrame, grounded: DataFrame, titles
     say = lambda df, kind, message: df.select("section_id", F.lit(kind).alias("kind"), message.alias("message"))
     parts = [
         say(unknown_speakers(sections, people), KINDS[0], F.concat(F.lit('Unknown speaker: "'), F.col("name"), F.lit('" — not in schedule_clean.json'))),
-        say(ungrounded_metrics(sections, grounded), KINDS[1], F.concat(F.lit("Ungrounded metric: "), F.col("percentage"), F.lit(" — not found in analysis_talks.json"))),
+        say(
+            ungrounded_metrics(sections, grounded),
+            KINDS[1],
+            F.concat(F.lit("Ungrounded metric: "), F.col("percentage"), F.lit(" — not found in analysis_talks.json")),
+        ),
         say(artifacts(sections), KINDS[2], F.concat(F.lit("Template artifact: "), F.col("artifact"))),
         say(fabricated_citations(sections, titles), KINDS[3], F.concat(F.lit('Fabricated citation: "'), F.substring("cited", 1, 60), F.lit('..."'))),
     ]

@@ -32,10 +32,17 @@ def bars(title: str, data: list[tuple[str, float]], path: str, marks: tuple[tupl
     body = []
     for i, (label, v) in enumerate(data):
         y = 44 + 24 * i
-        body += [_text(230, y + 13, str(label)[:36], "end"), _rect(240, y, 460 * max(0.0, v) / most, COLOURS[0]), _text(246 + 460 * max(0.0, v) / most, y + 13, f"{v:g}")]
+        body += [
+            _text(230, y + 13, str(label)[:36], "end"),
+            _rect(240, y, 460 * max(0.0, v) / most, COLOURS[0]),
+            _text(246 + 460 * max(0.0, v) / most, y + 13, f"{v:g}"),
+        ]
     for label, v in marks:
         x = 240 + 460 * v / most
-        body += [f'<line x1="{x:.1f}" y1="38" x2="{x:.1f}" y2="{44 + 24 * len(data)}" stroke="#888" stroke-dasharray="4"/>', _text(x, 36, f"{label} {v:g}", "middle", 10, "#666")]
+        body += [
+            f'<line x1="{x:.1f}" y1="38" x2="{x:.1f}" y2="{44 + 24 * len(data)}" stroke="#888" stroke-dasharray="4"/>',
+            _text(x, 36, f"{label} {v:g}", "middle", 10, "#666"),
+        ]
     _write(path, 760, 60 + 24 * len(data), title, body)
 
 
@@ -50,7 +57,9 @@ def pie(title: str, data: list[tuple[str, float]], path: str) -> None:
             body.append(f'<circle cx="180" cy="210" r="150" fill="{colour}"/>')
         elif share > 0:
             ends = (180 + 150 * cos(a), 210 + 150 * sin(a), 180 + 150 * cos(b), 210 + 150 * sin(b))
-            body.append(f'<path d="M180,210 L{ends[0]:.1f},{ends[1]:.1f} A150,150 0 {int(share > 0.5)} 1 {ends[2]:.1f},{ends[3]:.1f} Z" fill="{colour}" stroke="white"/>')
+            body.append(
+                f'<path d="M180,210 L{ends[0]:.1f},{ends[1]:.1f} A150,150 0 {int(share > 0.5)} 1 {ends[2]:.1f},{ends[3]:.1f} Z" fill="{colour}" stroke="white"/>'
+            )
         y = 50 + 22 * i
         body += [_rect(380, y, 18, colour), _text(406, y + 13, f"{str(label)[:40]} ({v:g}, {share * 100:.0f}%)")]
     _write(path, 760, max(390, 70 + 22 * len(data)), title, body)

@@ -33,7 +33,13 @@ def _facts(rows: DataFrame, kind: str, facts: Column, told: Column, cites: Colum
     """kind, cluster_name, facts (JSON), told (prose from the facts), cites."""
     cluster = F.lit("") if cluster is None else cluster
     cites = F.array().cast(CITATIONS) if cites is None else cites.cast(CITATIONS)
-    return rows.select(F.lit(kind).alias("kind"), filled(cluster).alias("cluster_name"), facts.alias("facts"), filled(told).alias("told"), F.coalesce(cites, F.array().cast(CITATIONS)).alias("cites"))
+    return rows.select(
+        F.lit(kind).alias("kind"),
+        filled(cluster).alias("cluster_name"),
+        facts.alias("facts"),
+        filled(told).alias("told"),
+        F.coalesce(cites, F.array().cast(CITATIONS)).alias("cites"),
+    )
 
 
 def _sentences(*parts: Column) -> Column:
@@ -53,7 +59,13 @@ def _deep_dives(agenda: DataFrame, talks: DataFrame, clusters: DataFrame) -> Dat
     cites = F.transform("t", lambda r: F.struct(r["title"].alias("talk_title"), r["claim"].alias("claim"), F.lit(True).alias("needs_quote")))
     first = keep_first(clusters, F.col("cluster_name"), F.col("_pos"))
     rows = first.join(payload, F.col("cluster_name") == F.col("cluster")).join(each, "cluster")
-    facts = F.to_json(F.struct(F.struct(*(c for c in clusters.columns if c != "_pos")).alias("synthesis"), F.col("payload").alias("talks"), F.transform("t", lambda r: r["title"]).alias("available_titles")))
+    facts = F.to_json(
+        F.struct(
+            F.struct(*(c for c in clusters.columns if c != "_pos")).alias("synthesis"),
+            F.col("payload").alias("talks"),
+            F.transform("t", lambda r: r["title"]).alias("available_titles"),
+        )
+    )
     return _facts(rows, "cluster_deep_dive", facts, _sentences(filled("narrative"), told), cites, F.col("cluster_name"))
 
 
@@ -64,19 +76,31 @@ def _briefs(ranking: DataFrame, clusters: DataFrame) -> DataFrame:
     talks = F.coalesce("recommended_talks", F.array().cast("array<string>"))
     recommended = F.when(F.size(talks) > 0, F.concat(F.lit("Recommended: "), F.array_join(talks, ", "), F.lit("."))).otherwise("")
     facts = F.to_json(F.struct("narrative", "cross_cutting_themes", talks.alias("recommended_talks")))
-    return _facts(rows, "cluster_brief", facts, _sentences(filled("narrative"), recommended), _cites(talks, filled("relevance_argument"), False), F.col("cluster_name"))
+    return _facts(
+        rows,
+        "cluster_brief",
+        facts,
+        _sentences(filled("narrative"), recommended),
+        _cites(talks, filled("relevance_argument"), False),
+        F.col("cluster_name"),
+    )
 
 
 def _landscape(agenda: DataFrame, talks: DataFrame) -> DataFrame:
     """Narrative, keywords, tracks, the companies most present, and how many talks and clusters there are."""
     companies = aggregates.recount(agenda.select(F.explode("company_presence").alias("company", "n")), "company", most=COMPANIES)
-    top = companies.agg(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("o"), "company"))).alias("x")).select(F.transform("x", lambda r: F.struct(r["company"].alias("company"), (-r["o"]).alias("n"))).alias("companies"))
+    top = companies.agg(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("o"), "company"))).alias("x")).select(
+        F.transform("x", lambda r: F.struct(r["company"].alias("company"), (-r["o"]).alias("n"))).alias("companies")
+    )
     rows = agenda.limit(1).join(top, F.lit(True)).join(talks.agg(F.count("*").alias("n_talks")), F.lit(True))
     keywords = F.slice(F.coalesce("top_keywords", F.array().cast("array<string>")), 1, KEYWORDS)
     facts = F.to_json(F.struct("narrative", keywords.alias("keywords"), "track_distribution", "companies", "n_talks", F.size("clusters").alias("n_clusters")))
     counted = F.concat(F.col("n_talks").cast("string"), F.lit(" talks fall into "), F.size("clusters").cast("string"), F.lit(" clusters."))
     said = F.when(F.size(keywords) > 0, F.concat(F.lit("Most was said about "), F.array_join(keywords, ", "), F.lit("."))).otherwise("")
-    present = F.when(F.size("companies") > 0, F.concat(F.lit("Most present were "), F.array_join(F.transform("companies", lambda r: r["company"]), ", "), F.lit("."))).otherwise("")
+    present = F.when(
+        F.size("companies") > 0,
+        F.concat(F.lit("Most present were "), F.array_join(F.transform("companies", lambda r: r["company"]), ", "), F.lit(".")),
+    ).otherwise("")
     return _facts(rows, "landscape", facts, _sentences(filled("narrative"), counted, said, present))
 
 
@@ -91,8 +115,16 @@ def _listed(recordings: DataFrame, kind: str, column: str, line, titles) -> Data
 def _maturity(clusters: DataFrame, recordings: DataFrame) -> DataFrame:
     """Of each technology the entry of best evidence, in order of ring."""
     best = reports.maturity_strip(clusters, recordings)
-    packed = F.array_sort(F.collect_list(F.struct(F.coalesce("ring", F.lit("assess")).alias("ring"), "technology", "evidence_quality", "source_cluster"))).alias("landscape")
-    line = lambda r: F.concat(F.lit("- **"), r["technology"], F.lit("**: "), r["ring"], F.when(filled(r["evidence_quality"]) != "", F.concat(F.lit(" ("), r["evidence_quality"], F.lit(")"))).otherwise(""))
+    packed = F.array_sort(
+        F.collect_list(F.struct(F.coalesce("ring", F.lit("assess")).alias("ring"), "technology", "evidence_quality", "source_cluster"))
+    ).alias("landscape")
+    line = lambda r: F.concat(
+        F.lit("- **"),
+        r["technology"],
+        F.lit("**: "),
+        r["ring"],
+        F.when(filled(r["evidence_quality"]) != "", F.concat(F.lit(" ("), r["evidence_quality"], F.lit(")"))).otherwise(""),
+    )
     rows = best.agg(packed)
     return _facts(rows, "maturity", F.to_json(F.struct("landscape")), F.array_join(F.transform("landscape", line), "\n"))
 
@@ -102,12 +134,29 @@ def _actions(clusters: DataFrame, recordings: DataFrame) -> DataFrame:
     own = clusters.select("_pos", F.col("cluster_name").alias("source_cluster"), F.posexplode("recommended_actions").alias("i", "a"))
     own = own.select(F.struct("_pos", "i").alias("pos"), "a.action", "a.category", "a.urgency", "source_cluster")
     spare = recordings.select(F.posexplode("recommended_actions").alias("i", "a"))
-    spare = spare.select(F.struct(F.lit(0).cast("long").alias("_pos"), "i").alias("pos"), "a.action", "a.category", "a.urgency", F.lit("").alias("source_cluster"))
+    spare = spare.select(
+        F.struct(F.lit(0).cast("long").alias("_pos"), "i").alias("pos"),
+        "a.action",
+        "a.category",
+        "a.urgency",
+        F.lit("").alias("source_cluster"),
+    )
     empty = own.limit(1).agg(F.count("*").alias("n")).where("n = 0")
     every = own.unionByName(spare.join(F.broadcast(empty), F.lit(True)).drop("n"))
     grouped = aggregates.actions_by_urgency(every)
     place = aggregates.rank_of(F.col("urgency"), {u: i for i, u in enumerate(aggregates.URGENCIES)}, 99)
-    packed = F.array_sort(F.collect_list(F.struct(place.alias("place"), "urgency", F.transform("actions", lambda a: F.struct(a["action"].alias("action"), a["category"].alias("category"), a["source_cluster"].alias("source_cluster"))).alias("actions"))))
+    packed = F.array_sort(
+        F.collect_list(
+            F.struct(
+                place.alias("place"),
+                "urgency",
+                F.transform(
+                    "actions",
+                    lambda a: F.struct(a["action"].alias("action"), a["category"].alias("category"), a["source_cluster"].alias("source_cluster")),
+                ).alias("actions"),
+            )
+        )
+    )
     rows = grouped.agg(packed.alias("by_urgency"))
     head = lambda u: F.concat(F.lit("**"), F.initcap(F.replace(u, F.lit("_"), F.lit(" "))), F.lit("**\n\n"))
     told = F.array_join(F.transform("by_urgency", lambda g: F.concat(head(g["urgency"]), bullets(F.transform(g["actions"], lambda a: a["action"])))), "\n\n")
@@ -116,18 +165,32 @@ def _actions(clusters: DataFrame, recordings: DataFrame) -> DataFrame:
 
 def facts_of(agenda: DataFrame, ranking: DataFrame, talks: DataFrame, clusters: DataFrame, recordings: DataFrame) -> DataFrame:
     """What each kind of section is drafted from, by kind and cluster. clusters and talks have _pos."""
-    side = lambda x, s: F.concat(x[s]["position"], F.when(F.size(x[s]["supporting_talks"]) > 0, F.concat(F.lit(" ("), F.array_join(x[s]["supporting_talks"], ", "), F.lit(")"))).otherwise(""))
+    side = lambda x, s: F.concat(
+        x[s]["position"],
+        F.when(F.size(x[s]["supporting_talks"]) > 0, F.concat(F.lit(" ("), F.array_join(x[s]["supporting_talks"], ", "), F.lit(")"))).otherwise(""),
+    )
     parts = [
         _deep_dives(agenda, talks, clusters),
         _briefs(ranking, clusters),
         _landscape(agenda, talks),
-        _listed(recordings, "cross_cutting", "cross_cutting_themes", lambda x: F.concat(F.lit("**"), x["theme"], F.lit("** "), filled(x["description"])), lambda x: x["supporting_talks"]),
+        _listed(
+            recordings,
+            "cross_cutting",
+            "cross_cutting_themes",
+            lambda x: F.concat(F.lit("**"), x["theme"], F.lit("** "), filled(x["description"])),
+            lambda x: x["supporting_talks"],
+        ),
         _listed(
             recordings,
             "tensions",
             "tensions",
             lambda x: F.concat(F.lit("**"), x["topic"], F.lit("**: "), side(x, "side_a"), F.lit(" against "), side(x, "side_b"), F.lit(".")),
-            lambda x: F.array_distinct(F.concat(F.coalesce(x["side_a"]["supporting_talks"], F.array().cast("array<string>")), F.coalesce(x["side_b"]["supporting_talks"], F.array().cast("array<string>")))),
+            lambda x: F.array_distinct(
+                F.concat(
+                    F.coalesce(x["side_a"]["supporting_talks"], F.array().cast("array<string>")),
+                    F.coalesce(x["side_b"]["supporting_talks"], F.array().cast("array<string>")),
+                )
+            ),
         ),
         _maturity(clusters, recordings),
         _actions(clusters, recordings),
@@ -149,7 +212,9 @@ def drafts(specs: DataFrame, facts: DataFrame, topics: list[str], make=providers
     Ids and titles are the outline's, whatever a model says. Sections that have no facts are drafted from their guidance.
     Sections that draw on everything are told which chapters come before, so as not to repeat them.
     """
-    on = (F.col("section_type") == F.col("kind")) & (F.when(F.col("section_type").isin(*CLUSTER_TYPES), filled("cluster_name")).otherwise("") == F.col("of_cluster"))
+    on = (F.col("section_type") == F.col("kind")) & (
+        F.when(F.col("section_type").isin(*CLUSTER_TYPES), filled("cluster_name")).otherwise("") == F.col("of_cluster")
+    )
     given = specs.join(facts.withColumnRenamed("cluster_name", "of_cluster"), on, "left")
     titles = F.array_sort(F.collect_list(F.when(F.col("section_type").isin(*CLUSTER_TYPES), F.struct("_pos", "title"))))
     chapters = specs.agg(F.array_join(F.transform(titles, lambda r: F.concat(F.lit("- "), r["title"])), "\n").alias("chapters"))  # one outline
@@ -184,9 +249,16 @@ def woven(sections: DataFrame, quotes: DataFrame, make=providers.LocalCompleter,
 
     The local default sets quotes under the prose, as block quotes with their speaker; a model weaves them in.
     """
-    line = F.concat(F.lit("> "), F.regexp_replace("quote", r"(?U)\s+", " "), F.lit("\n>\n> — "), F.concat_ws(", ", F.nullif(filled("speaker"), F.lit("")), F.concat(F.lit("*"), "talk_title", F.lit("*"))))
+    line = F.concat(
+        F.lit("> "),
+        F.regexp_replace("quote", r"(?U)\s+", " "),
+        F.lit("\n>\n> — "),
+        F.concat_ws(", ", F.nullif(filled("speaker"), F.lit("")), F.concat(F.lit("*"), "talk_title", F.lit("*"))),
+    )
     told = quotes.where(filled("quote") != "").select("section_id", F.struct("talk_title", "timestamp_sec", line.alias("line")).alias("q"))
-    told = told.groupBy(F.col("section_id").alias("of_section")).agg(F.array_join(F.transform(F.array_sort(F.collect_set("q")), lambda q: q["line"]), "\n\n").alias("quoted"))
+    told = told.groupBy(F.col("section_id").alias("of_section")).agg(
+        F.array_join(F.transform(F.array_sort(F.collect_set("q")), lambda q: q["line"]), "\n\n").alias("quoted")
+    )
     both = sections.join(told, F.col("section_id") == F.col("of_section"), "left").drop("of_section")
     if model == "local":
         return both.withColumn("prose", F.concat_ws("\n\n", "prose", "quoted")).drop("quoted")
@@ -196,22 +268,48 @@ def woven(sections: DataFrame, quotes: DataFrame, make=providers.LocalCompleter,
     return done.unionByName(both.where("quoted is null").select(*sections.columns))
 
 
-def executive_summary(sections: DataFrame, actions: DataFrame, name: str, thesis: str, topics: list[str], make=providers.LocalCompleter, waits: tuple[float, ...] = ()) -> DataFrame:
+def executive_summary(
+    sections: DataFrame,
+    actions: DataFrame,
+    name: str,
+    thesis: str,
+    topics: list[str],
+    make=providers.LocalCompleter,
+    waits: tuple[float, ...] = (),
+) -> DataFrame:
     """One row (summary, key_findings, top_actions) from the sections' takeaways and the beginnings of their prose.
 
     sections: title, prose, key_takeaway, _pos. actions: action, place; the local default's top actions are their first five.
     """
     order = (F.col("_pos"),)
     takeaway = F.when(filled("key_takeaway") != "", F.concat(F.lit("- **"), "title", F.lit("**: "), "key_takeaway"))
-    preview = F.concat(F.lit("## "), "title", F.lit("\nKey takeaway: "), filled("key_takeaway"), F.lit("\nPreview: "), F.substring(filled("prose"), 1, PREVIEW), F.lit("..."))
-    found = F.transform(F.filter(F.array_sort(F.collect_list(F.struct("_pos", F.nullif(filled("key_takeaway"), F.lit("")).alias("k")))), lambda r: r["k"].isNotNull()), lambda r: r["k"])
+    preview = F.concat(
+        F.lit("## "),
+        "title",
+        F.lit("\nKey takeaway: "),
+        filled("key_takeaway"),
+        F.lit("\nPreview: "),
+        F.substring(filled("prose"), 1, PREVIEW),
+        F.lit("..."),
+    )
+    found = F.transform(
+        F.filter(F.array_sort(F.collect_list(F.struct("_pos", F.nullif(filled("key_takeaway"), F.lit("")).alias("k")))), lambda r: r["k"].isNotNull()),
+        lambda r: r["k"],
+    )
     rows = sections.agg(joined_text(takeaway, "\n", *order).alias("takeaways"), joined_text(preview, "\n\n---\n\n", *order).alias("body"), found.alias("found"))
     acts = actions.groupBy("action").agg(F.min("place").alias("place")).orderBy("place", "action").limit(5)
     rows = rows.join(acts.agg(F.array_sort(F.collect_list(F.struct("place", "action"))).alias("acts")), F.lit(True))
     told = F.coalesce(F.nullif("takeaways", F.lit("")), F.lit("No takeaways available."))
     head = F.lit(f"Conference: {name}\nThesis: {thesis}\nTopics:\n" + "\n".join(f"- {x}" for x in topics))
     asked = rows.withColumn("prompt", F.concat_ws("\n\n", head, told, "body"))
-    got = providers.complete_json(asked, "Write the executive summary as JSON with summary, key_findings and top_actions.", schema("summary"), make, max_tokens=4096, waits=waits)
+    got = providers.complete_json(
+        asked,
+        "Write the executive summary as JSON with summary, key_findings and top_actions.",
+        schema("summary"),
+        make,
+        max_tokens=4096,
+        waits=waits,
+    )
     return got.select(
         F.coalesce(F.nullif("parsed.summary", F.lit("")), F.array_join(F.slice("found", 1, 3), " ")).alias("summary"),
         F.when(F.size("parsed.key_findings") > 0, F.col("parsed.key_findings")).otherwise(F.col("found")).alias("key_findings"),

@@ -89,7 +89,11 @@ class Job:
         self.collect()
         clean = self.make("schedule_clean", ["schedule"], lambda: steps.clean_schedule(self.load("schedule", "raw_session")))
         folders = [f"{self.dir}/transcripts", f"{self.dir}/slides"]
-        return self.make("matched", ["schedule_clean", *folders], lambda: steps.match(clean, self.documents("transcripts", "transcript"), self.documents("slides", "slides")))
+        return self.make(
+            "matched",
+            ["schedule_clean", *folders],
+            lambda: steps.match(clean, self.documents("transcripts", "transcript"), self.documents("slides", "slides")),
+        )
 
     def analyze(self) -> None:
         matched, clean = self.load("matched", "session"), self.load("schedule_clean", "session")
@@ -132,7 +136,15 @@ class Job:
     def index(self) -> DataFrame:
         recordings = self.load("recordings", "synthesis")
         heard, seen = self.documents("transcripts", "transcript"), self.documents("slides", "slides")
-        chunk_table = steps.all_chunks(artifacts.with_position(self.load("matched", "session")), heard, seen, self.talks(), self.load("ranking"), self.load("agenda"), recordings)
+        chunk_table = steps.all_chunks(
+            artifacts.with_position(self.load("matched", "session")),
+            heard,
+            seen,
+            self.talks(),
+            self.load("ranking"),
+            self.load("agenda"),
+            recordings,
+        )
         return steps.build_index(chunk_table, self.path("index"))
 
     def ask(self, question: str, k: int = 0, types: list[str] | None = None, track: str | None = None) -> str:
@@ -149,14 +161,20 @@ class Job:
         maps = lambda c: agenda.select(F.explode(c).alias("k", "n"))
         pairs = lambda df: [(str(r[0]), float(r[1])) for r in df.collect()]
         stakeholders = aggregates.stakeholders(recordings.select(F.explode("stakeholder_map").alias("s")).select("s.*")).select("role", "talk_count")
-        strip = reports.maturity_strip(artifacts.with_position(clusters), recordings).select("technology", F.coalesce("ring", F.lit("assess")), F.coalesce("evidence_quality", F.lit("")))
+        strip = reports.maturity_strip(artifacts.with_position(clusters), recordings).select(
+            "technology", F.coalesce("ring", F.lit("assess")), F.coalesce("evidence_quality", F.lit(""))
+        )
         tables = {
             "topic_frequency": (charts.bars, "Top Conference Topics", pairs(aggregates.weighted_keywords(top, own))),
             "company_presence": (charts.bars, "Company Presence", pairs(aggregates.recount(maps("company_presence"), "k"))),
             "track_distribution": (charts.pie, "Track Distribution", pairs(maps("track_distribution").orderBy(F.desc("n"), "k"))),
             "cluster_relevance": (lambda *a: charts.bars(*a, charts.THRESHOLDS), "Cluster Relevance", pairs(reports.cluster_relevance(ranking))),
             "maturity_strip": (charts.strip, "Technology Maturity", [tuple(r) for r in strip.collect()]),
-            "evidence_quality": (lambda title, data, path: charts.stacked(title, kinds, data, path), "Evidence Quality by Cluster", [(r["cluster"], tuple(r[k] for k in kinds)) for r in evidence.collect()]),
+            "evidence_quality": (
+                lambda title, data, path: charts.stacked(title, kinds, data, path),
+                "Evidence Quality by Cluster",
+                [(r["cluster"], tuple(r[k] for k in kinds)) for r in evidence.collect()],
+            ),
             "stakeholders": (charts.bars, "Stakeholders", pairs(stakeholders)),
             "keyword_cloud": (charts.cloud, "Words", pairs(aggregates.weighted_keywords(top, own, WORDS))),
         }
@@ -212,10 +230,16 @@ class Job:
         warnings = [w["message"] for w in render.rows(found.orderBy("section_id", "kind", "message").limit(WARNINGS))]
         totals = render.rows(reports.section_counts(ordered, listed, len(summary["summary"].split())))[0]
         files.append(f"{folder}/briefing.md")
-        artifacts.write_text(files[-1], render.briefing(name, thesis, summary, sections, told, extra, self.config.llm.model, images=images, counts=totals, warnings=warnings))
+        artifacts.write_text(
+            files[-1],
+            render.briefing(name, thesis, summary, sections, told, extra, self.config.llm.model, images=images, counts=totals, warnings=warnings),
+        )
         guide = render.rows(reports.reading_guide(self.spark, grounded).orderBy("role", "place"))
         render.book(f"{folder}/book", name, thesis, summary, sections, extra, guide, images)
-        render.add_to_summary(f"{folder}/SUMMARY.md", {"Briefing": "briefing.md", "Agenda": "agenda_report.md", "Ranking": "ranking_report.md", "Book": "book/src/index.md"})
+        render.add_to_summary(
+            f"{folder}/SUMMARY.md",
+            {"Briefing": "briefing.md", "Agenda": "agenda_report.md", "Ranking": "ranking_report.md", "Book": "book/src/index.md"},
+        )
         return files
 
     def run(self) -> None:

@@ -53,7 +53,13 @@ def _named(df: DataFrame) -> DataFrame:
     return df.withColumn("video_id", F.regexp_extract("path", r"([^/]+?)(?:\.[^./]*)?$", 1))
 
 
-def transcribe(videos: DataFrame, done: DataFrame | None = None, make: Callable[[], MediaReader] = CommandLine, model: str = "", titles: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+def transcribe(
+    videos: DataFrame,
+    done: DataFrame | None = None,
+    make: Callable[[], MediaReader] = CommandLine,
+    model: str = "",
+    titles: DataFrame | None = None,
+) -> tuple[DataFrame, DataFrame]:
     """Transcripts of videos (path, content) that are not done by video_id, and failures (video_id, error).
 
     titles: video_id and title; a video without one is named by its id.
@@ -105,7 +111,10 @@ def describe(slides: DataFrame, images: DataFrame, make: Callable[[], MediaReade
     wanted = images.withColumn("image", name).join(open_.withColumnRenamed("image_file", "image"), "image", "left_semi")
     read = checkpointed(providers.read_media(wanted, _struct("description string"), make).select(name.alias("image"), "parsed", "error"))
     both = slides.join(read, F.col("image_file") == F.col("image"), "left")
-    own = F.when(strip("description") != "", F.col("description")).when(F.col("image").isNotNull() & F.col("error").isNull(), F.coalesce(F.nullif(strip("parsed.description"), F.lit("")), F.lit(NO_CONTENT)))
+    own = F.when(strip("description") != "", F.col("description")).when(
+        F.col("image").isNotNull() & F.col("error").isNull(),
+        F.coalesce(F.nullif(strip("parsed.description"), F.lit("")), F.lit(NO_CONTENT)),
+    )
     told = both.withColumn("told", own)
     missing = F.when(F.col("image").isNull(), F.lit("no such picture")).otherwise(F.col("error"))
     failed = told.where("told is null").select("video_id", "index", missing.alias("error"))
@@ -114,7 +123,11 @@ def describe(slides: DataFrame, images: DataFrame, make: Callable[[], MediaReade
 
 def as_slides(rows: DataFrame) -> DataFrame:
     """One row (video_id, slides) for each video, slides in order of their times."""
-    one = F.struct(F.col("timestamp_sec").alias("at"), F.col("index").alias("i"), F.struct("index", F.col("timestamp_sec").cast("string").alias("timestamp_sec"), "image_file", "text", "description").alias("s"))
+    one = F.struct(
+        F.col("timestamp_sec").alias("at"),
+        F.col("index").alias("i"),
+        F.struct("index", F.col("timestamp_sec").cast("string").alias("timestamp_sec"), "image_file", "text", "description").alias("s"),
+    )
     packed = F.transform(F.array_sort(F.collect_list(one)), lambda r: r["s"])
     return rows.groupBy("video_id").agg(packed.alias("slides"))
 

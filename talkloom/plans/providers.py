@@ -102,7 +102,15 @@ def embed(df: DataFrame, make: Callable[[], Embedder] = HashedTerms, text_col: s
     return df.withColumn(out, vectors(F.col(text_col)))
 
 
-def complete(df: DataFrame, system: str, make: Callable[[], Completer] = LocalCompleter, prompt_col: str = "prompt", max_tokens: int = 4096, out: str = "answer", waits: tuple[float, ...] = ()) -> DataFrame:
+def complete(
+    df: DataFrame,
+    system: str,
+    make: Callable[[], Completer] = LocalCompleter,
+    prompt_col: str = "prompt",
+    max_tokens: int = 4096,
+    out: str = "answer",
+    waits: tuple[float, ...] = (),
+) -> DataFrame:
     """Add struct(value, error) of one completion for each row."""
 
     @F.pandas_udf("struct<value:string,error:string>")
@@ -120,7 +128,16 @@ def complete(df: DataFrame, system: str, make: Callable[[], Completer] = LocalCo
     return df.withColumn(out, answers(F.col(prompt_col)))
 
 
-def complete_json(df: DataFrame, system: str, kind: T.StructType, make: Callable[[], Completer] = LocalCompleter, prompt_col: str = "prompt", max_tokens: int = 4096, waits: tuple[float, ...] = (), said: str | None = None) -> DataFrame:
+def complete_json(
+    df: DataFrame,
+    system: str,
+    kind: T.StructType,
+    make: Callable[[], Completer] = LocalCompleter,
+    prompt_col: str = "prompt",
+    max_tokens: int = 4096,
+    waits: tuple[float, ...] = (),
+    said: str | None = None,
+) -> DataFrame:
     """Add parsed (struct of the kind, null if the answer holds no such JSON), error, and under ``said`` the first answer as it
     is. A row that cannot be parsed is asked once more. Answers are cut once they are there, so no plan asks twice."""
     from talkloom.functions.text import json_text
@@ -173,7 +190,10 @@ def capabilities() -> dict[str, bool]:
     from importlib.util import find_spec
     from shutil import which
 
-    return {name: find_spec(name) is not None for name in ("matplotlib", "onnxruntime", "torch", "cv2")} | {tool: which(tool) is not None for tool in ("ffmpeg", "whisper-cli")}
+    return {
+        name: find_spec(name) is not None
+        for name in ("matplotlib", "onnxruntime", "torch", "cv2")
+    } | {tool: which(tool) is not None for tool in ("ffmpeg", "whisper-cli")}
 
 
 def scene_threshold(duration: float, threshold: float = 27.0) -> float:

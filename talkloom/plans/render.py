@@ -28,7 +28,11 @@ def percent(share: float) -> str:
 
 
 def appendix_entry(a: dict) -> str:
-    marks = [f"*Cluster: {a['cluster']}*" if a.get("cluster") else "", f"Evidence: {a['evidence_quality']}" if a.get("evidence_quality") else "", f"Perspective: {a['speaker_perspective']}" if a.get("speaker_perspective") else ""]
+    marks = [
+        f"*Cluster: {a['cluster']}*" if a.get("cluster") else "",
+        f"Evidence: {a['evidence_quality']}" if a.get("evidence_quality") else "",
+        f"Perspective: {a['speaker_perspective']}" if a.get("speaker_perspective") else "",
+    ]
     parts = [f"### {a['title']}", " | ".join(m for m in marks if m), a.get("summary") or ""]
     if a.get("key_takeaways"):
         parts.append("**Key Takeaways:**\n" + bullets(a["key_takeaways"]))
@@ -70,7 +74,9 @@ def briefing(
     if warnings:
         parts += ["## Notes of the Validation", bullets(warnings)]
     told = f" {counts['sections']} sections, {counts['words']} words, {counts['appendix_talks']} talks in the appendix." if counts else ""
-    parts.append(f"*Generated {(now or datetime.now(UTC)):%Y-%m-%d %H:%M} UTC using {model}.{told}*" if told else f"*Generated {(now or datetime.now(UTC)):%Y-%m-%d %H:%M} UTC using {model}*")
+    parts.append(
+        f"*Generated {(now or datetime.now(UTC)):%Y-%m-%d %H:%M} UTC using {model}.{told}*" if told else f"*Generated {(now or datetime.now(UTC)):%Y-%m-%d %H:%M} UTC using {model}*"
+    )
     return "\n\n".join(p for p in parts if p) + "\n"
 
 
@@ -78,7 +84,12 @@ def ranking_report(name: str, ranking: list[dict]) -> str:
     parts = [f"# Cluster Ranking: {name}", "![Cluster Relevance](./images/cluster_relevance.svg)", "## Ranked Clusters"]
     for c in ranking:
         talks = c.get("recommended_talks") or []
-        parts += [f"### {c['rank']}. {c['name']}", f"**Relevance Score:** {percent(c['relevance_score'])}", c.get("summary") or "", f"**Why it matters:** {c.get('relevance_argument') or ''}"]
+        parts += [
+            f"### {c['rank']}. {c['name']}",
+            f"**Relevance Score:** {percent(c['relevance_score'])}",
+            c.get("summary") or "",
+            f"**Why it matters:** {c.get('relevance_argument') or ''}",
+        ]
         parts += ["#### Recommended Talks", bullets(talks)] if talks else []
         parts += [f"> **Note:** {c['skip_reason']}"] if c.get("skip_reason") else []
         parts.append("---")
@@ -88,11 +99,28 @@ def ranking_report(name: str, ranking: list[dict]) -> str:
 
 
 def agenda_report(name: str, agenda: dict) -> str:
-    parts = [f"# Agenda Analysis: {name}", agenda.get("narrative") or "No narrative generated.", "## Topic Landscape", "![Keyword Cloud](./images/keyword_cloud.svg)", "![Topic Frequency](./images/topic_frequency.svg)", "### Top Keywords", bullets(agenda.get("top_keywords")), "## Topic Clusters"]
+    parts = [
+        f"# Agenda Analysis: {name}",
+        agenda.get("narrative") or "No narrative generated.",
+        "## Topic Landscape",
+        "![Keyword Cloud](./images/keyword_cloud.svg)",
+        "![Topic Frequency](./images/topic_frequency.svg)",
+        "### Top Keywords",
+        bullets(agenda.get("top_keywords")),
+        "## Topic Clusters",
+    ]
     for c in agenda.get("clusters") or []:
         talks = c.get("talks") or []
-        parts += [f"### {c['name']}", c.get("description") or "", f"**Keywords:** {', '.join(c.get('keywords') or [])}", f"**Companies:** {', '.join(c.get('companies') or [])}", f"<details>\n<summary>Talks ({len(talks)})</summary>\n\n{bullets(talks)}\n</details>"]
-    for head, image, key, n in (("Company Presence", "company_presence", "Company", "Talks"), ("Track Distribution", "track_distribution", "Track", "Sessions")):
+        parts += [
+            f"### {c['name']}",
+            c.get("description") or "",
+            f"**Keywords:** {', '.join(c.get('keywords') or [])}",
+            f"**Companies:** {', '.join(c.get('companies') or [])}",
+            f"<details>\n<summary>Talks ({len(talks)})</summary>\n\n{bullets(talks)}\n</details>",
+        ]
+    for head, image, key, n in (
+        ("Company Presence", "company_presence", "Company", "Talks"), ("Track Distribution", "track_distribution", "Track", "Sessions")
+    ):
         counts = agenda.get(image) or {}
         table = [f"| {key} | {n} |", "|---------|-------|" if key == "Company" else "|-------|----------|", *(f"| {k} | {v} |" for k, v in counts.items())]
         parts += [f"## {head}", f"![{head}](./images/{image}.svg)", "\n".join(table)]
@@ -113,7 +141,16 @@ def slug(text: str) -> str:
     return re.sub(r"[^a-z0-9]+", "-", text.lower()).strip("-")[:60]
 
 
-def book(folder: str, name: str, thesis: str, summary: dict, sections: list[dict], appendix: list[dict], guide: list[dict], images: dict[str, list[tuple[str, str]]] | None = None) -> list[str]:
+def book(
+    folder: str,
+    name: str,
+    thesis: str,
+    summary: dict,
+    sections: list[dict],
+    appendix: list[dict],
+    guide: list[dict],
+    images: dict[str, list[tuple[str, str]]] | None = None,
+) -> list[str]:
     """A book's sources: index, a chapter for each section, thin briefs merged in one, appendix and table of contents. Old pages go."""
     src = Path(folder) / "src"
     src.mkdir(parents=True, exist_ok=True)
@@ -124,8 +161,24 @@ def book(folder: str, name: str, thesis: str, summary: dict, sections: list[dict
     chapters = [s for s in sections if not s.get("thin")]
     links = {s["title"]: f"{slug(s['title'])}.md" for s in chapters} | {s["title"]: "briefs.md" for s in thin}
     toc = ["# Summary", "", "[Overview](index.md)", ""]
-    read = "\n".join(f"- **{role}**: " + ", ".join(f"[{g['title']}]({links.get(g['title'], '')})" for g in guide if g["role"] == role) for role in dict.fromkeys(g["role"] for g in guide))
-    write_text(str(src / "index.md"), "\n\n".join(p for p in [f"# {name}", f"> {thesis}", summary.get("summary", ""), bullets(summary.get("key_findings")), "## Reading Guide" if read else "", read] if p) + "\n")
+    read = "\n".join(
+        f"- **{role}**: " + ", ".join(f"[{g['title']}]({links.get(g['title'], '')})" for g in guide if g["role"] == role)
+        for role in dict.fromkeys(g["role"] for g in guide)
+    )
+    write_text(
+        str(src / "index.md"),
+        "\n\n".join(
+            p
+            for p in [
+                f"# {name}",
+                f"> {thesis}",
+                summary.get("summary", ""),
+                bullets(summary.get("key_findings")),
+                "## Reading Guide" if read else "",
+                read,
+            ] if p
+        ) + "\n",
+    )
     synthesis = {"landscape", "cross_cutting", "tensions", "maturity", "actions"}
     for s in chapters:
         page = cross_references(f"# {s['title']}\n\n{s['prose']}\n", anchors, links, s.get("section_type") in synthesis)
@@ -133,7 +186,10 @@ def book(folder: str, name: str, thesis: str, summary: dict, sections: list[dict
         write_text(str(src / links[s["title"]]), page + (f"\n{shown}\n" if shown else ""))
         toc.append(f"- [{s['title']}]({links[s['title']]})")
     if thin:
-        write_text(str(src / "briefs.md"), "# Brief Notes\n\n" + "\n\n".join(cross_references(f"## {s['title']}\n\n{s['prose']}", anchors, links, False) for s in thin) + "\n")
+        write_text(
+            str(src / "briefs.md"),
+            "# Brief Notes\n\n" + "\n\n".join(cross_references(f"## {s['title']}\n\n{s['prose']}", anchors, links, False) for s in thin) + "\n",
+        )
         toc.append("- [Brief Notes](briefs.md)")
     if appendix:
         write_text(str(src / "appendix.md"), "# Appendix\n\n" + "\n\n".join(appendix_entry(a) for a in appendix) + "\n")

@@ -31,7 +31,12 @@ class Call:
 
 
 CALLS = (
-    Call("narrative", "Tell what connects these talks, and list cross-cutting themes and common problems.", ("narrative", "cross_cutting_themes", "common_problems"), 8192),
+    Call(
+        "narrative",
+        "Tell what connects these talks, and list cross-cutting themes and common problems.",
+        ("narrative", "cross_cutting_themes", "common_problems"),
+        8192,
+    ),
     Call("signals", "List emerging technologies and how technologies relate to each other.", ("emerging_technologies", "technology_relationships"), 4096),
     Call("tensions", "List where speakers disagree, and how mature each technology is.", ("tensions", "maturity_landscape"), 6144),
     Call("actions", "List what a reader should do.", ("recommended_actions",), 4096),
@@ -85,25 +90,50 @@ def aggregated(members: DataFrame, talks: DataFrame) -> DataFrame:
     each = lambda column, name="x": mine.select("cluster", "title", F.explode(column).alias(name))
     talks_of = F.array_sort(F.collect_set("title")).alias("supporting_talks")
 
-    tools = each("tools_and_projects", "technology").where(strip("technology") != "").groupBy("cluster", "technology").agg(F.count_distinct("title").cast("int").alias("mentions"), talks_of)
-    emerging = _top(tools.withColumn("context", F.lit("")), "cluster", [F.desc("mentions"), F.col("technology")], "emerging_technologies", kinds["emerging_technologies"])
-    themes = tools.where("mentions > 1").select("cluster", F.col("technology").alias("theme"), F.concat(F.lit("Comes up in "), F.col("mentions").cast("string"), F.lit(" talks.")).alias("description"), "supporting_talks")
+    tools = each("tools_and_projects", "technology").where(strip("technology") != "").groupBy("cluster", "technology").agg(
+        F.count_distinct("title").cast("int").alias("mentions"), talks_of
+    )
+    emerging = _top(
+        tools.withColumn("context", F.lit("")),
+        "cluster",
+        [F.desc("mentions"), F.col("technology")],
+        "emerging_technologies",
+        kinds["emerging_technologies"],
+    )
+    themes = tools.where("mentions > 1").select(
+        "cluster",
+        F.col("technology").alias("theme"),
+        F.concat(F.lit("Comes up in "), F.col("mentions").cast("string"), F.lit(" talks.")).alias("description"),
+        "supporting_talks",
+    )
     themes = _top(themes, "cluster", [F.desc(F.size("supporting_talks")), F.col("theme")], "cross_cutting_themes", kinds["cross_cutting_themes"])
     problems = each("problems_discussed").where(strip("x") != "").groupBy("cluster", F.col("x").alias("p")).agg(F.count_distinct("title").alias("n"))
     first = F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("o"), "p")))
     problems = problems.groupBy("cluster").agg(F.transform(F.slice(first, 1, MOST), lambda r: r["p"]).alias("common_problems"))
     edges = each("relationships").where(strip("x.entity_a") != "").groupBy("cluster", "x.entity_a", "x.relation", "x.entity_b").agg(talks_of)
-    related = _top(edges, "cluster", [F.desc(F.size("supporting_talks")), F.col("entity_a"), F.col("relation"), F.col("entity_b")], "technology_relationships", kinds["technology_relationships"])
+    related = _top(
+        edges,
+        "cluster",
+        [F.desc(F.size("supporting_talks")), F.col("entity_a"), F.col("relation"), F.col("entity_b")],
+        "technology_relationships",
+        kinds["technology_relationships"],
+    )
 
     rated = each("maturity_assessments").where(strip("x.technology") != "")
-    rated = rated.groupBy("cluster", F.col("x.technology").alias("technology")).agg(F.mode(F.col("x.maturity"), True).alias("ring"), talks_of, F.max("x.evidence").alias("rationale"))
+    rated = rated.groupBy("cluster", F.col("x.technology").alias("technology")).agg(
+        F.mode(F.col("x.maturity"), True).alias("ring"), talks_of, F.max("x.evidence").alias("rationale")
+    )
     rated = rated.withColumn("evidence_quality", F.when(F.size("supporting_talks") > 1, "case_study").otherwise("anecdotal"))
     maturity = _top(rated, "cluster", [F.desc(F.size("supporting_talks")), F.col("technology")], "maturity_landscape", kinds["maturity_landscape"])
 
     # Speakers disagree about a technology of which some are enthusiastic and others critical or cautious.
-    stance = each("technology_stance").select("cluster", "title", F.col("x.technology").alias("topic"), F.col("x.stance").alias("stance")).where(strip("topic") != "")
+    stance = each("technology_stance").select(
+        "cluster", "title", F.col("x.technology").alias("topic"), F.col("x.stance").alias("stance")
+    ).where(strip("topic") != "")
     of = lambda *kinds_: F.array_sort(F.collect_set(F.when(F.col("stance").isin(*kinds_), F.col("title"))))
-    sides = stance.groupBy("cluster", "topic").agg(of("enthusiastic").alias("pro"), of("critical", "cautious").alias("con"), of("critical").alias("hard")).where("size(pro) > 0 and size(con) > 0")
+    sides = stance.groupBy("cluster", "topic").agg(
+        of("enthusiastic").alias("pro"), of("critical", "cautious").alias("con"), of("critical").alias("hard")
+    ).where("size(pro) > 0 and size(con) > 0")
     side = lambda position, who: F.struct(F.lit(position).alias("position"), F.col(who).alias("supporting_talks"))
     sides = sides.select(
         "cluster",
@@ -117,17 +147,35 @@ def aggregated(members: DataFrame, talks: DataFrame) -> DataFrame:
     tensions = _top(sides, "cluster", [F.desc("n"), F.col("topic")], "tensions", kinds["tensions"])
 
     # What to do follows from the ring of a technology; caveats are to be watched.
-    verb = {"adopt": ("Adopt ", "adopt", "immediate"), "trial": ("Evaluate ", "evaluate", "next_quarter"), "assess": ("Watch ", "watch", "long_term"), "hold": ("Avoid ", "avoid", "immediate")}
+    verb = {
+        "adopt": ("Adopt ", "adopt", "immediate"),
+        "trial": ("Evaluate ", "evaluate", "next_quarter"),
+        "assess": ("Watch ", "watch", "long_term"),
+        "hold": ("Avoid ", "avoid", "immediate"),
+    }
     pick = lambda i: aggregates.rank_of(F.lower(filled("ring")), {k: v[i] for k, v in verb.items()}, verb["assess"][i])
-    support = F.concat(F.size("supporting_talks").cast("string"), F.lit(" talks"), F.when(filled("rationale") != "", F.concat(F.lit(": "), "rationale")).otherwise(""))
+    support = F.concat(
+        F.size("supporting_talks").cast("string"),
+        F.lit(" talks"),
+        F.when(filled("rationale") != "", F.concat(F.lit(": "), "rationale")).otherwise(""),
+    )
     acts = rated.select(
         "cluster", F.concat(pick(0), F.col("technology")).alias("action"), pick(1).alias("category"), pick(2).alias("urgency"), support.alias("supporting_evidence"), F.size("supporting_talks").alias("n")
     )
     caveats = each("caveats_and_concerns").where(strip("x") != "").groupBy("cluster", F.col("x").alias("action")).agg(F.count_distinct("title").alias("n"))
-    caveats = caveats.select("cluster", F.concat(F.lit("Watch: "), "action").alias("action"), F.lit("watch").alias("category"), F.lit("long_term").alias("urgency"), F.lit("").alias("supporting_evidence"), F.col("n").cast("int").alias("n"))
+    caveats = caveats.select(
+        "cluster",
+        F.concat(F.lit("Watch: "), "action").alias("action"),
+        F.lit("watch").alias("category"),
+        F.lit("long_term").alias("urgency"),
+        F.lit("").alias("supporting_evidence"),
+        F.col("n").cast("int").alias("n"),
+    )
     actions = _top(acts.unionByName(caveats), "cluster", [F.desc("n"), F.col("action")], "recommended_actions", kinds["recommended_actions"])
 
-    people = mine.where(strip("speaker_perspective") != "").groupBy("cluster", F.col("speaker_perspective").alias("role")).agg(F.count_distinct("title").cast("int").alias("talk_count"))
+    people = mine.where(strip("speaker_perspective") != "").groupBy("cluster", F.col("speaker_perspective").alias("role")).agg(
+        F.count_distinct("title").cast("int").alias("talk_count")
+    )
     stakeholders = _top(people, "cluster", [F.desc("talk_count"), F.col("role")], "stakeholder_map", kinds["stakeholder_map"])
     out = members.select("cluster").distinct()
     for part in (emerging, themes, problems, related, maturity, tensions, actions, stakeholders):
@@ -172,9 +220,13 @@ def over_all(clusters: DataFrame, make=providers.LocalCompleter, waits: tuple[fl
     packed = F.array_sort(F.collect_list(F.struct("cluster_name", F.to_json(F.struct(*OF_CLUSTER)).alias("j"))))
     prompt = F.concat(F.lit("["), F.array_join(F.transform(packed, lambda r: r["j"]), ","), F.lit("]"))
     lists = [f for f in schema("synthesis").fields if isinstance(f.dataType, T.ArrayType)]
-    merged = lambda f: F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("cluster_name", F.coalesce(f.name, F.array().cast(f.dataType)).alias("v")))), lambda r: r["v"]))
+    merged = lambda f: F.flatten(
+        F.transform(F.array_sort(F.collect_list(F.struct("cluster_name", F.coalesce(f.name, F.array().cast(f.dataType)).alias("v")))), lambda r: r["v"])
+    )
     whole = clusters.agg(
-        F.count("*").alias("n"), prompt.alias("prompt"), ordering.joined_text(F.col("narrative"), "\n\n", F.col("cluster_name")).alias("told"), *(merged(f).alias(f"__{f.name}") for f in lists)
+        F.count("*").alias("n"), prompt.alias("prompt"), ordering.joined_text(
+            F.col("narrative"), "\n\n", F.col("cluster_name")
+        ).alias("told"), *(merged(f).alias(f"__{f.name}") for f in lists)
     )
     whole = checkpointed(whole.where("n > 0").withColumn("one", F.lit(1)))
     said = answers(whole.select("one", "prompt"), "one", "You write about a whole conference from syntheses of its clusters.", make, waits)

@@ -15,7 +15,12 @@ def from_cli(raw: DataFrame, model: str = "", backend: str = "whisper.cpp") -> D
     rows = raw.withColumns({"__from": at("from"), "__to": at("to")})
     each = F.transform(
         F.arrays_zip("transcription", "__from", "__to"),
-        lambda e: F.struct(e["__from"].alias("start"), e["__to"].alias("end"), F.trim(e["transcription"]["text"]).alias("text"), F.lit(None).cast("string").alias("speaker")),
+        lambda e: F.struct(
+            e["__from"].alias("start"),
+            e["__to"].alias("end"),
+            F.trim(e["transcription"]["text"]).alias("text"),
+            F.lit(None).cast("string").alias("speaker"),
+        ),
     )
     return finish(rows.select("video_id", "title", F.coalesce("result.language", F.lit("")).alias("language"), each.alias("segments")), model, backend)
 
@@ -39,8 +44,16 @@ def finish(df: DataFrame, model: str = "", backend: str = "", diarized: bool = F
 
 def label_speakers(df: DataFrame) -> DataFrame:
     """Raw speaker labels within segments become "Speaker n" in their sorted order."""
-    rows = df.select("video_id", F.posexplode("segments").alias("i", "s")).select("video_id", "i", "s.start", "s.end", "s.text", F.col("s.speaker").alias("raw"))
+    rows = df.select("video_id", F.posexplode("segments").alias("i", "s")).select(
+        "video_id", "i", "s.start", "s.end", "s.text", F.col("s.speaker").alias("raw")
+    )
     named = dense_labels(rows, "video_id", "raw")
     packed = named.groupBy("video_id").agg(F.array_sort(F.collect_list(F.struct("i", "start", "end", "text", "speaker"))).alias("p"))
-    segments = packed.select("video_id", F.transform("p", lambda r: F.struct(r["start"].alias("start"), r["end"].alias("end"), r["text"].alias("text"), r["speaker"].alias("speaker"))).alias("segments"))
+    segments = packed.select(
+        "video_id",
+        F.transform(
+            "p",
+            lambda r: F.struct(r["start"].alias("start"), r["end"].alias("end"), r["text"].alias("text"), r["speaker"].alias("speaker")),
+        ).alias("segments"),
+    )
     return df.drop("segments").join(segments, "video_id", "left")

@@ -133,9 +133,15 @@ def detail_sessions(pages: DataFrame, url_col: str = "url", html_col: str = "htm
 
     def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame([{"url": u, **detail(h)} for u, h in zip(batch[url_col], batch[html_col])], columns=["url", "abstract", "speakers", "track", "time", "tags"])
+            yield pd.DataFrame(
+                [{"url": u, **detail(h)} for u, h in zip(batch[url_col], batch[html_col])],
+                columns=["url", "abstract", "speakers", "track", "time", "tags"],
+            )
 
-    return pages.select(url_col, html_col).mapInPandas(each, "url string, abstract string, speakers array<struct<name:string,company:string>>, track string, time string, tags array<string>")
+    return pages.select(url_col, html_col).mapInPandas(
+        each,
+        "url string, abstract string, speakers array<struct<name:string,company:string>>, track string, time string, tags array<string>",
+    )
 
 
 def providers(urls: DataFrame, patterns: DataFrame, url_col: str = "url") -> DataFrame:
@@ -161,6 +167,8 @@ def video_ids(urls: DataFrame, configured: list[str], spark) -> DataFrame:
     """(video_id, _pos): the playlist's valid ids, each once in order, then the configured ones as they are."""
     from talkloom.functions.text import valid_video_id
 
-    listed_ids = keep_first(urls.where(valid_video_id("video_id")), F.col("video_id"), F.col("_pos")).select("video_id", F.col("_pos").cast("long").alias("_pos"))
+    listed_ids = keep_first(
+        urls.where(valid_video_id("video_id")), F.col("video_id"), F.col("_pos")
+    ).select("video_id", F.col("_pos").cast("long").alias("_pos"))
     own = spark.createDataFrame([(v, 1 << 40 | i) for i, v in enumerate(configured)], "video_id string, _pos long")
     return listed_ids.unionByName(own)

@@ -67,7 +67,14 @@ def patient(fetch: Callable[[str], str], url: str, waits: tuple[float, ...] = BA
     raise AssertionError
 
 
-def fetch_pages(urls: DataFrame, make: Callable[[], Callable[[str], str]] = lambda: get, url_col: str = "url", workers: int = WORKERS, spacing: float = SPACING, waits: tuple[float, ...] = BACKOFF) -> DataFrame:
+def fetch_pages(
+    urls: DataFrame,
+    make: Callable[[], Callable[[str], str]] = lambda: get,
+    url_col: str = "url",
+    workers: int = WORKERS,
+    spacing: float = SPACING,
+    waits: tuple[float, ...] = BACKOFF,
+) -> DataFrame:
     """(url, html, error): one request at a time in each of ``workers`` partitions; a page that fails is a row with its error."""
 
     def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -57,4 +57,6 @@ def recordings(playlist: DataFrame, configured: list[str], media: DataFrame) ->
 def with_sidecar(rows: DataFrame, meta: DataFrame) -> DataFrame:
     """Add title ("" where unknown) and duration (0.0 where unknown) of the video's metadata."""
     m = meta.groupBy("video_id").agg(F.first("title", ignorenulls=True).alias("meta_title"), F.max("duration").alias("duration"))
-    return rows.join(m, "video_id", "left").withColumn("meta_title", F.coalesce("meta_title", F.lit(""))).withColumn("duration", F.coalesce("duration", F.lit(0.0)))
+    return rows.join(m, "video_id", "left").withColumn(
+        "meta_title", F.coalesce("meta_title", F.lit(""))
+    ).withColumn("duration", F.coalesce("duration", F.lit(0.0)))

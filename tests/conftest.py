@@ -14,7 +14,10 @@ SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 def spark(tmp_path_factory):
     from talkloom.session import local_session
 
-    session = local_session(4, **{"spark.sql.shuffle.partitions": "4", "spark.driver.memory": "4g", "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse"))})
+    session = local_session(
+        4,
+        **{"spark.sql.shuffle.partitions": "4", "spark.driver.memory": "4g", "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse"))},
+    )
     yield session
     session.stop()
 

@@ -123,12 +123,18 @@ def test_titles_in_prose(value):
     assert swapped == f"See **{title}** and *short*."
 
 
-@pytest.mark.parametrize(("given", "wanted"), [('a\n```json\n{"x": 1}\n```', '{"x": 1}'), ('say {"x": {"y": 1}} ok', '{"x": {"y": 1}}'), ("list [1, 2]", "[1, 2]"), ("none", None)])
+@pytest.mark.parametrize(
+    ("given", "wanted"),
+    [('a\n```json\n{"x": 1}\n```', '{"x": 1}'), ('say {"x": {"y": 1}} ok', '{"x": {"y": 1}}'), ("list [1, 2]", "[1, 2]"), ("none", None)],
+)
 def test_json_text(value, given, wanted):
     assert value(text.json_text(F.lit(given))) == wanted
 
 
-@pytest.mark.parametrize(("title", "skip"), [("Closing Remarks", True), ("Welcome & Opening Remarks", True), ("Sponsored Keynote: X", True), ("Award Ceremony", True), ("A talk", False)])
+@pytest.mark.parametrize(
+    ("title", "skip"),
+    [("Closing Remarks", True), ("Welcome & Opening Remarks", True), ("Sponsored Keynote: X", True), ("Award Ceremony", True), ("A talk", False)],
+)
 def test_non_analytical(value, title, skip):
     assert value(text.non_analytical(F.lit(title))) is skip
 

@@ -19,15 +19,44 @@ def event(tmp_path_factory):
     data = root / "ev"
     (data / "transcripts").mkdir(parents=True)
     (data / "slides").mkdir()
-    (root / "ev.toml").write_text('[conference]\nname = "Test Event"\n[conference.recordings]\nvideo_ids = []\n[query]\ntop_k = 5\n[report]\nappendix_strategy = "by_cluster"\n[odd]\nx = 1\n')
+    (root / "ev.toml").write_text(
+        '[conference]\nname = "Test Event"\n[conference.recordings]\nvideo_ids = []\n[query]\ntop_k = 5\n[report]\nappendix_strategy = "by_cluster"\n[odd]\nx = 1\n'
+    )
     titles = ["Kubernetes at scale", "Tracing with OpenTelemetry", "Saving cost with KEDA", "Cilium for everyone", "Closing Remarks"]
-    sessions = [{"title": t, "abstract": f"About {t}.", "speakers": json.dumps([{"name": "Ann Lee", "company": "Engineer, Acme"}]), "track": "Ops", "format": "talk", "time": "", "tags": []} for t in titles]
+    sessions = [
+        {
+            "title": t,
+            "abstract": f"About {t}.",
+            "speakers": json.dumps([{"name": "Ann Lee", "company": "Engineer, Acme"}]),
+            "track": "Ops",
+            "format": "talk",
+            "time": "",
+            "tags": [],
+        }
+        for t in titles
+    ]
     (data / "schedule.json").write_text(json.dumps(sessions))
     for i, t in enumerate(titles):
         segments = [{"start": 10.0 * k, "end": 10.0 * k + 9, "text": f"{t}. {TALK}", "speaker": "Speaker 1"} for k in range(20)]
-        doc = {"video_id": f"video{i}", "title": t + "!", "language": "en", "duration_sec": 200.0, "model": "m", "backend": "b", "diarized": True, "full_text": " ".join(s["text"] for s in segments), "segments": segments}
+        doc = {
+            "video_id": f"video{i}",
+            "title": t + "!",
+            "language": "en",
+            "duration_sec": 200.0,
+            "model": "m",
+            "backend": "b",
+            "diarized": True,
+            "full_text": " ".join(s["text"] for s in segments),
+            "segments": segments,
+        }
         (data / "transcripts" / f"video{i}.json").write_text(json.dumps(doc))
-    slides = {"video_id": "video0", "slides": [{"index": 0, "timestamp_sec": "00:15", "image_file": "", "text": "see https://example.org/a", "description": "a chart"}, {"index": 1, "timestamp_sec": "1:40", "image_file": "", "text": "", "description": ""}]}
+    slides = {
+        "video_id": "video0",
+        "slides": [
+            {"index": 0, "timestamp_sec": "00:15", "image_file": "", "text": "see https://example.org/a", "description": "a chart"},
+            {"index": 1, "timestamp_sec": "1:40", "image_file": "", "text": "", "description": ""},
+        ],
+    }
     (data / "slides" / "video0.json").write_text(json.dumps(slides))
     return root
 
@@ -62,7 +91,9 @@ def test_run(spark, event):
     assert "# Intelligence Briefing: Test Event" in text and Path(job.dir, "reports", "book", "src", "SUMMARY.md").exists()
     assert Path(job.dir, "reports", "ranking_report.md").read_text().count("**Relevance Score:**") == len(agenda["clusters"])
     drawn = job.visualize()
-    assert all(Path(f).read_text().startswith("<svg") for f in drawn) and {"track_distribution.svg", "keyword_cloud.svg", "maturity_strip.svg"} <= {Path(f).name for f in drawn}
+    assert all(Path(f).read_text().startswith("<svg") for f in drawn) and {
+        "track_distribution.svg", "keyword_cloud.svg", "maturity_strip.svg"
+    } <= {Path(f).name for f in drawn}
     whole = job.load("recordings", "synthesis").first()
     assert whole["narrative"] and whole["recommended_actions"] and whole["maturity_landscape"] and whole["emerging_technologies"]
     assert {r["cluster_name"] for r in job.load("clusters", "synthesis").collect()} == {c["name"] for c in agenda["clusters"]}
@@ -90,9 +121,24 @@ class Scripted:
         if "narrative" in system or "connects" in system:
             return json.dumps({"narrative": "told", "cross_cutting_themes": [], "common_problems": ["p"]})
         if "technologies relate" in system:
-            return json.dumps({"emerging_technologies": [], "technology_relationships": [{"entity_a": " ", "relation": "extends", "entity_b": "x", "supporting_talks": []}]})
+            return json.dumps(
+                {"emerging_technologies": [], "technology_relationships": [{"entity_a": " ", "relation": "extends", "entity_b": "x", "supporting_talks": []}]}
+            )
         if "disagree" in system:
-            return json.dumps({"tensions": [{"topic": "T", "side_a": {"position": "a", "supporting_talks": []}, "side_b": {"position": "b", "supporting_talks": []}, "severity": "minor", "implication": ""}], "maturity_landscape": []})
+            return json.dumps(
+                {
+                    "tensions": [
+                        {
+                            "topic": "T",
+                            "side_a": {"position": "a", "supporting_talks": []},
+                            "side_b": {"position": "b", "supporting_talks": []},
+                            "severity": "minor",
+                            "implication": "",
+                        }
+                    ],
+                    "maturity_landscape": [],
+                }
+            )
         return json.dumps({"recommended_actions": [{"action": "Do", "category": "adopt", "urgency": "immediate", "supporting_evidence": ""}]})
 
 
@@ -101,8 +147,13 @@ def test_four_answers_are_asked_for_once(spark, tmp_path):
     from talkloom.schemas import schema
 
     Scripted.log = str(tmp_path / "calls")
-    agenda = spark.createDataFrame([([("one", "", ["A", "B"], [], []), ("two", "", ["B", "none"], [], []), ("empty", "", ["none"], [], [])], [], "", {}, {})], schema("agenda"))
-    talk = lambda t, stance: (t, "s", ["k"], ["p"], ["X"], [], "production", "practitioner", [], [("X", "adopt", "e")], ["c"], [("X", stance, "e")], [], [], "")
+    agenda = spark.createDataFrame(
+        [([("one", "", ["A", "B"], [], []), ("two", "", ["B", "none"], [], []), ("empty", "", ["none"], [], [])], [], "", {}, {})],
+        schema("agenda"),
+    )
+    talk = lambda t, stance: (
+        t, "s", ["k"], ["p"], ["X"], [], "production", "practitioner", [], [("X", "adopt", "e")], ["c"], [("X", stance, "e")], [], [], ""
+    )
     talks = spark.createDataFrame([talk("A", "enthusiastic"), talk("B", "critical")], schema("talk")).withColumn("_pos", F.monotonically_increasing_id())
     log = Scripted.log
     make = lambda: _scripted(log)
@@ -192,10 +243,18 @@ def test_video_ids(spark):
 
 
 def test_transcript_shaping(spark):
-    raw = spark.createDataFrame([("v", "t", [(("00:00:01,500", "00:00:02.250"), " hi ")], ("en",))], "video_id string, title string, transcription array<struct<timestamps:struct<`from`:string,`to`:string>,text:string>>, result struct<language:string>")
+    raw = spark.createDataFrame(
+        [("v", "t", [(("00:00:01,500", "00:00:02.250"), " hi ")], ("en",))],
+        "video_id string, title string, transcription array<struct<timestamps:struct<`from`:string,`to`:string>,text:string>>, result struct<language:string>",
+    )
     got = transcripts.from_cli(raw).first()
     assert (got["duration_sec"], got["full_text"], got["segments"][0]["start"]) == (2.2, "hi", 1.5)  # 2.25 is a tie: to the even digit
-    named = transcripts.label_speakers(spark.createDataFrame([("v", "t", [(0.0, 1.0, "a", "S9"), (1.0, 2.0, "b", "S2")])], "video_id string, title string, segments array<struct<start:double,end:double,text:string,speaker:string>>")).first()
+    named = transcripts.label_speakers(
+        spark.createDataFrame(
+            [("v", "t", [(0.0, 1.0, "a", "S9"), (1.0, 2.0, "b", "S2")])],
+            "video_id string, title string, segments array<struct<start:double,end:double,text:string,speaker:string>>",
+        )
+    ).first()
     assert [s["speaker"] for s in named["segments"]] == ["Speaker 2", "Speaker 1"]
 
 
@@ -222,7 +281,10 @@ def test_cross_references():
 
 
 def test_grounding_of_drafts(spark):
-    s = spark.createDataFrame([("s", "t", "Cut by 30% said Ann Lee, by Max Muster.", [("Kubernetes at large scale", "c", True), ("zzz yyy", "c", False)], "")], "section_id string, title string, prose string, citations array<struct<talk_title:string,claim:string,needs_quote:boolean>>, key_takeaway string")
+    s = spark.createDataFrame(
+        [("s", "t", "Cut by 30% said Ann Lee, by Max Muster.", [("Kubernetes at large scale", "c", True), ("zzz yyy", "c", False)], "")],
+        "section_id string, title string, prose string, citations array<struct<talk_title:string,claim:string,needs_quote:boolean>>, key_takeaway string",
+    )
     titles = spark.createDataFrame([("Kubernetes at scale in production",)], "title string")
     people = spark.createDataFrame([("speaker", "Ann Lee")], "kind string, name string")
     got = steps.ground(s, titles, spark.createDataFrame([], "percentage string"), people).first()
@@ -234,7 +296,12 @@ def test_arrivals(spark, tmp_path):
     from talkloom.streaming.arrivals import arriving, counts_by_window, into_table, rolling_chunks
 
     ddl = "conv_id long, turn long, text string, ts timestamp"
-    rows = spark.range(6).select((F.col("id") % 2).alias("conv_id"), F.col("id").alias("turn"), F.concat(F.lit("word "), F.col("id").cast("string")).alias("text"), F.timestamp_seconds(F.col("id") * 60).alias("ts"))
+    rows = spark.range(6).select(
+        (F.col("id") % 2).alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.concat(F.lit("word "), F.col("id").cast("string")).alias("text"),
+        F.timestamp_seconds(F.col("id") * 60).alias("ts"),
+    )
     rows.where("turn < 4").coalesce(1).write.parquet(f"{tmp_path}/in/a")
     rows.where("turn >= 4").coalesce(1).write.parquet(f"{tmp_path}/in/b")
     stream = arriving(spark, f"{tmp_path}/in/*", ddl, files=1)
@@ -286,7 +353,9 @@ def test_site_and_api(spark, tmp_path):
 
     class Site(BaseHTTPRequestHandler):
         def do_GET(self):
-            body = json.dumps([{"name": "From API", "speakers": [{"name": "A", "company": "C"}]}]) if "/api/" in self.path else DETAIL if "/event/" in self.path else LISTING
+            body = json.dumps(
+                [{"name": "From API", "speakers": [{"name": "A", "company": "C"}]}]
+            ) if "/api/" in self.path else DETAIL if "/event/" in self.path else LISTING
             self.send_response(200)
             self.end_headers()
             self.wfile.write(body.encode())
@@ -331,7 +400,12 @@ def test_frames_and_descriptions(spark):
     assert [(r["video_id"], r["error"]) for r in failed.collect()] == [("two", "RuntimeError: no")]
     assert sorted((r["index"], r["text"]) for r in got.collect()) == [(0, "t0"), (1, "t1")]  # the third is near the second
     images = spark.createDataFrame([("/i/0.png", b"a chart"), ("/i/1.png", b" ")], "path string, content binary")
-    slides = got.withColumn("description", F.lit("")).unionByName(spark.createDataFrame([("one", 7, 20.0, "7.png", 5, "t7", ""), ("one", 8, 21.0, "8.png", 6, "t8", "known")], "video_id string, index int, timestamp_sec double, image_file string, dhash long, text string, description string"))
+    slides = got.withColumn("description", F.lit("")).unionByName(
+        spark.createDataFrame(
+            [("one", 7, 20.0, "7.png", 5, "t7", ""), ("one", 8, 21.0, "8.png", 6, "t8", "known")],
+            "video_id string, index int, timestamp_sec double, image_file string, dhash long, text string, description string",
+        )
+    )
     told, missing = media.describe(slides, images, Describer)
     assert {r["index"]: r["description"] for r in told.collect()} == {0: "a chart", 1: media.NO_CONTENT, 7: "", 8: "known"}
     assert [(r["index"], r["error"]) for r in missing.collect()] == [(7, "no such picture")]
@@ -343,7 +417,9 @@ def test_frames_and_descriptions(spark):
 
 class Recogniser:
     def read(self, content, path):
-        return json.dumps({"transcription": [{"timestamps": {"from": "00:00:00,000", "to": "00:00:04,510"}, "text": content.decode()}], "result": {"language": "en"}})
+        return json.dumps(
+            {"transcription": [{"timestamps": {"from": "00:00:00,000", "to": "00:00:04,510"}, "text": content.decode()}], "result": {"language": "en"}}
+        )
 
 
 def test_transcribing(spark):
@@ -351,7 +427,10 @@ def test_transcribing(spark):
 
     videos = spark.createDataFrame([("/v/one.mp4", b" hello "), ("/v/two.mp4", b"there")], "path string, content binary")
     got, failed = media.transcribe(videos, None, Recogniser, titles=spark.createDataFrame([("one", "A talk")], "video_id string, title string"))
-    assert {(r["video_id"], r["title"], r["full_text"], r["duration_sec"]) for r in got.collect()} == {("one", "A talk", "hello", 4.5), ("two", "two", "there", 4.5)}
+    assert {
+        (r["video_id"], r["title"], r["full_text"], r["duration_sec"])
+        for r in got.collect()
+    } == {("one", "A talk", "hello", 4.5), ("two", "two", "there", 4.5)}
     assert failed.count() == 0
 
 

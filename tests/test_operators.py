@@ -28,7 +28,11 @@ def test_clean_and_dedup(spark):
 
 
 def test_coerce_accepts_all_encodings(spark):
-    data = [("", "Named", None, "desc", '"A, B"', None, "Room", "f", None, "9:00", None), ("T", None, "a", None, '["A", "B"]', "Tr", None, "", "t", None, ["x"]), ("T2", None, "a", None, '[{"name": "A", "company": "C"}, {"name": "B"}]', "", "", "", "", "", [])]
+    data = [
+        ("", "Named", None, "desc", '"A, B"', None, "Room", "f", None, "9:00", None),
+        ("T", None, "a", None, '["A", "B"]', "Tr", None, "", "t", None, ["x"]),
+        ("T2", None, "a", None, '[{"name": "A", "company": "C"}, {"name": "B"}]', "", "", "", "", "", []),
+    ]
     got = sessions.coerce(spark.createDataFrame(data, schema("raw_session")))
     first, second, third = got.collect()
     assert (first["title"], first["abstract"], first["track"], first["time"]) == ("Named", "desc", "Room", "9:00")
@@ -39,7 +43,13 @@ def test_coerce_accepts_all_encodings(spark):
 def test_matching_is_greedy_and_one_to_one(spark):
     s = sessions.dedup(sessions.normalize(make_sessions(spark)))
     r = spark.createDataFrame(
-        [("v1", "Kubernetes at scale!", 900.0, "x"), ("v2", "kubernetes at scale", 900.0, "y"), ("v3", "Something else entirely", 90.0, "short"), ("v4", "", 0.0, "z"), ("v5", "Tracing with OpenTelemetry", 0.0, "w")],
+        [
+            ("v1", "Kubernetes at scale!", 900.0, "x"),
+            ("v2", "kubernetes at scale", 900.0, "y"),
+            ("v3", "Something else entirely", 90.0, "short"),
+            ("v4", "", 0.0, "z"),
+            ("v5", "Tracing with OpenTelemetry", 0.0, "w"),
+        ],
         "video_id string, title string, duration_sec double, full_text string",
     )
     got = {x["title"]: x["video_id"] for x in matching.match_recordings(s, r).collect()}
@@ -57,8 +67,13 @@ def test_similar_pairs_equal_brute_force(spark):
 
 
 def test_alignment(spark):
-    slides = spark.createDataFrame([("v", 0, 10.0, "one", ""), ("v", 1, 20.0, "", "pic")], "video_id string, pos int, ts double, text string, description string")
-    said = spark.createDataFrame([("v", 0, 5.0, "before", None), ("v", 1, 10.0, "on", "A"), ("v", 2, 20.0, "edge", None), ("v", 3, 99.0, " ", None)], "video_id string, seq int, start double, text string, speaker string")
+    slides = spark.createDataFrame(
+        [("v", 0, 10.0, "one", ""), ("v", 1, 20.0, "", "pic")], "video_id string, pos int, ts double, text string, description string"
+    )
+    said = spark.createDataFrame(
+        [("v", 0, 5.0, "before", None), ("v", 1, 10.0, "on", "A"), ("v", 2, 20.0, "edge", None), ("v", 3, 99.0, " ", None)],
+        "video_id string, seq int, start double, text string, speaker string",
+    )
     text = alignment.aligned_text(slides, said).first()["slide_aligned"]
     assert text == "[SLIDE 1 at 0m10s]\nOCR: one\n[TRANSCRIPT]\n[A] on\n\n[SLIDE 2 at 0m20s]\nVLM: pic\n[TRANSCRIPT]\nedge"
 
@@ -86,14 +101,19 @@ def test_presence_counts_slots(spark):
 
 
 def test_best_evidence_keeps_the_first_of_equals(spark):
-    df = spark.createDataFrame([("a", "case_study", 0), ("a", "case_study", 1), ("b", "what", 2), ("", "benchmarked", 3)], "technology string, evidence_quality string, pos int")
+    df = spark.createDataFrame(
+        [("a", "case_study", 0), ("a", "case_study", 1), ("b", "what", 2), ("", "benchmarked", 3)],
+        "technology string, evidence_quality string, pos int",
+    )
     assert sorted(rows(aggregates.best_evidence(df), "technology", "pos")) == [("a", 0), ("b", 2)]
 
 
 def test_resolve_three_tiers(spark):
     titles = spark.createDataFrame([("A - x", 0), ("A - y", 1), ("Abcdefghij long", 2)], "title string, pos int")
     w = spark.createDataFrame([("A - y",), ("A",), ("Abcdefghij",), ("zz",), ("",)], "wanted string")
-    assert dict(rows(matching.resolve_titles(w, titles), "wanted", "resolved")) == {"A - y": "A - y", "A": "A - x", "Abcdefghij": "Abcdefghij long", "zz": None, "": None}
+    assert dict(rows(matching.resolve_titles(w, titles), "wanted", "resolved")) == {
+        "A - y": "A - y", "A": "A - x", "Abcdefghij": "Abcdefghij long", "zz": None, "": None
+    }
 
 
 def test_knn_prefix_property(spark):
@@ -108,7 +128,10 @@ def test_filters_before_and_after(spark):
 
 
 def test_validation(spark):
-    s = spark.createDataFrame([("s1", "said Ann Lee and presented by Max Muster 40% {x_y}", [("Kubernetes", "c", True), ("Nope", "c", False), ("", "c", False)])], "section_id string, prose string, citations array<struct<talk_title:string,claim:string,needs_quote:boolean>>")
+    s = spark.createDataFrame(
+        [("s1", "said Ann Lee and presented by Max Muster 40% {x_y}", [("Kubernetes", "c", True), ("Nope", "c", False), ("", "c", False)])],
+        "section_id string, prose string, citations array<struct<talk_title:string,claim:string,needs_quote:boolean>>",
+    )
     people = aggregates.known_people(make_sessions(spark))
     grounded = spark.createDataFrame([("41%",)], "percentage string")
     titles = spark.createDataFrame([("Kubernetes at scale",)], "title string")
@@ -117,7 +140,10 @@ def test_validation(spark):
 
 
 def test_appendix_by_cluster(spark):
-    talks = spark.createDataFrame([("A", "sum", ["k"], "e", "p", ["t"], 0)], "title string, summary string, key_takeaways array<string>, evidence_quality string, speaker_perspective string, tools_and_projects array<string>, _pos int")
+    talks = spark.createDataFrame(
+        [("A", "sum", ["k"], "e", "p", ["t"], 0)],
+        "title string, summary string, key_takeaways array<string>, evidence_quality string, speaker_perspective string, tools_and_projects array<string>, _pos int",
+    )
     agenda = spark.createDataFrame([([("deep", "", ["A", "B"], [], []), ("brief", "", ["A"], [], [])], [], "", {}, {})], schema("agenda"))
     outline = spark.createDataFrame([("", "by_cluster", 1, [("s", "t", "cluster_deep_dive", "deep", 1, 1, "", [])])], schema("outline"))
     got = rows(reports.appendix(talks, spark.createDataFrame([], schema("ranking")), agenda, outline, "by_cluster"), "title", "cluster", "summary")
@@ -125,7 +151,10 @@ def test_appendix_by_cluster(spark):
 
 
 def test_enrichment_split(spark):
-    s = spark.createDataFrame([("a", "cluster_deep_dive", [("t", "c", True)] * 5), ("b", "landscape", [("t", "c", True)])], "section_id string, section_type string, citations array<struct<talk_title:string,claim:string,needs_quote:boolean>>")
+    s = spark.createDataFrame(
+        [("a", "cluster_deep_dive", [("t", "c", True)] * 5), ("b", "landscape", [("t", "c", True)])],
+        "section_id string, section_type string, citations array<struct<talk_title:string,claim:string,needs_quote:boolean>>",
+    )
     deep, rest = reports.enrichment_split(s)
     assert rows(deep, "section_id", F.size("to_quote")) == [("a", 3)] and rows(rest, "section_id") == [("b",)]
 
@@ -143,7 +172,9 @@ def test_json_schema():
 def test_resolving_takes_the_part_before_the_speaker(spark):
     titles = spark.createDataFrame([("Scaling Kube - Jane, Acme", 0), ("Scaling Kube - Other", 1)], "title string, pos int")
     w = spark.createDataFrame([("Scaling Kube - Keynote",), ("Scaling",), ("Scaling Kubernetes",)], "wanted string")
-    assert dict(rows(matching.resolve_titles(w, titles), "wanted", "resolved")) == {"Scaling Kube - Keynote": "Scaling Kube - Jane, Acme", "Scaling": "Scaling Kube - Jane, Acme", "Scaling Kubernetes": None}
+    assert dict(rows(matching.resolve_titles(w, titles), "wanted", "resolved")) == {
+        "Scaling Kube - Keynote": "Scaling Kube - Jane, Acme", "Scaling": "Scaling Kube - Jane, Acme", "Scaling Kubernetes": None
+    }
 
 
 def test_best_titles_equal_brute_force(spark):
@@ -166,7 +197,11 @@ def test_best_titles_equal_brute_force(spark):
             if scored:
                 score, title = min(scored)
                 want[i] = (title, min(1.0, -score))
-        got = matching.best_titles(spark.createDataFrame(asked, "candidate_id long, text string"), spark.createDataFrame([(x,) for x in titles], "title string"), strict)
+        got = matching.best_titles(
+            spark.createDataFrame(asked, "candidate_id long, text string"),
+            spark.createDataFrame([(x,) for x in titles], "title string"),
+            strict,
+        )
         assert {r["candidate_id"]: (r["title"], r["score"]) for r in got.collect()} == want and want
 
 
