@@ -109,6 +109,42 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM f LEFT JOIN q USING (source)"""
 
 
+def _url_sql() -> str:
+    """op4 in SQL: tokens, their counts, sets of up to LONGEST tokens by joins of a URL's tokens with themselves, verdicts."""
+    bound = "(({k} / {n}) + {z2} / (2 * {n}) - {z} * sqrt(({k} / {n}) * (1 - ({k} / {n})) / {n} + {z2} / (4 * {n} * {n}))) / (1 + {z2} / {n})"
+    wilson = lambda k, n: bound.format(k=k, n=n, z=url_rules.Z, z2=url_rules.Z * url_rules.Z)
+    fits = sorted(url_rules.RULES, key=lambda r: -len(r[1] + r[2]))
+    explicit = " ".join(f"WHEN (host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}') THEN '{v} {h}{p}'" for v, h, p in fits)
+    sets = []
+    for size in range(1, url_rules.LONGEST + 1):
+        names = [f"i{j}" for j in range(size)]
+        joins = " ".join(f"JOIN i {b} ON {b}.r = {a}.r AND {b}.token > {a}.token" for a, b in zip(names, names[1:]))
+        needed = ", ".join(f"{x}.token" for x in names)
+        sets.append(f"SELECT [{needed}] AS needed FROM i i0 {joins} GROUP BY {needed} HAVING count(*) >= (SELECT least_rows FROM b)")
+    listed = lambda prefix, parts: f"list_transform(list_filter({parts}, lambda x: x <> ''), lambda x: '{prefix}=' || x)"
+    words = "list_filter(regexp_split_to_array(lower(path), '[/._-]+'), lambda x: NOT regexp_matches(x, '[0-9]'))"
+    query = r"string_split(lower(regexp_extract(coalesce(url, ''), '\?([^#]*)', 1)), '&')"
+    fragment = "lower(regexp_extract(coalesce(url, ''), '#(.*)$', 1))"
+    return rf"""WITH u AS (SELECT row_number() OVER () AS r, page_id, url, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) END AS rest FROM pages),
+h AS (SELECT r, page_id, url, coalesce(translate(regexp_extract(rest, '^[^/?#]*'), '{line_dedup.UPPER}', '{line_dedup.LOWER}'), '') AS host,
+  coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path FROM u),
+t AS (SELECT *, list_distinct(['host=' || host] || {listed("h", "string_split(host, '.')")} || {listed("p", words)} || {listed("q", query)}
+  || {listed("f", f"[{fragment}]")}) AS tokens FROM h),
+g AS (SELECT doc_id, avg(coalesce(quality = 0 OR toxic = 1, quality = 0, toxic = 1)::INTEGER) AS poor FROM labels WHERE doc_id IS NOT NULL GROUP BY 1),
+l AS (SELECT r, tokens, poor >= 0.5 AS blocked FROM t JOIN g ON doc_id = try_cast(regexp_extract(path, '([0-9]{{1,18}})(?:\.[A-Za-z]+)?/?$', 1) AS BIGINT) WHERE poor IS NOT NULL),
+b AS (SELECT greatest({url_rules.LEAST_ROWS}, ceil({url_rules.SUPPORT} * count(*)))::BIGINT AS least_rows FROM l),
+k AS (SELECT token, count(*) AS n, count(*) FILTER (blocked) AS hits FROM (SELECT unnest(tokens) AS token, blocked FROM l) GROUP BY 1),
+j AS (SELECT r, token, row_number() OVER (PARTITION BY r ORDER BY {wilson("hits", "n")} DESC, token) AS nth
+  FROM (SELECT r, unnest(tokens) AS token FROM l WHERE blocked) JOIN k USING (token) WHERE hits >= (SELECT least_rows FROM b)),
+i AS (SELECT r, token FROM j WHERE nth <= {url_rules.MINED}),
+s AS ({" UNION ALL ".join(sets)}),
+c AS (SELECT needed, count(*) AS n, count(*) FILTER (blocked) AS hits FROM s JOIN l ON list_has_all(tokens, needed) GROUP BY 1),
+m AS (SELECT needed FROM c WHERE hits >= (SELECT least_rows FROM b) AND {wilson("hits", "n")} >= {url_rules.CONFIDENCE}),
+x AS (SELECT *, CASE {explicit} END AS fit FROM t)
+SELECT page_id, host, path, split_part(fit, ' ', 2) AS rule,
+  coalesce(split_part(fit, ' ', 1), CASE WHEN EXISTS (SELECT 1 FROM m WHERE list_has_all(x.tokens, needed)) THEN 'block' ELSE 'allow' END) AS verdict FROM x"""
+
+
 _HOST_SQL = _host_sql()
 
 ORACLE_SQL: dict[str, str] = {
@@ -129,6 +165,7 @@ b AS (SELECT d.r, doc_id, source, coalesce(n_words, 0)::BIGINT AS n_words, coale
   FROM d LEFT JOIN m USING (r) LEFT JOIN l USING (r)),
 f AS (SELECT *, n_words < {host_rules.LEAST_WORDS} OR 100 * n_repeat_words > {host_rules.MOST_REPEATED} * n_words AS base_failed FROM b),
 {_HOST_SQL}""",
+    "op4_url_filters": _url_sql(),
     "op5_exact_top_k": f"""
 WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor({metric_tree.SCALE} * x::DOUBLE)) AS e FROM embeddings
   WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),

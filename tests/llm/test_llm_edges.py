@@ -356,6 +356,31 @@ def test_mined_rules_and_verdicts_equal_brute_force(spark):
     assert all((verdicts[i] == "block") == any(of(w) <= of(s) for w in want) for i, (s, _) in enumerate(rows))
 
 
+def test_mined_verdicts_equal_sql(spark, tmp_path):
+    import duckdb
+
+    from talkloom.llm.queries import ORACLE_SQL, QUERIES
+
+    rng, pages, labels = np.random.default_rng(4), [], []
+    for i in range(400):
+        host, word, key = rng.choice(["a.org", "B.com", "www.c.net", "d.example.org"]), rng.choice(["buy", "read", "fr"]), rng.choice(["x=1", "y=2", ""])
+        pages.append((i, f"https://{host}/{word}/{i}.html?{key}&id={i}#top" if i % 50 else None if i else "no scheme"))
+        if i % 3:
+            bad = rng.random() < (0.97 if word == "buy" and key == "x=1" or host == "B.com" else 0.1)
+            labels.append((i, int(not bad), 0))
+    labels += [(None, 0, 1), (1, None, None)]
+    spark.createDataFrame(pages, "page_id long, url string").write.parquet(f"{tmp_path}/pages.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    con = duckdb.connect()
+    for name in ("pages", "labels"):
+        con.sql(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'")
+    want = sorted(con.sql(ORACLE_SQL["op4_url_filters"]).fetchall(), key=lambda r: r[0])
+    got = sorted((tuple(r) for r in QUERIES["op4_url_filters"](spark, str(tmp_path)).collect()), key=lambda r: r[0])
+    assert got == want
+    mined = [r[4] for r in got if r[3] is None]
+    assert 50 < mined.count("block") < len(mined) - 50
+
+
 def test_few_labels_make_no_rules_and_many_parameters_no_explosion(spark):
     import time
 
