@@ -4,11 +4,10 @@ from __future__ import annotations
 
 import re
 from datetime import UTC, datetime
-from pathlib import Path
 
 from pyspark.sql import DataFrame
 
-from talkloom.sources.artifacts import write_text
+from talkloom.sources.artifacts import read_text, remove_pages, write_text
 
 
 def rows(df: DataFrame) -> list[dict]:
@@ -152,10 +151,13 @@ def book(
     images: dict[str, list[tuple[str, str]]] | None = None,
 ) -> list[str]:
     """A book's sources: index, a chapter for each section, thin briefs merged in one, appendix and table of contents. Old pages go."""
-    src = Path(folder) / "src"
-    src.mkdir(parents=True, exist_ok=True)
-    for old in src.glob("*.md"):
-        old.unlink()
+    remove_pages(f"{folder}/src")
+    written: list[str] = []
+
+    def write(page: str, text: str) -> None:
+        write_text(f"{folder}/src/{page}", text)
+        written.append(page)
+
     anchors = {a["title"]: f"appendix.md#{slug(a['title'])}" for a in appendix}
     thin = [s for s in sections if s.get("thin")]
     chapters = [s for s in sections if not s.get("thin")]
@@ -165,8 +167,8 @@ def book(
         f"- **{role}**: " + ", ".join(f"[{g['title']}]({links.get(g['title'], '')})" for g in guide if g["role"] == role)
         for role in dict.fromkeys(g["role"] for g in guide)
     )
-    write_text(
-        str(src / "index.md"),
+    write(
+        "index.md",
         "\n\n".join(
             p
             for p in [
@@ -183,25 +185,24 @@ def book(
     for s in chapters:
         page = cross_references(f"# {s['title']}\n\n{s['prose']}\n", anchors, links, s.get("section_type") in synthesis)
         shown = pictures(images, s.get("section_type"), "../../")
-        write_text(str(src / links[s["title"]]), page + (f"\n{shown}\n" if shown else ""))
+        write(links[s["title"]], page + (f"\n{shown}\n" if shown else ""))
         toc.append(f"- [{s['title']}]({links[s['title']]})")
     if thin:
-        write_text(
-            str(src / "briefs.md"),
+        write(
+            "briefs.md",
             "# Brief Notes\n\n" + "\n\n".join(cross_references(f"## {s['title']}\n\n{s['prose']}", anchors, links, False) for s in thin) + "\n",
         )
         toc.append("- [Brief Notes](briefs.md)")
     if appendix:
-        write_text(str(src / "appendix.md"), "# Appendix\n\n" + "\n\n".join(appendix_entry(a) for a in appendix) + "\n")
+        write("appendix.md", "# Appendix\n\n" + "\n\n".join(appendix_entry(a) for a in appendix) + "\n")
         toc.append("- [Appendix](appendix.md)")
-    write_text(str(src / "SUMMARY.md"), "\n".join(toc) + "\n")
-    return sorted(p.name for p in src.glob("*.md"))
+    write("SUMMARY.md", "\n".join(toc) + "\n")
+    return sorted(set(written))
 
 
 def add_to_summary(path: str, links: dict[str, str]) -> None:
     """Append links that an existing table of contents lacks."""
-    file = Path(path)
-    text = file.read_text(encoding="utf-8") if file.exists() else "# Summary\n"
+    text = read_text(path, "# Summary\n")
     new = [f"- [{title}]({target})" for title, target in links.items() if f"({target})" not in text]
     if new:
-        file.write_text(text.rstrip("\n") + "\n" + "\n".join(new) + "\n", encoding="utf-8")
+        write_text(path, text.rstrip("\n") + "\n" + "\n".join(new) + "\n")

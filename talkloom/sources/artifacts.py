@@ -121,13 +121,46 @@ def append_results(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
+def _remote(path: str):
+    """Hadoop's file system and path for a path that names one (hdfs://, s3a://, ...); None for plain local paths."""
+    spark = SparkSession.getActiveSession()
+    if "://" not in path or spark is None:
+        return None
+    fs_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return fs_path.getFileSystem(spark._jsc.hadoopConfiguration()), fs_path
+
+
 def write_text(path: str, text: str) -> None:
-    """A report file, on the driver."""
+    """A report file, written by the driver."""
+    if remote := _remote(path):
+        out = remote[0].create(remote[1], True)
+        out.write(bytearray(text.encode("utf-8")))
+        out.close()
+        return
     target = Path(path)
     target.parent.mkdir(parents=True, exist_ok=True)
     target.write_text(text, encoding="utf-8")
 
 
+def read_text(path: str, default: str = "") -> str:
+    """A report file's text; ``default`` where there is none."""
+    if remote := _remote(path):
+        if not remote[0].exists(remote[1]):
+            return default
+        return SparkSession.getActiveSession().read.text(path, wholetext=True).first()["value"]
+    return Path(path).read_text(encoding="utf-8") if Path(path).exists() else default
+
+
+def remove_pages(folder: str) -> None:
+    """Delete the Markdown files of a folder."""
+    if remote := _remote(f"{folder}/*.md"):
+        for found in remote[0].globStatus(remote[1]) or []:
+            remote[0].delete(found.getPath(), False)
+        return
+    for old in Path(folder).glob("*.md"):
+        old.unlink()
+
+
 def media(spark: SparkSession, path: str, pattern: str = "*.mp4") -> DataFrame:
     """Landed media: path, modificationTime, length, and content, which is read only if asked for."""
     return spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path)

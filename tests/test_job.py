@@ -461,3 +461,16 @@ def test_steps_are_told_of(caplog):
         raise ValueError
     text = " ".join(r.getMessage() for r in caplog.records)
     assert "[clean] 1 of 2" in text and "[clean] done in" in text and "[bad] failed" in text
+
+
+def test_reports_go_to_any_file_system(spark, tmp_path):
+    root = f"file://{tmp_path}/reports"
+    render.add_to_summary(f"{root}/SUMMARY.md", {"A": "a.md"})
+    render.add_to_summary(f"{root}/SUMMARY.md", {"A": "a.md", "B": "b.md"})
+    assert artifacts.read_text(f"{root}/SUMMARY.md") == "# Summary\n- [A](a.md)\n- [B](b.md)\n" and artifacts.read_text(f"{root}/none.md", "x") == "x"
+    section = {"section_id": "s", "title": "One", "prose": "See *T*.", "section_type": "maturity", "thin": False}
+    for folder in (f"{root}/book", f"{tmp_path}/book"):
+        artifacts.write_text(f"{folder}/src/old.md", "old")
+        pages = render.book(folder, "N", "thesis", {"summary": "s"}, [section, section | {"title": "Two", "thin": True}], [{"title": "T"}], [], {"maturity": [("images/m.svg", "M")]})
+        assert pages == ["SUMMARY.md", "appendix.md", "briefs.md", "index.md", "one.md"] and not artifacts.exists(spark, f"{folder}/src/old.md")
+        assert "*[T](appendix.md#t)*" in artifacts.read_text(f"{folder}/src/one.md") and "![M](../../images/m.svg)" in artifacts.read_text(f"{folder}/src/one.md")
