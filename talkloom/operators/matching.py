@@ -230,23 +230,25 @@ def best_titles(candidates: DataFrame, titles: DataFrame, strict: bool = False)
     A title that shares half of n tokens has one at least of any n - n/2 + 1 of them. So candidates meet titles on their
     rarest tokens alone, and what meets is counted on all.
     """
-    asked = candidates.select("candidate_id", filled("text").alias("text"), tokens("text").alias("mine"))
+    hashed = lambda c: F.transform(tokens(c), lambda x: F.xxhash64(x))
+    asked = candidates.select("candidate_id", filled("text").alias("text"), hashed("text").alias("mine"))
     least = 4 if strict else 2
-    real = titles.select("title").where("title is not null").distinct()
-    word = real.select("title", F.explode(tokens("title")).alias("token"))
+    real = titles.select("title").where("title is not null").distinct().withColumn("tid", F.md5("title"))
+    theirs = real.select("tid", hashed("title").alias("theirs"))
+    word = theirs.select("tid", F.explode("theirs").alias("token"))
     known = word.groupBy("token").agg(F.count("*").alias("held_by"))
     fits = asked.where(F.size("mine") >= least).select("candidate_id", "mine")
     held = fits.select("candidate_id", F.size("mine").alias("n"), F.explode("mine").alias("token")).join(known, "token")
     # Tokens that no title has come first: they are rarest, and stand for themselves only by their number.
     by_rarity = held.groupBy("candidate_id", "n").agg(F.array_sort(F.collect_list(F.struct("held_by", "token"))).alias("held"))
     lead = F.col("n") - F.ceil(F.col("n") / 2).cast("int") + 1 - (F.col("n") - F.size("held"))
-    asks = by_rarity.where(lead > 0).select("candidate_id", "n", "held", F.explode(F.slice("held", F.lit(1), lead)).alias("x"))
-    met = asks.select("candidate_id", "n", F.transform("held", lambda h: h["token"]).alias("mine"), F.col("x.token").alias("token")).join(word, "token")
-    met = met.groupBy("candidate_id", "n", "title").agg(F.first("mine").alias("mine"))
-    shared = met.withColumn("shared", F.size(F.array_intersect("mine", tokens("title"))))
+    asks = by_rarity.where(lead > 0).select("candidate_id", F.explode(F.slice("held", F.lit(1), lead)).alias("x"))
+    met = asks.select("candidate_id", F.col("x.token").alias("token")).join(word, "token").select("candidate_id", "tid").distinct()
+    met = met.join(by_rarity.select("candidate_id", "n", F.transform("held", lambda h: h["token"]).alias("mine")), "candidate_id")
+    shared = met.join(theirs, "tid").withColumn("shared", F.size(F.array_intersect("mine", "theirs")))
     shared = shared.withColumn("score", F.col("shared") / F.col("n")).where("score >= 0.5" + (" and shared >= 3" if strict else ""))
-    same = asked.join(real, F.col("text") == F.col("title")).select("candidate_id", "title", F.lit(2.0).alias("score"))
-    every = shared.select("candidate_id", "title", "score").unionByName(same)
+    same = asked.join(real, F.md5("text") == F.col("tid")).where("text = title").select("candidate_id", "title", F.lit(2.0).alias("score"))
+    every = shared.join(real, "tid").select("candidate_id", "title", "score").unionByName(same)
     w = Window.partitionBy("candidate_id").orderBy(F.desc("score"), "title")
     best = every.withColumn("nth", F.row_number().over(w)).where("nth = 1")
     return best.select("candidate_id", "title", F.least(F.lit(1.0), "score").alias("score"))
