@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talkloom.llm import host_rules, html_text, language, line_dedup, metric_tree, mixing, packing, quality_model, simhash, url_rules
+from talkloom.llm import host_rules, html_text, language, line_dedup, metric_tree, mixing, packing, quality_model, simhash, tiered_index, url_rules
 from talkloom.llm.common import table
 
 
@@ -68,6 +68,11 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+def op11_ranked_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = table(spark, sf_dir, "benchmark")
+    return tiered_index.search(tiered_index.build(table(spark, sf_dir, "documents"), tiered_index.item_terms(items)), items)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -81,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_quality_classifier,
         op9_language_id,
         op10_html_extraction,
+        op11_ranked_lexical_search,
     )
 }
 
@@ -146,6 +152,8 @@ SELECT page_id, host, path, split_part(fit, ' ', 2) AS rule,
 
 
 _HOST_SQL = _host_sql()
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+_LOWERED = f"translate(coalesce(text, ''), '{line_dedup.UPPER}', '{line_dedup.LOWER}')"
 
 ORACLE_SQL: dict[str, str] = {
     "op2_host_quality_rules": rf"""
@@ -200,4 +208,17 @@ s AS (SELECT key, max(doc_id) AS last FROM k WHERE length(key) >= {line_dedup.LE
 m AS (SELECT k.*, coalesce(doc_id <> last, false) AS goes FROM k LEFT JOIN s USING (key))
 SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (goes) AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT goes), '')) AS kept_sha256 FROM m GROUP BY r""",
+    "op11_ranked_lexical_search": rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWERED}, '{_TERM}') AS words FROM documents),
+s AS (SELECT r, doc_id, len(words)::BIGINT AS n, words FROM d WHERE len(words) > 0),
+c AS (SELECT count(*)::BIGINT AS n_docs, sum(n)::BIGINT AS n_terms FROM s),
+p AS (SELECT r, term, count(*)::BIGINT AS tf FROM (SELECT r, unnest(words) AS term FROM s) GROUP BY r, term),
+w AS (SELECT term, floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1)))::BIGINT AS weight FROM p, c GROUP BY term, n_docs),
+i AS (SELECT i, item_id, unnest(list_distinct(regexp_extract_all({_LOWERED}, '{_TERM}'))) AS term
+  FROM (SELECT row_number() OVER () AS i, * FROM benchmark)),
+x AS (SELECT i, item_id, r, sum(weight * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * n_docs) // n_terms))))::BIGINT AS score
+  FROM i JOIN w USING (term) JOIN p USING (term) JOIN s USING (r), c GROUP BY i, item_id, r),
+k AS (SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank
+  FROM x JOIN s USING (r) WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM k WHERE rank <= 50""",
 }
