@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talkloom.llm import host_rules, html_text, language, line_dedup, metric_tree, mixing, packing, quality_model, simhash, tiered_index, url_rules
+from talkloom.llm import count_tree, host_rules, html_text, language, line_dedup, metric_tree, mixing, packing, quality_model, simhash, tiered_index, url_rules
 from talkloom.llm.common import table
 
 
@@ -73,6 +73,10 @@ def op11_ranked_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tiered_index.search(tiered_index.build(table(spark, sf_dir, "documents"), tiered_index.item_terms(items)), items)
 
 
+def op12_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_tree.similar_sets(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -87,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_language_id,
         op10_html_extraction,
         op11_ranked_lexical_search,
+        op12_ngram_jaccard_join,
     )
 }
 
