@@ -318,27 +318,20 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             part = batch.slice(start, 256)
             sets = [shingles(x, known) for x in utf8(part.column(2))]
             mine = [i for i, (h, own) in enumerate(zip(sets, part.column(1).to_pylist())) if _key(h) == own]
-            taken = [part.column(0).take(pa.array(mine, pa.int64())), pa.array([sets[i].tobytes() for i in mine], pa.binary())]
+            ends = np.cumsum([0, *(len(sets[i]) for i in mine)]).astype(np.int32)
+            flat = np.concatenate([np.zeros(0, np.uint64), *(sets[i] for i in mine)]).view(np.int64)
+            taken = [part.column(0).take(pa.array(mine, pa.int64())), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))]
             yield pa.RecordBatch.from_arrays(taken, names=["node", "shingles"])
 
 
-def _agree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows (u, v, a, b): whether the sets a and b link."""
-    for batch in batches:
-        links = []
-        for a, b in zip(batch.column(2), batch.column(3)):
-            x, y = (np.frombuffer(s.as_buffer(), np.uint64) for s in (a, b))
-            links.append(bool(enough(len(np.intersect1d(x, y, assume_unique=True)), len(x), len(y))))
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(links, pa.bool_())], names=["u", "v", "links"])
-
-
 def _verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
     """Add to pairs (u, v) whether the nodes' sets link; sets are made again of one text (place, text) of each node."""
     asked = pairs.select("u").union(pairs.select("v")).distinct().toDF("node")
     of_node = texts.join(nodes.select("node", "place", "own").join(asked, "node", "left_semi"), "place").dropDuplicates(["place", "node"])
-    sets = cut(of_node.select("node", "own", "text").mapInArrow(_sets, "node long, shingles binary"), "sets")
+    sets = cut(of_node.select("node", "own", "text").mapInArrow(_sets, "node long, shingles array<long>"), "sets")
     both = pairs.join(sets.toDF("u", "a"), "u").join(sets.toDF("v", "b"), "v")
-    return cut(both.select("u", "v", "a", "b").mapInArrow(_agree, "u long, v long, links boolean"), "verified")
+    links = enough(F.size(F.array_intersect("a", "b")), F.size("a"), F.size("b"))
+    return cut(both.select("u", "v", links.alias("links")), "verified")
 
 
 def _trees(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
