@@ -34,7 +34,7 @@ def shared_folder(spark: SparkSession) -> str:
 def checkpointed(df: DataFrame) -> DataFrame:
     """Cut the lineage in the shared folder of spark.checkpoint.dir (see shared_folder)."""
     spark = df.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.applicationId not in _dirs:
+    if spark.sparkContext.getCheckpointDir() is None:  # where spark.checkpoint.dir is set, Spark has set it
         spark.sparkContext.setCheckpointDir(shared_folder(spark))
     return df.checkpoint()
 
