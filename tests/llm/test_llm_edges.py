@@ -396,13 +396,13 @@ def test_few_labels_make_no_rules_and_many_parameters_no_explosion(spark):
 
 def brute_top(rows, k):
     ok = [
-        (i, tuple(np.floor(256 * np.asarray(v, float)).astype(int)))
-        for i, v in rows if i is not None and v is not None and len(v) and None not in v and np.isfinite(v).all()
+        (i, tuple(int(x) for x in np.floor(256 * np.asarray(v, float))))
+        for i, v in rows if i is not None and v is not None and None not in v and np.isfinite(256 * np.asarray(v, float)).all()
     ]
     out = []
     for q, x in {(i, v) for i, v in ok if i % 5 == 0}:
-        best = sorted((-int(np.dot(x, v)), i) for i, v in ok if i != q and len(v) == len(x))[:k]
-        out += [(q, n + 1, i, -s) for n, (s, i) in enumerate(best)]
+        best = sorted((-sum(a * b for a, b in zip(x, v)), i) for i, v in ok if i != q and len(v) == len(x))[:k]
+        out += [(q, n + 1, i, -s if -(1 << 63) <= -s < 1 << 63 else None) for n, (s, i) in enumerate(best)]
     return sorted(out)
 
 
@@ -417,6 +417,23 @@ def test_top_k_equals_brute_force(spark, n):
     assert sorted(map(tuple, got.collect())) == brute_top(rows, 5)
 
 
+@pytest.mark.parametrize("large", [2e6, 5e6, 2e7, 3e7, 1e9, 1e15, 1e30, 1e160, 1e300])
+def test_top_k_of_vectors_of_any_size(spark, large):
+    rng = np.random.default_rng(11)
+    rows = [(i, [float(x) for x in rng.normal(size=4) * (large if i % 7 == 0 else 1)]) for i in range(300)]
+    rows += [(1000, [1e9, 1.0, 0.0, 0.0]), (1005, [1e9, 1.0, 0.0, 0.0]), (1010, [1e308, 0.0, 0.0, 0.0]), (1015, [0.0] * 4), (1020, []), (1021, []), (1025, [])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = metric_tree.top_k(df, lambda c: c % 5 == 0, tops=4, page=4, node_bytes=16 * 32)
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(brute_top(rows, 5), key=str)
+
+
+def test_keys_of_scores_compare_as_scores_do():
+    rng = np.random.default_rng(12)
+    scores = sorted({0, 1, -1, 255, 256, -255, -256, *(int(x) ** p * s for x in rng.integers(1, 1 << 60, 50) for p in (1, 2, 9) for s in (1, -1))})
+    keys = [metric_tree.order_key(x) for x in scores]
+    assert keys == sorted(keys) and len(set(keys)) == len(keys)
+
+
 def test_top_k_of_one_vector_that_fills_a_third(spark):
     rng = np.random.default_rng(4)
     rows = [(i, [0.25, -0.5] if i % 3 == 0 else [float(x) for x in rng.normal(size=2)]) for i in range(300)]
