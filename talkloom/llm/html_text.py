@@ -3,11 +3,15 @@
 A page becomes blocks of text, each under an element of the page's tree and with the tag path from the root to it. For
 each path the page's text length (link text counts a tenth) and punctuation are summed over its blocks and divided by the
 number of blocks. Both ratios are smoothed over the paths before and after, fused by the root of their product and
-weighed by a prior of the path's tags and marks; paths above a part of the page's best are content. Content blocks then
-bring in what stands among them: the other blocks of the elements that hold them (headings, short paragraphs, lists).
+weighed by a prior of the path's tags and marks. Paths above a part of the page's best are content where they also hold a
+share of the text of their zone (the outermost article or main around them, else the element around them), and zones a share
+of that of the largest. A zone's content then brings in what stands between its blocks, paragraphs and list items of a
+lower ratio at its edges, and headings that content follows. What only stands beside it (a closing line, remarks of readers,
+lists of links and their headings) stays out, in an article too.
 
 An ``article`` or ``main`` is a prior and no more: pages without one are read by their ratios alone. Class, id and role
-tokens count only as whole tokens, and never on inline elements or headings. Time and memory are linear in the page.
+tokens count as whole tokens, and less surely by their first and last part; never on inline elements or headings. Time and
+memory are linear in the page.
 """
 
 from __future__ import annotations
@@ -47,6 +51,15 @@ SELDOM_MARKS = frozenset(
     "banner sponsor promo promotion header masthead reply replies consent notice alert popup modal subscribe signup share sharing"
     " social related recommended pagination pager toolbar widget search dialog".split()
 )
+#: Marks of what readers write, which count on an article too, and parts of tokens that make a part of a page a seldom one.
+READERS = frozenset("comment comments comment-list comments-area respond reply replies disqus disqus_thread".split())
+SELDOM_PARTS = frozenset(
+    "ad ads advert adverts comment comments consent cookie cookies gdpr newsletter popular promo promotion recommended related replies share sharing"
+    " sidebar signup social sponsor sponsored subscribe trending".split()
+)
+#: Elements that hold text as such, and elements around them that are no boxes of their own.
+TEXTUAL = frozenset("p li dd dt blockquote pre td th figcaption caption summary".split())
+PLAIN = TEXTUAL | HOLDS | frozenset("ul ol dl table thead tbody tfoot tr section figure details hgroup".split())
 #: Elements that end an open paragraph when they begin, and what bounds the search for it.
 ENDS_P = frozenset(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section summary table ul".split()
@@ -62,9 +75,11 @@ ENDS_LIKE = {
     "th": (("td", "th"), ("tr", "table")),
 }
 
-#: Production parameters: a path is content if its weighed ratio reaches this part of the page's highest; the priors of
-#: holders, headings and seldom marks; what a character of link text counts for.
-PART_OF_BEST = 0.1
+#: Production parameters: a path is content if its weighed ratio reaches this part of the page's highest (shares of text are held
+#: to half of that part, and zones, paragraphs and list items at the edges to a fifth); blocks between a heading and the content
+#: that it may head; the priors of holders, headings and seldom marks; what a character of link text counts for.
+PART_OF_BEST = 0.5
+AHEAD = 4
 HOLDER, HEADING, SELDOM = 2.0, 2.0, 0.03
 LINK = 0.1
 
@@ -116,9 +131,10 @@ def prior_of(name: str, attributes: dict[str, str], held: bool) -> float:
     prior = HOLDER if name in HOLDS and not held else HEADING if name in HEADINGS else 1.0
     if attributes and name not in HEADINGS and name not in ("html", "body"):
         marks = {t for a in ("class", "id", "role") for t in attributes.get(a, "").lower().split()}
-        if name not in HOLDS and not marks.isdisjoint(NEVER_MARKS):
+        if not marks.isdisjoint(READERS if name in HOLDS and not held else NEVER_MARKS):
             return 0.0
-        if not marks.isdisjoint(SELDOM_MARKS):
+        parts = {p for t in marks if "-" in t or "_" in t for p in (re.split("[-_]", t, maxsplit=1)[0], re.split("[-_]", t)[-1])}
+        if not (marks.isdisjoint(SELDOM_MARKS) and parts.isdisjoint(SELDOM_PARTS)):
             prior *= SELDOM
     return prior
 
@@ -278,43 +294,70 @@ def path_scores(tree: Tree, blocks: list[Block]) -> dict[int, float]:
 
 
 def content_of(tree: Tree, blocks: list[Block], part_of_best: float = PART_OF_BEST) -> list[Block]:
-    """Blocks of content paths, and those that stand among them.
-
-    Among them stand, if they bear no mark of their own: all blocks within an article or main that holds content, blocks
-    within the parent of a content block that are not mostly links, and, where that parent is the whole page, those of
-    them between its first and last content block and a heading before.
-    """
+    """Blocks of content paths, and those that they bring in: see the module's description."""
     if not blocks:
         return []
     scores = path_scores(tree, blocks)
-    least = part_of_best * max(scores.values())
-    chosen = [scores[tree.path[b.node]] >= least for b in blocks]
-    holders, parents, top = set(), set(), [i for i, b in enumerate(blocks) if chosen[i] and tree.name[tree.parent[b.node]] in ("", "html", "body")]
-    holder_of: list[int] = [0]  # the outermost article or main around each element, 0 for none
+    heading = [tree.name[b.node] in HEADINGS for b in blocks]
+    best = max((scores[tree.path[b.node]] for b, h in zip(blocks, heading) if not h), default=0.0) or max(scores.values())
+    holder, plain = [0], [True]  # of each element: the outermost article or main; whether there is no box between it and its zone
+    top = [True]  # whether it is the page, html or body
     for n in range(1, len(tree.parent)):
-        holder_of.append(holder_of[tree.parent[n]] or (n if tree.name[n] in HOLDS else 0))
-    for b, c in zip(blocks, chosen):
+        p = tree.parent[n]
+        holder.append(holder[p] or (n if tree.name[n] in HOLDS else 0))
+        top.append(top[p] and tree.name[n] in ("html", "body"))
+        plain.append((plain[p] or not holder[n]) and tree.name[n] in PLAIN)
+    zone = [holder[b.node] or (0 if top[tree.parent[b.node]] else tree.parent[b.node]) for b in blocks]
+    own = [len(b.text) - (1 - LINK) * b.links for b in blocks]
+    good = [not h and scores[tree.path[b.node]] >= part_of_best * best for b, h in zip(blocks, heading)]
+    if not any(good):  # headings alone
+        good = [scores[tree.path[b.node]] >= part_of_best * best for b in blocks]
+    of_path: dict[tuple[int, int], float] = {}  # text of each zone's good paths, and of the largest of them
+    of_zone: dict[int, float] = {}
+    for b, z, size, g in zip(blocks, zone, own, good):
+        if g:
+            of_path[z, tree.path[b.node]] = of_path.get((z, tree.path[b.node]), 0) + size
+            of_zone[z] = of_zone.get(z, 0) + size
+    largest: dict[int, float] = {}
+    for (z, _), size in of_path.items():
+        largest[z] = max(largest.get(z, 0), size)
+    most = max(of_zone.values())
+    chosen = [
+        g
+        and of_zone[z] >= part_of_best / 5 * most
+        and (plain[b.node] and tree.name[b.node] in TEXTUAL or of_path[z, tree.path[b.node]] >= part_of_best / 2 * largest[z])
+        for b, z, g in zip(blocks, zone, good)
+    ]
+    first: dict[int, int] = {}
+    last: dict[int, int] = {}
+    for i, (z, c) in enumerate(zip(zone, chosen)):
         if c:
-            if holder_of[b.node]:
-                holders.add(holder_of[b.node])
-            if tree.name[tree.parent[b.node]] not in ("", "html", "body"):
-                parents.add(tree.parent[b.node])
-    # What an element is among: the prior of the nearest element around it that brings others in, and whether that holds.
-    among: list[tuple[float, bool] | None] = [None]
+            first.setdefault(z, i)
+            last[z] = i
+    within = [0]  # of each element the nearest zone of content around it; boxed: whether a box stands between
+    boxed = [False]
     for n in range(1, len(tree.parent)):
-        around = among[tree.parent[n]]
-        among.append((tree.prior[n], True) if n in holders else around if around and around[1] else (tree.prior[n], False) if n in parents else around)
-    first, end = (top[0], top[-1]) if top else (0, -1)
-    out = []
-    for i, (b, c) in enumerate(zip(blocks, chosen)):
-        if not c and (around := among[b.node]):
-            own = tree.prior[b.node] / (HEADING if tree.name[b.node] in HEADINGS else 1)
-            c = own >= around[0] and (around[1] or 2 * b.links <= len(b.text))
-        if not c and first <= i <= end or i == first - 1 and tree.name[b.node] in HEADINGS:
-            c = c or tree.prior[b.node] >= 1 and 2 * b.links <= len(b.text)
-        if c:
-            out.append(b)
-    return out
+        p = tree.parent[n]
+        within.append(n if n in first else within[p])
+        boxed.append(n not in first and (boxed[p] or tree.name[n] not in PLAIN))
+    out = list(chosen)
+    for i, b in enumerate(blocks):
+        z = within[b.node]
+        if chosen[i] or heading[i] or z not in first or 2 * b.links > len(b.text) or tree.prior[b.node] < (tree.prior[z] if z else 1):
+            continue
+        edge = z and not boxed[b.node] and tree.name[b.node] in TEXTUAL and scores[tree.path[b.node]] >= part_of_best / 5 * best
+        out[i] = first[z] < i < last[z] or bool(edge)
+    for i in range(len(blocks) - 2, -1, -1):  # from the end, since a heading may head another
+        b, z = blocks[i], within[blocks[i].node]
+        if not heading[i] or out[i] or tree.prior[b.node] < HEADING * (tree.prior[z] if z else 1):
+            continue
+        for j in range(i + 1, min(len(blocks), i + 1 + AHEAD)):
+            if out[j]:
+                out[i] = j == i + 1 or within[blocks[j].node] == z
+                break
+            if 2 * blocks[j].links > len(blocks[j].text) or heading[j] and tree.name[blocks[j].node] <= tree.name[b.node]:
+                break
+    return [b for b, c in zip(blocks, out) if c]
 
 
 def main_text(html: str | None, part_of_best: float = PART_OF_BEST) -> str:

@@ -106,3 +106,74 @@ def test_path_ratios_equal_a_plain_computation():
     assert [(b.text, b.links) for b in blocks] == [(r[2], r[3]) for r in rows]
     got = html_text.path_scores(tree, blocks)
     assert [got[tree.path[b.node]] for b in blocks] == pytest.approx([plain_scores(rows)[r[0]] for r in rows])
+
+
+@pytest.mark.parametrize(
+    "beside",
+    [
+        "<div>Copyright 2024 Acme Corp. All rights reserved.</div>",
+        "<div>Bob: Great read, thanks!</div><div>Eve: I don't agree.</div>",
+        f"<article class='comment'><p>{LONG}</p></article>",
+        "<div id='cookie-bar'><p>We use cookies, as all do. Accept them?</p></div>",
+        f"<div class='ad-container'><p>{LONG}</p></div>",
+        f"<div class='newsletter-signup'><p>{LONG}</p></div>",
+        "<div class='related-posts'><h3>Related</h3><ul><li>One more thing</li></ul></div>",
+        "<h3>Popular</h3><ul><li><a href=/1>One story</a></li><li><a href=/2>Another story</a></li></ul>",
+        "<div><h3>Comments</h3><div>Nice one.</div></div>",
+    ],
+)
+@pytest.mark.parametrize("around", ["article", "div", "main"])
+def test_what_stands_beside_the_content_stays_out(beside, around):
+    body = f"<h1>Title</h1><p>{LONG}</p><h2>Part</h2><p>{LONG} {LONG}</p><ul><li>one short item</li></ul><p>{LONG} Ok.</p>"
+    page = f"<body><div><a href=/>Home</a> <a href=/b>About</a></div><{around}>{body}{beside}</{around}></body>"
+    assert main_text(page) == "\n\n".join(["Title", LONG, "Part", f"{LONG} {LONG}", "one short item", f"{LONG} Ok."])
+
+
+def made_page(rng):
+    """(html, blocks of the article): a page of boxes without classes or telling tags."""
+    words = lambda n: " ".join("".join(rng.choices("abcdefghiklmnoprstu", k=rng.randint(2, 9))) for _ in range(n))
+    sentence = lambda: words(rng.randint(6, 18)).capitalize() + rng.choice([".", ".", ", " + words(5) + ".", "; " + words(7) + "?"])
+    paragraph = lambda: " ".join(sentence() for _ in range(rng.randint(1, 6)))
+    links = lambda n: "<ul>" + "".join(f"<li><a href=/{i}>{words(rng.randint(1, 6))}</a></li>" for i in range(n)) + "</ul>"
+    blocks, body = [words(5)], []
+    body.append(f"<h1>{blocks[0]}</h1>")
+    for _ in range(rng.randint(1, 4)):
+        for _ in range(rng.randint(1, 4)):
+            blocks.append(paragraph())
+            body.append(f"<p>{blocks[-1]}</p>")
+        if rng.random() < 0.5:
+            items = [words(rng.randint(3, 8)) for _ in range(rng.randint(2, 4))]
+            blocks += items
+            body.append("<ul>" + "".join(f"<li>{x}</li>" for x in items) + "</ul>")
+            blocks.append(paragraph())
+            body.append(f"<p>{blocks[-1]}</p>")
+        blocks += [words(3), paragraph()]
+        body.append(f"<h2>{blocks[-2]}</h2><p>{blocks[-1]}</p>")
+    boxes = [
+        f"<div>{links(rng.randint(4, 9))}</div>",
+        f"<div>{words(4)}, {words(3)}. <a href=/c>{words(2)}</a></div>",
+        f"<div>{''.join(body)}</div>",
+        f"<div><h3>{words(1)}</h3>{links(rng.randint(3, 7))}</div>",
+        f"<div><h3>{words(1)}</h3>" + "".join(f"<div>{words(1)}: {words(rng.randint(2, 9))}.</div>" for _ in range(rng.randint(1, 4))) + "</div>",
+        f"<div>&copy; 2024 {words(2)}. {words(3)}. <a href=/i>{words(1)}</a></div>",
+    ]
+    return f"<html><body>{''.join(boxes)}</body></html>", blocks
+
+
+def test_ratios_decide_on_pages_without_marks():
+    import random
+
+    rng, hit, given, wanted, differ = random.Random(7), 0, 0, 0, 0
+    for _ in range(30):
+        html, blocks = made_page(rng)
+        got = main_text(html).split("\n\n")
+        hit, given, wanted = hit + len(set(got) & set(blocks)), given + len(got), wanted + len(blocks)
+        differ += main_text(html, 0) != main_text(html)
+    assert 2 * hit / (given + wanted) >= 0.95 and differ == 30
+
+
+def test_paragraphs_in_boxes_and_sections_are_content():
+    page = f"<article><p>Short lead, here.</p><div><p>{LONG}</p><p>{LONG} {LONG}</p></div><section><h2>More</h2><p>Brief, too.</p></section></article>"
+    assert main_text(page) == "\n\n".join(["Short lead, here.", LONG, f"{LONG} {LONG}", "More", "Brief, too."])
+    boxes = f"<main><h1>Title</h1><div>{LONG}</div><div>{LONG} {LONG}</div><div>{LONG}</div></main><div>Terms, of use.</div>"
+    assert main_text(boxes) == "\n\n".join(["Title", LONG, f"{LONG} {LONG}", LONG])
