@@ -26,53 +26,57 @@ def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([ratio(x, y) for x, y in zip(a.fillna(""), b.fillna(""))], dtype="float64")
 
 
-def masks_of(a: str) -> dict[str, int]:
-    """For each character the set of its places, as bits."""
-    out: dict[str, int] = {}
-    for i, c in enumerate(a):
-        out[c] = out.get(c, 0) | 1 << i
-    return out
+#: Bits of a number that hold places of a text; the bit above takes the carry of an addition.
+BITS = 63
 
 
-def common_length(masks: dict[str, int], n: int, b: str) -> int:
-    """Length of the longest common subsequence of a string (its masks and length) with b, in one pass of bit operations."""
-    every = (1 << n) - 1
-    s = every
-    for c in b:
-        u = s & masks.get(c, 0)
-        s = (s + u | s - u) & every
-    return n - s.bit_count()
+def common_bounds(a: list[str], b: list[str]) -> np.ndarray:
+    """For each pair of texts no less than the length of its longest common subsequence: exact but for characters taken as one
+    (they agree in their low byte). All pairs advance together, a character of b at a time, by bit operations on as many
+    numbers as the lengths of a ask for; pairs of like lengths go together, so that one very long text does not widen others."""
+    names, texts = ({x: i for i, x in enumerate(dict.fromkeys(side))} for side in (a, b))
+    of_a, of_b = np.array([names[x] for x in a], np.int64), np.array([texts[x] for x in b], np.int64)
+    return _common(list(names), list(texts), of_a, of_b)
+
+
+def _common(names: list[str], texts: list[str], of_a: np.ndarray, of_b: np.ndarray) -> np.ndarray:
+    """common_bounds() of pairs of places in two lists."""
+    out, n, m = np.zeros(len(of_a), np.int64), np.array([len(x) for x in names])[of_a], np.array([len(x) for x in texts])[of_b]
+    words = np.maximum(1, -(-n // BITS))
+    left = np.lexsort((m, words))
+    while len(left):
+        w, widest = int(words[left[0]]), max(64, 2 * int(m[left[0]]))
+        mine = (words[left] == w) & (m[left] <= widest)
+        here, left = left[mine], left[~mine]
+        for at in np.array_split(here, -(-len(here) * w // (1 << 17))):
+            own, place = np.unique(of_a[at], return_inverse=True)
+            out[at] = _advance([names[i] for i in own], place, texts, of_b[at], w)
+    return out
 
 
-def common_bounds(a: list[str], b: list[str]) -> np.ndarray:
-    """For each pair no less than the length of its longest common subsequence: exact but for characters taken as one (they
-    agree in their low byte). All pairs advance together, a character at a time; strings of ``a`` over 63 characters go alone."""
-    out = np.array([min(len(x), len(y)) for x, y in zip(a, b)], np.int64)
-    short = np.flatnonzero(np.array([len(x) <= 63 for x in a], bool))
-    for i in np.setdiff1d(np.arange(len(a)), short):
-        out[i] = common_length(masks_of(a[i]), len(a[i]), b[i])
-    names = {x: i for i, x in enumerate(dict.fromkeys(a[i] for i in short))}
-    table = np.zeros((len(names), 256), np.uint64)
-    for x, i in names.items():
+def _advance(names: list[str], of_a: np.ndarray, texts: list[str], of_b: np.ndarray, words: int) -> np.ndarray:
+    full, n = np.uint64((1 << BITS) - 1), np.array([len(x) for x in names], np.int64)
+    table = np.zeros((words, len(names), 257), np.uint64)  # places of each character in each of a; the last column is for ends of texts
+    every = np.zeros((words, len(names)), np.uint64)
+    for i, x in enumerate(names):
         for j, c in enumerate(x):
-            table[i, ord(c) & 255] |= np.uint64(1 << j)
-    # Strings of b of like length advance together, so that one very long title does not widen all others.
-    short = short[np.argsort([len(b[i]) for i in short], kind="stable")]
-    while len(short):
-        widest = max(64, 2 * len(b[short[0]]))
-        fits = int(np.searchsorted([len(b[i]) for i in short], widest, "right"))
-        mine, short = short[:fits], short[fits:]
-        row = np.array([names[a[i]] for i in mine])
-        texts = np.array([b[i] for i in mine])
-        codes = texts.view(np.uint32).reshape(len(mine), -1) & np.uint32(255) if texts.dtype.itemsize else np.zeros((len(mine), 0), np.uint32)
-        n = np.array([len(a[i]) for i in mine], np.uint64)
-        every = (np.uint64(1) << n) - np.uint64(1)
-        s = every.copy()
-        for j in range(codes.shape[1]):
-            u = s & table[row, codes[:, j]]
-            s = ((s + u) | (s - u)) & every
-        out[mine] = np.minimum(out[mine], n.astype(np.int64) - np.bitwise_count(s))
-    return out
+            table[j // BITS, i, ord(c) & 255] |= np.uint64(1 << j % BITS)
+        for w in range(words):
+            every[w, i] = np.uint64((1 << min(BITS, max(0, len(x) - BITS * w))) - 1)
+    used, row = np.unique(of_b, return_inverse=True)
+    codes = np.full((max((len(texts[i]) for i in used), default=0), len(used)), 256, np.int64)
+    for k, i in enumerate(used):
+        codes[: len(texts[i]), k] = np.frombuffer(texts[i].encode("utf-32-le"), np.uint32) & 255
+    every, table, base = every[:, of_a], table.reshape(words, -1), of_a * 257
+    s = every.copy()
+    for of_text in codes:
+        at, carry = base + of_text[row], None
+        for w in range(words):
+            u = s[w] & table[w][at]
+            total = s[w] + u if carry is None else s[w] + u + carry
+            carry = total >> np.uint64(BITS)
+            s[w] = (total & full | s[w] - u) & every[w]
+    return n[of_a] - np.bitwise_count(s).sum(axis=0, dtype=np.int64)
 
 
 #: Titles, characters and pairs that one cell of the grid of similar_pairs() holds at most, but for one title alone.
@@ -93,17 +97,24 @@ def above(a: list[str], b: list[str], threshold: float) -> list[tuple[int, int,
     Matching blocks are a common subsequence: no pair can have more of them than characters in common, nor than its longest
     common subsequence. Both bounds are taken for whole batches; ratios of what is left only.
     """
-    of_a, of_b, out = _histograms(a), _histograms(b), []
-    lengths = np.array([len(x) for x in b])
+    of_a, of_b = _histograms(a), _histograms(b)
+    lengths, near = np.array([len(x) for x in b]), []
     for i, x in enumerate(a):
-        both = lengths + len(x)
-        near = np.flatnonzero(2 * np.minimum(of_b, of_a[i]).sum(axis=1) > threshold * both)
-        if len(near):
-            near = near[2 * common_bounds([x] * len(near), [b[j] for j in near]) > threshold * both[near]]
-        for j in near:
-            if (score := SequenceMatcher(None, x, b[j]).ratio()) > threshold:
-                out.append((i, int(j), score))
-    return out
+        mine = np.flatnonzero(2 * np.minimum(of_b, of_a[i]).sum(axis=1) > threshold * (lengths + len(x)))
+        near.append(np.stack([np.full(len(mine), i), mine]))
+    left, right = np.concatenate(near, axis=1) if near else np.zeros((2, 0), np.int64)
+    both = np.array([len(x) for x in a], np.int64)[left] + lengths[right]
+    out = np.flatnonzero(2 * _common(a, b, left, right) > threshold * both)
+    found, matcher, last = [], SequenceMatcher(None), -1
+    out = out[np.argsort(right[out], kind="stable")]
+    for i, j in zip(left[out].tolist(), right[out].tolist()):  # what a matcher learns of its second text serves all pairs with it
+        if j != last:
+            matcher.set_seq2(b[j])
+            last = j
+        matcher.set_seq1(a[i])
+        if (score := matcher.ratio()) > threshold:
+            found.append((i, j, score))
+    return found
 
 
 def similar_pairs(left: DataFrame, right: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -146,21 +157,36 @@ def similar_pairs(left: DataFrame, right: DataFrame, threshold: float = THRESHOL
     return pairs.join(right_ids.select(F.col("id").alias("right_id"), F.col("key").alias("b")), "b").select("left_id", "right_id", "score")
 
 
+#: Rounds of assign() before what is left is decided by connected components.
+ROUNDS = 6
+
+
 def assign(candidates: DataFrame, left_pos: str = "left_id", right_pos: str = "right_id") -> DataFrame:
     """Greedy one-to-one: each left row, in order, takes its best free right row; ties go to the first.
 
-    The assignment is sequential by definition. It runs apart for each connected component of the candidates, which
-    cannot affect each other, so a task holds one cluster of alike titles and no more.
+    Sequential by definition, but most rows need not wait: if of all rows that could take its best free partner a left row is
+    the first, nothing that is decided elsewhere can change its choice. Each round lets all such rows choose at once, by
+    aggregates over pairs; their pairs and those of their partners go. Chains of rows that wait for each other over more
+    than ROUNDS rounds are decided within their connected components, of which a task holds one (as pairs of numbers).
     """
     from talkloom.operators.components import components
     from talkloom.sources.artifacts import checkpointed
 
-    candidates = checkpointed(candidates)  # used twice below, and costly
-    tagged = candidates.withColumn("l", F.concat(F.lit("l"), F.col("left_id").cast("string"))).withColumn(
+    kinds = dict(candidates.dtypes)
+    left = checkpointed(candidates.select("left_id", "right_id", "score").dropDuplicates(["left_id", "right_id"]))
+    chosen = []
+    for _ in range(ROUNDS):
+        if left.isEmpty():
+            break
+        best = left.groupBy("left_id").agg(F.min(F.struct((-F.col("score")).alias("score"), F.col("right_id").alias("right_id"))).alias("b"))
+        first = left.groupBy("right_id").agg(F.min("left_id").alias("first"))
+        picks = best.select("left_id", F.col("b.right_id").alias("right_id"), (-F.col("b.score")).alias("score")).join(first, "right_id")
+        picks = checkpointed(picks.where(F.col("first") == F.col("left_id")).select("left_id", "right_id", "score"))
+        chosen.append(picks)
+        left = checkpointed(left.join(picks.select("left_id"), "left_id", "left_anti").join(picks.select("right_id"), "right_id", "left_anti"))
+    tagged = left.withColumn("l", F.concat(F.lit("l"), F.col("left_id").cast("string"))).withColumn(
         "r", F.concat(F.lit("r"), F.col("right_id").cast("string"))
     )
-    member = components(tagged, "l", "r")
-    grouped = tagged.join(member, F.col("l") == F.col("node")).select("root", "left_id", "right_id", "score")
 
     def greedy(rows: pd.DataFrame) -> pd.DataFrame:
         taken, out = set(), []
@@ -172,8 +198,15 @@ def assign(candidates: DataFrame, left_pos: str = "left_id", right_pos: str = "r
                     break
         return pd.DataFrame(out, columns=["left_id", "right_id", "score"])
 
-    kinds = dict(candidates.dtypes)
-    return grouped.groupBy("root").applyInPandas(greedy, f"left_id {kinds['left_id']}, right_id {kinds['right_id']}, score double")
+    shape = f"left_id {kinds['left_id']}, right_id {kinds['right_id']}, score double"
+    if left.isEmpty():
+        rest = left.sparkSession.createDataFrame([], shape)
+    else:
+        grouped = tagged.join(components(tagged, "l", "r"), F.col("l") == F.col("node")).select("root", "left_id", "right_id", "score")
+        rest = grouped.groupBy("root").applyInPandas(greedy, shape)
+    for more in chosen:
+        rest = rest.unionByName(more)
+    return rest.select("left_id", "right_id", "score")
 
 
 def match_recordings(sessions: DataFrame, recordings: DataFrame, shortest: float = 120.0) -> DataFrame:

@@ -1,5 +1,9 @@
 """Operators on small hand-made artifacts, one row for each trap."""
 
+import random
+
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from talkloom.operators import aggregates, alignment, chunks, hashes, matching, ordering, reports, retrieval, sessions, validation
@@ -213,8 +217,6 @@ def test_containing_equals_brute_force(spark):
 
 
 def test_nearest_of_each_equal_brute_force(spark):
-    import numpy as np
-
     rng = np.random.default_rng(1)
     vectors = [[float(x) for x in rng.normal(size=8)] for _ in range(300)]
     vectors += vectors[:20]  # ties go to the smaller id
@@ -232,8 +234,6 @@ def test_nearest_of_each_equal_brute_force(spark):
 
 
 def test_one_very_long_title_among_many(spark):
-    import numpy as np
-
     a, b = ["short title"] * 2000 + ["x" * 300], ["short titel"] * 2000 + ["x" * 200_000]
     bounds = matching.common_bounds(a, b)
     assert (bounds[:2000] >= 10).all() and bounds[2000] == 300 and isinstance(bounds, np.ndarray)
@@ -269,3 +269,47 @@ def test_hashed_terms_equal_a_plain_computation():
         h = xxhash.xxh64_intdigest(word)
         want[h % providers.DIMS] += n if h >> 32 & 1 else -n
     assert np.allclose(got[0], want / np.linalg.norm(want)) and got[1] == [0.0] * providers.DIMS
+
+
+def greedy(pairs):
+    taken, out = set(), []
+    for left in sorted({p[0] for p in pairs}):
+        for _, right, score in sorted((-p[2], p[1], p[2]) for p in pairs if p[0] == left):
+            if right not in taken:
+                taken.add(right)
+                out.append((left, right, score))
+                break
+    return sorted(out)
+
+
+def test_common_bounds_of_long_texts_hold():
+    rng = random.Random(3)
+    texts = ["".join(rng.choices("abcde ", k=n)) for n in (0, 1, 62, 63, 64, 126, 127, 200, 400)] + ["x" * 300, "é" * 130 + "a"]
+
+    def longest(a, b):
+        row = [0] * (len(b) + 1)
+        for c in a:
+            was = 0
+            for j, d in enumerate(b):
+                was, row[j + 1] = row[j + 1], was + 1 if c == d else max(row[j + 1], row[j])
+        return row[-1]
+
+    for a in texts:
+        assert list(matching.common_bounds([a] * len(texts), texts)) == [longest(a, b) for b in texts]
+
+
+@pytest.mark.parametrize("n", [0, 1, 30, 200])
+def test_assignment_by_rounds_is_the_sequential_one(spark, n):
+    rng = random.Random(n)
+    pairs = list({(rng.randrange(n), rng.randrange(n)): (rng.choice([0.7, 0.8, 0.9, rng.random()])) for _ in range(3 * n)}.items())
+    pairs = [(a, b, s) for (a, b), s in pairs]
+    df = spark.createDataFrame(pairs, "left_id long, right_id long, score double")
+    assert sorted(rows(matching.assign(df), "left_id", "right_id", "score")) == greedy(pairs)
+
+
+def test_long_chains_of_alike_titles_are_assigned(spark):
+    """Each row would rather have the one before it's partner: decided in order only."""
+    pairs = [(i, i, 0.8) for i in range(300)] + [(i + 1, i, 0.9) for i in range(300)]
+    pairs += [(1000 + i, 1000 + j, 0.7) for i in range(20) for j in range(25)]  # titles all alike
+    df = spark.createDataFrame(pairs, "left_id long, right_id long, score double")
+    assert sorted(rows(matching.assign(df), "left_id", "right_id", "score")) == greedy(pairs)
