@@ -530,6 +530,27 @@ def hamming_dedup(spark, d):
     return hashes.dedup_frames(v, 24).select(F.col("video_id").cast("int").alias("label"), F.col("index").alias("vec_id"))
 
 
+#: Hashes of 60 bits in families of like ones: a family's own, with five bits turned that depend on the row.
+_TURNED = (1, 7, 11, 13, 17)
+
+
+@query(
+    f"""WITH RECURSIVE v AS (SELECT vec_id, {"xor(" * len(_TURNED)}('0x' || left(md5((vec_id % 40)::VARCHAR), 15))::BIGINT
+  {"".join(f", 1::BIGINT << ((vec_id * {k}) % (20 + {k}))::INTEGER)" for k in _TURNED)} AS h, row_number() OVER (ORDER BY vec_id) AS n FROM embeddings),
+f AS (SELECT vec_id, n, [h] AS kept, true AS stays FROM v WHERE n = 1
+  UNION ALL SELECT v.vec_id, v.n, CASE WHEN near = 0 THEN list_append(kept, v.h) ELSE kept END, near = 0
+  FROM f JOIN v ON v.n = f.n + 1, LATERAL (SELECT len(list_filter(kept, lambda k: bit_count(xor(k, v.h)) <= 6)) AS near))
+SELECT vec_id FROM f WHERE stays"""
+)
+def frame_dedup(spark, d):
+    """All rows as one video's frames."""
+    h = F.conv(F.substring(F.md5((F.col("vec_id") % 40).cast("string")), 1, 15), 16, 10).cast("long")
+    for k in _TURNED:
+        h = h.bitwiseXOR(F.expr(f"shiftleft(1L, cast((vec_id * {k}) % (20 + {k}) as int))"))
+    v = t(spark, d, "embeddings").select(F.lit("v").alias("video_id"), F.col("vec_id").alias("index"), h.alias("dhash"))
+    return hashes.dedup_frames(v).select(F.col("index").alias("vec_id"))
+
+
 @query(f"WITH h AS (SELECT vec_id, {_HASH} AS h FROM embeddings) SELECT a.vec_id, bit_count(xor(a.h, b.h))::INTEGER AS bits FROM h a, h b WHERE b.vec_id = 0")
 def hamming_distance(spark, d):
     v = t(spark, d, "embeddings").select("vec_id", vector.sign_hash(F.col("embedding")).alias("h"))

@@ -313,3 +313,43 @@ def test_long_chains_of_alike_titles_are_assigned(spark):
     pairs += [(1000 + i, 1000 + j, 0.7) for i in range(20) for j in range(25)]  # titles all alike
     df = spark.createDataFrame(pairs, "left_id long, right_id long, score double")
     assert sorted(rows(matching.assign(df), "left_id", "right_id", "score")) == greedy(pairs)
+
+
+def slow_frames(frames, most):
+    kept, out = {}, []
+    for video, at, h in sorted(frames, key=lambda f: (f[0] or "", f[1], f[2] if f[2] is not None else 0)):
+        mine = kept.setdefault(video, [])
+        if h is None:
+            out.append((video, at, h))
+        elif all(bin((h ^ k) & (1 << 64) - 1).count("1") > most for k in mine):
+            mine.append(h)
+            out.append((video, at, h))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("most", [0, 3, 6, 24])
+def test_frames_by_rounds_are_those_of_the_fold(spark, most):
+    rng, frames = random.Random(most), []
+    for video, n in (("a", 250), ("b", 40), (None, 30), ("", 3)):
+        base = [rng.getrandbits(64) - (1 << 63) for _ in range(4)]
+        for i in range(n):
+            h = rng.choice(base)
+            for _ in range(rng.randrange(9)):
+                h ^= 1 << rng.randrange(63)
+            frames.append((video, i // 2, h))
+    frames += [("a", 3, None), ("c", 0, None), ("a", 7, frames[7][2]), frames[5], (frames[9][0], frames[9][1], frames[10][2])]
+    frames = list(dict.fromkeys(frames))
+    df = spark.createDataFrame(frames, "video_id string, index int, dhash long")
+    assert sorted(rows(hashes.dedup_frames(df, most), "video_id", "index", "dhash"), key=str) == slow_frames(frames, most)
+
+
+def test_frames_that_drift_and_wait_for_each_other(spark):
+    """Each frame is near the one before it: every second stays, decided in order over more rounds than are taken."""
+    h, frames = 0, []
+    for i in range(120):
+        frames.append(("v", i, h))
+        for k in range(4):
+            h ^= 1 << (i * 4 + k) % 63
+    df = spark.createDataFrame(frames, "video_id string, index int, dhash long")
+    assert sorted(rows(hashes.dedup_frames(df), "video_id", "index", "dhash"), key=str) == slow_frames(frames, 6)
+    assert hashes.dedup_frames(df.limit(0)).count() == 0
