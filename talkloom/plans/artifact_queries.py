@@ -5,12 +5,14 @@ The SQL states each rule anew, on its own terms or as a table of cases worked ou
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from talkloom.functions import entities, grounding, text, time, vector
-from talkloom.operators import aggregates, alignment, chunks, hashes, matching, ordering, reports, retrieval, sessions, validation
-from talkloom.plans import queries, transcripts
+from talkloom.operators import aggregates, alignment, chunks, hashes, matching, ordering, reports, retrieval, sessions, validation, vector_index
+from talkloom.plans import providers, queries, transcripts
 from talkloom.plans.registry import query, t
 from talkloom.sources import artifacts
 
@@ -1071,6 +1073,39 @@ def index_build(spark, d):
     return counted.join(even, "chunk_type", "left").select("chunk_type", "n", F.coalesce("found", F.lit(0)).alias("found"))
 
 
+@query(
+    """WITH s AS (SELECT p.vec_id AS probe, v.vec_id, round(1 - list_cosine_similarity(v.embedding::DOUBLE[], p.embedding::DOUBLE[]), 6) AS distance
+  FROM embeddings v, embeddings p WHERE p.vec_id < 5),
+r AS (SELECT *, row_number() OVER (PARTITION BY probe ORDER BY distance, vec_id) AS n FROM s)
+SELECT probe, vec_id, distance FROM r WHERE n <= 15"""
+)
+def index_search(spark, d):
+    """Five questions to an index of all vectors, answered exactly by its cells."""
+    path = f"{artifacts.shared_folder(spark)}/index"
+    v = t(spark, d, "embeddings").select(F.col("vec_id").alias("id"), "embedding")
+    vector_index.refresh(v, path, lambda rows: rows)
+    asked = [(r["id"], r["embedding"]) for r in v.where("id < 5").collect()]
+    found = [vector_index.search(spark, path, q, digits=6).select(F.lit(i).cast("long").alias("probe"), F.col("id").alias("vec_id"), "distance") for i, q in asked]
+    return functools.reduce(DataFrame.unionByName, found)
+
+
+@query(
+    """SELECT doc_id::VARCHAR AS id, md5(coalesce(text, '')) AS text_key,
+  CASE WHEN doc_id % 50 = 7 OR doc_id % 60 = 11 THEN 2 ELSE 1 END::BIGINT AS made FROM documents"""
+)
+def index_refresh(spark, d):
+    """An index of all documents as they were (some other, some not there yet, some that are gone now), brought up to what they
+    are: only what is other or new is embedded again."""
+    path = f"{artifacts.shared_folder(spark)}/index"
+    docs = t(spark, d, "documents").select(as_text("doc_id").alias("id"), "text", "source", "doc_id")
+    draft = F.when(F.col("doc_id") % 50 == 7, F.concat(F.lit("draft "), F.coalesce("text", F.lit("")))).otherwise(F.col("text"))
+    gone = docs.where("doc_id % 70 = 3").withColumn("id", F.concat("id", F.lit("-gone")))
+    before = docs.where("doc_id % 60 <> 11").withColumn("text", draft).unionByName(gone)
+    for rows in (before, docs):
+        vector_index.refresh(rows.drop("doc_id"), path, providers.embed, ["source"])
+    return vector_index.load(spark, path).select("id", F.md5(F.coalesce("text", F.lit(""))).alias("text_key"), "made")
+
+
 @query("SELECT conv_id, max((role = 'user')::INTEGER) AS deep FROM conversations GROUP BY 1")
 def enriched_union(spark, d):
     """Sections to enrich and those that pass through are together all of them."""

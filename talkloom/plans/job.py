@@ -148,7 +148,7 @@ class Job:
         return steps.build_index(chunk_table, self.path("index"))
 
     def ask(self, question: str, k: int = 0, types: list[str] | None = None, track: str | None = None) -> str:
-        row = steps.ask(steps.load_index(self.spark, self.path("index")), question, k or self.config.query.top_k, types, track).first()
+        row = steps.ask(self.path("index"), question, k or self.config.query.top_k, types, track).first()
         return row["answer"]
 
     def visualize(self) -> list[str]:

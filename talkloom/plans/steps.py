@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from talkloom.console import say
 from talkloom.functions import entities, grounding
 from talkloom.functions.text import filled, tokens, urls
 from talkloom.functions.time import clock
-from talkloom.operators import aggregates, alignment, chunks, matching, ordering, reports, retrieval, sessions, validation
+from talkloom.operators import aggregates, alignment, chunks, matching, ordering, reports, retrieval, sessions, validation, vector_index
 from talkloom.plans import providers, synthesis
 from talkloom.plans.synthesis import cluster_members
 from talkloom.schemas import schema
@@ -215,8 +216,9 @@ def all_chunks(
 
 
 def build_index(chunk_table: DataFrame, path: str, make=providers.HashedTerms) -> DataFrame:
-    """Write the vector table, by kind, so that a filter on the kind prunes whole folders; returns the counts."""
-    providers.embed(chunk_table, make).write.mode("overwrite").partitionBy("chunk_type").parquet(path)
+    """Write the vector table, by kind and cell, or bring it up to the chunks (see vector_index.refresh); returns the counts."""
+    done = vector_index.refresh(chunk_table, path, lambda rows: providers.embed(rows, make), ["chunk_type"])
+    say("index", "{embedded} chunks embedded, {kept} kept, {gone} gone".format(**done))
     return chunks.chunk_counts(chunk_table)
 
 
@@ -224,7 +226,7 @@ NO_HITS = "No relevant content found in the index."
 
 
 def ask(
-    index: DataFrame,
+    index: DataFrame | str,
     question: str,
     k: int = 15,
     types: list[str] | None = None,
@@ -232,8 +234,12 @@ def ask(
     embedder=providers.HashedTerms,
     completer=providers.LocalCompleter,
 ) -> DataFrame:
-    """One row (answer, context, hits). A k of 0 is the default."""
-    hits = retrieval.nearest(retrieval.where_metadata(index, types, track), embedder().embed([question])[0], k or 15)
+    """One row (answer, context, hits). A k of 0 is the default. An index given by its path is searched by its cells."""
+    asked, of_interest = embedder().embed([question])[0], lambda rows: retrieval.where_metadata(rows, types, track)
+    if isinstance(index, str):
+        hits = vector_index.search(SparkSession.getActiveSession(), index, asked, k or 15, of_interest)
+    else:
+        hits = retrieval.nearest(of_interest(index), asked, k or 15)
     row = retrieval.context(hits).withColumn("prompt", F.concat(F.coalesce("context", F.lit("")), F.lit(f"\n\nQuestion: {question}")))
     answer = providers.complete(row, "Answer from the context alone and name the sources.", completer)
     return answer.select(F.when(F.col("hits") == 0, NO_HITS).otherwise(F.col("answer.value")).alias("answer"), "context", "hits")
@@ -354,6 +360,6 @@ def validate(sections: DataFrame, schedule: DataFrame, talks: DataFrame) -> tupl
 
 
 def load_index(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    return vector_index.load(spark, path)
 
 
