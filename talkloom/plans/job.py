@@ -2,21 +2,21 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talkloom.console import progress, step
-from talkloom.operators import aggregates, reports
+from talkloom.console import say, step
+from talkloom.operators import aggregates, ordering, reports
 from talkloom.plans import charts, drafting, preflight, providers, render, steps, synthesis
 from talkloom.plans.config import Config
-from talkloom.schemas import schema
+from talkloom.schemas import ddl, schema
 from talkloom.sources import artifacts, listing, schedule
+from talkloom.streaming import work
 from talkloom.streaming.manifest import Manifest
 
-#: Talks that are analysed, and then stored, at once: what a crash loses.
-BATCH = 64
+#: Talks in a file of the work that is still to be done; a batch is a file for each task that can run at a time.
+FILE = 64
+WORK, FAILED = "title string, speakers string, prompt string", "title string, error string"
 #: Warnings shown, words of the word cloud.
 WARNINGS, WORDS = 15, 80
 
@@ -37,6 +37,8 @@ class Job:
 
     def load(self, name: str, kind: str | None = None) -> DataFrame:
         """An artifact, or an empty table of its schema."""
+        if name == "talks":
+            return work.results(self.spark, self.path(name), ddl("talk"))
         if self.has(name):
             return self.spark.read.parquet(self.path(name))
         return self.spark.createDataFrame([], schema(kind or name))
@@ -97,20 +99,7 @@ class Job:
 
     def analyze(self) -> None:
         matched, clean = self.load("matched", "session"), self.load("schedule_clean", "session")
-        done = self.load("talks", "talk") if self.has("talks") else None
-        work = artifacts.checkpointed(steps.talks_to_analyze(matched, done))
-        batches = max(1, math.ceil(work.count() / BATCH))
-        failures = []
-        for b in range(batches):  # each batch is stored before the next is asked for
-            progress("analyze", b, batches)
-            talks, failed = steps.analyze_work(work.where(F.pmod(F.xxhash64("title"), F.lit(batches)) == b), self.make_model, self.waits)
-            artifacts.append_results(talks, self.path("talks"))
-            failures.append(failed)
-        failed = failures[0]
-        for more in failures[1:]:
-            failed = failed.unionByName(more)
-        known = self.load("talks", "talk").select(F.lit(None).cast("string").alias("error"))
-        artifacts.write_artifact(aggregates.failure_share(failed.select("error").unionByName(known)), self.path("talk_failures"))
+        self.ask_about_talks(matched)
         agenda = self.make("agenda", ["talks"], lambda: steps.cluster_talks(self.load("talks", "talk"), clean))
         self.make("ranking", ["agenda"], lambda: steps.rank_clusters(agenda, self.config.analyze.eval_topics))
         placed = self.talks()
@@ -126,6 +115,28 @@ class Job:
         clusters = self.make("clusters", ["agenda", "talks"], synthesized)
         self.make("recordings", ["clusters"], lambda: synthesis.over_all(clusters, self.make_model, self.waits))
 
+    def ask_about_talks(self, matched: DataFrame) -> None:
+        """Have the talks analysed that aren't yet. Talks that failed are tried again by the next run."""
+        queue, paths = f"{self.dir}/work", {"talks": self.path("talks"), "talk_errors": self.path("talk_errors")}
+
+        def answer(batch: DataFrame) -> dict[str, DataFrame]:
+            return dict(zip(paths, steps.analyze_work(batch, self.make_model, self.waits)))
+
+        def drain() -> int:
+            return work.drain(self.spark, queue, WORK, f"{self.dir}/work_progress", answer, paths)
+
+        if left := drain():
+            say("analyze", f"{left} talks that an earlier run had left")
+        todo = artifacts.checkpointed(steps.talks_to_analyze(matched, self.load("talks", "talk")))
+        if not todo.isEmpty():
+            work.enqueue(todo, queue, FILE)
+            say("analyze", f"{drain()} talks")
+        # What is still to be done has failed.
+        known = self.load("talks", "talk")
+        failed = ordering.unprocessed(todo.select("title").distinct(), known, "title").select(F.lit("failed").alias("error"))
+        share = aggregates.failure_share(failed.unionByName(known.select(F.lit(None).cast("string").alias("error"))))
+        artifacts.write_artifact(share, self.path("talk_failures"))
+
     def talks(self) -> DataFrame:
         """The talks in order of the schedule, whatever order their analyses were stored in."""
         talks = self.load("talks", "talk")

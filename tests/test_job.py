@@ -1,6 +1,7 @@
 """The whole job over a hand-made event, and streaming."""
 
 import json
+import shutil
 from pathlib import Path
 
 import pytest
@@ -474,3 +475,66 @@ def test_reports_go_to_any_file_system(spark, tmp_path):
         pages = render.book(folder, "N", "thesis", {"summary": "s"}, [section, section | {"title": "Two", "thin": True}], [{"title": "T"}], [], {"maturity": [("images/m.svg", "M")]})
         assert pages == ["SUMMARY.md", "appendix.md", "briefs.md", "index.md", "one.md"] and not artifacts.exists(spark, f"{folder}/src/old.md")
         assert "*[T](appendix.md#t)*" in artifacts.read_text(f"{folder}/src/one.md") and "![M](../../images/m.svg)" in artifacts.read_text(f"{folder}/src/one.md")
+
+
+def test_work_is_answered_once_a_crash_loses_one_batch(spark, tmp_path):
+    from talkloom.streaming import work
+
+    queue, mark, paths = f"{tmp_path}/queue", f"{tmp_path}/mark", {"out": f"{tmp_path}/out", "odd": f"{tmp_path}/odd"}
+    asked: list[int] = []
+
+    def answer(batch):
+        rows = artifacts.checkpointed(batch)
+        asked.extend(r["i"] for r in rows.collect())
+        return {"out": rows.selectExpr("i", "2 * i AS twice"), "odd": rows.where("i % 2 = 1")}
+
+    drain = lambda f=answer: work.drain(spark, queue, "i long", mark, f, paths, files=1)
+    assert drain() == 0 and work.results(spark, paths["out"], "i long, twice long").count() == 0
+    work.enqueue(spark.range(20).toDF("i").coalesce(1), queue, 5)
+
+    def lost(batch):
+        found = answer(batch)
+        if len(asked) > 10:  # the third batch is stored in part
+            found["out"].withColumn("batch", F.lit("x")).count()
+            raise RuntimeError("lost")
+        return found
+
+    with pytest.raises(Exception, match="lost"):
+        drain(lost)
+    assert len(asked) == 15 and work.results(spark, paths["out"], "i long, twice long").count() == 10
+    assert drain() == 10 and len(asked) == 25 and sorted(asked[:10] + asked[15:]) == list(range(20))  # the lost batch alone is asked again
+    work.enqueue(spark.range(20, 23).toDF("i").coalesce(1), queue, 5)
+    assert drain() == 3 and drain() == 0
+    got = sorted(map(tuple, work.results(spark, paths["out"], "i long, twice long").collect()))
+    assert got == [(i, 2 * i) for i in range(23)]
+    assert sorted(r["i"] for r in work.results(spark, paths["odd"], "i long").collect()) == list(range(1, 23, 2))
+
+
+@pytest.mark.filterwarnings("ignore:unknown setting")
+def test_a_crashed_analysis_goes_on_and_failed_talks_are_tried_again(spark, event, tmp_path, monkeypatch):
+    for name in ("ev/transcripts", "ev/slides"):
+        shutil.copytree(event / name, tmp_path / name)
+    for name in ("ev.toml", "ev/schedule.json"):
+        shutil.copy(event / name, tmp_path / name)
+    job = Job(spark, config.load(str(tmp_path / "ev.toml")))
+    job.collect()
+    matched = job.clean()
+    was = steps.analyze_work
+    monkeypatch.setattr(steps, "analyze_work", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+    with pytest.raises(Exception, match="lost"):
+        job.ask_about_talks(matched)
+    calls = []
+
+    def all_fail(batch, make, waits):
+        calls.append(batch.count())
+        talks, failed = was(batch, make, waits)
+        return talks.limit(0), talks.selectExpr("title", "'no answer' AS error")
+
+    monkeypatch.setattr(steps, "analyze_work", all_fail)
+    job.ask_about_talks(matched)  # what the crash left, and then again, since all of it failed
+    share = job.load("talk_failures").first()
+    assert calls == [4, 4] and share["failed"] == share["n"] == 4 and share["warn"]
+    monkeypatch.setattr(steps, "analyze_work", was)
+    job.ask_about_talks(matched)
+    assert job.load("talks", "talk").count() == 4 and job.load("talk_failures").first()["failed"] == 0
+    assert job.load("talk_errors").count() == 8
