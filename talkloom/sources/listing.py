@@ -74,74 +74,80 @@ def parse(html: str | None) -> Node:
     return builder.root
 
 
-def listed(html: str | None, base: str) -> list[tuple[str, str, str]]:
-    """(url, title, venue) of each session on a listing page, the first of each URL."""
-    out: dict[str, tuple[str, str, str]] = {}
-    for span in parse(html).all("span", "event"):
-        link = span.one("a", "name")
-        if link is None or not link.href.startswith("event/"):
-            continue
-        venue_node = link.one("span", "vs")
-        venue, title = venue_node.text() if venue_node else "", link.text()
-        if venue and title.endswith(venue):
-            title = title[: -len(venue)].strip()
-        url = f"{base}/{link.href}"
-        out.setdefault(url, (url, title, venue))
-    return list(out.values())
-
-
-def detail(html: str | None) -> dict:
-    """abstract, speakers, track, time and tags of a session page; what is not there is empty."""
-    import re
-
-    page = parse(html)
-    about, roles = page.one("div", "tip-description"), page.one("div", "tip-roles")
-    kind, when = page.one("div", "sched-event-type"), page.one("div", "sched-event-details-timeandplace")
-    speakers = []
-    for person in roles.all("div", "sched-person-session") if roles else []:
-        head = person.one("h2")
-        name, company = head.one("a") if head else None, person.one("div", "sched-event-details-role-company")
-        if name:
-            speakers.append({"name": name.text(), "company": company.text() if company else ""})
-    track = kind.one("a") if kind else None
-    fields = page.one("ul", "tip-custom-fields")
-    return {
-        "abstract": about.text("\n", skip=about.one("strong")) if about else "",
-        "speakers": speakers,
-        "track": track.text() if track else "",
-        "time": re.split(r"\s{2,}", when.text(" "))[0] if when else "",
-        "tags": [li.text() for li in fields.all("li")] if fields else [],
-    }
+#: Where the pages of a schedule site hold what. A path names elements (tag.class), each within the one before.
+#: Of a field: its path, and what stands between its pieces of text, or the attribute that it is.
+SESSION, SESSION_FIELDS = "span.event", {"href": ("a.name", "@href"), "title": ("a.name", ""), "venue": ("a.name span.vs", "")}
+PAGE_FIELDS = {"abstract": ("div.tip-description", "\n"), "track": ("div.sched-event-type a", ""), "time": ("div.sched-event-details-timeandplace", " ")}
+PERSON, PERSON_FIELDS = "div.tip-roles div.sched-person-session", {"name": ("h2 a", ""), "company": ("div.sched-event-details-role-company", "")}
+TAG = "ul.tip-custom-fields li"
+#: How links to sessions begin, and the first such element within an abstract is its label.
+LINKS, LABEL = "event/", "strong"
+
+
+def found(node: Node, path: str) -> list[Node]:
+    """What a path leads to: all that the last step finds under the first that those before it find."""
+    *steps, last = (step.partition(".")[::2] for step in path.split())
+    for name, cls in steps:
+        if (node := node.one(name, cls)) is None:
+            return []
+    return node.all(*last)
+
+
+def fields_of(node: Node, fields: dict[str, tuple[str, str]]) -> dict[str, str | None]:
+    """The value of each field, None where the page has no such element."""
+    out: dict[str, str | None] = {}
+    for name, (path, how) in fields.items():
+        first = next(iter(found(node, path)), None)
+        if first is None:
+            out[name] = None
+        else:
+            out[name] = first.href if how == "@href" else first.text(how, skip=first.one(LABEL) if name == "abstract" else None)
+    return out
+
+
+def _read(pages: DataFrame, columns: list[str], each, shape: str) -> DataFrame:
+    """Rows (dicts) that ``each`` makes of a page's values and its tree, under the given shape."""
+    names = [x.split()[0] for x in shape.split(", ")]
+
+    def batch_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = [r for page, html in zip(batch[columns[0]], batch[columns[1]]) for r in each(page, parse(html))]
+            yield pd.DataFrame(rows, columns=names)
+
+    return pages.select(*columns).mapInPandas(batch_of, shape)
 
 
 def listing_sessions(pages: DataFrame, base_col: str = "url", html_col: str = "html") -> DataFrame:
     """(url, title, venue, event_id, _page, _i) of the sessions on listing pages, each URL once."""
+    from talkloom.functions.text import event_id, without_venue
 
-    def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = [(b, i, *x) for b, h in zip(batch[base_col], batch[html_col]) for i, x in enumerate(listed(h, b or ""))]
-            yield pd.DataFrame(rows, columns=["_page", "_i", "url", "title", "venue"])
+    def each(page: str | None, tree: Node) -> Iterator[dict]:
+        for i, session in enumerate(found(tree, SESSION)):
+            yield {"_page": page or "", "_i": i} | fields_of(session, SESSION_FIELDS)
 
-    from talkloom.functions.text import event_id
-
-    rows = pages.select(base_col, html_col).mapInPandas(each, "_page string, _i int, url string, title string, venue string")
+    raw = _read(pages, [base_col, html_col], each, "_page string, _i int, href string, title string, venue string")
+    venue = F.coalesce("venue", F.lit(""))
+    rows = raw.where(F.startswith("href", F.lit(LINKS))).select(
+        "_page", "_i", F.concat("_page", F.lit("/"), "href").alias("url"), without_venue(F.col("title"), venue).alias("title"), venue.alias("venue")
+    )
     return keep_first(rows, F.col("url"), F.col("_page"), F.col("_i")).withColumn("event_id", event_id("url"))
 
 
 def detail_sessions(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """The url and what its page tells."""
+    """The url and what its page tells: abstract, speakers, track, time and tags; what is not there is empty."""
 
-    def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield pd.DataFrame(
-                [{"url": u, **detail(h)} for u, h in zip(batch[url_col], batch[html_col])],
-                columns=["url", "abstract", "speakers", "track", "time", "tags"],
-            )
-
-    return pages.select(url_col, html_col).mapInPandas(
-        each,
-        "url string, abstract string, speakers array<struct<name:string,company:string>>, track string, time string, tags array<string>",
-    )
+    from talkloom.functions.text import time_text
+
+    def each(url: str, tree: Node) -> Iterator[dict]:
+        people = [fields_of(person, PERSON_FIELDS) for person in found(tree, PERSON)]
+        yield {"url": url, "speakers": people, "tags": [tag.text() for tag in found(tree, TAG)]} | fields_of(tree, PAGE_FIELDS)
+
+    shape = "url string, abstract string, speakers array<struct<name:string,company:string>>, track string, time string, tags array<string>"
+    raw = _read(pages, [url_col, html_col], each, shape)
+    named = F.filter("speakers", lambda s: s["name"].isNotNull())
+    told = F.transform(named, lambda s: F.struct(s["name"].alias("name"), F.coalesce(s["company"], F.lit("")).alias("company")))
+    text = lambda c: F.coalesce(c, F.lit(""))
+    return raw.select("url", text("abstract").alias("abstract"), told.alias("speakers"), text("track").alias("track"), text(time_text("time")).alias("time"), "tags")
 
 
 def providers(urls: DataFrame, patterns: DataFrame, url_col: str = "url") -> DataFrame:
