@@ -1,7 +1,7 @@
 """Best-fit packing of documents into sequences of several permitted lengths.
 
-Sizes are words. A bin opens at the permitted length that costs least for each word it may still receive and
-in the end shrinks to the shortest permitted length that holds its contents. Each group of about ``GROUP``
+Sizes are words. A bin opens at the permitted length that costs least for each word which the sizes still to come can fill
+it with, and in the end shrinks to the shortest permitted length that holds its contents. Each group of about ``GROUP``
 items, dealt by a hash of the item, is packed on its own, so tasks stay small and the loss is at most a few
 half-empty bins in a group; texts never move, only ids and sizes do.
 """
@@ -9,7 +9,7 @@ half-empty bins in a group; texts never move, only ids and sizes do.
 from __future__ import annotations
 
 import math
-from bisect import bisect_left, insort
+from bisect import bisect_left, bisect_right, insort
 
 import numpy as np
 import pyarrow as pa
@@ -31,26 +31,43 @@ def cost(length: int, longest: int) -> float:
     return OVERHEAD + length * (1 + length / (4 * longest))
 
 
-def pack_once(sizes: list[int], lengths: list[int], opens: int) -> tuple[list[int], list[int], list[int]]:
+def best_fill(left: list[int], length: int) -> int:
+    """Words that a bin of this length takes of the sizes still to come (sorted), each time the largest that fits."""
+    fill, end = 0, len(left)
+    while end := bisect_right(left, length - fill, 0, end):
+        end -= 1
+        if not left[end]:
+            break
+        fill += left[end]
+    return fill
+
+
+def pack_once(sizes: list[int], lengths: list[int], opens: int | None) -> tuple[list[int], list[int], list[int]]:
     """Pack sizes, given largest first: the bin of each item, each item's offset, and each bin's fill.
 
-    A new bin opens at ``opens`` or, for larger items, at the shortest length that holds the item; once what
-    is left would not fill it, at the length of least cost for each word still to come. An item goes to the
-    open bin in which it leaves the least room.
+    An item goes to the open bin in which it leaves the least room. Where there is none a bin opens. Without ``opens`` its
+    length is chosen for it alone: of all permitted ones that hold the item, the length that costs least for each word which the
+    sizes still to come can fill it with. With ``opens`` it is that length or, for larger items, the shortest that holds the item;
+    once what is left would not fill it, the length of least cost for each word still to come.
     """
     longest, left = lengths[-1], sum(sizes)
     room: list[tuple[int, int]] = []  # of open bins, sorted
     fill: list[int] = []
-    bins, offsets = [], []
+    bins, offsets, coming = [], [], sorted(sizes)
     for size in sizes:
+        coming.pop()  # sizes come largest first
         at = bisect_left(room, (size, -1))
         if at < len(room):
             free, b = room.pop(at)
         else:
             fits = [c for c in lengths if c >= size]
-            if (want := max(opens, fits[0])) > left:
-                want = min(fits, key=lambda c: cost(c, longest) / max(1, min(c, left)))
-            free, b = want, len(fill)
+            if opens is None:
+                held = {c: size + best_fill(coming, c - size) for c in fits}
+                # What a length holds may fit a shorter one, which the bin shrinks to in the end.
+                free = min(fits, key=lambda c: (cost(lengths[bisect_left(lengths, held[c])], longest) / max(1, held[c]), c))
+            elif (free := max(opens, fits[0])) > left:
+                free = min(fits, key=lambda c: cost(c, longest) / max(1, min(c, left)))
+            b = len(fill)
             fill.append(0)
         bins.append(b)
         offsets.append(fill[b])
@@ -62,9 +79,10 @@ def pack_once(sizes: list[int], lengths: list[int], opens: int) -> tuple[list[in
 
 
 def pack_sizes(sizes: list[int], lengths: list[int]) -> tuple[list[int], list[int], list[int], list[int]]:
-    """The cheapest of packing with each permitted length as the one that bins open at: bins, offsets, fills, final lengths."""
+    """The cheapest of packing with lengths chosen bin by bin, and with each length as the one that bins open at: bins, offsets,
+    fills, final lengths."""
     best = None
-    for opens in lengths:
+    for opens in (None, *lengths):
         bins, offsets, fill = pack_once(sizes, lengths, opens)
         final = [lengths[bisect_left(lengths, x)] for x in fill]
         total = sum(cost(c, lengths[-1]) for c in final)

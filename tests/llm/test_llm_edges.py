@@ -62,18 +62,29 @@ def test_packing(spark, odd):
 
 
 def slow_pack(sizes, lengths):
-    """Best fit by looking at every open bin, for each length that bins may open at; the cheapest packing."""
+    """Best fit by looking at every open bin, with opening lengths chosen bin by bin and with each as the one; the cheapest packing."""
     longest, best = lengths[-1], None
-    for opens in lengths:
+    shrunk = lambda x: min(c for c in lengths if c >= x)
+
+    def held(c, size, rest):
+        for x in rest:  # largest first
+            if size + x <= c:
+                size += x
+        return size
+
+    for opens in (None, *lengths):
         left, bins, where = sum(sizes), [], []  # bins: [capacity, fill]
-        for size in sizes:
+        for n, size in enumerate(sizes):
             fits = sorted((c - f, i) for i, (c, f) in enumerate(bins) if c - f >= size and c > f)
             if fits:
                 i = fits[0][1]
             else:
                 able = [c for c in lengths if c >= size]
-                want = max(opens, able[0])
-                if want > left:
+                want = max(opens, able[0]) if opens else 0
+                if not opens:
+                    fills = [(held(c, size, sizes[n + 1 :]), c) for c in able]
+                    want = min((packing.cost(shrunk(f), longest) / max(1, f), c) for f, c in fills)[1]
+                elif want > left:
                     want = min(able, key=lambda c: packing.cost(c, longest) / max(1, min(c, left)))
                 bins.append([want, 0])
                 i = len(bins) - 1
@@ -99,6 +110,46 @@ def test_packing_equals_brute_force():
         assert total <= sum(packing.cost(min(c for c in lengths if c >= x), lengths[-1]) for x in sizes) + 1e-9
 
 
+def cheapest(sizes, lengths):
+    """The least cost of any packing, by trying every way to deal the items into bins."""
+    best = [float("inf")]
+
+    def deal(i, fills):
+        if i == len(sizes):
+            best[0] = min(best[0], sum(packing.cost(min(c for c in lengths if c >= f), lengths[-1]) for f in fills))
+            return
+        for b in range(len(fills)):
+            if fills[b] + sizes[i] <= lengths[-1]:
+                deal(i + 1, fills[:b] + [fills[b] + sizes[i]] + fills[b + 1 :])
+        deal(i + 1, [*fills, sizes[i]])
+
+    deal(0, [])
+    return best[0]
+
+
+def test_packing_is_near_the_least_cost():
+    rng, over, fixed_over = np.random.default_rng(19), [], []
+    for _ in range(60):
+        lengths = sorted({int(x) for x in rng.choice([64, 128, 256, 512, 1024], rng.integers(1, 5))})
+        sizes = sorted((int(x) for x in rng.integers(1, lengths[-1] + 1, rng.integers(1, 8))), reverse=True)
+        final = packing.pack_sizes(sizes, lengths)[3]
+        least = cheapest(sizes, lengths)
+        over.append(sum(packing.cost(c, lengths[-1]) for c in final) / least)
+        for opens in (lengths[-1],):
+            fill = packing.pack_once(sizes, lengths, opens)[2]
+            fixed_over.append(sum(packing.cost(min(c for c in lengths if c >= f), lengths[-1]) for f in fill) / least)
+    assert min(over) >= 1 - 1e-9 and max(over) < 1.25 and np.mean(over) < 1.01 and np.mean(over) <= np.mean(fixed_over)
+
+
+def test_bins_open_at_lengths_of_their_own():
+    """Items of 700 fill bins of 1024 with what is left of small ones; the large item's bin opens larger."""
+    sizes = sorted([3900, 700, 700, 700, 300, 300, 300, 100], reverse=True)
+    assert packing.best_fill(sorted(sizes), 1024) == 1000
+    bins, offsets, fill = packing.pack_once(sizes, list(packing.LENGTHS), None)
+    final = sorted(min(c for c in packing.LENGTHS if c >= f) for f in fill)
+    assert len(set(final)) > 1 and sum(fill) == sum(sizes)
+
+
 def test_packing_opens_and_shrinks():
     bins, offsets, fill, final = packing.pack_sizes([9, 7, 5, 3, 2], [4, 8, 16])
     assert sum(fill) == 26 and all(f <= c for f, c in zip(fill, final))
