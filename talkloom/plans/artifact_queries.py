@@ -11,10 +11,25 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from talkloom.functions import entities, grounding, text, time, vector
-from talkloom.operators import aggregates, alignment, chunks, hashes, matching, ordering, reports, retrieval, sessions, validation, vector_index
+from talkloom.operators import (
+    aggregates,
+    alignment,
+    chunks,
+    hashes,
+    links,
+    matching,
+    ordering,
+    reports,
+    retrieval,
+    sessions,
+    turns,
+    validation,
+    vector_index,
+)
 from talkloom.plans import providers, queries, transcripts
 from talkloom.plans.registry import query, t
 from talkloom.sources import artifacts
+from talkloom.streaming import work
 
 
 def none() -> Column:
@@ -1106,6 +1121,58 @@ def index_refresh(spark, d):
     return vector_index.load(spark, path).select("id", F.md5(F.coalesce("text", F.lit(""))).alias("text_key"), "made")
 
 
+_LINK = "(SELECT CASE WHEN count(*) > 0 THEN '[' || {0} || '](appendix.md#' || {0} || ')' ELSE {0} END FROM benchmark WHERE 'talk ' || item_id = {0})"
+
+
+@query(
+    f"""WITH p AS (SELECT doc_id, 'talk ' || doc_id % 100 AS a, 'talk ' || doc_id % 77 AS b, 'talk ' || doc_id % 50 AS c, replace(text, '*', '') AS rest FROM documents)
+SELECT doc_id, '**' || {_LINK.format("a")} || '** then *' || {_LINK.format("b")} || '*, * see ***' || {_LINK.format("c")} || '***, ' || a || ' and **' || a || ' ** here'
+  || chr(10) || rest AS text FROM p"""
+)
+def cross_references(spark, d):
+    """Pages of all documents, titles of all benchmark items."""
+    name = lambda n: F.concat(F.lit("talk "), (F.col("doc_id") % n).cast("string"))
+    parts = ["**", name(100), "** then *", name(77), "*, * see ***", name(50), "***, ", name(100), " and **", name(100), " ** here\n", F.replace("text", F.lit("*"), F.lit(""))]
+    pages = t(spark, d, "documents").select("doc_id", F.concat(*(F.lit(x) if isinstance(x, str) else x for x in parts)).alias("text"))
+    title = F.concat(F.lit("talk "), as_text("item_id"))
+    targets = t(spark, d, "benchmark").select(title.alias("title"), F.concat(F.lit("appendix.md#"), title).alias("target"), F.col("item_id").alias("pos"))
+    return links.linked(pages, targets, "doc_id")
+
+
+@query(
+    """WITH e AS (SELECT user_id, event_id, floor(epoch(ts))::BIGINT AS s, event_type FROM events),
+t AS (SELECT user_id, s AS ts, s + 4000 + 100 * (event_id % 7) AS te, 'Speaker ' || event_id % 5 AS speaker FROM e WHERE event_type = 'view'),
+g AS (SELECT user_id, event_id, s AS ss, s + 600 + event_id % 50 AS se FROM e WHERE event_type <> 'view'),
+o AS (SELECT g.user_id, event_id, speaker, sum(least(te, se) - greatest(ts, ss)) AS shared, min(ts) AS begins
+  FROM g JOIN t ON g.user_id = t.user_id AND ts < se AND ss < te GROUP BY 1, 2, 3),
+r AS (SELECT *, row_number() OVER (PARTITION BY user_id, event_id ORDER BY shared DESC, begins, speaker) AS n FROM o)
+SELECT g.user_id, g.event_id, speaker FROM g LEFT JOIN r ON g.user_id = r.user_id AND g.event_id = r.event_id AND n = 1"""
+)
+def speaker_turns(spark, d):
+    """Views as turns of five speakers, other events as segments."""
+    e = t(spark, d, "events").select("user_id", "event_id", time.epoch(F.col("ts")).alias("start"), "event_type")
+    length = 4000 + 100 * (F.col("event_id") % 7)
+    said = e.where("event_type = 'view'").select(
+        "user_id", "start", (F.col("start") + length).alias("end"), F.concat(F.lit("Speaker "), (F.col("event_id") % 5).cast("string")).alias("speaker")
+    )
+    heard = e.where("event_type <> 'view'").select("user_id", "event_id", "start", (F.col("start") + 600 + F.col("event_id") % 50).alias("end"))
+    return turns.with_speakers(heard, said, "user_id", "event_id", 1800).select("user_id", "event_id", "speaker")
+
+
+@query(r"SELECT doc_id, len(string_split_regex(trim(text), '\s+'))::INTEGER AS words FROM documents WHERE text IS NOT NULL")
+def streamed_results(spark, d):
+    """All documents as work of two arrivals, answered as a stream; the third run finds nothing to do."""
+    root = artifacts.shared_folder(spark)
+    docs = t(spark, d, "documents").select("doc_id", "text").where("text is not null")
+    ddl, paths = "doc_id long, text string", {"done": f"{root}/done"}
+    count = F.size(F.split(F.trim("text"), r"(?U)\s+")).alias("words")
+    for part in (docs.where("doc_id % 3 = 0"), docs.where("doc_id % 3 <> 0"), None):
+        if part is not None:
+            work.enqueue(part, f"{root}/queue", 500)
+        work.drain(spark, f"{root}/queue", ddl, f"{root}/progress", lambda batch: {"done": batch.select("doc_id", count)}, paths)
+    return work.results(spark, paths["done"], "doc_id long, words int")
+
+
 @query("SELECT conv_id, max((role = 'user')::INTEGER) AS deep FROM conversations GROUP BY 1")
 def enriched_union(spark, d):
     """Sections to enrich and those that pass through are together all of them."""

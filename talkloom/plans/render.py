@@ -7,6 +7,7 @@ from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame
 
+from talkloom.operators.links import linked_text
 from talkloom.sources.artifacts import read_text, remove_pages, write_text
 
 
@@ -128,12 +129,7 @@ def agenda_report(name: str, agenda: dict) -> str:
 
 def cross_references(page: str, anchors: dict[str, str], links: dict[str, str], synthesis: bool) -> str:
     """Titles in bold or italics become links to the appendix; in syntheses titles of sections become links to chapters."""
-    for title, anchor in anchors.items():
-        page = page.replace(f"**{title}**", f"**[{title}]({anchor})**")
-        page = re.sub(rf"(?<!\*)\*{re.escape(title)}\*(?!\*)", lambda m, t=title, a=anchor: f"*[{t}]({a})*", page)
-    for title, target in links.items() if synthesis else ():
-        page = page.replace(f"*{title}*", f"*[{title}]({target})*")
-    return page
+    return linked_text(page, lambda title: anchors.get(title) or (links.get(title) if synthesis else None))
 
 
 def slug(text: str) -> str:

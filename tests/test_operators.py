@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from talkloom.operators import aggregates, alignment, chunks, hashes, matching, ordering, reports, retrieval, sessions, validation
+from talkloom.operators import aggregates, alignment, chunks, hashes, links, matching, ordering, reports, retrieval, sessions, turns, validation
 from talkloom.schemas import ddl, schema, to_json_schema
 
 
@@ -353,3 +353,34 @@ def test_frames_that_drift_and_wait_for_each_other(spark):
     df = spark.createDataFrame(frames, "video_id string, index int, dhash long")
     assert sorted(rows(hashes.dedup_frames(df), "video_id", "index", "dhash"), key=str) == slow_frames(frames, 6)
     assert hashes.dedup_frames(df.limit(0)).count() == 0
+
+
+def test_links_in_one_pass(spark):
+    pages = [
+        (1, "**A** and *A* and ***A***, A, ****A****, * see *A B*"),
+        (2, "*A.B* **a** *[A](x)* **A\n** * A* *A\nB* *A*B*"),
+        (3, None),
+        (4, ""),
+        (5, "no titles *here*"),
+        (6, "**Longer A** " + "word " * 30_000 + "*A*"),
+    ]
+    targets = [("A", "#a", 0), ("A", "#later", 1), ("A B", "#ab", 2), ("A.B", "#$1", 3), ("Longer A", "#l", 4), ("", "#none", 5), (None, "#null", 6), ("A\nB", "#two", 7)]
+    df = spark.createDataFrame(pages, "page int, text string")
+    got = dict(rows(links.linked(df, spark.createDataFrame(targets, "title string, target string, pos int")), "page", "text"))
+    first = {}
+    for title, target, _ in targets:
+        first.setdefault(title, target)
+    assert got == {i: links.linked_text(t, first.get) if t else t for i, t in pages}
+    assert got[1] == "**[A](#a)** and *[A](#a)* and ***[A](#a)***, A, ****A****, * see *[A B](#ab)*"
+    assert got[2].startswith("*[A.B](#$1)* **a** *[A](x)*") and got[6].startswith("**[Longer A](#l)** word")
+
+
+def test_turns_by_longest_overlap(spark):
+    heard = [("v", 0, 0.0, 10.0), ("v", 1, 9.5, 95.0), ("v", 2, 200.0, 201.0), ("v", 3, 30.0, 30.0), ("w", 0, 0.0, 9.0), (None, 0, 0.0, 5.0)]
+    said = [("v", 0.0, 4.0, "B"), ("v", 4.0, 8.0, "A"), ("v", 8.0, 50.0, "C"), ("v", 50.0, 60.0, "B"), ("v", 60.0, 96.0, "B"), ("v", 210.0, 300.0, "A"), ("v", 0.0, 300.0, None)]
+    got = turns.with_speakers(
+        spark.createDataFrame(heard, "video_id string, i int, start double, end double"), spark.createDataFrame(said, "video_id string, start double, end double, speaker string")
+    )
+    # Of B and A with 4 seconds each B began first; C has 40.5 seconds of the second segment, B 45 in two turns.
+    want = [("v", 0, "B"), ("v", 1, "B"), ("v", 2, None), ("v", 3, None), ("w", 0, None), (None, 0, None)]
+    assert sorted(rows(got, "video_id", "i", "speaker"), key=str) == sorted(want, key=str)
