@@ -27,13 +27,13 @@ SPACE = " \t\n\r"
 
 
 def segments(rows: DataFrame, key: str, place: Column, text: Column) -> DataFrame:
-    """(talk, place, text) of the segments that aren't blank, repeated ones once."""
+    """(talk, place, text) of the segments that aren't blank."""
     laid = rows.where(F.col(key).isNotNull()).select(F.col(key).cast("string").alias("talk"), place.alias("place"), F.btrim(text, F.lit(SPACE)).alias("text"))
-    return laid.where("text <> ''").distinct()
+    return laid.where("text <> ''")
 
 
 def windowed(laid: DataFrame, kind: str, window: int, overlap: int) -> DataFrame:
-    got = chunks.windows(laid.withColumn("in_order", F.struct("place", "text")), "talk", "in_order", "text", "place", window, overlap)
+    got = chunks.windows(laid.withColumn("in_order", F.struct("place", "text")), "talk", "in_order", "text", "place", window, overlap, once=True)
     name = F.concat(F.lit(f"{kind}:"), F.col("talk"), F.lit(":"), F.col("chunk_index").cast("string"))
     return got.select(name.alias("id"), "talk", "chunk_index", "start_time", "text", F.lit(kind).alias("chunk_type"))
 

@@ -132,6 +132,36 @@ def failure_share(results: DataFrame) -> DataFrame:
     return results.agg(F.count("*").alias("n"), F.count_if(F.col("error").isNotNull()).alias("failed")).withColumn("warn", F.col("failed") * 2 > F.col("n"))
 
 
+def in_parts(rows: DataFrame, key: str, order: str, text: str, budget: int, least: int = 1) -> DataFrame:
+    """(key, part, payload): each key's texts in order as JSON lists of those that begin within so many characters of the list's
+    first, but of ``least`` texts at least (the last list of a key may hold fewer).
+
+    Texts are numbered and measured apart in ranges of the order, and the ranges' sums are added up, so no task holds a key.
+    Rows of one key and order are one, the first by text; rows without a key go.
+    """
+    from talkloom.sources.artifacts import checkpointed
+
+    one = rows.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("__key"), F.col(order).alias("__order")).agg(F.min(text).alias("__text"))
+    laid = checkpointed(one.repartitionByRange("__key", "__order").withColumn("__range", F.spark_partition_id()))
+    size = F.length("__text") + 1
+    sums = laid.groupBy("__key", "__range").agg(F.sum(size).alias("size"), F.count("*").alias("n"))
+    before = Window.partitionBy("__key").orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)  # a row for each range
+    begins = sums.select("__key", "__range", *(F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"__{c}") for c in ("size", "n")))
+    inside = Window.partitionBy("__key", "__range").orderBy("__order")
+    placed = laid.join(begins, ["__key", "__range"]).withColumn("__nth", F.col("__n") + F.row_number().over(inside) - 1)
+    placed = placed.withColumn("__at", F.col("__size") + F.sum(size).over(inside) - size)
+    part = F.least(F.floor(F.col("__at") / budget), F.floor(F.col("__nth") / least)).cast("long")
+    packed = F.array_sort(F.collect_list(F.struct("__order", "__text")))
+    payload = F.concat(F.lit("["), F.array_join(F.transform(packed, lambda r: r["__text"]), ","), F.lit("]"))
+    return placed.groupBy(F.col("__key").alias(key), part.alias("part")).agg(payload.alias("payload"))
+
+
+def payload_parts(members: DataFrame, talks: DataFrame, fields: list[str], budget: int) -> DataFrame:
+    """(cluster, part, payload): the talks of each cluster, as in cluster_payloads, in parts of bounded size."""
+    rows = members.select("cluster", "title").distinct().join(talks.select(*dict.fromkeys(["title", *fields])), "title")
+    return in_parts(rows.select("cluster", "title", F.to_json(F.struct(*fields)).alias("j")), "cluster", "title", "j", budget)
+
+
 def cluster_payloads(members: DataFrame, talks: DataFrame, fields: list[str]) -> DataFrame:
     """(cluster, payload): the talks of each cluster as one JSON text, fields pruned, in order of title."""
     rows = members.select("cluster", "title").distinct().join(talks.select(*dict.fromkeys(["title", *fields])), "title")

@@ -75,8 +75,13 @@ def fold_segments(texts: Iterator[tuple[float, str]], window: int = WINDOW, over
         yield began, buffer.strip()
 
 
-def windows(segments: DataFrame, key: str, order: str, text: str, start: str, window: int = WINDOW, overlap: int = OVERLAP) -> DataFrame:
-    """(key, chunk_index, start_time, text): transcripts of any length stream through sorted; the state is one buffer."""
+def windows(
+    segments: DataFrame, key: str, order: str, text: str, start: str, window: int = WINDOW, overlap: int = OVERLAP, once: bool = False
+) -> DataFrame:
+    """(key, chunk_index, start_time, text): transcripts of any length stream through sorted; the state is one buffer.
+
+    With ``once`` a segment of the same start and text as the one before it is left out; ``order`` must bring these together.
+    """
     kind = segments.schema[key].dataType.simpleString()
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -91,9 +96,11 @@ def windows(segments: DataFrame, key: str, order: str, text: str, start: str, wi
 
             def mine() -> Iterator[tuple[float, str]]:
                 nonlocal row
+                before = None
                 while row is not None and row[0] == now:
-                    yield row[1] or 0.0, row[2] or ""
-                    row = next(stream, None)
+                    if not (once and row == before):
+                        yield row[1] or 0.0, row[2] or ""
+                    before, row = row, next(stream, None)
 
             for i, (began, chunk) in enumerate(fold_segments(mine(), window, overlap)):
                 out.append((now, i, began, chunk))

@@ -497,6 +497,20 @@ def find_by_name(spark, d):
     return asked.join(first, "c_mktsegment", "left").select("o_orderkey", F.coalesce("c_name", F.lit("")).alias("found"))
 
 
+@query(
+    """WITH m AS (SELECT DISTINCT source AS cluster, 'talk ' || doc_id AS title, '{"lang":"' || lang || '","n_chars":' || n_chars || '}' AS j FROM documents
+  WHERE source IS NOT NULL),
+s AS (SELECT cluster, title, j, coalesce(sum(length(j) + 1) OVER (PARTITION BY cluster ORDER BY title ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+  // 300 AS part FROM m)
+SELECT cluster, part::BIGINT AS part, '[' || string_agg(j, ',' ORDER BY title) || ']' AS payload FROM s GROUP BY cluster, part"""
+)
+def payload_parts(spark, d):
+    m = t(spark, d, "documents").select(
+        F.col("source").alias("cluster"), F.concat(F.lit("talk "), F.col("doc_id").cast("string")).alias("title"), "lang", "n_chars"
+    )
+    return aggregates.payload_parts(m.select("cluster", "title"), m.select("title", "lang", "n_chars"), ["lang", "n_chars"], 300)
+
+
 @query(
     """WITH m AS (SELECT DISTINCT source AS cluster, 'talk ' || doc_id AS title, lang, n_chars FROM documents)
 SELECT cluster, md5('[' || string_agg('{"lang":"' || lang || '","n_chars":' || n_chars || '}', ',' ORDER BY title) || ']') AS payload FROM m GROUP BY 1"""

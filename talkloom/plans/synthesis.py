@@ -42,6 +42,8 @@ CALLS = (
     Call("actions", "List what a reader should do.", ("recommended_actions",), 4096),
 )
 #: Fields of a talk that a cluster's prompt holds, and of a cluster that the conference's prompt holds.
+#: Characters of talks' analyses that one prompt begins with at most.
+BUDGET = 200_000
 OF_TALK = (
     "title speakers summary key_takeaways tools_and_projects problems_discussed evidence_quality speaker_perspective maturity_assessments caveats_and_concerns technology_stance relationships"
 ).split()
@@ -197,6 +199,25 @@ def _chosen(rows: DataFrame, given: str) -> DataFrame:
     return rows.select(*columns)
 
 
+def _reduced(parts: DataFrame, make, waits: tuple[float, ...]) -> DataFrame:
+    """(cluster, prompt): the one part of each cluster. Where there are more, each is answered, and the answers are dealt into
+    parts again, two answers to a part at least, until one is left: so many rounds as the logarithm of the parts."""
+    whole = None
+    while True:
+        alone = parts.groupBy("cluster").agg(F.max("part").alias("last"))
+        parts = checkpointed(parts.join(alone, "cluster"))
+        one = parts.where("last = 0").select("cluster", F.col("payload").alias("prompt"))
+        whole = one if whole is None else whole.unionByName(one)
+        more = parts.where("last > 0").select("cluster", F.lpad(F.col("part").cast("string"), 12, "0").alias("nth"), F.col("payload").alias("prompt"))
+        if more.isEmpty():
+            return whole
+        asked = more.withColumn("of", F.struct("cluster", "nth"))
+        said = answers(asked, "of", "You write about some of the talks of one cluster.", make, waits)
+        fields = [c for c in said.columns if c != "of"]
+        told = said.select("of.cluster", "of.nth", F.to_json(F.struct(*fields)).alias("j"))
+        parts = checkpointed(aggregates.in_parts(told, "cluster", "nth", "j", BUDGET, least=2))
+
+
 def by_cluster(agenda: DataFrame, talks: DataFrame, done: DataFrame | None = None, make=providers.LocalCompleter, waits: tuple[float, ...] = ()) -> DataFrame:
     """The syntheses of clusters that are not done yet (by name). Clusters without a talk that resolves have none."""
     members = cluster_members(agenda, talks)
@@ -204,8 +225,8 @@ def by_cluster(agenda: DataFrame, talks: DataFrame, done: DataFrame | None = Non
         members = members.join(done.select(F.col("cluster_name").alias("cluster")).distinct(), "cluster", "left_anti")
     members = checkpointed(members)
     fields = [c for c in OF_TALK if c in talks.columns]
-    payload = aggregates.cluster_payloads(members, talks, fields).withColumnRenamed("payload", "prompt")
-    said = answers(payload, "cluster", "You write about one cluster of talks.", make, waits)
+    parts = checkpointed(aggregates.payload_parts(members, talks, fields, BUDGET))
+    said = answers(_reduced(parts, make, waits), "cluster", "You write about one cluster of talks.", make, waits)
     spare = aggregated(members, talks)
     spare = spare.select("cluster", *(F.col(c).alias(f"__{c}") for c in spare.columns if c != "cluster"))
     rows = said.join(spare, "cluster", "left").withColumn("cluster_name", F.col("cluster")).withColumn("narrative", F.coalesce("narrative", "said"))

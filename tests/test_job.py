@@ -538,3 +538,38 @@ def test_a_crashed_analysis_goes_on_and_failed_talks_are_tried_again(spark, even
     job.ask_about_talks(matched)
     assert job.load("talks", "talk").count() == 4 and job.load("talk_failures").first()["failed"] == 0
     assert job.load("talk_errors").count() == 8
+
+
+def test_large_clusters_are_reduced_in_rounds(spark, tmp_path, monkeypatch):
+    """Talks beyond a prompt's budget are answered in parts, and the answers again, until each cluster has one prompt."""
+    from talkloom.plans import synthesis
+    from talkloom.schemas import schema
+
+    monkeypatch.setattr(synthesis, "BUDGET", 400)
+    titles = [f"T{i:02}" for i in range(24)]
+    agenda = spark.createDataFrame([([("large", "", titles, [], []), ("small", "", ["T00"], [], [])], [], "", {}, {})], schema("agenda"))
+    talk = lambda t: (t, f"summary of {t}", ["k"], ["p"], [], [], "production", "practitioner", [], [], ["c"], [], [], [], "")
+    talks = spark.createDataFrame([talk(t) for t in titles], schema("talk")).withColumn("_pos", F.monotonically_increasing_id())
+    log = Scripted.log = str(tmp_path / "calls")
+    make = lambda: _scripted(log)
+    got = {r["cluster_name"]: r for r in artifacts.checkpointed(synthesis.by_cluster(agenda, talks, None, make)).collect()}
+    assert set(got) == {"large", "small"} and got["large"]["narrative"] == "told" and got["large"]["recommended_actions"][0]["action"] == "Do"
+    calls = Path(log).read_text().splitlines()
+    parts = sum("some of the talks" in c for c in calls)
+    assert sum("one cluster of talks" in c for c in calls) == 8 and parts > 24 and parts % 4 == 0
+
+
+def test_parts_hold_every_text_once_and_few_characters(spark):
+    from talkloom.operators import aggregates
+
+    rows = [("a", i, "x" * (i % 37)) for i in range(500)] + [("b", 0, "y" * 999), ("b", 1, "z"), (None, 3, "n"), ("c", 5, "first"), ("c", 5, "later")]
+    df = spark.createDataFrame(rows, "k string, o int, t string").repartition(7)
+    got = aggregates.in_parts(df, "k", "o", "t", 100).collect()
+    for r in got:
+        assert len(r["payload"]) <= 100 + 37 + 2 or r["k"] == "b"
+    joined = {}
+    for r in sorted(got, key=lambda r: (r["k"] or "", r["part"])):
+        joined.setdefault(r["k"], []).extend(r["payload"][1:-1].split(","))
+    assert joined == {"a": ["x" * (i % 37) for i in range(500)], "b": ["y" * 999, "z"], "c": ["first"]}
+    pairs = aggregates.in_parts(df.where("k = 'a'"), "k", "o", "t", 1, least=2).collect()
+    assert len(pairs) == 250 and sorted(r["part"] for r in pairs) == list(range(250))
