@@ -29,7 +29,7 @@ from talkloom.operators import (
 from talkloom.plans import providers, queries, transcripts
 from talkloom.plans.registry import query, t
 from talkloom.sources import artifacts
-from talkloom.streaming import work
+from talkloom.streaming import arrivals, work
 
 
 def none() -> Column:
@@ -1173,6 +1173,29 @@ def streamed_results(spark, d):
     return work.results(spark, paths["done"], "doc_id long, words int")
 
 
+@query(queries.ORACLE_SQL["transcript_chunks"])
+def arriving_chunks(spark, d):
+    """The chunks of all conversations, kept up as their turns arrive: odd turns first, then even ones between them."""
+    root = artifacts.shared_folder(spark)
+    segments = t(spark, d, "conversations").select("conv_id", "turn", "text")
+    for part in (segments.where("turn % 2 = 1"), segments.where("turn % 2 = 0")):
+        part.write.mode("append").parquet(f"{root}/in")
+        arrivals.keep_chunks(spark, f"{root}/in", segments.schema, f"{root}/out", f"{root}/mark", "conv_id", "turn", "text", "turn")
+    return spark.read.parquet(f"{root}/out/chunks").drop("bucket")
+
+
+@query(
+    """SELECT (SELECT count(*) FROM documents) AS sections_checked, count(*) FILTER (event_id % 5 = 0) AS unknown_speakers,
+  count(*) FILTER (event_id % 5 = 1) AS ungrounded_metrics, count(*) FILTER (event_id % 5 = 2) AS template_artifacts,
+  count(*) FILTER (event_id % 5 = 3) AS fabricated_citations, count(*) AS total FROM events WHERE event_id % 5 < 4"""
+)
+def report_stats(spark, d):
+    """Counts of a report's warnings: documents as sections, events as warnings of four kinds."""
+    kind = cases(F.col("event_id"), *validation.KINDS, "")
+    found = t(spark, d, "events").select(F.col("user_id").alias("section_id"), kind.alias("kind"), F.lit("m").alias("message")).where("kind <> ''")
+    return validation.stats(t(spark, d, "documents").select(F.col("doc_id").alias("section_id")), found)
+
+
 @query("SELECT conv_id, max((role = 'user')::INTEGER) AS deep FROM conversations GROUP BY 1")
 def enriched_union(spark, d):
     """Sections to enrich and those that pass through are together all of them."""

@@ -7,12 +7,14 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from talkloom.operators import chunks
 from talkloom.operators.chunks import OVERLAP, WINDOW
 
 
-def arriving(spark: SparkSession, folder: str, ddl: str, kind: str = "parquet", files: int = 16) -> DataFrame:
+def arriving(spark: SparkSession, folder: str, ddl: str | T.StructType, kind: str = "parquet", files: int = 16) -> DataFrame:
     """Rows of files in a folder, in order of arrival."""
     return spark.readStream.schema(ddl).format(kind).option("maxFilesPerTrigger", files).load(folder)
 
@@ -63,6 +65,48 @@ def rolling_chunks(stream: DataFrame, key: str, order: str, text: str, start: st
     return laid.groupBy(key).applyInPandasWithState(step, shape, held, "append", timeout)
 
 
+def keep_chunks(
+    spark: SparkSession,
+    folder: str,
+    ddl: str | T.StructType,
+    out: str,
+    checkpoint: str,
+    key: str,
+    order: str,
+    text: str,
+    start: str,
+    window: int = WINDOW,
+    overlap: int = OVERLAP,
+    buckets: int = 64,
+    files: int = 16,
+) -> int:
+    """Bring the table of chunks under ``out`` up to the files of segments that have arrived; gives the rows read.
+
+    Segments may come late and in any order: a batch stores its segments by bucket of their key, under its own name, and writes the
+    chunks of those buckets anew, the last and unfilled ones included. A batch that is run again overwrites what it had written,
+    so that after a crash the table is what it would have been. It equals ``chunks.windows`` of all segments so far. Rows
+    without a key go.
+    """
+    columns = list(dict.fromkeys([key, order, text, start]))
+    bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int").alias("bucket")
+
+    def each(batch: DataFrame, number: int) -> None:
+        session = batch.sparkSession
+        name = f"{session.sparkContext.getLocalProperty('sql.streaming.queryId')}-{number}"
+        rows = batch.where(F.col(key).isNotNull()).select(*columns, bucket, F.lit(name).alias("batch"))
+        stored, laid = f"{out}/segments", f"{out}/chunks"
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket", "batch").parquet(stored)
+        held = session.read.schema(rows.schema).parquet(stored)
+        touched = [r["bucket"] for r in held.where(F.col("batch") == name).select("bucket").distinct().collect()]  # at most ``buckets``
+        made = chunks.windows(held.where(F.col("bucket").isin(touched)), key, order, text, start, window, overlap).withColumn("bucket", bucket)
+        made.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(laid)
+
+    stream = arriving(spark, folder, ddl, files=files)
+    query = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+    return sum(p["numInputRows"] for p in query.recentProgress)
+
+
 def into_table(stream: DataFrame, path: str, checkpoint: str, once: bool = True):
     """Append to a table, exactly once for each batch."""
     writer = stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).outputMode("append")

@@ -573,3 +573,37 @@ def test_parts_hold_every_text_once_and_few_characters(spark):
     assert joined == {"a": ["x" * (i % 37) for i in range(500)], "b": ["y" * 999, "z"], "c": ["first"]}
     pairs = aggregates.in_parts(df.where("k = 'a'"), "k", "o", "t", 1, least=2).collect()
     assert len(pairs) == 250 and sorted(r["part"] for r in pairs) == list(range(250))
+
+
+def test_arriving_segments_keep_the_chunks_up(spark, tmp_path, monkeypatch):
+    import random
+
+    from talkloom.operators import chunks
+    from talkloom.streaming import arrivals
+
+    rng = random.Random(5)
+    rows = [(f"v{i % 7}", i // 7, f"segment {i} " + "word " * rng.randrange(20)) for i in range(300)] + [(None, 0, "lost"), ("one", 0, "alone"), ("v1", 999, None)]
+    rng.shuffle(rows)
+    ddl, paths = "video_id string, i int, text string", [str(tmp_path / x) for x in ("in", "out", "mark")]
+    table = lambda part: spark.createDataFrame(part, ddl)
+    keep = lambda: arrivals.keep_chunks(spark, paths[0], ddl, *paths[1:], "video_id", "i", "text", "i", 300, 60, buckets=4)
+    seen: list = []
+    was, crash = chunks.windows, []
+
+    def windows(*a, **k):
+        if crash and crash.pop():
+            raise RuntimeError("lost")
+        return was(*a, **k)
+
+    monkeypatch.setattr(chunks, "windows", windows)
+    for part in (rows[:120], rows[120:121], rows[121:]):
+        table(part).coalesce(1).write.mode("append").parquet(paths[0])
+        crash.append(True)
+        with pytest.raises(Exception, match="lost"):  # after the segments are stored, before the chunks are
+            keep()
+        assert keep() == len(part)
+        seen += part
+        want = was(table(seen), "video_id", "i", "text", "i", 300, 60)
+        got = spark.read.parquet(f"{paths[1]}/chunks").select(want.columns)
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    assert keep() == 0
