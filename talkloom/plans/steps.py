@@ -113,17 +113,63 @@ def analyze_work(work: DataFrame, make=providers.LocalCompleter, waits: tuple[fl
     return sessions.without_blank_relationships(entities.canonical_talk(talks)), failed
 
 
-def cluster_talks(talks: DataFrame, schedule: DataFrame, k: int = 15, seed: int = 7) -> DataFrame:
-    """The agenda (one row). Local default: k-means over hashed terms; keywords are the clusters' most frequent terms."""
+#: Places that terms are hashed into; how much farther than the nearest centre another may be that a talk belongs to as well.
+TERMS, MARGIN = 1024, 0.05
+
+
+def centre_distances(features: DataFrame, centres: list[list[float]], name: str = "title") -> DataFrame:
+    """(name, c, distance): the cosine distance of each row's vector (column x, an array) to each of a few centres. A row or centre of
+    length zero is at distance 1."""
+    import numpy as np
+    import pandas as pd
+
+    unit = np.array(centres, float)
+    unit = unit / np.maximum(np.linalg.norm(unit, axis=1), 1e-12)[:, None]
+
+    def each(batches):
+        for batch in batches:
+            for start in range(0, len(batch), 512):
+                part = batch.iloc[start : start + 512]
+                rows = np.array(part["x"].tolist(), float).reshape(len(part), -1)
+                rows = rows / np.maximum(np.linalg.norm(rows, axis=1), 1e-12)[:, None]
+                far = np.round(1 - rows @ unit.T, 12)
+                yield pd.DataFrame({name: np.repeat(part[name].to_numpy(), len(unit)), "c": np.tile(np.arange(len(unit)), len(part)), "distance": far.ravel()})
+
+    return features.select(name, "x").mapInPandas(each, f"{name} string, c int, distance double")
+
+
+def overlapping(rows: DataFrame, k: int, seed: int = 7, margin: float = MARGIN) -> DataFrame:
+    """rows (title, text, ...) once for each cluster ``c`` that they belong to: the nearest centre's, and those of centres hardly farther.
+
+    Centres are those of k-means over the talks' TF-IDF weights, by angle, at most one for two talks. Titles are taken once.
+    """
+    from pyspark.ml import Pipeline
     from pyspark.ml.clustering import KMeans
-    from pyspark.ml.functions import array_to_vector
+    from pyspark.ml.feature import IDF, HashingTF
+    from pyspark.ml.functions import vector_to_array
+
+    rows = checkpointed(ordering.keep_first(rows, F.col("title"), F.col("text")))
+    words = rows.withColumn("words", F.filter(F.regexp_extract_all(F.lower("text"), F.lit("[a-z0-9]+"), F.lit(0)), lambda t: F.length(t) > 2))
+    weights = Pipeline(stages=[HashingTF(inputCol="words", outputCol="counts", numFeatures=TERMS), IDF(inputCol="counts", outputCol="features")])
+    weighed = weights.fit(words).transform(words)
+    weighed = checkpointed(weighed.select("title", "features", vector_to_array("features").alias("x")))
+    some = weighed.where(F.exists("x", lambda v: v != 0))
+    n = some.count()
+    if n < 2:
+        return rows.withColumn("c", F.lit(0))
+    model = KMeans(k=max(2, min(k, n // 2)), seed=seed, distanceMeasure="cosine", featuresCol="features").fit(some)
+    far = centre_distances(weighed, [[float(x) for x in c] for c in model.clusterCenters()])
+    least = far.groupBy("title").agg(F.min("distance").alias("least"), F.min_by("c", F.struct("distance", "c")).alias("nearest"))
+    member = far.join(least, "title").where((F.col("c") == F.col("nearest")) | ((F.col("distance") <= F.col("least") + margin) & (F.col("distance") < 1)))
+    return rows.join(member.select("title", "c"), "title")
 
-    rows = providers.embed(talks.select("title", F.concat_ws(" ", "title", "summary", "key_takeaways", "tools_and_projects").alias("text")))
-    rows = rows.withColumn("features", array_to_vector("embedding"))
-    n = rows.count()
-    model = KMeans(k=max(2, min(k, n // 2 or 1)), seed=seed, featuresCol="features", predictionCol="c").fit(rows)
+
+def cluster_talks(talks: DataFrame, schedule: DataFrame, k: int = 15, seed: int = 7) -> DataFrame:
+    """The agenda (one row). Local default: overlapping clusters by TF-IDF; keywords are the clusters' most frequent terms."""
+    rows = talks.select("title", F.concat_ws(" ", "title", "summary", "key_takeaways", "tools_and_projects").alias("text"))
+    member = overlapping(rows, k, seed)
     first = schedule.select("title", "speakers", "track", *(c for c in ("_pos",) if c in schedule.columns))
-    placed = ordering.looked_up(model.transform(rows), first, "title", F.col("_pos") if "_pos" in schedule.columns else F.to_json("speakers"))
+    placed = ordering.looked_up(member, first, "title", F.col("_pos") if "_pos" in schedule.columns else F.to_json("speakers"))
     words = placed.select("c", F.explode(tokens("text")).alias("w")).groupBy("c", "w").agg(F.count("*").alias("n"))
     best = words.groupBy("c").agg(
         F.slice(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("o"), "w"))), 1, 8).alias("k")

@@ -607,3 +607,25 @@ def test_arriving_segments_keep_the_chunks_up(spark, tmp_path, monkeypatch):
         got = spark.read.parquet(f"{paths[1]}/chunks").select(want.columns)
         assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
     assert keep() == 0
+
+
+def test_clusters_overlap_and_hold_every_talk(spark):
+    import numpy as np
+
+    words = {"a": "kubernetes scheduler cluster nodes", "b": "tracing spans metrics logs", "c": "wallet payment ledger bank"}
+    rows = [(f"{g}{i}", f"{words[g]} {words[g]} extra{i % 3}") for g in words for i in range(6)]
+    rows += [("ab", f"{words['a']} {words['b']}"), ("none", "?"), ("a0", "repeated title")]
+    df = spark.createDataFrame(rows, "title string, text string")
+    got: dict[str, set] = {}
+    for r in steps.overlapping(df, 3, margin=0.2).collect():
+        got.setdefault(r["title"], set()).add(r["c"])
+    assert set(got) == {t for t, _ in rows} and len(got["none"]) == 1
+    homes = {g: {frozenset(got[f"{g}{i}"]) for i in range(1, 6)} for g in words}
+    assert all(len(h) == 1 for h in homes.values()) and len(set.union(*homes.values())) == 3
+    assert got["ab"] == set().union(*homes["a"], *homes["b"]) and len(got["ab"]) == 2
+    centres = [[1.0, 0.0], [1.0, 1.0], [0.0, 0.0]]
+    x = spark.createDataFrame([("p", [2.0, 0.0]), ("q", [0.0, 3.0]), ("z", [0.0, 0.0])], "title string, x array<double>")
+    far = {(r["title"], r["c"]): r["distance"] for r in steps.centre_distances(x, centres).collect()}
+    want = {("p", 0): 0, ("p", 1): 1 - np.sqrt(0.5), ("q", 0): 1, ("q", 1): 1 - np.sqrt(0.5)}
+    assert {k: pytest.approx(v, abs=1e-9) for k, v in want.items()} == {k: far[k] for k in want} and {far[k] for k in far if k[0] == "z" or k[1] == 2} == {1.0}
+    assert steps.overlapping(df.where("title = 'ab'"), 3).select("title", "c").collect()[0]["c"] == 0
