@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import atexit
 import tempfile
+import threading
 import uuid
 
 import pyarrow as pa
@@ -19,8 +20,14 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 _own_dir: dict[str, str] = {}
 _roots: set[str] = set()
-#: Paths of the tables that cut() has written, in order.
-_tables: list[str] = []
+#: Paths of the tables that cut() has written in this thread, in order; other threads' queries have lists of their own.
+_written = threading.local()
+
+
+def _tables() -> list[str]:
+    if not hasattr(_written, "paths"):
+        _written.paths = []
+    return _written.paths
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,7 +60,7 @@ def cut(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     root = f"{shared_dir(spark)}/talkloom-{spark.sparkContext.applicationId}"
     path = f"{root}/{name}-{uuid.uuid4().hex}"
     (df.write.partitionBy(by) if by else df.write).parquet(path)
-    _tables.append(path)
+    _tables().append(path)
     if root not in _roots:
         _roots.add(root)
         atexit.register(_remove, spark, root)
@@ -69,16 +76,20 @@ def _remove(spark: SparkSession, path: str) -> None:
 
 
 def mark() -> int:
-    """A place in the order of tables, for release()."""
-    return len(_tables)
+    """A place in the order of this thread's tables, for release()."""
+    return len(_tables())
 
 
 def release(spark: SparkSession, since: int = 0, keep: DataFrame | None = None) -> None:
-    """Remove the tables that cut() wrote after a mark, all but those that ``keep`` reads. What else reads them is lost."""
+    """Remove the tables that cut() wrote in this thread after a mark, all but those that ``keep`` reads. What else reads them is lost."""
     kept = [f.rsplit("/", 1)[0] for f in keep.inputFiles()] if keep is not None else []
-    for path in _tables[since:]:
-        if not any(f.endswith(path) or path.rsplit("/", 1)[-1] == f.rsplit("/", 1)[-1] for f in kept):
+    left = []
+    for path in _tables()[since:]:
+        if any(f.endswith(path) or path.rsplit("/", 1)[-1] == f.rsplit("/", 1)[-1] for f in kept):
+            left.append(path)
+        else:
             _remove(spark, path)
+    _tables()[since:] = left
 
 
 def word_count(text: Column) -> Column:

@@ -51,6 +51,25 @@ def test_released_tables_are_gone_and_kept_ones_are_not(spark):
         second.count()
 
 
+def test_tables_of_other_threads_stay(spark):
+    from concurrent.futures import ThreadPoolExecutor
+
+    from talkloom.llm import common
+
+    since = common.mark()
+    own = common.cut(spark.range(3), "own")
+    with ThreadPoolExecutor(1) as pool:
+        other = pool.submit(lambda: common.cut(spark.range(4), "other")).result()
+    later = common.cut(spark.range(5), "later")
+    common.release(spark, since, keep=later)
+    assert other.count() == 4 and later.count() == 5 and common.mark() == since + 1
+    with pytest.raises(Exception):  # noqa: B017
+        own.count()
+    common.release(spark, since)
+    with pytest.raises(Exception):  # noqa: B017
+        later.count()
+
+
 def test_packing(spark, odd):
     got = packing.pack(odd, lengths=(16, 64, 1024), group=3).toPandas()
     assert got.groupby(got["doc_id"].fillna(-1))["length"].sum().to_dict() == {-1: 3, 1: 0, 2: 0, 3: 0, 4: 30_000, 5: 6, 6: 3, 7: 1}
