@@ -32,3 +32,11 @@ def sign_hash(vector: Column, bits: int = 64) -> Column:
     one = F.lit(1).cast("long")
     weighed = F.transform(F.slice(vector, 1, bits), lambda x, i: F.when(x > 0, F.call_function("shiftleft", one, i)).otherwise(F.lit(0).cast("long")))
     return F.aggregate(weighed, F.lit(0).cast("long"), lambda a, x: a.bitwiseOR(x))
+
+
+def difference_hash(grey: Column) -> Column:
+    """Perceptual hash of a picture of eight rows of nine grey values, row by row: bit i is set where a value's right neighbour is
+    brighter. Null where there are fewer values."""
+    left = lambda i: (9 * F.floor(i / 8) + i % 8).cast("int")
+    steps = F.transform(F.sequence(F.lit(0), F.lit(63)), lambda i: F.get(grey, left(i) + 1) - F.get(grey, left(i)))
+    return F.when(F.size(grey) >= 72, sign_hash(steps))

@@ -21,6 +21,7 @@ from talkloom.operators import (
     ordering,
     reports,
     retrieval,
+    scenes,
     sessions,
     turns,
     validation,
@@ -578,6 +579,37 @@ def hamming_distance(spark, d):
 _DISTANCE = "round(1 - list_cosine_similarity(embedding::DOUBLE[], (SELECT embedding::DOUBLE[] FROM embeddings WHERE vec_id = 0)), 6)"
 
 
+@query(
+    """WITH RECURSIVE p AS (SELECT label, vec_id AS frame, list_transform(embedding, lambda x: floor(200 * x::DOUBLE)::INTEGER) AS pixels FROM embeddings),
+b AS (SELECT *, lag(pixels) OVER (PARTITION BY label ORDER BY frame) AS before FROM p),
+s AS (SELECT label, frame, before IS NULL AS start, CASE WHEN before IS NOT NULL THEN
+  list_sum(list_transform(range(1, len(pixels) + 1), lambda i: abs(pixels[i] - before[i])))::DOUBLE / len(pixels) END AS score FROM b),
+n AS (SELECT label, frame, start, score FROM s WHERE start OR score >= CASE WHEN label % 2 = 0 THEN 20 ELSE 27 END),
+x AS (SELECT a.*, c.frame AS next FROM n a ASOF LEFT JOIN n c ON a.label = c.label AND c.frame >= a.frame + 15),
+w AS (SELECT label, frame, score, next, 0 AS scene FROM x WHERE start
+  UNION ALL SELECT x.label, x.frame, x.score, x.next, scene + 1 FROM w JOIN x ON x.label = w.label AND x.frame = w.next)
+SELECT label, scene, frame, round(score, 6) AS score FROM w WHERE scene > 0 OR next IS NOT NULL"""
+)
+def scene_cuts(spark, d):
+    """Every label's vectors as the decoded frames of a video; those of even labels are long."""
+    pixels = F.transform("embedding", lambda x: F.floor(200 * x.cast("double")).cast("int"))
+    frames = t(spark, d, "embeddings").select("label", F.col("vec_id").alias("at"), pixels.alias("pixels"))
+    lengths = frames.groupBy("label").agg(F.max(F.when(F.col("label") % 2 == 0, 900.0)).alias("duration"))
+    found = scenes.cuts(frames, scenes.thresholds(lengths, key="label"), "label", stretch=64)
+    return found.select("label", F.col("index").alias("scene"), F.col("at").alias("frame"), F.round("score", 6).alias("score"))
+
+
+@query(
+    """WITH g AS (SELECT vec_id, list_transform(range(72), lambda i: embedding[i % 64 + 1]) AS g FROM embeddings)
+SELECT vec_id, array_to_string(list_transform(range(64), lambda i: CASE WHEN g[9 * (i // 8) + i % 8 + 2] > g[9 * (i // 8) + i % 8 + 1] THEN '1' ELSE '0' END), '') AS bits FROM g"""
+)
+def picture_hash(spark, d):
+    """Every vector's values, from the first on again where they end, as a picture of eight rows of nine."""
+    grey = F.transform(F.sequence(F.lit(0), F.lit(71)), lambda i: F.get("embedding", i % 64))
+    bits = F.reverse(F.lpad(F.bin(vector.difference_hash(grey)), 64, "0"))
+    return t(spark, d, "embeddings").select("vec_id", bits.alias("bits"))
+
+
 @query(
     f"SELECT vec_id, distance FROM (SELECT vec_id, label, {_DISTANCE} AS distance FROM embeddings ORDER BY 3, 1 LIMIT 60) WHERE contains('talk ' || label || ' of all', 'talk ' || 1)"
 )
