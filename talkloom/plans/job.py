@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from talkloom.console import say, step
 from talkloom.operators import aggregates, ordering, reports
-from talkloom.plans import charts, drafting, preflight, providers, render, steps, synthesis
+from talkloom.plans import charts, drafting, extraction, preflight, providers, render, steps, synthesis
 from talkloom.plans.config import Config
 from talkloom.schemas import ddl, schema
 from talkloom.sources import artifacts, listing, schedule
@@ -16,16 +16,31 @@ from talkloom.streaming.manifest import Manifest
 
 #: Talks in a file of the work that is still to be done; a batch is a file for each task that can run at a time.
 FILE = 64
+#: Videos or pictures in a file of the work of extraction.
+PIECES = 4
+#: Where what was extracted is kept, by kind.
+EXTRACTED = {"transcript": "heard", "slides": "seen"}
 WORK, FAILED = "title string, speakers string, prompt string", "title string, error string"
 #: Warnings shown, words of the word cloud.
 WARNINGS, WORDS = 15, 80
 
 
 class Job:
-    def __init__(self, spark: SparkSession, config: Config, make=providers.LocalCompleter, waits: tuple[float, ...] | None = None):
-        """``make`` gives the model; its failed calls are tried again after ``waits`` (by default, the local one's are not)."""
+    def __init__(
+        self,
+        spark: SparkSession,
+        config: Config,
+        make=providers.LocalCompleter,
+        waits: tuple[float, ...] | None = None,
+        readers: extraction.Readers | None = None,
+    ):
+        """``make`` gives the model; its failed calls are tried again after ``waits`` (by default, the local one's are not).
+
+        ``readers`` extract what was said and shown in videos; by default those that this machine has.
+        """
         self.spark, self.config, self.dir = spark, config, config.data_dir
         self.make_model = make
+        self.readers = readers or extraction.readers(config)
         self.waits = waits if waits is not None else () if make is providers.LocalCompleter else providers.RETRY_AFTER
         self.manifest = Manifest(spark, f"{self.dir}/manifest.json")
 
@@ -52,7 +67,14 @@ class Job:
         return self.spark.read.parquet(self.path(name))
 
     def documents(self, folder: str, kind: str) -> DataFrame:
-        return artifacts.read_optional_documents(self.spark, f"{self.dir}/{folder}/*.json", kind)
+        """Transcripts or slides: the files of a folder, and what was extracted of other videos."""
+        given = artifacts.read_optional_documents(self.spark, f"{self.dir}/{folder}/*.json", kind)
+        made = work.results(self.spark, self.path(EXTRACTED[kind]), ddl(kind)).dropDuplicates(["video_id"])
+        both = given.unionByName(ordering.unprocessed(made, given, "video_id"))
+        if kind != "slides":
+            return both
+        told = work.results(self.spark, self.path("told"), extraction.TOLD)
+        return extraction.described(both, told) if self.has("told") else both
 
     def collect(self) -> DataFrame:
         """The schedule, from wherever it is configured (a schedule.json in the folder if nowhere), and the recordings' index."""
@@ -84,8 +106,29 @@ class Job:
         return schedule.with_sidecar(schedule.recordings(ids, rec.video_ids, found), meta)
 
     def extract(self) -> list[str]:
-        """What stands in the way of speech recognition and scene detection on this machine; empty if nothing does."""
-        return preflight.missing(self.config, artifacts.exists(self.spark, f"{self.dir}/videos/*.mp4"))
+        """Extract what was said and shown in the folder videos, as far as there are readers and it is not done; gives what stands in
+        the way of the rest, empty if nothing does. What failed is in the table extract_errors and is tried again by the next run."""
+        use, have = self.readers, artifacts.exists(self.spark, f"{self.dir}/videos/*.mp4")
+        paths = {name: self.path(name) for name in ("pictures", "heard", "seen", "told", "extract_errors")}
+        drain = lambda: extraction.drain(self.spark, self.dir, paths, use, self.config.extract.scene_threshold)
+        if left := drain():
+            say("extract", f"{left} pieces of work that an earlier run had left")
+        if have:
+            found = artifacts.media(self.spark, f"{self.dir}/videos").select(F.regexp_extract("path", r"([^/]+)\.mp4$", 1).alias("video_id"), "path")
+            meta = artifacts.read_optional_documents(self.spark, f"{self.dir}/videos/*.json", "video_meta")
+            videos = schedule.with_sidecar(found, meta).withColumnRenamed("meta_title", "title")
+            self._extract(extraction.open_work(videos, self.documents("transcripts", "transcript"), self.documents("slides", "slides"), use), drain)
+        if use.eyes:
+            own = work.results(self.spark, self.path("seen"), ddl("slides"))  # whose pictures are there
+            told = work.results(self.spark, self.path("told"), extraction.TOLD)
+            self._extract(extraction.open_descriptions(extraction.described(own, told)), drain)
+        return preflight.missing(self.config, have)
+
+    def _extract(self, todo: DataFrame, drain) -> None:
+        todo = artifacts.checkpointed(todo)
+        if not todo.isEmpty():
+            work.enqueue(todo, f"{self.dir}/extract_work", PIECES)
+            say("extract", f"{drain()} pieces of work")
 
     def clean(self) -> DataFrame:
         self.collect()
@@ -93,7 +136,7 @@ class Job:
         folders = [f"{self.dir}/transcripts", f"{self.dir}/slides"]
         return self.make(
             "matched",
-            ["schedule_clean", *folders],
+            ["schedule_clean", *folders, "heard", "seen", "told"],
             lambda: steps.match(clean, self.documents("transcripts", "transcript"), self.documents("slides", "slides")),
         )
 
@@ -254,6 +297,6 @@ class Job:
         return files
 
     def run(self) -> None:
-        for name in ("collect", "clean", "analyze", "index", "visualize", "report"):
+        for name in ("collect", "extract", "clean", "analyze", "index", "visualize", "report"):
             with step(name):
                 getattr(self, name)()

@@ -17,8 +17,9 @@ from pyspark.sql import functions as F
 
 from talkloom.functions.text import strip
 from talkloom.operators import hashes, ordering
+from talkloom.operators.scenes import thresholds  # noqa: F401
 from talkloom.plans import providers, transcripts
-from talkloom.plans.providers import MediaReader, scene_threshold
+from talkloom.plans.providers import MediaReader
 from talkloom.schemas import schema
 from talkloom.sources.artifacts import checkpointed
 
@@ -77,7 +78,7 @@ def transcribe(
 def frames(videos: DataFrame, done: DataFrame | None = None, make: Callable[[], MediaReader] = providers.Unavailable) -> tuple[DataFrame, DataFrame]:
     """(video_id, index, timestamp_sec, image_file, dhash, text) of each video's frames in order, near-equal ones once, and failures.
 
-    A reader returns a JSON list of frames, cut where the picture changes by more than scene_threshold() of its length.
+    A reader returns a JSON list of frames, cut where the picture changes by more than its threshold.
     Frames may come in any order: their times say which is first.
     """
     work = _named(videos)
@@ -100,14 +101,16 @@ def _struct(ddl: str):
     return T.StructType.fromDDL(ddl)
 
 
-def describe(slides: DataFrame, images: DataFrame, make: Callable[[], MediaReader] = providers.Unavailable) -> tuple[DataFrame, DataFrame]:
+def describe(
+    slides: DataFrame, images: DataFrame, make: Callable[[], MediaReader] = providers.Unavailable, whole: bool = False
+) -> tuple[DataFrame, DataFrame]:
     """Slides (video_id, index, image_file, description) with descriptions of their pictures, and failures (video_id, index, error).
 
-    images: path, content. Slides that have a description keep it. An empty answer is NO_CONTENT, so that it is not asked
+    images: path, content; a slide's picture is the file of its name, or with ``whole`` the very path. Slides that have a description keep it. An empty answer is NO_CONTENT, so that it is not asked
     for again. A slide whose picture is not there is a failure and stays without a description.
     """
     open_ = slides.where(strip("description") == "").select("image_file").distinct()
-    name = F.regexp_extract("path", r"([^/]+)$", 1)
+    name = F.col("path") if whole else F.regexp_extract("path", r"([^/]+)$", 1)
     wanted = images.withColumn("image", name).join(open_.withColumnRenamed("image_file", "image"), "image", "left_semi")
     read = checkpointed(providers.read_media(wanted, _struct("description string"), make).select(name.alias("image"), "parsed", "error"))
     both = slides.join(read, F.col("image_file") == F.col("image"), "left")
@@ -132,12 +135,6 @@ def as_slides(rows: DataFrame) -> DataFrame:
     return rows.groupBy("video_id").agg(packed.alias("slides"))
 
 
-def thresholds(meta: DataFrame, threshold: float = 27.0) -> DataFrame:
-    """video_id and the scene threshold for its duration; long videos are cut more readily."""
-    long = scene_threshold(1e9, threshold)
-    return meta.select("video_id", F.when(F.coalesce("duration", F.lit(0.0)) > 300, F.lit(long)).otherwise(F.lit(threshold)).alias("threshold"))
-
-
 def dumps(frames_: list[dict]) -> str:
     """A reader's answer for a video's frames."""
     return json.dumps({"frames": frames_})

@@ -196,10 +196,5 @@ def capabilities() -> dict[str, bool]:
     } | {tool: which(tool) is not None for tool in ("ffmpeg", "whisper-cli")}
 
 
-def scene_threshold(duration: float, threshold: float = 27.0) -> float:
-    """Long videos are cut more readily."""
-    return min(threshold, 20.0) if duration > 300 else threshold
-
-
 def dumps(value: object) -> str:
     return json.dumps(value, ensure_ascii=False, sort_keys=True)
