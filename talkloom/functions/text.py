@@ -240,6 +240,12 @@ def json_text(x: Column | str) -> Column:
     return F.coalesce(F.nullif(fenced, F.lit("")), between("{", "}"), between("[", "]"))
 
 
+def answer_text(x: Column | str) -> Column:
+    """What a model's answer says: what is in its fenced block, be it empty, else its JSON, else the stripped text."""
+    x, fence = filled(x), r"(?s)```(?:json)?\s*\n(.*?)```"
+    return F.when(x.rlike(fence), strip(F.regexp_extract(x, fence, 1))).otherwise(F.coalesce(json_text(x), strip(x)))
+
+
 def context_block(n: Column, chunk_id: Column, talk: Column, track: Column, start_time: Column, video_id: Column, text: Column) -> Column:
     """One retrieved chunk as a header line and its text. The time shows only where it is not 0 and a video is known."""
 

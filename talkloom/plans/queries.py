@@ -115,6 +115,20 @@ def json_extract(spark, d):
     return t(spark, d, "events").select("event_id", F.map_values(parsed)[0].alias("k"))
 
 
+@query(
+    r"""WITH p AS (SELECT doc_id, regexp_replace(text, '[`{}\[\]]', '', 'g') AS x FROM documents)
+SELECT doc_id, md5(CASE doc_id % 5 WHEN 1 THEN '{' || x || '}' WHEN 2 THEN '[' || x || ']' WHEN 4 THEN ''
+  ELSE regexp_replace(x, '^\s+|\s+$', '', 'g') END) AS said FROM p WHERE x IS NOT NULL"""
+)
+def answer_texts(spark, d):
+    """Texts as answers in a fence, in braces, in brackets, without JSON, and in no more than an empty fence."""
+    x, k = F.regexp_replace("text", r"[`{}\[\]]", ""), F.col("doc_id") % 5
+    put = lambda before, after: F.concat(F.lit(before), x, F.lit(after))
+    answer = F.when(k == 0, put("So:\n```json\n", "\n``` {}")).when(k == 1, put("Sure [1]: {", "} [2]")).when(k == 2, put("List: [", "], as asked"))
+    answer = answer.when(k == 3, put(" \n", "\n ")).otherwise(put("```\n```", ""))
+    return t(spark, d, "documents").where("text is not null").select("doc_id", F.md5(text.answer_text(answer)).alias("said"))
+
+
 # Joins -----------------------------------------------------------------------------------------------------------
 
 
@@ -227,7 +241,7 @@ GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 15"""
 )
 def weighted_keywords(spark, d):
     words = t(spark, d, "documents").select("lang", F.explode(text.tokens("text")).alias("keyword"))
-    return aggregates.weighted_keywords(words.where("lang = 'en'"), words.where("lang <> 'en'"))
+    return aggregates.weighted_keywords(words.where("lang = 'en'"), words.where("NOT lang <=> 'en'"))
 
 
 @query(

@@ -151,3 +151,11 @@ def test_names_and_artifacts(value):
 
 def test_bold_paragraphs_become_headings(value):
     assert value(text.promote_bold(F.lit("a\n\n**Head**\nb"))) == "a\n\n### Head\n\nb"
+
+
+@pytest.mark.parametrize(
+    "given, wanted",
+    [(" plain \n", "plain"), ("```json\n {\"a\": 1}\n```", '{"a": 1}'), ("```\n```{}", ""), ("a [1, 2] b", "[1, 2]"), ("} {", "} {"), (None, "")],
+)
+def test_answer_text(value, given, wanted):
+    assert value(text.answer_text(F.lit(given).cast("string"))) == wanted
