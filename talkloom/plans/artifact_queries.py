@@ -1256,3 +1256,34 @@ def report_outline(spark, d):
     )
     sections = outline(ranking).select(F.explode("sections").alias("s"))
     return sections.select("s.section_id", "s.title", "s.section_type", "s.priority", "s.word_budget")
+
+
+#: The query that gives each kind of chunks (slides' groups apart, which have no ids).
+_KINDS = {
+    "transcript_segment": "chunk_transcripts", "talk_abstract": "chunk_union", "talk_summary": "chunk_union", "talk_takeaways": "chunk_takeaways",
+    "talk_qa": "chunk_qa", "talk_signals": "chunk_signals", "cluster_summary": "chunk_clusters", "conference_narrative": "chunk_narratives",
+    "maturity_assessment": "chunk_maturity", "tension": "chunk_tensions", "recommended_action": "chunk_actions",
+    "technology_relationship": "chunk_relationships",
+}
+
+
+@query(
+    "SELECT id, split_part(id, ':', 1) AS chunk_type, md5(text) AS digest FROM ("
+    + " UNION ALL ".join(f"SELECT id, text FROM ({queries.ORACLE_SQL[name]})" for name in dict.fromkeys(_KINDS.values()))
+    + f" UNION ALL SELECT 'slide_content:' || user_id || ':' || chunk_index, text FROM ({queries.ORACLE_SQL['slide_groups']}))"
+)
+def chunk_every_kind(spark, d):
+    """All thirteen kinds at once; chunks of an id that come again later in their kind or in a later kind go."""
+
+    def part(kind: str, as_kind: str = "", **given: Column) -> DataFrame:
+        if kind == "slide_content":
+            slide = F.concat_ws(":", F.lit(kind), as_text("user_id"), as_text("chunk_index"))
+            rows = queries.slide_groups(spark, d).select(slide.alias("id"), "text")
+        else:
+            rows = queries.QUERIES[_KINDS[kind]](spark, d).where(F.substring_index("id", ":", 1) == kind)
+        return chunks.as_chunks(rows, as_kind or kind, **{"id": F.col("id"), "text": F.col("text")} | given)
+
+    again = part("talk_takeaways", text=F.lit("later"), _pos=F.lit(1))
+    elsewhere = part("talk_qa", "tension", text=F.lit(""), _pos=F.lit(-1))
+    got = chunks.union_chunks(elsewhere, again, *(part(kind) for kind in reversed(chunks.ORDER)))
+    return got.select("id", "chunk_type", F.md5("text").alias("digest"))
