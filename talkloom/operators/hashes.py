@@ -72,7 +72,8 @@ def first_apart(nodes: DataFrame, most: int) -> DataFrame:
     if not left.isEmpty():
         name = lambda h: F.concat_ws("\x00", F.col("video"), F.col(h).cast("string"))
         member = components(links.select(name("h").alias("u"), name("before").alias("v")), "u", "v")
-        rest = left.join(member, name("h") == F.col("node")).select("root", "at", "h", "video")
+        # Whoever's earlier neighbours have all gone in the last round has no link left, and is a component of its own.
+        rest = left.join(member, name("h") == F.col("node"), "left").select(F.coalesce("root", name("h")).alias("root"), "at", "h", "video")
         rest = rest.repartition("root").sortWithinPartitions("root", "at", "h").mapInArrow(_fold(most), rest.schema).select("video", "at", "h")
     for more in kept:
         rest = rest.unionByName(more)

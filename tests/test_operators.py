@@ -355,6 +355,14 @@ def test_frames_that_drift_and_wait_for_each_other(spark):
     assert hashes.dedup_frames(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("n, step, most", [(17, 4, 6), (13, 4, 7), (13, 3, 4), (15, 4, 6)])
+def test_the_last_frame_of_a_chain_that_outlasts_the_rounds(spark, n, step, most):
+    """Each frame is near the next one only, so that every other stays; the last is decided when nothing is left to wait for."""
+    frames = [("v", i, (1 << step * i) - 1 if step * i < 63 else -1) for i in range(n)]
+    df = spark.createDataFrame(frames, "video_id string, index int, dhash long")
+    assert sorted(r["index"] for r in hashes.dedup_frames(df, most).collect()) == list(range(0, n, 2))
+
+
 def test_links_in_one_pass(spark):
     pages = [
         (1, "**A** and *A* and ***A***, A, ****A****, * see *A B*"),
