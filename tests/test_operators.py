@@ -363,6 +363,19 @@ def test_the_last_frame_of_a_chain_that_outlasts_the_rounds(spark, n, step, most
     assert sorted(r["index"] for r in hashes.dedup_frames(df, most).collect()) == list(range(0, n, 2))
 
 
+def test_the_last_of_a_chain_within_many_bits(spark):
+    """As above, with a radius at which all frames of a video meet: thirteen hashes, each within 24 bits of the next one alone."""
+    rng, chain = random.Random(7), [0]
+    while len(chain) < 13:
+        h = chain[-1]
+        for bit in rng.sample(range(63), 20):
+            h ^= 1 << bit
+        if all((h ^ x).bit_count() > 24 for x in chain[:-1]):
+            chain.append(h)
+    df = spark.createDataFrame([("v", i, h) for i, h in enumerate(chain)], "video_id string, index int, dhash long")
+    assert sorted(r["index"] for r in hashes.dedup_frames(df, 24).collect()) == list(range(0, 13, 2))
+
+
 def test_links_in_one_pass(spark):
     pages = [
         (1, "**A** and *A* and ***A***, A, ****A****, * see *A B*"),
