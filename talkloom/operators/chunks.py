@@ -6,7 +6,7 @@ from collections.abc import Iterator
 from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from talkloom.functions.text import bullets, companies_text, filled, or_else, safe_id, speakers_text, strip
@@ -338,5 +338,12 @@ def union_chunks(*parts: DataFrame) -> DataFrame:
     return keep_first(every, F.col("id"), F.col("_kind"), F.col("_pos"), F.col("text")).select(*COLUMNS)
 
 
+def union_places(*parts: DataFrame) -> DataFrame:
+    """All chunks; of equal ids those of the first kind and position stay, all of them if several stand there."""
+    w = Window.partitionBy("id").orderBy("_kind", "_pos")
+    every = reduce(DataFrame.unionByName, parts).where("id is not null and id <> ''")
+    return every.withColumn("_nth", F.rank().over(w)).where("_nth = 1").select(*COLUMNS)
+
+
 def chunk_counts(chunks: DataFrame) -> DataFrame:
     return chunks.groupBy("chunk_type").agg(F.count("*").alias("n")).orderBy("chunk_type")

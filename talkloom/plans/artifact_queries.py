@@ -1273,7 +1273,8 @@ _KINDS = {
     + f" UNION ALL SELECT 'slide_content:' || user_id || ':' || chunk_index, text FROM ({queries.ORACLE_SQL['slide_groups']}))"
 )
 def chunk_every_kind(spark, d):
-    """All thirteen kinds at once; chunks of an id that come again later in their kind or in a later kind go."""
+    """All thirteen kinds at once; chunks of an id that come again later in their kind or in a later kind go. Rows of one name
+    (customers, say) have one id and one place, and all stay."""
 
     def part(kind: str, as_kind: str = "", **given: Column) -> DataFrame:
         if kind == "slide_content":
@@ -1285,5 +1286,5 @@ def chunk_every_kind(spark, d):
 
     again = part("talk_takeaways", text=F.lit("later"), _pos=F.lit(1))
     elsewhere = part("talk_qa", "tension", text=F.lit(""), _pos=F.lit(-1))
-    got = chunks.union_chunks(elsewhere, again, *(part(kind) for kind in reversed(chunks.ORDER)))
+    got = chunks.union_places(elsewhere, again, *(part(kind) for kind in reversed(chunks.ORDER)))
     return got.select("id", "chunk_type", F.md5("text").alias("digest"))

@@ -1,6 +1,7 @@
 """Queries over whole tables, held against the tables themselves."""
 
 import re
+import shutil
 from collections import Counter
 
 import pytest
@@ -89,3 +90,16 @@ def test_bold_phrases_may_be_long(spark):
     df = spark.createDataFrame(list(enumerate(proses)), "i int, prose string")
     got = dict(tuple(r) for r in df.select("i", F.regexp_extract_all("prose", F.lit(grounding.BOLD), F.lit(0))).collect())
     assert [got[i] for i in range(len(proses))] == [lazy.findall(p) for p in proses]
+
+
+def test_customers_of_one_name_all_have_their_chunk(spark, sf_dir, tmp_path):
+    """Tables grown by shifted keys repeat names, and so ids of chunks."""
+    duckdb = pytest.importorskip("duckdb")
+    for name in ("region", "nation", "part", "events", "documents", "conversations"):
+        shutil.copy(f"{sf_dir}/{name}.parquet", tmp_path)
+    n = duckdb.sql(f"SELECT max(c_custkey) + 1 FROM '{sf_dir}/customer.parquet'").fetchall()[0][0]
+    grown = f"SELECT c.* REPLACE (c_custkey + {n} * i AS c_custkey) FROM '{sf_dir}/customer.parquet' c, range(2) r(i)"
+    duckdb.sql(f"COPY ({grown}) TO '{tmp_path}/customer.parquet' (FORMAT parquet)")
+    got = QUERIES["chunk_every_kind"](spark, str(tmp_path)).where("chunk_type = 'cluster_summary'").collect()
+    want = duckdb.sql(f"SELECT count(*), count(DISTINCT c_name) FROM ({grown}) WHERE c_custkey % 7 <> 0").fetchall()[0]
+    assert (len(got), len({r["id"] for r in got})) == want and want[0] > want[1]
