@@ -261,27 +261,36 @@ def best_titles(candidates: DataFrame, titles: DataFrame, strict: bool = False)
     strict: four, of which three shared. The same title is its own match. Ties go to the title first in order.
 
     A title that shares half of n tokens has one at least of any n - n/2 + 1 of them. So candidates meet titles on their
-    rarest tokens alone, and what meets is counted on all.
+    rarest tokens alone, and what meets is counted on all. It has n/2 tokens at least, so candidates beyond twice the longest
+    title's leave at once. Both sides go by digests; a whole text is read again only for what is chosen. What is known to
+    be small once it is written is broadcast by Spark's size check, so that the larger side's tokens stay where they are.
     """
+    from talkloom.sources.artifacts import stored
+
     hashed = lambda c: F.transform(tokens(c), lambda x: F.xxhash64(x))
-    asked = candidates.select("candidate_id", filled("text").alias("text"), hashed("text").alias("mine"))
+    digest = lambda x: F.unhex(F.md5(x))
+    asked = candidates.select("candidate_id", filled("text").alias("text")).withColumn("cid", digest(F.to_json(F.struct("candidate_id"))))
     least = 4 if strict else 2
-    real = titles.select("title").where("title is not null").distinct().withColumn("tid", F.md5("title"))
-    theirs = real.select("tid", hashed("title").alias("theirs"))
-    word = theirs.select("tid", F.explode("theirs").alias("token"))
+    real = titles.select("title").where("title is not null").withColumn("tid", digest("title"))
+    theirs = stored(real.select("tid", hashed("title").alias("theirs")).groupBy("tid").agg(F.first("theirs").alias("theirs")))
+    widest = F.broadcast(theirs.agg(F.max(F.size("theirs")).alias("widest")))  # one row
+    fits = asked.select("cid", hashed("text").alias("mine")).where(F.size("mine") >= least)
+    fits = fits.join(widest, F.size("mine") <= 2 * F.col("widest")).select("cid", "mine")
+    word = theirs.select("tid", F.size("theirs").alias("m"), F.explode("theirs").alias("token"))
     known = word.groupBy("token").agg(F.count("*").alias("held_by"))
-    fits = asked.where(F.size("mine") >= least).select("candidate_id", "mine")
-    held = fits.select("candidate_id", F.size("mine").alias("n"), F.explode("mine").alias("token")).join(known, "token")
+    held = fits.select("cid", F.size("mine").alias("n"), F.explode("mine").alias("token")).join(known, "token")
     # Tokens that no title has come first: they are rarest, and stand for themselves only by their number.
-    by_rarity = held.groupBy("candidate_id", "n").agg(F.array_sort(F.collect_list(F.struct("held_by", "token"))).alias("held"))
-    lead = F.col("n") - F.ceil(F.col("n") / 2).cast("int") + 1 - (F.col("n") - F.size("held"))
-    asks = by_rarity.where(lead > 0).select("candidate_id", F.explode(F.slice("held", F.lit(1), lead)).alias("x"))
-    met = asks.select("candidate_id", F.col("x.token").alias("token")).join(word, "token").select("candidate_id", "tid").distinct()
-    met = met.join(by_rarity.select("candidate_id", "n", F.transform("held", lambda h: h["token"]).alias("mine")), "candidate_id")
-    shared = met.join(theirs, "tid").withColumn("shared", F.size(F.array_intersect("mine", "theirs")))
+    by_rarity = held.groupBy("cid", "n").agg(F.array_sort(F.collect_list(F.struct("held_by", "token"))).alias("held"))
+    by_rarity = stored(by_rarity.select("cid", "n", F.transform("held", lambda h: h["token"]).alias("mine")))
+    lead = F.col("n") - F.ceil(F.col("n") / 2).cast("int") + 1 - (F.col("n") - F.size("mine"))
+    asks = by_rarity.where(lead > 0).select("cid", "n", F.explode(F.slice("mine", F.lit(1), lead)).alias("token"))
+    met = stored(asks.join(word, "token").where(2 * F.col("m") >= F.col("n")).select("cid", "tid").distinct())
+    shared = met.join(by_rarity, "cid").join(theirs, "tid").withColumn("shared", F.size(F.array_intersect("mine", "theirs")))
     shared = shared.withColumn("score", F.col("shared") / F.col("n")).where("score >= 0.5" + (" and shared >= 3" if strict else ""))
-    same = asked.join(real, F.md5("text") == F.col("tid")).where("text = title").select("candidate_id", "title", F.lit(2.0).alias("score"))
-    every = shared.join(real, "tid").select("candidate_id", "title", "score").unionByName(same)
-    w = Window.partitionBy("candidate_id").orderBy(F.desc("score"), "title")
-    best = every.withColumn("nth", F.row_number().over(w)).where("nth = 1")
-    return best.select("candidate_id", "title", F.least(F.lit(1.0), "score").alias("score"))
+    same = asked.join(real, digest("text") == F.col("tid")).where("text = title").select("cid", "tid", F.lit(2.0).alias("score"))
+    every = shared.select("cid", "tid", "score").unionByName(same)
+    best = F.rank().over(Window.partitionBy("cid").orderBy(F.desc("score")))
+    every = stored(every.withColumn("nth", best).where("nth = 1").select("cid", "tid", "score").distinct())
+    chosen = stored(every.join(real, "tid").groupBy("cid").agg(F.min("title").alias("title"), F.first("score").alias("score")))
+    one = asked.select("cid", "candidate_id").join(chosen, "cid").dropDuplicates(["cid"])
+    return one.select("candidate_id", "title", F.least(F.lit(1.0), "score").alias("score"))

@@ -39,6 +39,14 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """The rows written as a table in the shared folder and read again: unlike a checkpoint's, their size is known to the plans
+    that read them, and they lie compressed."""
+    path = shared_folder(df.sparkSession)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether anything matches a path (or pattern), in whatever file system it names."""
     fs_path = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -405,3 +405,14 @@ def test_turns_by_longest_overlap(spark):
     # Of B and A with 4 seconds each B began first; C has 40.5 seconds of the second segment, B 45 in two turns.
     want = [("v", 0, "B"), ("v", 1, "B"), ("v", 2, None), ("v", 3, None), ("w", 0, None), (None, 0, None)]
     assert sorted(rows(got, "video_id", "i", "speaker"), key=str) == sorted(want, key=str)
+
+
+def test_token_matches_deal_out_digests_not_texts(spark):
+    """Candidates are grouped by digests (an id may hold its whole text, as titles in prose do), and long ones leave before that."""
+    titles = spark.createDataFrame([("alpha beta gamma delta",), ("alpha beta gamma delta",), ("epsilon zeta theta kappa",)], "title string")
+    texts = ["alpha beta gamma other", "zeta", "alpha beta gamma delta", "epsilon zeta " + " ".join(f"word{i}" for i in range(2000)), "epsilon zeta theta iota", ""]
+    asked = spark.createDataFrame([(i, x) for i, x in enumerate(texts)] + [(0, texts[0])], "id int, text string")
+    asked = asked.select(F.struct("id", "text").alias("candidate_id"), "text")
+    got = matching.best_titles(asked, titles, strict=True)
+    assert "hashpartitioning(candidate_id" not in got._jdf.queryExecution().toString()
+    assert sorted((r[0]["id"], r[1], r[2]) for r in got.collect()) == [(0, "alpha beta gamma delta", 0.75), (2, "alpha beta gamma delta", 1.0), (4, "epsilon zeta theta kappa", 0.75)]
