@@ -13,6 +13,7 @@ from collections import Counter
 from collections.abc import Callable, Iterator
 from typing import Protocol
 
+import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
@@ -28,6 +29,10 @@ class Completer(Protocol):
     def complete(self, system: str, prompt: str, max_tokens: int) -> str: ...
 
 
+#: Texts whose vectors a task makes before it hands them on; a batch of Spark's has ten thousand.
+EMBEDDED = 256
+
+
 class Embedder(Protocol):
     def embed(self, texts: list[str]) -> list[list[float]]: ...
 
@@ -97,7 +102,9 @@ def embed(df: DataFrame, make: Callable[[], Embedder] = HashedTerms, text_col: s
     def vectors(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         provider = make()
         for texts in batches:
-            yield pd.Series(provider.embed(texts.fillna("").tolist()))
+            for start in range(0, len(texts), EMBEDDED):
+                made = provider.embed(texts.iloc[start : start + EMBEDDED].fillna("").tolist())
+                yield pd.Series([np.asarray(v, np.float32) for v in made])
 
     return df.withColumn(out, vectors(F.col(text_col)))
 
