@@ -48,14 +48,9 @@ def or_else(*choices: Column | str) -> Column:
     return F.coalesce(*(F.nullif(col(c), F.lit("")) for c in choices), F.lit(""))
 
 
-@F.pandas_udf(T.StringType())
-def nfkc(s: pd.Series) -> pd.Series:
-    """Unicode NFKC. Spark has no builtin for it."""
-    return s.map(lambda x: unicodedata.normalize("NFKC", x), na_action="ignore")
-
-
 @F.pandas_udf(T.ArrayType(T.StringType()))
 def nfkc_each(s: pd.Series) -> pd.Series:
+    """Unicode NFKC. Spark has no builtin for it."""
     return s.map(lambda xs: [None if x is None else unicodedata.normalize("NFKC", x) for x in xs], na_action="ignore")
 
 
@@ -63,10 +58,17 @@ def _plain(x: Column) -> Column:
     return F.octet_length(x) == F.char_length(x)
 
 
+#: Words that are not plain ASCII, between characters up to the space. Those neither compose nor let marks pass, so each word has
+#: its NFKC by itself. It is tried at beginnings of words alone, and possessive, so that long words cost no more than others.
+_FOREIGN = r"(?<![^\x00-\x20])[\x21-\x7F]*+[^\x00-\x7F][^\x00-\x20]*+"
+
+
 def normalized(x: Column | str) -> Column:
-    """NFKC. Strings that are plain ASCII reach Python as null."""
+    """NFKC. Only words that are not plain ASCII reach Python, so that its batches hold no whole texts of mostly plain words."""
     x = col(x)
-    return F.when(_plain(x), x).otherwise(nfkc(F.when(~_plain(x), x)))
+    found = nfkc_each(F.when(~_plain(x), F.regexp_extract_all(x, F.lit(_FOREIGN), F.lit(0))))
+    put = F.zip_with(F.split(x, _FOREIGN, -1), found, lambda a, b: F.concat(a, F.coalesce(b, F.lit(""))))
+    return F.when(_plain(x), x).otherwise(F.array_join(put, ""))
 
 
 def normalized_each(xs: Column | str) -> Column:

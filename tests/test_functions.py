@@ -159,3 +159,30 @@ def test_bold_paragraphs_become_headings(value):
 )
 def test_answer_text(value, given, wanted):
     assert value(text.answer_text(F.lit(given).cast("string"))) == wanted
+
+
+def test_only_foreign_words_go_to_python_for_nfkc(spark):
+    """Words between characters up to the space have their NFKC by themselves; texts of plain words aren't dealt out whole."""
+    import random
+    import unicodedata
+
+    rng, some = random.Random(3), "a e ́ ̧ é ﬁ Ａ 　   ´ ᄀ ᅡ ᆨ 가 ͅ ① \U0001d400   \x85 $ \\".split(" ")
+    texts = ["".join(rng.choice([*some, " ", "\n", "\t"]) for _ in range(rng.randrange(30))) for _ in range(300)]
+    texts += ["", " ", "x" * 50_000 + " ﬁ", "ﬁ" * 20_000, "plain", " ́", "e\ń", None]
+    df = spark.createDataFrame([(x,) for x in texts], "x string")
+    got = df.select("x", text.normalized("x").alias("y")).collect()
+    assert all(r["y"] == (None if r["x"] is None else unicodedata.normalize("NFKC", r["x"])) for r in got) and len(got) == len(texts)
+    plan = df.select(text.normalized("x"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "nfkc(" not in plan
+
+
+def test_vectors_leave_a_batch_in_slices(spark, monkeypatch):
+    from talkloom.plans import providers
+
+    class Largest:
+        def embed(self, texts):
+            return [[float(len(texts)), float(len(x))] for x in texts]
+
+    df = spark.range(0, 1500, 1, 1).selectExpr("id", "repeat('x', cast(id as int) % 7) as text")
+    got = {r["id"]: r["embedding"] for r in providers.embed(df, Largest).collect()}
+    assert len(got) == 1500 and max(v[0] for v in got.values()) <= 256 and all(v[1] == i % 7 for i, v in got.items())
