@@ -14,6 +14,10 @@ of a link differ by a ninth at most), and no link is lost. Equal sets are one no
 Trees of more than ``CELL`` nodes are dealt into cells, each of which holds two slices. A tree gives a spanning forest of the
 pairs that pass its bound, not all of them. Where every edge of a forest proves a link, the links among its nodes add nothing
 to the components. Trees with a failing edge are searched again for all pairs that pass between nodes which are not connected yet.
+
+Counts alone let through what differs by twice the threshold and more, and in a large group of such near copies that is the square
+of its size. So a pair must also pass by parities: of shingles dealt into ``PARITIES`` groups, a set knows which groups hold an odd
+number. Two sets differ in at least as many shingles as parities, and in hardly more while these are few beside the groups.
 """
 
 from __future__ import annotations
@@ -34,6 +38,8 @@ from talkloom.llm.graph import connected_components
 SHINGLE, LEAST = 3, (9, 10)
 #: Coordinates of a point, groups of a band, points on a page of a tree.
 GROUPS, BAND_GROUPS, PAGE = 64, 256, 64
+#: Parities of a set, 32 to a number; as many numbers as a point has. Sets of up to some thousand shingles are told apart by them.
+PARITIES = 32 * GROUPS
 #: Nodes of a tree from which it is dealt into cells; one of SAMPLED nodes tells which trees are as large (the results do not depend on it).
 CELL, SAMPLED = 8192, 64
 #: Trees of at most so many nodes hand on their pairs as they are: at most 28.
@@ -120,8 +126,14 @@ def point(hashes: np.ndarray) -> np.ndarray:
     return np.bincount((hashes >> _U(16) & _U(GROUPS - 1)).astype(np.int64), minlength=GROUPS).astype(np.int32)
 
 
+def parities(hashes: np.ndarray) -> np.ndarray:
+    """Whether the shingles of each group are odd in number, as bits."""
+    counts = np.bincount((hashes >> _U(40) & _U(PARITIES - 1)).astype(np.int64), minlength=PARITIES)
+    return np.packbits((counts & 1).astype(np.uint8)).view(np.int32)
+
+
 def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of (id, place, text): id, place, set size, the set's key, its point and its band keys."""
+    """Of (id, place, text): id, place, set size, the set's key, its point, its parities and its band keys."""
     known = _Words()
     for batch in batches:
         for start in range(0, batch.num_rows, 512):
@@ -135,9 +147,10 @@ def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     pa.array([len(h) for h in sets], pa.int64()),
                     pa.array([_key(h) for h in sets], pa.binary()),
                     pa.array([point(h).tobytes() if len(h) >= SMALLEST else b"" for h in sets], pa.binary()),
+                    pa.array([parities(h).tobytes() if len(h) >= SMALLEST else b"" for h in sets], pa.binary()),
                     pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, keys)]).astype(np.int32)), pa.array(np.concatenate(keys))),
                 ],
-                names=["id", "place", "n", "own", "point", "bands"],
+                names=["id", "place", "n", "own", "point", "odd", "bands"],
             )
 
 
@@ -213,10 +226,15 @@ def enough(overlap, size_a, size_b):
     return (LEAST[0] + LEAST[1]) * overlap >= LEAST[0] * (size_a + size_b)
 
 
+def close(differing, size_a, size_b):
+    """Whether sets of these sizes that differ in no more shingles than this may link: sizes less twice the overlap are what differs."""
+    return (LEAST[0] + LEAST[1]) * differing <= (LEAST[1] - LEAST[0]) * (size_a + size_b)
+
+
 class Tree:
     """An R-tree of points, packed by size and then along the coordinates that vary most; pages have largest counts and a least size."""
 
-    def __init__(self, sizes: np.ndarray, points: np.ndarray):
+    def __init__(self, sizes: np.ndarray, points: np.ndarray, odd: np.ndarray | None = None):
         order, wide = np.argsort(sizes, kind="stable"), np.argsort(-points.var(axis=0), kind="stable")
         parts = [order]
         for c in wide[:12]:
@@ -227,6 +245,7 @@ class Tree:
         self.order = np.concatenate(pages)
         self.starts = np.cumsum([0, *map(len, pages)])
         self.sizes, self.points = sizes[self.order], points[self.order]
+        self.odd = None if odd is None else odd[self.order].view(np.uint32)
         self.top = np.maximum.reduceat(self.points, self.starts[:-1], axis=0)
         self.least = np.minimum.reduceat(self.sizes, self.starts[:-1])
         self.left = np.ones(len(order), bool)
@@ -237,21 +256,26 @@ class Tree:
         self.left[places] = False
         self.more -= len(places)
 
-    def near(self, size: int, at: np.ndarray) -> np.ndarray:
-        """Places of the points still left whose bound lets them link with a point."""
+    def near(self, place: int) -> np.ndarray:
+        """Places of the points still left whose bounds let them link with the point at a place."""
         if not self.more:
             return np.zeros(0, np.int64)
+        size, at = self.sizes[place], self.points[place]
         pages = np.flatnonzero(enough(np.minimum(self.top, at).sum(axis=1), size, self.least))
         if not len(pages):
             return pages
         some = np.concatenate([np.arange(self.starts[p], self.starts[p + 1]) for p in pages]) if len(pages) < len(self.least) else np.arange(len(self.sizes))
         some = some[self.left[some]]
-        return some[enough(np.minimum(self.points[some], at).sum(axis=1), size, self.sizes[some])]
+        some = some[enough(np.minimum(self.points[some], at).sum(axis=1), size, self.sizes[some])]
+        if self.odd is None:
+            return some
+        differing = np.bitwise_count(self.odd[some] ^ self.odd[place]).sum(axis=1, dtype=np.int64)
+        return some[close(differing, size, self.sizes[some])]
 
 
-def forest(nodes: np.ndarray, sizes: np.ndarray, points: np.ndarray) -> list[tuple[int, int]]:
-    """A spanning forest of the pairs that pass the bound."""
-    tree, out = Tree(sizes, points), []
+def forest(nodes: np.ndarray, sizes: np.ndarray, points: np.ndarray, odd: np.ndarray | None = None) -> list[tuple[int, int]]:
+    """A spanning forest of the pairs that pass the bounds."""
+    tree, out = Tree(sizes, points, odd), []
     for seed in range(len(nodes)):
         if not tree.left[seed]:
             continue
@@ -259,19 +283,19 @@ def forest(nodes: np.ndarray, sizes: np.ndarray, points: np.ndarray) -> list[tup
         queue = [seed]
         while queue:
             at = queue.pop()
-            found = tree.near(tree.sizes[at], tree.points[at])
+            found = tree.near(at)
             tree.take(found)
             queue += found.tolist()
             out += [(int(nodes[tree.order[at]]), int(nodes[tree.order[x]])) for x in found]
     return out
 
 
-def across(nodes: np.ndarray, sizes: np.ndarray, labels: np.ndarray, points: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """All pairs that pass the bound and have different labels, some thousands at a time."""
-    tree, us, vs, held = Tree(sizes, points), [], [], 0
+def across(nodes: np.ndarray, sizes: np.ndarray, labels: np.ndarray, points: np.ndarray, odd: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs that pass the bounds and have different labels, some thousands at a time."""
+    tree, us, vs, held = Tree(sizes, points, odd), [], [], 0
     for at in range(len(nodes)):
         tree.take([at])
-        found = tree.order[tree.near(tree.sizes[at], tree.points[at])]
+        found = tree.order[tree.near(at)]
         found = found[labels[found] != labels[tree.order[at]]]
         us.append(np.full(len(found), nodes[tree.order[at]]))
         vs.append(nodes[found])
@@ -284,7 +308,7 @@ def across(nodes: np.ndarray, sizes: np.ndarray, labels: np.ndarray, points: np.
 
 
 def _forests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows (tree, node, n, point) in order: the edges (u, v, tree) of each tree's forest."""
+    """Of rows (tree, node, n, point, odd) in order: the edges (u, v, tree) of each tree's forest."""
     for rows in _runs(batches, 1):
         for i, j in _bounds(rows, 1):
             edges = np.array(forest(*(x[i:j] for x in rows[1:])), np.int64).reshape(-1, 2)
@@ -293,7 +317,7 @@ def _forests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _acrosses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows (tree, node, n, label, point) in order: all pairs (u, v) of different labels that pass the bound."""
+    """Of rows (tree, node, n, label, point, odd) in order: all pairs (u, v) of different labels that pass the bounds."""
     for rows in _runs(batches, 1):
         for i, j in _bounds(rows, 1):
             for u, v in across(*(x[i:j] for x in rows[1:])):
@@ -335,7 +359,7 @@ def _verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame
 
 
 def _trees(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Of nodes (node, n, point, bands): pairs (u, v) of small trees that pass the bound; rows (tree, node, n, point) of larger ones.
+    """Of nodes (node, n, point, bands): pairs (u, v) of small trees that pass the bound; rows (tree, node, n, point, odd) of larger ones.
 
     A key's nodes are dealt by hash into k slices, and each pair of slices meets in a cell; k is 1 but for keys of many nodes.
     """
@@ -351,7 +375,8 @@ def _trees(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
     about = nodes.select("node", "n", "point")
     pairs = met.where("tree is null").select("u", "v").distinct().join(about.toDF("u", "n_u", "p_u"), "u").join(about.toDF("v", "n_v", "p_v"), "v")
     members = met.where("tree is not null").select("tree", F.col("u").alias("node")).distinct()
-    return pairs.mapInArrow(_bounded, "u long, v long"), members.join(about, "node").select("tree", "node", "n", "point")
+    about = nodes.select("node", "n", "point", "odd")
+    return pairs.mapInArrow(_bounded, "u long, v long"), members.join(about, "node").select("tree", "node", "n", "point", "odd")
 
 
 def _by_tree(rows: DataFrame, columns: list[str]) -> DataFrame:
@@ -367,16 +392,16 @@ def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     are compared by 64-bit hashes.
     """
     texts = docs.select(F.col(id_col).alias("id"), F.xxhash64(id_col, text_col).alias("place"), F.col(text_col).alias("text"))
-    described = texts.mapInArrow(_described, f"id {type_of(docs, id_col)}, place long, n long, own binary, point binary, bands array<long>")
+    described = texts.mapInArrow(_described, f"id {type_of(docs, id_col)}, place long, n long, own binary, point binary, odd binary, bands array<long>")
     described = cut(described, "described")
     of_set = described.where("n > 0").groupBy("own").agg(
-        F.min("id").alias("least"), *(F.first(c).alias(c) for c in ("place", "n", "point", "bands"))
+        F.min("id").alias("least"), *(F.first(c).alias(c) for c in ("place", "n", "point", "odd", "bands"))
     )
     nodes = cut(of_set.withColumn("node", F.monotonically_increasing_id()), "nodes")
     large = nodes.where(F.col("n") >= SMALLEST)
     sure, members = _trees(large)
     members = cut(members, "members")
-    edges = cut(_by_tree(members, ["tree", "node", "n", "point"]).mapInArrow(_forests, "u long, v long, tree long"), "edges")
+    edges = cut(_by_tree(members, ["tree", "node", "n", "point", "odd"]).mapInArrow(_forests, "u long, v long, tree long"), "edges")
     pairs = cut(sure.union(edges.select("u", "v")).distinct(), "pairs")
     known = _verified(pairs, nodes, texts.select("place", "text"))
     links = known.where("links").select("u", "v")
@@ -385,7 +410,7 @@ def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     if not doubtful.isEmpty():
         rows = members.join(doubtful, "tree", "left_semi").join(member, "node", "left")
         rows = rows.withColumn("label", F.coalesce("root", "node"))
-        more = _by_tree(rows, ["tree", "node", "n", "label", "point"]).mapInArrow(_acrosses, "u long, v long").distinct()
+        more = _by_tree(rows, ["tree", "node", "n", "label", "point", "odd"]).mapInArrow(_acrosses, "u long, v long").distinct()
         more = cut(more.join(known, ["u", "v"], "left_anti"), "more_pairs")
         if not more.isEmpty():
             links = links.union(_verified(more, nodes, texts.select("place", "text")).where("links").select("u", "v"))

@@ -228,3 +228,20 @@ def test_bound_prunes_pages_and_never_a_link():
 def test_op12_equals_brute_force(spark, sf_dir, duck):
     rows = duck.sql("SELECT doc_id, text FROM documents").fetchall()
     assert found(QUERIES["op12_ngram_jaccard_join"](spark, sf_dir)) == slow_components(rows)
+
+
+def test_near_copies_below_the_threshold_are_no_pairs():
+    """Parities part what counts leave together, and never what links: sets with twelve shingles of their own beside 188 do not link."""
+    rng = np.random.default_rng(5)
+    base = rng.integers(0, 1 << 63, 200).astype(np.uint64)
+    apart = [np.unique(np.r_[base[:188], rng.integers(0, 1 << 63, 12).astype(np.uint64)]) for _ in range(60)]
+    near = [np.unique(np.r_[base[:195], rng.integers(0, 1 << 63, 5).astype(np.uint64)]) for _ in range(5)]
+    sets = apart + near
+    sizes, points, odd = np.array([len(s) for s in sets]), np.stack([count_tree.point(s) for s in sets]), np.stack([count_tree.parities(s) for s in sets])
+    names = np.arange(len(sets))
+    met = {(int(min(u, v)), int(max(u, v))) for us, vs in count_tree.across(names, sizes, names, points, odd) for u, v in zip(us, vs)}
+    real = {
+        (i, j) for i in names for j in names if i < j and count_tree.enough(len(np.intersect1d(sets[i], sets[j])), len(sets[i]), len(sets[j]))
+    }
+    loose = sum(1 for i in range(60) for j in range(i) if count_tree.enough(np.minimum(points[i], points[j]).sum(), sizes[i], sizes[j]))
+    assert real <= met and len(met - real) < loose / 4 and loose > 100
