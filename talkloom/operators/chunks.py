@@ -76,11 +76,20 @@ def fold_segments(texts: Iterator[tuple[float, str]], window: int = WINDOW, over
 
 
 def windows(
-    segments: DataFrame, key: str, order: str, text: str, start: str, window: int = WINDOW, overlap: int = OVERLAP, once: bool = False
+    segments: DataFrame,
+    key: str,
+    order: str,
+    text: str,
+    start: str,
+    window: int = WINDOW,
+    overlap: int = OVERLAP,
+    once: bool = False,
+    together: bool = False,
 ) -> DataFrame:
     """(key, chunk_index, start_time, text): transcripts of any length stream through sorted; the state is one buffer.
 
-    With ``once`` a segment of the same start and text as the one before it is left out; ``order`` must bring these together.
+    With ``once`` segments of one place go by their texts, and one of the same start and text as the one before it is left out.
+    ``together``: each key's segments stand in one partition already, in order and one after another; then nothing is shuffled.
     """
     kind = segments.schema[key].dataType.simpleString()
 
@@ -116,7 +125,9 @@ def windows(
     laid = segments.where(F.col(key).isNotNull()).select(
         key, F.col(start).cast("double").alias("__start"), F.col(text).alias("__text"), F.col(order).alias("__order")
     )
-    laid = laid.repartition(key).sortWithinPartitions(key, "__order").drop("__order")
+    if not together:
+        laid = laid.repartition(key).sortWithinPartitions(key, "__order", *(["__text"] if once else []))
+    laid = laid.drop("__order")
     return laid.mapInArrow(fold, f"`{key}` {kind}, chunk_index int, start_time double, text string")
 
 

@@ -168,3 +168,22 @@ def test_command_line(sf_dir, tmp_path):
     )
     assert ran.returncode == 0, ran.stderr[-2000:]
     assert "new documents in 1 batches" in ran.stderr and (tmp_path / "out/board").is_dir()
+
+
+def test_documents_of_one_id_each_are_not_moved(spark, tmp_path, monkeypatch):
+    """Only documents that share an id are shuffled by talk, and a store of both kinds is the same as one of shuffled rows."""
+    rows = [(i, "\n".join(f"line {j} of {i} " + "x" * 300 for j in range(i % 12)), "ab"[i % 2]) for i in range(40)]
+    rows += [(7, "another\nline", "a"), (7, "another\nline", None), (None, "none", "a")]
+    asked = []
+    real = chunk_store.chunks.windows
+
+    def windows(laid, *a, **k):
+        asked.append((k.get("together", False), {r["id"] for r in laid.select("talk.id").distinct().collect()}))
+        return real(laid, *a, **k)
+
+    monkeypatch.setattr(chunk_store.chunks, "windows", windows)
+    got = chunk_store.told(docs(spark, rows).select("doc_id", "text", "source"), 2000, 400)
+    alone, shared = asked
+    assert alone[0] and "7" not in alone[1] and not shared[0] and shared[1] == {"7"}
+    monkeypatch.setattr(chunk_store.chunks, "windows", lambda laid, *a, **k: real(laid, *a, **{**k, "together": False}))
+    assert held(got) == held(chunk_store.told(docs(spark, rows).select("doc_id", "text", "source"), 2000, 400))
