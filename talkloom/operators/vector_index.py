@@ -140,8 +140,12 @@ def refresh(
     touched = checkpointed(touched)
     radii_now = {r["cell"]: r["r"] for r in placed.groupBy("cell").agg(F.max("angle").alias("r")).collect()}
     _write_cells(spark, centres, {c: max(radii.get(c, 0.0), radii_now.get(c, 0.0)) for c in {*radii, *radii_now}}, path)
-    null_safe = [F.col(c).eqNullSafe(F.col(f"t_{c}")) for c in folders]
-    stay = held.join(touched.toDF(*(f"t_{c}" for c in folders)), null_safe, "left_semi").join(left.select(id_col), id_col, "left_anti")
+    # Which rows stay is told without texts and vectors, by folder; the rows themselves go by their ids, so that a cell of very
+    # many rows is no task's alone.
+    null_safe = [F.col(f"__{c}").eqNullSafe(F.col(f"t_{c}")) for c in folders]
+    same = was.join(touched.toDF(*(f"t_{c}" for c in folders)), null_safe, "left_semi").join(left.select(id_col), id_col, "left_anti")
+    same = same.select(F.col(id_col).alias("__id"), *(f"__{c}" for c in folders))
+    stay = held.join(same, [F.col(id_col) == F.col("__id"), *(F.col(c).eqNullSafe(F.col(f"__{c}")) for c in folders)], "left_semi")
     empty = [F.lit(None).cast(f.dataType).alias(f.name) if f.name not in folders else F.col(f.name) for f in placed.schema.fields]
     # A folder that loses all of its rows is overwritten by one row that is none.
     now = checkpointed(stay.select(placed.columns).unionByName(placed).unionByName(touched.select(*empty)))

@@ -132,3 +132,17 @@ def test_a_crash_between_bounds_and_vectors_is_mended(spark, tmp_path, monkeypat
     monkeypatch.setattr(vector_index, "_write", was)
     assert vector_index.refresh(text_rows(spark, more), path, lengths, ["kind"]) == {"kept": 55, "embedded": 5, "gone": 5}
     assert {r[0] for r in state(spark, path, "id")} == {r[0] for r in more}
+
+
+def test_a_refresh_does_not_gather_the_rows_of_a_cell(spark, tmp_path, monkeypatch):
+    """Rows that stay in touched cells go by their ids: texts and vectors are never shuffled by folder, however many a cell has."""
+    plans, real = [], vector_index.checkpointed
+    path = str(tmp_path / "i")
+    rows = [(f"i{i}", [1.0, i / 1000.0], "a") for i in range(200)]
+    vector_index.refresh(table(spark, rows), path, lambda r: r, ["kind"], cells=1)
+    monkeypatch.setattr(vector_index, "checkpointed", lambda df: plans.append(df._jdf.queryExecution().toString()) or real(df))
+    rows[5] = ("i5", [0.0, 1.0], "a")
+    assert vector_index.refresh(table(spark, rows), path, lambda r: r, ["kind"]) == {"kept": 199, "embedded": 1, "gone": 0}
+    last = plans[-1].split("== Physical Plan ==")[1]
+    assert "hashpartitioning(" in last and "hashpartitioning(coalesce(kind#" not in last
+    assert sorted(r["id"] for r in vector_index.load(spark, path).collect()) == sorted(i for i, _, _ in rows)
