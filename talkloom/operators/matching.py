@@ -236,21 +236,26 @@ def resolve_titles(wanted: DataFrame, titles: DataFrame, name: str = "wanted") -
     """wanted (with a title column ``name``) and the column ``resolved``: the title of ``titles`` (title, pos) that it stands for.
 
     Tiers: the same title; the first title of the same part before " - "; the first title that begins with the wanted one.
-    The third tier joins what is still open on beginnings of just the lengths that are asked for, so all joins are on
-    equal strings and a beginning that many titles share is one row.
+    What the first two find is written once and read by all that follows, as their union with the third would be read by few
+    tasks. The third tier joins what is still open on beginnings of just the lengths that are asked for, so all joins are on
+    equal strings. What is open is the table that a task holds; the titles' beginnings, many times as many, stream past it
+    unsorted, and only those that are asked for are grouped.
     """
+    from talkloom.sources.artifacts import stored
+
     first = titles.groupBy("title").agg(F.min("pos").alias("pos")).where("title is not null")
     ask = wanted.select(F.col(name).alias("w")).where("w is not null and w <> ''").distinct()
-    exact = ask.join(first, F.col("w") == F.col("title")).select("w", "title")
-    by_prefix = first.groupBy(title_prefix("title").alias("p")).agg(F.min_by("title", F.struct("pos", "title")).alias("title"))
-    open_ = ask.join(exact, "w", "left_anti")
-    prefix = open_.join(by_prefix, title_prefix("w") == F.col("p")).select("w", "title")
-    open_ = open_.join(prefix.select("w"), "w", "left_anti")
+    asked = ask.join(first.select(F.col("title").alias("same")), F.col("w") == F.col("same"), "left")
+    by_prefix = first.groupBy(title_prefix("title").alias("p")).agg(F.min_by("title", F.struct("pos", "title")).alias("like"))
+    asked = asked.join(by_prefix, title_prefix("w") == F.col("p"), "left").select("w", F.coalesce("same", "like").alias("title"))
+    asked = stored(asked)
+    open_ = asked.where("title is null").select("w")
     lengths = open_.agg(F.collect_set(F.length("w")).alias("ns"))  # one row: the different lengths of titles
     heads = first.join(F.broadcast(lengths), F.lit(True)).select("title", "pos", F.explode("ns").alias("n")).where(F.length("title") >= F.col("n"))
-    heads = heads.groupBy(F.substring("title", F.lit(1), F.col("n")).alias("head")).agg(F.min_by("title", F.struct("pos", "title")).alias("title"))
-    starts = open_.join(heads, F.col("w") == F.col("head")).select("w", "title")
-    best = exact.unionByName(prefix).unionByName(starts).withColumnRenamed("title", "resolved")
+    heads = heads.select(F.substring("title", F.lit(1), F.col("n")).alias("head"), "title", "pos")
+    starts = heads.join(open_.hint("shuffle_hash"), F.col("w") == F.col("head"))
+    starts = starts.groupBy("w").agg(F.min_by("title", F.struct("pos", "title")).alias("title"))
+    best = asked.where("title is not null").unionByName(starts).withColumnRenamed("title", "resolved")
     return wanted.join(best, F.col(name) == F.col("w"), "left").drop("w")
 
 

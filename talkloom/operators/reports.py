@@ -45,7 +45,10 @@ def appendix(talks: DataFrame, ranking: DataFrame, agenda: DataFrame, outline: D
     titles = talks.select("title", F.col("_pos").alias("pos"))
     found = resolve_titles(rows, titles)
     detail = talks.groupBy(F.col("title").alias("resolved")).agg(*(F.max_by(c, "_pos").alias(c) for c in DETAIL))
-    found = found.join(detail, "resolved", "left")
+    # Titles that resolve to nothing find no details; their rows are dealt out by a number, or all would come to one task.
+    alone = F.concat(F.lit("0"), F.xxhash64("wanted", "cluster", "i", "j").cast("string"))
+    found = found.withColumn("__key", F.coalesce(F.concat(F.lit("1"), "resolved"), alone))
+    found = found.join(detail.select(F.concat(F.lit("1"), "resolved").alias("__key"), *DETAIL), "__key", "left")
     if strategy == "by_cluster":
         deep = F.array().cast("array<string>") if outline is None else None
         if outline is not None:
@@ -62,7 +65,7 @@ def appendix(talks: DataFrame, ranking: DataFrame, agenda: DataFrame, outline: D
     cols = [F.when(full, F.col(c)).otherwise(empty.get(c, F.lit(""))).alias(c) for c in DETAIL]
     return found.select(
         F.struct("i", "j").alias("pos"), F.when(full, F.col("resolved")).otherwise(F.col("wanted")).alias("title"), "cluster", *cols
-    ).orderBy("pos")
+    ).orderBy("pos", "cluster", "title")  # places alone would deal all rows of one place, as of many agendas, to one task
 
 
 def in_order(sections: DataFrame, specs: DataFrame) -> DataFrame:

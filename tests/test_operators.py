@@ -154,6 +154,28 @@ def test_appendix_by_cluster(spark):
     assert got == [("A", "deep", "sum"), ("B", "deep", ""), ("A", "brief", "")]
 
 
+def test_appendix_of_many_agendas_is_dealt_out(spark):
+    """All rows lie at one place, none resolves but by the beginning of a title; no task may get most of them."""
+    talks = spark.createDataFrame(
+        [("t7 - on", "sum", ["k"], "e", "p", ["t"], 1), ("t7 - of", "late", ["k"], "e", "p", ["t"], 2), ("n8xy", "n", ["k"], "e", "p", ["t"], 3)],
+        "title string, summary string, key_takeaways array<string>, evidence_quality string, speaker_perspective string, tools_and_projects array<string>, _pos int",
+    )
+    agenda = spark.range(400).selectExpr("array(struct('c' || id AS name, array(CASE WHEN id = 8 THEN 'n8' ELSE 't' || id END) AS talks)) AS clusters")
+    outline = spark.createDataFrame([([("cluster_deep_dive", "c7"), ("cluster_deep_dive", "c8")],)], "sections array<struct<section_type: string, cluster_name: string>>")
+    held = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        got = reports.appendix(talks, spark.createDataFrame([], schema("ranking")), agenda, outline, "by_cluster")
+        got = got.select("title", "cluster", "summary", F.spark_partition_id().alias("part")).collect()
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+    assert {tuple(r)[:3] for r in got} == {("t7 - on", "c7", "sum"), ("n8xy", "c8", "n")} | {(f"t{i}", f"c{i}", "") for i in range(400) if i not in (7, 8)}
+    parts = [r["part"] for r in got]
+    assert len(got) == 400 and max(parts.count(p) for p in set(parts)) < 200
+
+
 def test_enrichment_split(spark):
     s = spark.createDataFrame(
         [("a", "cluster_deep_dive", [("t", "c", True)] * 5), ("b", "landscape", [("t", "c", True)])],
