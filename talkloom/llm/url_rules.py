@@ -2,8 +2,9 @@
 
 URLs become sets of tokens. FP-growth over the blocked ones of the labelled URLs gives token sets; each is counted in all
 labelled URLs, and rules "tokens -> block" are pruned by support (never under a count of rows, however few are labelled),
-by the lower bound of their confidence, and to those that no shorter rule of at least that bound implies. Rules match by
-an inverted index: each stands under its rarest token and is verified on the URL's set.
+by the lower bound of their confidence, and to those that no shorter rule of at least that bound implies. Sets that are too long
+for FP-growth, or of URLs with too many tokens for it, are found token by token from those that can still become better rules.
+Rules match by an inverted index: each stands under its rarest token and is verified on the URL's set.
 """
 
 from __future__ import annotations
@@ -24,8 +25,8 @@ LEAST_ROWS = 5
 #: Least lower bound of the confidence (Wilson's, at Z standard errors).
 CONFIDENCE = 0.7
 Z = 1.64
-#: Bounds of the model: tokens in a rule, and tokens of a URL that are mined, those of the highest bound by themselves.
-#: They bound what one URL of very many parameters can give to 2**MINED sets; matching always reads all tokens.
+#: What FP-growth is given: tokens in a set, and tokens of a URL, those of the highest bound by themselves. They bound what one
+#: URL of very many parameters can give to 2**MINED sets. longer() finds the rest, so that they leave no rule out.
 LONGEST = 4
 MINED = 10
 
@@ -86,6 +87,41 @@ def matches(sets: DataFrame, index: DataFrame) -> DataFrame:
     return hits.where(F.size(F.array_except("needed", "tokens")) == 0)
 
 
+def _under_rarest(found: DataFrame, tokens: DataFrame) -> DataFrame:
+    """The rows of found (with a column needed, no two alike) and the rarest token of each."""
+    seen = found.select("needed", F.explode("needed").alias("token")).join(tokens, "token")
+    return found.join(seen.groupBy("needed").agg(F.min(F.struct("token_n", "token")).alias("least")), "needed").select(*found.columns, F.col("least.token").alias("token"))
+
+
+def longer(opened: DataFrame, level: DataFrame, floor: int, confidence: float) -> DataFrame | None:
+    """All sets (needed, rows, both) that grow out of a level of open sets of one size, until no set is open; None if none is.
+
+    opened: labelled sets (n, both, tokens); level: needed (sorted), token (one of them), rows, both, best (the highest bound of it
+    and its subsets). A set is open if a longer one may be a rule that no shorter one implies: it leaves out rows that each of
+    its subsets holds, and if all that is blocked in it were all there is, it would have a bound that is enough and higher than
+    best. No set that is not open has an open one, or such a rule, above it.
+    """
+    found = None
+    while not level.isEmpty():
+        grown = matches(opened, level.select("token", "needed", F.col("token").alias("under")))
+        grown = grown.withColumn("more", F.explode(F.filter("tokens", lambda x: x > F.element_at("needed", -1))))
+        grown = grown.groupBy(F.concat("needed", F.array("more")).alias("needed"), F.col("under").alias("token")).agg(
+            F.sum("n").alias("rows"), F.sum("both").alias("both")
+        )
+        grown = cut(grown.where(F.col("both") >= floor), "longer")
+        rows = grown.select("needed", "rows", "both")
+        found = rows if found is None else found.unionByName(rows)
+        parts = grown.withColumn("bound", lower_bound(F.col("both"), F.col("rows"))).withColumn("top", lower_bound(F.col("both"), F.col("both")))
+        parts = parts.where((F.col("top") >= confidence) & (F.col("bound") < F.col("top")))
+        parts = parts.withColumn("part", F.explode(F.transform("needed", lambda x: F.array_remove("needed", x))))
+        parts = parts.join(level.select(F.col("needed").alias("part"), F.col("rows").alias("part_rows"), "best"), "part")
+        parts = parts.where((F.col("part_rows") > F.col("rows")) & (F.col("best") < F.col("top")))
+        parts = parts.groupBy("needed", "token", "rows", "both", "bound").agg(F.count("*").alias("parts"), F.max("best").alias("best"))
+        parts = parts.where(F.col("parts") == F.size("needed"))
+        level = cut(parts.select("needed", "token", "rows", "both", F.greatest("best", "bound").alias("best")), "open")
+    return found
+
+
 def mine(
     labelled: DataFrame,
     support: float = SUPPORT,
@@ -98,7 +134,7 @@ def mine(
 
     support is the share of labelled rows that hold the tokens and are blocked, confidence the lower bound. Rows with a
     null label or set are left out; repeated rows count as often as they come. Too few blocked rows give no rule. Ties in
-    confidence keep the shorter rule.
+    confidence keep the shorter rule. longest and mined bound what FP-growth is given, not the rules.
     """
     spark = labelled.sparkSession
     none = spark.createDataFrame([], "tokens array<string>, size int, support double, confidence double, rarest string")
@@ -116,21 +152,45 @@ def mine(
         return none
     tokens = sets.select("n", "both", F.explode("tokens").alias("token")).groupBy("token").agg(F.sum("n").alias("token_n"), F.sum("both").alias("token_both"))
     tokens = cut(tokens.where(F.col("token_both") >= floor).withColumn("bound", lower_bound(F.col("token_both"), F.col("token_n"))), "tokens")
+    # Longer rules that no shorter one implies hold none but open tokens (see longer()): not in all rows, and a bound to gain.
+    most = lower_bound(F.col("token_both"), F.col("token_both"))
+    usable = tokens.where((F.col("token_n") < n) & (most >= confidence) & (F.col("bound") < most))
     best = Window.partitionBy("set_id").orderBy(F.desc("bound"), "token")
-    items = sets.where("both > 0").select("set_id", "both", F.explode("tokens").alias("token")).join(tokens, "token")
-    items = items.withColumn("nth", F.row_number().over(best)).where(F.col("nth") <= mined).groupBy("set_id", "both").agg(F.collect_list("token").alias("items"))
-    items = cut(items.select("items", F.explode(F.sequence(F.lit(1), F.col("both").cast("int"))).alias("copy")).select("items"), "transactions")
-    total = items.count()
-    if total < floor:
-        return none
-    found = FPGrowth(itemsCol="items", minSupport=(floor - 0.5) / total).fit(items).freqItemsets
-    found = cut(found.where(F.size("items") <= longest).select(F.array_sort("items").alias("needed")), "frequent")
-    seen = found.select("needed", F.explode("needed").alias("token")).join(tokens, "token")
-    index = cut(
-        seen.groupBy("needed").agg(F.min(F.struct("token_n", "token")).alias("least")).select("needed", F.col("least.token").alias("token")),
-        "candidates",
+    items = sets.select("set_id", "n", "both", F.explode("tokens").alias("token")).join(usable, "token").withColumn("nth", F.row_number().over(best))
+    items = items.groupBy("set_id", "n", "both").agg(
+        F.array_sort(F.collect_list("token")).alias("tokens"), F.collect_list(F.when(F.col("nth") <= mined, F.col("token"))).alias("items")
     )
-    counted = matches(sets, index.withColumn("rarest", F.col("token"))).groupBy("needed", "rarest").agg(F.sum("n").alias("rows"), F.sum("both").alias("both"))
+    opened = cut(items.select("n", "both", "tokens", "items"), "opened")
+    items = opened.where("both > 0").select("items", F.explode(F.sequence(F.lit(1), F.col("both").cast("int"))).alias("copy")).select("items")
+    items = cut(items, "transactions")
+    total = items.count()
+    # Sets of one token are known; FP-growth gives those of more.
+    counted = tokens.select(F.array("token").alias("needed"), F.col("token_n").alias("rows"), F.col("token_both").alias("both"))
+    if total >= floor:
+        found = FPGrowth(itemsCol="items", minSupport=(floor - 0.5) / total).fit(items).freqItemsets
+        found = cut(found.where((F.size("items") > 1) & (F.size("items") <= longest)).select(F.array_sort("items").alias("needed")), "frequent")
+        index = _under_rarest(found, tokens).select("needed", "token")
+        shared = matches(opened.select("n", "both", "tokens"), index).groupBy("needed").agg(F.sum("n").alias("rows"), F.sum("both").alias("both"))
+        counted = counted.unionByName(shared)
+    counted = cut(_under_rarest(counted, tokens).withColumn("bound", lower_bound(F.col("both"), F.col("rows"))), "counted")
+    # Where FP-growth has seen all tokens of all sets, what is longer than its sets is left, else all that grows out of single tokens.
+    if opened.where((F.col("both") > 0) & (F.size("tokens") > mined)).isEmpty():
+        level = counted.where((F.size("needed") == longest) & (F.col("both") >= floor))
+        level = level.withColumn("top", lower_bound(F.col("both"), F.col("both"))).where((F.col("top") >= confidence) & (F.col("bound") < F.col("top")))
+        below = counted.select("token", F.col("needed"), F.col("rows").alias("part_rows"), F.col("bound").alias("part_bound"))
+        level = matches(level.withColumnRenamed("needed", "tokens").withColumnRenamed("token", "under"), below)
+        level = level.groupBy(F.col("tokens").alias("needed"), F.col("under").alias("token"), "rows", "both", "top").agg(
+            F.max("part_bound").alias("best"), F.count_if(F.col("part_rows") == F.col("rows")).alias("alike")  # it is like itself
+        )
+        level = level.where((F.col("alike") == 1) & (F.col("best") < F.col("top")))
+    else:
+        level = counted.where(F.size("needed") == 1).join(usable.select("token"), "token").withColumn("best", F.col("bound"))
+    level = cut(level.select("needed", "token", "rows", "both", "best"), "open")
+    more = longer(opened.select("n", "both", "tokens"), level, floor, confidence)
+    if more is not None:
+        counted = counted.select("needed", "rows", "both").unionByName(more).dropDuplicates(["needed"])
+        counted = _under_rarest(counted, tokens)
+    counted = counted.select("needed", F.col("token").alias("rarest"), "rows", "both")
     rules = counted.withColumn("confidence", lower_bound(F.col("both"), F.col("rows"))).where((F.col("both") >= floor) & (F.col("confidence") >= confidence))
     rules = cut(
         rules.select(F.col("needed").alias("tokens"), F.size("needed").alias("size"), (F.col("both") / n).alias("support"), "confidence", "rarest"),
