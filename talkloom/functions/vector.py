@@ -28,10 +28,10 @@ def hamming(a: Column, b: Column) -> Column:
 
 
 def sign_hash(vector: Column, bits: int = 64) -> Column:
-    """Bit i is set where component i is positive; of 64 bits the last is the sign."""
+    """Bit i is set where component i is positive; of 64 bits the last is the sign. Null for a vector without components."""
     one = F.lit(1).cast("long")
     weighed = F.transform(F.slice(vector, 1, bits), lambda x, i: F.when(x > 0, F.call_function("shiftleft", one, i)).otherwise(F.lit(0).cast("long")))
-    return F.aggregate(weighed, F.lit(0).cast("long"), lambda a, x: a.bitwiseOR(x))
+    return F.when(F.size(vector) > 0, F.aggregate(weighed, F.lit(0).cast("long"), lambda a, x: a.bitwiseOR(x)))
 
 
 def difference_hash(grey: Column) -> Column:

@@ -24,6 +24,11 @@ def bands(h: Column, most: int) -> Column:
     return F.array(*(F.struct(F.lit(i).alias("band"), x.alias("value")) for i, x in enumerate(part)))
 
 
+def _place(of: str = "") -> Column:
+    """What frames of a video are ordered by: those without a place come last, those of one place go by their hash."""
+    return F.struct(F.col(f"at{of}").isNull().alias("last"), F.col(f"at{of}").alias("at"), F.col(f"h{of}").alias("h"))
+
+
 def _near(a: DataFrame, b: DataFrame, most: int) -> DataFrame:
     """Pairs of rows (video, at, h, ...) of one video whose hashes differ in ``most`` bits or fewer, met in a band; columns of b end in _b."""
     named = b.toDF(*(c if c in ("video", "band", "value") else f"{c}_b" for c in b.columns))
@@ -46,7 +51,7 @@ def first_apart(nodes: DataFrame, most: int) -> DataFrame:
     from talkloom.operators.components import components
     from talkloom.sources.artifacts import checkpointed
 
-    place, left, kept = F.struct("at", "h"), checkpointed(nodes), []
+    place, left, kept = _place(), checkpointed(nodes), []
     for _ in range(QUICK if 64 // (most + 1) >= NARROW else 0):
         keyed = _banded(left, most).withColumn("place", place)
         least = keyed.groupBy("video", "band", "value").agg(F.min("place").alias("least"))
@@ -55,7 +60,7 @@ def first_apart(nodes: DataFrame, most: int) -> DataFrame:
         kept.append(now)
         near = _near(_banded(left, most), _banded(now, most), most).select("video", "h").distinct()  # the kept ones are near themselves
         left = checkpointed(left.join(near, ["video", "h"], "left_anti"))
-    pairs = _near(_banded(left, most), _banded(left, most), most).where(F.struct("at_b", "h_b") < place)
+    pairs = _near(_banded(left, most), _banded(left, most), most).where(_place("_b") < place)
     links = checkpointed(pairs.select("video", "h", F.col("h_b").alias("before")).distinct())
     for _ in range(ROUNDS):
         if left.isEmpty():
@@ -74,7 +79,7 @@ def first_apart(nodes: DataFrame, most: int) -> DataFrame:
         member = components(links.select(name("h").alias("u"), name("before").alias("v")), "u", "v")
         # Whoever's earlier neighbours have all gone in the last round has no link left, and is a component of its own.
         rest = left.join(member, name("h") == F.col("node"), "left").select(F.coalesce("root", name("h")).alias("root"), "at", "h", "video")
-        rest = rest.repartition("root").sortWithinPartitions("root", "at", "h").mapInArrow(_fold(most), rest.schema).select("video", "at", "h")
+        rest = rest.repartition("root").sortWithinPartitions("root", F.asc_nulls_last("at"), "h").mapInArrow(_fold(most), rest.schema).select("video", "at", "h")
     for more in kept:
         rest = rest.unionByName(more)
     return rest
@@ -105,7 +110,8 @@ def _fold(most: int):
 def dedup_frames(frames: DataFrame, most: int = 6, key: str = "video_id", order: str = "index", hash_col: str = "dhash") -> DataFrame:
     """Frames that differ in more than ``most`` bits from every frame kept before them in their video.
 
-    Equal hashes of a video are one, at its first place; frames of one place go by their hash. Frames without a hash stay.
+    Equal hashes of a video are one, at its first place; frames of one place go by their hash, those without a place come last.
+    Frames without a hash stay.
     """
     video = F.when(F.col(key).isNull(), "").otherwise(F.concat(F.lit("="), F.col(key).cast("string"))).alias("video")
     hashed = frames.where(F.col(hash_col).isNotNull())

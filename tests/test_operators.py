@@ -337,6 +337,19 @@ def test_long_chains_of_alike_titles_are_assigned(spark):
     assert sorted(rows(matching.assign(df), "left_id", "right_id", "score")) == greedy(pairs)
 
 
+@pytest.mark.parametrize("most, n", [(3, 4), (6, 4), (24, 4), (6, 40), (24, 40)])
+def test_frames_without_a_place_come_last(spark, most, n):
+    """Each frame is near the one beside it; they are ordered from the last to the first, which has no place."""
+    step = most * 2 // 3
+    hs = [0]
+    for i in range(n - 1):
+        hs.append(hs[-1] ^ sum(1 << (i * step + k) % 63 for k in range(step)))
+    frames = [("v", n - i if i else None, h) for i, h in enumerate(hs)]
+    df = spark.createDataFrame(frames, "video_id string, index int, dhash long")
+    want = slow_frames([(v, at or n, h) for v, at, h in frames], most)
+    assert sorted(r["dhash"] for r in hashes.dedup_frames(df, most).collect()) == sorted(h for _, _, h in want)
+
+
 def slow_frames(frames, most):
     kept, out = {}, []
     for video, at, h in sorted(frames, key=lambda f: (f[0] or "", f[1], f[2] if f[2] is not None else 0)):

@@ -24,6 +24,20 @@ def test_entry(spark):
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
 
 
+@pytest.mark.parametrize("name", ["hamming_dedup", "hamming_distance"])
+def test_hashes_of_odd_vectors(spark, sf_dir, tmp_path, name):
+    """A vector without components has no hash, and a frame without a place comes after all others."""
+    import duckdb
+
+    e = spark.read.parquet(f"{sf_dir}/embeddings.parquet").selectExpr("vec_id", "IF(vec_id % 7 = 3, slice(embedding, 1, 0), embedding) AS embedding", "label")
+    last = e.where("vec_id = 0").selectExpr("CAST(NULL AS long)", "transform(embedding, (x, i) -> IF(i < 3, -x, x))", "label")
+    e.unionAll(last).coalesce(1).write.parquet(f"{tmp_path}/embeddings.parquet")
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings.parquet/*.parquet'")
+    got, want = QUERIES[name](spark, str(tmp_path)), con.sql(ORACLE_SQL[name])
+    assert sorted(map(tuple, got.select(want.columns).collect()), key=str) == sorted(want.fetchall(), key=str)
+
+
 def test_results_do_not_depend_on_partitions(spark, sf_dir):
     from talkloom.plans.queries import transcript_chunks
 
