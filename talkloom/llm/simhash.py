@@ -11,7 +11,7 @@ to x, so comparing those at home at an anchor with all that reached it loses no
 Anchors with more members than ``CELL`` are dealt into a grid of cells; each cell compares one slice of the
 fingerprints at home with one slice of all. Cells emit a spanning set of links for each group that they connect,
 never all pairs. Where a link counts only once it is verified, a spanning set could be spanned by links that fail; there
-cells emit their groups as blocks of nodes instead, and links span a block only over pairs that pass.
+nodes that may link are blocks instead (see band_blocks), and links span a block only over pairs that pass.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from talkloom.llm.common import cut, fresh_name, type_of, utf8
+from talkloom.llm.common import cut, fresh_name, mark, release, type_of, utf8, word_count
 from talkloom.llm.graph import connected_components
 
 SHINGLE = 3
@@ -116,11 +116,11 @@ def _replicate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 MEMBER, BOTH, HOME = 0, 1, 2
 
 
-def _span(fps: np.ndarray, nodes: np.ndarray, role: np.ndarray, threshold: int = THRESHOLD) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int]]]:
-    """The group's nodes, a label for each that is equal where links connect them, and the links that do so."""
+def link_group(fps: np.ndarray, nodes: np.ndarray, role: np.ndarray, threshold: int = THRESHOLD) -> list[tuple[int, int]]:
+    """Links (node, node) within the threshold that connect whatever links connect in the group, and no more of them."""
     names, first, at = np.unique(nodes, return_index=True, return_inverse=True)
     if len(names) < 2:
-        return names, np.arange(len(names)), []
+        return []
     own = fps[first]
     homes, others = np.unique(at[role >= BOTH]), np.unique(at[role <= BOTH])
     there, label, out = own[others], np.arange(len(names)), []
@@ -133,42 +133,21 @@ def _span(fps: np.ndarray, nodes: np.ndarray, role: np.ndarray, threshold: int =
             out += [(int(names[others[close[i]]]), int(names[h])) for i in which]
             met = np.append(met, label[h])
             label[np.isin(label, met)] = met.min()
-    return names, label, out
-
-
-def link_group(fps: np.ndarray, nodes: np.ndarray, role: np.ndarray, threshold: int = THRESHOLD) -> list[tuple[int, int]]:
-    """Links (node, node) within the threshold that connect whatever links connect in the group, and no more of them."""
-    return _span(fps, nodes, role, threshold)[2]
-
-
-def block_group(fps: np.ndarray, nodes: np.ndarray, role: np.ndarray, threshold: int = THRESHOLD) -> list[tuple[int, int]]:
-    """(block, node) for each node that the group links to another; a block is named by its nodes, so equal ones of other groups are one."""
-    names, label, out = _span(fps, nodes, role, threshold)
-    if not out:
-        return []
-    order = np.argsort(label, kind="stable")
-    found = []
-    for mine in np.split(names[order], np.flatnonzero(np.diff(label[order])) + 1):
-        if len(mine) > 1:
-            block = int(np.uint64(xxhash.xxh64_intdigest(mine.tobytes(), SEED)).view(np.int64))
-            found += [(block, int(x)) for x in mine]
-    return found
+    return out
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by (anchor, cell); groups may run over from one batch to the next. Table 0 gives links, others (block, node)."""
+    """Rows come sorted by (anchor, cell); groups may run over from one batch to the next."""
 
     def links(anchor: np.ndarray, cell: np.ndarray, fps: np.ndarray, nodes: np.ndarray, role: np.ndarray) -> pa.RecordBatch:
         first = np.flatnonzero(np.r_[True, (anchor[1:] != anchor[:-1]) | (cell[1:] != cell[:-1])]) if len(anchor) else np.zeros(0, int)
         size = np.diff(np.r_[first, len(anchor)])
-        found, table = [], []
+        found = []
         for i, n in zip(first[size > 1], size[size > 1]):
             if (role[i : i + n] >= BOTH).any():
-                group = block_group if int(anchor[i]) >> 33 else link_group
-                found += group(fps[i : i + n], nodes[i : i + n], role[i : i + n])
-                table += [int(anchor[i]) >> 33] * (len(found) - len(table))
+                found += link_group(fps[i : i + n], nodes[i : i + n], role[i : i + n])
         pairs = np.array(found, dtype=np.int64).reshape(-1, 2)
-        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), pa.array(table, pa.int32())], names=["u", "v", "table"])
+        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["u", "v"])
 
     held: tuple = ()
     for batch in batches:
@@ -186,10 +165,7 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def link_nodes(sketches: DataFrame, cell: int = CELL) -> DataFrame:
-    """Of rows (node, fps), with table 0: links (u, v), enough of them to connect all nodes that the first fingerprints link.
-
-    With another table: nodes v of blocks u. Two nodes that a fingerprint of such a table links have a block in common.
-    """
+    """Of rows (node, fps): links (u, v), enough of them to connect all nodes that a fingerprint of one place in fps links."""
     spread = sketches.select("node", "fps").mapInArrow(_replicate, "anchor long, fp long, node long, role byte")
     hot = cut(spread.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > cell), "hot_anchors")
     k = F.ceil(F.col("n") * 2 / cell).cast("int")
@@ -203,7 +179,7 @@ def link_nodes(sketches: DataFrame, cell: int = CELL) -> DataFrame:
     cells = F.when(F.col("k") == 1, single).when(F.col("role") == BOTH, F.concat(across, along)).otherwise(across)
     dealt = dealt.select("anchor", "fp", "node", F.inline(cells))
     in_order = dealt.select("anchor", "cell", "fp", "node", "role").repartition("anchor", "cell").sortWithinPartitions("anchor", "cell")
-    return in_order.mapInArrow(_compare, "u long, v long, table int")
+    return in_order.mapInArrow(_compare, "u long, v long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -231,13 +207,14 @@ def fingerprint_components(signed: DataFrame, id_col: str) -> DataFrame:
 
 # For corpora whose near copies differ by more than three bits of the fingerprint above -----------------------------
 
-#: Production parameters: fingerprints of the words by count, each with hashes of its own, beside the one of shingles; words
-#: in a verified shingle, least estimated similarity, and slots of the sketch that estimates it.
+#: Production parameters: fingerprints of the words by count, each with hashes of its own, that sketch() gives by itself beside
+#: the one of shingles; words in a verified shingle, least estimated similarity, and slots of the sketch that estimates it.
 TABLES = 3
 VERIFIED_SHINGLE = 5
 SIMILARITY = 0.8
 SLOTS = 256
 EMPTY = 0xFF
+NOTHING = np.uint64(2**64 - 1)
 
 
 def _mixed(h: np.ndarray, n: int) -> np.ndarray:
@@ -258,16 +235,31 @@ def node_of(text: bytes | None) -> int:
     return xxhash.xxh64_intdigest(b" ".join(text.lower().split()) if text else b"", SEED)
 
 
-def sketch(text: bytes | None, tables: int = TABLES) -> tuple[int, list[int], bytes]:
-    """Of a text: its node, its fingerprints (that of shingles first) and a one-permutation MinHash of its five-word shingles
-    in SLOTS slots of 8 bits.
+def band_width(least: float) -> int:
+    """Slots in a band. Sketches similar by ``least`` (above 0) differ in at most 1 - ``least`` of the slots that either fills; these
+    slots stand in more bands than that, so that at least one filled band is the same in both."""
+    return SLOTS if least >= 1 else max(1, int((1 - 1e-9) / (1 - least)))
+
+
+def bands(low: np.ndarray, width: int) -> np.ndarray:
+    """A key for each band of slots that holds something, of its place and the whole hashes in it."""
+    rows = np.pad(low, (0, -len(low) % width), constant_values=NOTHING).reshape(-1, width)
+    keys = np.arange(len(rows), dtype=np.uint64)
+    for column in rows.T:
+        keys = _mixed(keys ^ column, 0)
+    return keys[(rows != NOTHING).any(axis=1)]
+
+
+def sketch(text: bytes | None, tables: int = TABLES, width: int = band_width(SIMILARITY)) -> tuple[int, list[int], bytes, np.ndarray]:
+    """Of a text: its node, its fingerprints (that of shingles first), a one-permutation MinHash of its five-word shingles
+    in SLOTS slots of 8 bits, and the keys of the MinHash's bands.
 
     The other fingerprints are of words, each weighing 1 + ln(its count), in whole sixteenths so that sums are exact.
     """
     words = text.lower().split() if text else []
-    slots = np.full(SLOTS, EMPTY, np.uint8)
+    low = np.full(SLOTS, NOTHING, np.uint64)
     if not words:
-        return node_of(text), [0] * (1 + tables), slots.tobytes()
+        return node_of(text), [0] * (1 + tables), np.full(SLOTS, EMPTY, np.uint8).tobytes(), bands(low, width)
     place: dict[bytes, int] = {}
     at = np.array([place.setdefault(w, len(place)) for w in words])
     own = _hashes(list(place))
@@ -283,8 +275,9 @@ def sketch(text: bytes | None, tables: int = TABLES) -> tuple[int, list[int], by
         for k in range(min(VERIFIED_SHINGLE, len(words))):
             h = _mixed(h + own[at[k : k + n]], k)
     h = np.sort(h)[::-1]  # of each slot the least hash is written last
-    slots[(h & np.uint64(SLOTS - 1)).astype(int)] = np.minimum(h >> np.uint64(16) & np.uint64(0xFF), np.uint64(EMPTY - 1)).astype(np.uint8)
-    return node_of(text), fps, slots.tobytes()
+    low[(h & np.uint64(SLOTS - 1)).astype(int)] = h
+    slots = np.where(low == NOTHING, np.uint64(EMPTY), np.minimum(low >> np.uint64(16) & np.uint64(0xFF), np.uint64(EMPTY - 1))).astype(np.uint8)
+    return node_of(text), fps, slots.tobytes(), bands(low, width)
 
 
 def estimated(a: bytes, b: bytes) -> float:
@@ -294,13 +287,12 @@ def estimated(a: bytes, b: bytes) -> float:
     return float((x == y)[some].mean()) if some.any() else 1.0
 
 
-def verified_links(nodes: np.ndarray, fps: np.ndarray, slots: np.ndarray, least: float, threshold: int = THRESHOLD) -> list[tuple[int, int]]:
-    """Of a block: links that connect whatever is connected by pairs of which a word fingerprint is within the threshold
-    and the estimated similarity at least ``least``. fps: a row of fingerprints for each node; slots: its sketch."""
+def verified_links(nodes: np.ndarray, slots: np.ndarray, least: float) -> list[tuple[int, int]]:
+    """Of a block: links that connect whatever is connected by pairs of an estimated similarity of at least ``least``.
+    slots: a sketch for each node."""
     label, filled, out = np.arange(len(nodes)), slots != EMPTY, []
     for h in range(len(nodes) - 1):
         rest = h + 1 + np.flatnonzero(label[h + 1 :] != label[h])
-        rest = rest[(np.bitwise_count(fps[rest] ^ fps[h]) <= threshold).any(axis=1)]
         for start in range(0, len(rest), 1024):
             close = rest[start : start + 1024]
             some = filled[close] | filled[h]
@@ -328,36 +320,78 @@ def _signed(docs: DataFrame, what, name: str, id_col: str, text_col: str) -> Dat
     return docs.select(id_col, text_col).mapInArrow(each, f"id {type_of(docs, id_col)}, {name} long, size long")
 
 
-def _sketched(texts: DataFrame, tables: int) -> DataFrame:
-    """node, fps and slots for each row of a table of texts."""
+def _sketched(texts: DataFrame, least: float) -> DataFrame:
+    """node, fps (the fingerprint of shingles), slots and bands for each row of a table of texts."""
+    width = band_width(least)
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [sketch(x, tables) for x in utf8(batch.column(0))]
+            found = [sketch(x, 0, width) for x in utf8(batch.column(0))]
             nodes = np.array([x[0] for x in found], np.uint64).view(np.int64)
-            fps = np.array([x[1] for x in found], np.uint64).reshape(-1, 1 + tables).view(np.int64).tolist()
+            fps = np.array([x[1] for x in found], np.uint64).reshape(-1, 1).view(np.int64).tolist()
+            keys = [x[3].view(np.int64) for x in found]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(nodes), pa.array(fps, pa.list_(pa.int64())), pa.array([x[2] for x in found], pa.binary())],
-                names=["node", "fps", "slots"],
+                [pa.array(nodes), pa.array(fps, pa.list_(pa.int64())), pa.array([x[2] for x in found], pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
+                names=["node", "fps", "slots", "bands"],
             )
 
-    return texts.mapInArrow(each, "node long, fps array<long>, slots binary")
+    return texts.mapInArrow(each, "node long, fps array<long>, slots binary, bands array<long>")
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(block, node) from rows sorted by (band, cell, node), for bands of two nodes and more; a block is named by its nodes, so
+    equal ones of other bands are one. Groups may run over from one batch to the next."""
+
+    def grouped(band: np.ndarray, cell: np.ndarray, nodes: np.ndarray) -> pa.RecordBatch:
+        first = np.flatnonzero(np.r_[True, (band[1:] != band[:-1]) | (cell[1:] != cell[:-1])]) if len(band) else np.zeros(0, int)
+        size = np.diff(np.r_[first, len(band)])
+        first, size = first[size > 1], size[size > 1]
+        names = np.array([xxhash.xxh64_intdigest(nodes[i : i + n].tobytes(), SEED) for i, n in zip(first, size)], np.uint64).view(np.int64)
+        mine = [nodes[i : i + n] for i, n in zip(first, size)]
+        return pa.RecordBatch.from_arrays([pa.array(np.repeat(names, size)), pa.array(np.concatenate([nodes[:0], *mine]))], names=["block", "node"])
+
+    held: tuple = ()
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(3)]
+        if held:
+            rows = [np.concatenate(x) for x in zip(held, rows)]
+        rest = int(np.argmax((rows[0] == rows[0][-1]) & (rows[1] == rows[1][-1])))
+        yield grouped(*(x[:rest] for x in rows))
+        held = tuple(x[rest:] for x in rows)
+    if held:
+        yield grouped(*held)
+
+
+def band_blocks(sketches: DataFrame, cell: int = CELL) -> DataFrame:
+    """Of rows (node, bands): nodes of blocks. Two nodes that have a band in common have a block in common.
+
+    Bands of more nodes than ``cell`` are dealt into slices, and any two slices make a block.
+    """
+    spread = sketches.select("node", F.explode("bands").alias("band"))
+    hot = cut(spread.groupBy("band").agg(F.count("*").alias("n")).where(F.col("n") > cell), "hot_bands")
+    dealt = spread.join(hot, "band", "left").withColumn("k", F.coalesce(F.ceil(F.col("n") * 2 / cell).cast("int"), F.lit(1)))
+    own = F.pmod(F.xxhash64("node"), F.col("k")).cast("int")
+    cells = F.transform(F.sequence(F.lit(0), F.col("k") - 1), lambda j: F.least(own, j) * F.col("k") + F.greatest(own, j))
+    dealt = dealt.select("band", F.explode(cells).alias("cell"), "node")
+    in_order = dealt.repartition("band", "cell").sortWithinPartitions("band", "cell", "node")
+    return in_order.mapInArrow(_blocks, "block long, node long").distinct()
 
 
 def similar_groups(
     docs: DataFrame,
     among: DataFrame | None = None,
-    tables: int = TABLES,
     least: float = SIMILARITY,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
     """id, component_id and size (words) for each row of docs: groups as near_duplicates gives them, with more links.
 
-    Texts link if their shingle fingerprints differ in three or fewer bits, and also if one of ``tables`` fingerprints of
-    their words does and their five-word shingles are similar by at least ``least`` (estimated by SLOTS slots; the standard
-    error is 0.026 at 0.8). Texts of the same words in order are one node, however often they come. Where ``among`` (a
-    table of one column, id) is given, only rows with such an id take part and are returned.
+    Texts link if their shingle fingerprints differ in three or fewer bits, and also if their five-word shingles are similar
+    by at least ``least`` (estimated by SLOTS slots; the standard error is 0.026 at 0.8). All pairs that the estimate makes
+    alike share a band of slots (see band_width) and are compared. Texts of the same words in order are one node, however
+    often they come. Where ``among`` (a table of one column, id) is given, only rows with such an id take part and are returned.
 
     Null and empty texts are one node and so one group. Rows with a null id take part and have the component of their
     node, null if nobody in it has an id. Repeated rows are returned as often as they come; rows of one id and different
@@ -366,18 +400,18 @@ def similar_groups(
     signed = _signed(docs, node_of, "node", id_col, text_col)
     signed = cut(signed if among is None else signed.join(among.toDF("id"), "id", "left_semi"), "signed")
     # A sketch is a function of the node: any row's will do, and copies are combined before the shuffle.
-    nodes = _sketched(docs.select(text_col), tables).groupBy("node").agg(F.first("fps").alias("fps"), F.first("slots").alias("slots"))
+    nodes = _sketched(docs.select(text_col), least).groupBy("node").agg(*(F.first(x).alias(x) for x in ("fps", "slots", "bands")))
     nodes = cut(nodes if among is None else nodes.join(signed.select("node").distinct(), "node", "left_semi"), "nodes")
-    found = cut(link_nodes(nodes).withColumn("table", F.least("table", F.lit(1))).distinct(), "links")
+    found = cut(band_blocks(nodes), "blocks")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows come sorted by block; blocks may run over from one batch to the next."""
 
-        def links(block: np.ndarray, node: np.ndarray, fps: np.ndarray, slots: np.ndarray) -> pa.RecordBatch:
+        def links(block: np.ndarray, node: np.ndarray, slots: np.ndarray) -> pa.RecordBatch:
             first = np.flatnonzero(np.r_[True, block[1:] != block[:-1]]) if len(block) else np.zeros(0, int)
             pairs = []
             for i, j in zip(first, np.r_[first[1:], len(block)]):
-                pairs += verified_links(node[i:j], fps[i:j], slots[i:j], least)
+                pairs += verified_links(node[i:j], slots[i:j], least)
             pairs = np.array(pairs, dtype=np.int64).reshape(-1, 2)
             return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["u", "v"])
 
@@ -385,9 +419,8 @@ def similar_groups(
         for batch in batches:
             if not batch.num_rows:
                 continue
-            fps = batch.column(2).flatten().to_numpy(zero_copy_only=False).view(np.uint64).reshape(batch.num_rows, -1)
-            slots = np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint8).reshape(batch.num_rows, SLOTS)
-            rows = [batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_numpy(zero_copy_only=False), fps[:, 1:], slots]
+            slots = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint8).reshape(batch.num_rows, SLOTS)
+            rows = [batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_numpy(zero_copy_only=False), slots]
             if held:
                 rows = [np.concatenate(x) for x in zip(held, rows)]
             rest = int(np.argmax(rows[0] == rows[0][-1]))
@@ -396,10 +429,9 @@ def similar_groups(
         if held:
             yield links(*held)
 
-    blocks = found.where("table = 1").select(F.col("u").alias("block"), F.col("v").alias("node")).join(nodes, "node")
-    in_order = blocks.select("block", "node", "fps", "slots").repartition("block").sortWithinPartitions("block", "node")
-    sure = in_order.mapInArrow(verify, "u long, v long").unionByName(found.where("table = 0").select("u", "v"))
-    member = connected_components(sure)
+    blocks = found.join(nodes.select("node", "slots"), "node").select("block", "node", "slots")
+    in_order = blocks.repartition("block").sortWithinPartitions("block", "node")
+    member = connected_components(in_order.mapInArrow(verify, "u long, v long").unionByName(link_nodes(nodes)))
     of_node = cut(
         signed.groupBy("node").agg(F.min("id").alias("least")).join(member, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root")),
         "linked",
@@ -414,20 +446,18 @@ def keep_one(docs: DataFrame, earlier: DataFrame | None = None, id_col: str = "d
 
     A stage that takes shared lines out of texts leaves of copies little that is alike. ``earlier`` (id, text) holds the
     texts as they were before: groups are those of the earlier texts, and of each group the document that has lost fewest
-    words stays (of these the one of smallest id), so that what the group shares stays too. What then stays is compared
-    by near_duplicates on its texts as they are. Ids that earlier lacks are grouped by their texts as they are. Without
-    ``earlier`` the smallest id of each group stays.
+    words stays (of these the one of smallest id), so that what the group shares stays too. What then stays is grouped
+    again, in the same way, by its texts as they are, and the smallest id of each group stays. Ids that earlier lacks are
+    grouped by their texts as they are. Without ``earlier`` the smallest id of each group stays.
 
     Rows without an id are kept: nothing tells which of them to keep. Of rows repeated under one id one stays. Null and
     empty texts are one group. Rows and columns that stay are unchanged, whatever the columns' names; an empty table gives
     an empty result.
     """
-    if earlier is None:
-        groups = similar_groups(docs, id_col=id_col, text_col=text_col)
-        kept = groups.where(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("__kept_id")).distinct()
-    else:
-        own = cut(_signed(docs, fingerprint, "fp", id_col, text_col).where("id is not null"), "own")
-        now = own.groupBy("id").agg(F.max("size").alias("now"))
+    left, since = None, mark()
+    if earlier is not None:
+        own = docs.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(F.max(word_count(F.col(text_col))).alias("now"))
+        now = cut(own, "own")
         ids, earlier = now.select("id"), earlier.select(id_col, text_col)
         strangers = cut(ids.join(earlier.select(F.col(id_col).alias("id")), "id", "left_anti"), "strangers")
         if not strangers.isEmpty():
@@ -437,9 +467,10 @@ def keep_one(docs: DataFrame, earlier: DataFrame | None = None, id_col: str = "d
         was = was.groupBy(F.col(id_col).alias("id")).agg(F.max("size").alias("was"), F.min("component_id").alias("component_id"))
         lost = F.greatest(F.lit(0).cast("long"), F.col("was") - F.col("now"))
         best = was.join(now, "id").groupBy("component_id").agg(F.min(F.struct(lost.alias("lost"), F.col("id"))).alias("best"))
-        left = cut(own.join(best.select("best.id"), "id", "left_semi").select("id", "fp"), "left")
-        named = left.join(fingerprint_components(left, "id"), "fp")
-        kept = named.where("id = component_id").select(F.col("id").alias("__kept_id")).distinct()
+        left = cut(best.select("best.id"), "left")
+        release(docs.sparkSession, since, keep=left)
+    groups = similar_groups(docs, left, id_col=id_col, text_col=text_col)
+    kept = groups.where(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("__kept_id")).distinct()
     nth, columns = fresh_name(docs, "__nth"), docs.columns
     first = F.row_number().over(Window.partitionBy(id_col).orderBy(id_col))
     kept = kept.toDF(kept_id := fresh_name(docs, "__kept_id"))

@@ -347,6 +347,75 @@ def test_copies_that_are_like_their_base_only_are_all_linked(spark):
     assert sorted(r["doc_id"] for r in simhash.keep_one(docs(spark, rows)).collect()) == sorted(set(comp))
 
 
+def edited(rng, words, n):
+    """With n other words at the end, which changes the words more than the shingles."""
+    return [*words[: len(words) - n], *(f"e{rng.integers(1e9)}" for _ in range(n))]
+
+
+def far_but_alike(a, b):
+    """Alike by the estimate, though no fingerprint is within the threshold."""
+    x, y = (simhash.sketch(" ".join(w).encode()) for w in (a, b))
+    return min((p ^ q).bit_count() for p, q in zip(x[1], y[1])) > simhash.THRESHOLD and simhash.estimated(x[2], y[2]) >= simhash.SIMILARITY
+
+
+def test_alike_texts_are_linked_however_far_their_fingerprints(spark):
+    rng = np.random.default_rng(8)
+    rows, far = [], 0
+    for group, size in enumerate((3, 6, 20, 60, 150, 400, 2000) * 4):
+        base = [f"g{group}w{rng.integers(size)}" for _ in range(size)]
+        copies = [base, *(edited(rng, base, max(1, size // 13)) for _ in range(4))]
+        far += sum(far_but_alike(base, x) for x in copies[1:])
+        rows += [(5 * group + i, " ".join(x), "en", "a") for i, x in enumerate(copies)]
+    sketches, comp = [simhash.sketch(r[1].encode()) for r in rows], list(range(len(rows)))
+    for i, x in enumerate(sketches):
+        for j, y in enumerate(sketches[:i]):
+            if (x[1][0] ^ y[1][0]).bit_count() <= 3 or simhash.estimated(x[2], y[2]) >= simhash.SIMILARITY:
+                assert simhash.estimated(x[2], y[2]) < simhash.SIMILARITY or set(x[3].tolist()) & set(y[3].tolist())
+                comp = [min(comp[i], comp[j]) if c in (comp[i], comp[j]) else c for c in comp]
+    assert far > 10
+    got = {r["doc_id"]: r["component_id"] for r in simhash.similar_groups(docs(spark, rows)).collect()}
+    assert got == dict(enumerate(comp))
+
+
+def test_texts_that_become_alike_are_compared_whole(spark):
+    """Earlier texts differ by long passages; what stays of them is alike, though no fingerprint is within the threshold."""
+    rng = np.random.default_rng(9)
+    rows, earlier = [], []
+    while len(rows) < 20:
+        base = [f"w{rng.integers(1e9)}" for _ in range(200)]
+        copy = edited(rng, base, 16)
+        if far_but_alike(base, copy):
+            for words in (base, copy):
+                rows.append((len(rows), " ".join(words), "en", "a"))
+                earlier.append((len(earlier), " ".join([*words, *(f"x{rng.integers(1e9)}" for _ in range(300))])))
+    got = simhash.keep_one(docs(spark, rows), spark.createDataFrame(earlier, "doc_id long, text string"))
+    assert sorted(r["doc_id"] for r in got.collect()) == list(range(0, 20, 2))
+
+
+def test_bands_of_many_nodes_are_dealt_whole(spark):
+    df = spark.createDataFrame([(i, [i % 2, 1000 + i // 3]) for i in range(90)], "node long, bands array<long>")
+    for cell in (4096, 16):
+        blocks = {}
+        for r in simhash.band_blocks(df, cell).collect():
+            blocks.setdefault(r["block"], set()).add(r["node"])
+        met = {(x, y) for b in blocks.values() for x in b for y in b if x < y}
+        assert met == {(x, y) for x in range(90) for y in range(x + 1, 90) if x % 2 == y % 2 or x // 3 == y // 3}
+        assert max(map(len, blocks.values())) <= (45 if cell > 45 else 40)
+
+
+@pytest.mark.parametrize("least", [0.05, 0.5, 0.7, 0.75, 0.8, 0.9, 0.99, 1.0])
+def test_sketches_as_alike_as_asked_share_a_band(least):
+    """With the fewest filled slots and with all, standing together as closely as they can."""
+    rng, width = np.random.default_rng(4), simhash.band_width(least)
+    for n in (*range(1, 20), 64, 255, 256):
+        low = np.full(simhash.SLOTS, simhash.NOTHING)
+        low[:n] = rng.integers(0, 2**60, n)
+        other = low.copy()
+        differ = int(np.floor((1 - least) * n + 1e-9))
+        other[np.linspace(0, n - 1, differ).astype(int)] = 7
+        assert set(simhash.bands(low, width).tolist()) & set(simhash.bands(other, width).tolist())
+
+
 def test_url_parts(spark):
     urls = [
         None,
